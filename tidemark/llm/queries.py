@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +29,14 @@ FROM d
 WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST)
 """
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op6_packing": op6_packing,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
