@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, packing
+from tidemark.llm import exact_dedup, langid, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,9 +34,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out("doc_id")))
+    judged = docs.select("doc_id", langid.held_out("doc_id").alias("held_out"), langid.predict(docs, model, F.col("text")).alias("of"))
+    return judged.select("doc_id", "held_out", F.col("of.lang").alias("lang_pred"), F.col("of.score").alias("score"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_packing": op6_packing,
+    "op9_language_id": op9_language_id,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
