@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, langid, packing
+from tidemark.llm import exact_dedup, langid, license_scan, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +41,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", F.col("of.lang").alias("lang_pred"), F.col("of.score").alias("score"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_packing": op6_packing,
     "op9_language_id": op9_language_id,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
