@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, langid, license_scan, packing
+from tidemark.llm import exact_dedup, langid, license_scan, packing, topk, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,59 @@ FROM d
 WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST)
 """
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+OP3_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(pages, url_filter.repeated(pages))
+
+
+OP4_SQL = r"""
+WITH p AS (
+  SELECT page_id, url,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+         regexp_extract(url, '(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)', 1) AS query
+  FROM pages
+),
+c AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') ||
+    CASE WHEN len(k) > 0 THEN '?' || array_to_string(k, '&') ELSE '' END END AS canonical
+  FROM (SELECT *, list_sort(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref)='))) AS k FROM p)
+),
+l AS (SELECT canonical, min(page_id) AS spared FROM c WHERE canonical IS NOT NULL GROUP BY canonical HAVING count(*) > 1),
+r AS (
+  SELECT c.page_id, c.host, c.path, l.canonical IS NOT NULL AS listed, coalesce(l.spared = c.page_id, false) AS spared,
+         CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+              WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+              WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+              WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM c LEFT JOIN l ON c.canonical = l.canonical
+)
+SELECT page_id, host, path, rule, listed,
+       CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN listed AND NOT spared THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -47,10 +100,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_topk_search": op3_topk_search,
+    "op4_url_filter": op4_url_filter,
     "op6_packing": op6_packing,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op3_topk_search": OP3_SQL,
+    "op4_url_filter": OP4_SQL,
 }
