@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,19 @@ class Scratch:
             self._remove(f"{self.path}/{name}")
 
 
+def placed(docs: DataFrame, name: str = "_place") -> DataFrame:
+    """docs with a column that names each row's place: file and row. Rows that don't come from files are written first."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = Scratch(docs.sparkSession, "rows").write(docs, "docs")
+    return docs.select("*", F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias(name))
+
+
+def word_count(text: Column) -> Column:
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")).cast("long")
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner delete the shuffle files of finished jobs now, not at the next collection of garbage."""
     import gc
@@ -92,14 +106,14 @@ class BlockedBloom:
     def __init__(self, blocks: int = 1 << 16):
         self.blocks = blocks
 
-    def _block(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.blocks)).cast("int")
+    def _block(self, h: Column) -> Column:
+        return F.pmod(h, F.lit(self.blocks)).cast("int")
 
-    def _mask(self, key: Column) -> Column:
-        bits = F.xxhash64(key, F.lit(self.BITS))
+    def _mask(self, h: Column) -> Column:
+        """BITS bits of a long, by the upper bits of the key's hash (the block takes it modulo a power of two)."""
         mask = F.lit(0).cast("long")
         for i in range(self.BITS):
-            pick = F.shiftrightunsigned(bits, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+            pick = F.shiftrightunsigned(h, 63 - 6 * (i + 1)).bitwiseAND(F.lit(63)).cast("int")
             mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), pick))
         return mask
 
@@ -107,13 +121,20 @@ class BlockedBloom:
         """One row, one column ``bloom``: the blocks in order. Partial bit_or runs before the shuffle."""
         spark = keys.sparkSession
         k = F.col(key)
-        set_bits = keys.where(k.isNotNull()).select(self._block(k).alias("block"), self._mask(k).alias("mask"))
+        hashed = keys.where(k.isNotNull()).select(F.xxhash64(k).alias("h"))
+        set_bits = hashed.select(self._block(F.col("h")).alias("block"), self._mask(F.col("h")).alias("mask"))
         empty = spark.range(self.blocks).select(F.col("id").cast("int").alias("block"), F.lit(0).cast("long").alias("mask"))
         merged = set_bits.unionByName(empty).groupBy("block").agg(F.bit_or("mask").alias("mask"))
         ordered = F.array_sort(F.collect_list(F.struct("block", "mask")))
         return merged.agg(F.transform(ordered, lambda x: x["mask"]).alias("bloom"))
 
-    def may_hold(self, bloom: Column, key: Column) -> Column:
-        """True for every key that was put in, and for few others."""
-        mask = self._mask(key)
-        return F.get(bloom, self._block(key)).bitwiseAND(mask) == mask
+    def may_hold(self, rows: DataFrame, bloom: DataFrame, key: str, keep: bool = True) -> DataFrame:
+        """The rows whose key may have been put in: every one that was, and few others; with keep=False, the rest.
+
+        The hash passes through a generator, or the optimizer would put the
+        expression behind ``key`` into every place where the filter uses it.
+        """
+        hashed = rows.select("*", F.explode(F.array(F.xxhash64(key))).alias("_h"))
+        mask, h = self._mask(F.col("_h")), F.col("_h")
+        held = F.coalesce(F.col(key).isNotNull() & (F.get(bloom.scalar(), self._block(h)).bitwiseAND(mask) == mask), F.lit(False))
+        return hashed.where(held if keep else ~held).drop("_h")

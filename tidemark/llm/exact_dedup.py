@@ -71,6 +71,7 @@ class ExactDedup:
             session.conf.set(key, self.spark.conf.get(key))
         session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # else each partition reserves megabytes on disk
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
         source = session.readStream.schema(seen.schema).option("maxFileAge", "36500d").parquet(f"{path}/load=*")
@@ -99,7 +100,7 @@ class ExactDedup:
         hits = state.where("n > 1").select("digest")
         text = normalised(F.col(self.text_col))
         rows = docs.select(self.digest(text).alias("digest"), text.alias("norm"))
-        rows = rows.where(self.bloom.may_hold(self.bloom.build(hits, "digest").scalar(), F.col("digest")))
+        rows = self.bloom.may_hold(rows, self.bloom.build(hits, "digest"), "digest")
         ends = rows.groupBy("digest").agg(F.min("norm").alias("least"), F.max("norm").alias("most"))
         return ends.where("least <> most").join(hits, "digest", "left_semi").select("digest")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, langid, license_scan, packing, topk, url_filter
+from tidemark.llm import exact_dedup, langid, license_scan, mixing, packing, topk, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,52 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("place")
+
+
+def _fill_sql(children: str, parent: str, name: str) -> str:
+    """SQL for one level of the tree: children(parent, name, supply, weight, budget) with what each is given."""
+    return f"""
+  SELECT *, CASE WHEN capped THEN supply
+                 ELSE ((budget - sum(CASE WHEN capped THEN supply ELSE 0 END) OVER (PARTITION BY {parent})) * weight)
+                      // sum(CASE WHEN capped THEN 0 ELSE weight END) OVER (PARTITION BY {parent}) END AS given
+  FROM (SELECT *, supply * sum(weight) OVER (PARTITION BY {parent} ORDER BY supply / weight, {name} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+               <= weight * (budget - coalesce(sum(supply) OVER (PARTITION BY {parent} ORDER BY supply / weight, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS capped
+        FROM {children})"""
+
+
+OP7_SQL = rf"""
+WITH c AS (  -- CRC-32 by its table, one byte at a time
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(3988292384, a // 2) ELSE a // 2 END)) AS t
+),
+k AS (
+  SELECT source, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, strlen(source) + 1), lambda i: CAST(ascii(source[i]) AS BIGINT))),
+         lambda a, b: xor(CAST(t[1 + xor(a % 256, b)] AS BIGINT), a // 256)) AS h
+  FROM (SELECT DISTINCT coalesce(source, '') AS source FROM documents), c
+),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(d.source, '') AS source, 'domain' || (xor(4294967295, k.h) % 4) AS domain,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS tokens
+  FROM documents d JOIN k ON k.source = coalesce(d.source, '')
+),
+l3 AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(2 * sum(tokens) AS BIGINT) AS supply, 1 AS weight FROM d GROUP BY ALL),
+l2 AS (SELECT domain, lang, CAST(sum(supply) AS BIGINT) AS supply, CASE lang WHEN 'en' THEN 8 WHEN 'de' THEN 4 WHEN 'fr' THEN 2 WHEN 'es' THEN 2 ELSE 1 END AS weight FROM l3 GROUP BY ALL),
+l1 AS (SELECT domain, CAST(sum(supply) AS BIGINT) AS supply, CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 2 ELSE 1 END AS weight,
+              (SELECT coalesce(CAST(sum(tokens) AS BIGINT), 0) * 3 // 4 FROM l3) AS budget, 0 AS root FROM l2 GROUP BY ALL),
+g1 AS ({_fill_sql("l1", "root", "domain")}),
+b2 AS (SELECT l2.*, g1.given AS budget FROM l2 JOIN g1 USING (domain)),
+g2 AS ({_fill_sql("b2", "domain", "lang")}),
+b3 AS (SELECT l3.*, g2.given AS budget FROM l3 JOIN g2 USING (domain, lang)),
+g3 AS ({_fill_sql("b3", "domain, lang", "source")}),
+leaf AS (SELECT domain, lang, source, CASE WHEN tokens = 0 THEN 0 ELSE given // tokens END AS whole, CASE WHEN tokens = 0 THEN 0 ELSE given % tokens END AS part FROM g3),
+o AS (SELECT d.*, whole, part, md5('17:' || CAST(whole AS BIGINT) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM d JOIN leaf USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, tokens,
+       CAST(whole + CASE WHEN sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) <= part THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM o
+"""
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out("doc_id")))
@@ -103,6 +149,7 @@ QUERIES = {
     "op3_topk_search": op3_topk_search,
     "op4_url_filter": op4_url_filter,
     "op6_packing": op6_packing,
+    "op7_mixing": op7_mixing,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
 }
@@ -110,4 +157,5 @@ ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
     "op3_topk_search": OP3_SQL,
     "op4_url_filter": OP4_SQL,
+    "op7_mixing": OP7_SQL,
 }

@@ -71,11 +71,10 @@ def filter_urls(
     url = F.col(url_col)
     bloom = BlockedBloom(bloom_blocks)
     keyed = pages.select(F.col(id_col).alias("id"), host(url).alias("host"), path(url).alias("path"), canonical(url).alias("canonical"))
-    may = F.coalesce(bloom.may_hold(bloom.build(listed, "canonical").scalar(), F.col("canonical")), F.lit(False))
-    keyed = keyed.withColumn("may", may)
+    filled = bloom.build(listed, "canonical")
     exact = listed.select("canonical", "spared", F.lit(True).alias("listed")).hint("shuffle_hash")
-    possible = keyed.where("may").join(exact, "canonical", "left").select("id", "host", "path", F.coalesce("listed", F.lit(False)).alias("listed"), (F.coalesce(F.col("spared") == F.col("id"), F.lit(False))).alias("spared"))
-    rest = keyed.where("NOT may").select("id", "host", "path", F.lit(False).alias("listed"), F.lit(False).alias("spared"))
+    possible = bloom.may_hold(keyed, filled, "canonical").join(exact, "canonical", "left").select("id", "host", "path", F.coalesce("listed", F.lit(False)).alias("listed"), (F.coalesce(F.col("spared") == F.col("id"), F.lit(False))).alias("spared"))
+    rest = bloom.may_hold(keyed, filled, "canonical", keep=False).select("id", "host", "path", F.lit(False).alias("listed"), F.lit(False).alias("spared"))
     own = F.when(F.col("listed") & ~F.col("spared"), "block").otherwise("allow")
     return possible.unionByName(rest).select(
         F.col("id").alias(id_col), "host", "path", rule_of(F.col("host"), F.col("path"), rules, lambda v, r: r).alias("rule"), "listed",
