@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, langid, license_scan, mixing, packing, topk, url_filter
+from tidemark.llm import exact_dedup, langid, license_scan, mixing, packing, substring, topk, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -133,6 +133,10 @@ FROM o
 """
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out("doc_id")))
@@ -150,6 +154,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op6_packing": op6_packing,
     "op7_mixing": op7_mixing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
 }
