@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, langid, license_scan, mixing, packing, substring, topk, url_filter
+from tidemark.llm import exact_dedup, jaccard, langid, license_scan, mixing, packing, substring, topk, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,10 @@ FROM r
 """
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.JaccardJoin(table(spark, sf_dir, "documents")).result().drop("place")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -152,6 +156,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_topk_search": op3_topk_search,
     "op4_url_filter": op4_url_filter,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
     "op7_mixing": op7_mixing,
     "op8_substring_dedup": op8_substring_dedup,
