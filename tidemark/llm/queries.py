@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, jaccard, langid, license_scan, mixing, packing, substring, topk, url_filter
+from tidemark.llm import exact_dedup, jaccard, katz, langid, license_scan, mixing, packing, substring, topk, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ FROM d
 WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST)
 """
 
+def op2_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 != 1, F.lit(True))
+    return katz.Katz(table(spark, sf_dir, "documents"), train).scores()
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -154,6 +159,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_katz_score": op2_katz_score,
     "op3_topk_search": op3_topk_search,
     "op4_url_filter": op4_url_filter,
     "op5_jaccard_join": op5_jaccard_join,
