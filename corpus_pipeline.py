@@ -3,20 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, jaccard, langid, mixing, packing
 from tidemark.llm.common import Scratch
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters or with no language of at least even odds go."""
+    return langid.identified(docs, langid.train(docs.where(~langid.held_out("doc_id"))))
+
+
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.kept_rows(docs)
 
 
+def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.one_of_each(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Three quarters of the tokens by the target weights; documents of short sources stand twice."""
+    return mixing.mixed_rows(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(docs)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 STAGES = [
+    ("language ID", language_id),
     ("exact dedup", distinct_texts),
+    ("n-gram Jaccard join", one_of_similar),
+    ("mixing to target weights", mixture),
+    ("packing", packed),
 ]
 
-#: The stages learn models and solve joins that SQL doesn't express; tests hold run() against a plain version.
+#: The stages learn a model, solve a similarity join and tokenise, which SQL doesn't express; tests hold them against plain versions.
 ORACLE_SQL = None
 
 
