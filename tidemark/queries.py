@@ -388,10 +388,10 @@ def registry_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy("strategy").agg(F.count(F.lit(1)).alias("tables"), F.sum(F.col("newest").cast("long")).alias("newest_version_wins"), F.sum(F.col("options").cast("long")).alias("with_options"))
 
 
-@query("SELECT CAST(ts AS DATE) AS usage_date, event_type, round(sum(value), 2) AS usage_quantity FROM events WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY ALL ORDER BY usage_date DESC")
+@query("SELECT strftime(ts, '%Y-%m-%d') AS usage_date, event_type, round(sum(value), 2) AS usage_quantity FROM events WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY ALL ORDER BY usage_date DESC")
 def usage_cost_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events").where(F.get_json_object("props", "$.k").isNotNull())
-    daily = events.groupBy(F.to_date("ts").alias("usage_date"), "event_type").agg(F.round(F.sum("value"), 2).alias("usage_quantity"))
+    daily = events.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("usage_date"), "event_type").agg(F.round(F.sum("value"), 2).alias("usage_quantity"))
     return daily.orderBy(F.desc("usage_date"))
 
 
