@@ -61,6 +61,15 @@ class Scratch:
     def read(self, df: DataFrame, name: str) -> DataFrame:
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
+    def bytes(self, name: str) -> int:
+        """What a written table takes on disk."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+    def sent(self, df: DataFrame, name: str, most: int = 8 << 20) -> DataFrame:
+        """A written table, marked for a broadcast if it takes no more than ``most`` bytes; larger ones are left to the planner's shuffle."""
+        return F.broadcast(df) if self.bytes(name) <= most else df
+
     def drop(self, *names: str) -> None:
         for name in names:
             self._remove(f"{self.path}/{name}")

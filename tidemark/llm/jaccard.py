@@ -28,7 +28,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """64-bit hashes of words (bytes), remembered up to ``most`` at a time."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 250_000):
         import xxhash
 
         digest = xxhash.xxh3_64_intdigest
@@ -81,14 +81,17 @@ def boundary(counts: np.ndarray, percent: int, k: int = SUBSET) -> int:
     """The largest size at which enumerating a light set's subsets costs no more than scanning its inverted lists.
 
     A set of n has p = n - overlap + k rare shingles to make p * (p - 1) / 2
-    subsets of, each one row; or p - 1 lists, each one row and as many reads as
-    the list of an average shingle is long, which the counters tell: the mean of
-    their squares over their mean, less what falls into a counter by chance.
+    subsets of, each one row; or p - 1 lists, each one row and as many reads as a
+    list of the rare shingles is long. The rare ones are the first 1 - percent of
+    all occurrences; the counters tell how full the last counter among these is,
+    against the mean filling, which is what falls into a counter by chance.
     """
     total = float(counts.sum())
     if not total:
         return 4
-    mean_list = max(0.0, float(np.square(counts.astype(np.float64)).sum()) / total - total / len(counts))
+    ordered = np.sort(counts[counts > 0])
+    rare = ordered[np.searchsorted(np.cumsum(ordered), total * (100 - percent) / 100)]
+    mean_list = max(1.0, float(rare) / max(1.0, total / len(counts)))
     best = 4
     for n in range(4, 2000):
         p = n - least_overlap(n, percent) + k
@@ -97,31 +100,36 @@ def boundary(counts: np.ndarray, percent: int, k: int = SUBSET) -> int:
     return best
 
 
-def signature_keys(own: np.ndarray, counts: np.ndarray, percent: int, light: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, free) of a set: where it meets its partners.
+def signature_keys(own: np.ndarray, counts: np.ndarray, percent: int, light: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, free, pos) of a set: where it meets its partners.
 
     The order is rare first: by counter, then by hash, the same for every set, so
     that partners share a shingle among the first n - overlap + 1, and two among
     one more. Light sets meet on pairs of those; heavy sets meet all others on
     single ones, where light sets large enough for a heavy partner wait too (not
-    ``free``: two of them have met already).
+    ``free``: two of them have met already). ``pos`` is the shingle's place in
+    that order (of a pair, the second one's less one): two sets that have to share
+    more than the least overlap meet on the first n - overlap places already.
     """
     n = len(own)
     if n < 4:  # a partner would be the same set
-        return own[:0], np.zeros(0, dtype=bool)
+        return own[:0], np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int32)
     p = n - least_overlap(n, percent) + SUBSET
     order = np.lexsort((own, counts[(own >> np.uint64(44)).astype(np.int64)]))
     rare = own[order[:p]]
     singles = rare[: p - 1]
     if n > light:
-        return singles, np.ones(len(singles), dtype=bool)
+        return singles, np.ones(len(singles), dtype=bool), np.arange(len(singles), dtype=np.int32)
     i, j = np.triu_indices(len(rare), 1)
     with np.errstate(over="ignore"):
         low, high = np.minimum(rare[i], rare[j]), np.maximum(rare[i], rare[j])
         pairs = mix(low * _ODD[5] + high * _ODD[6])
     if 100 * n < percent * (light + 1):
-        return pairs, np.ones(len(pairs), dtype=bool)
-    return np.concatenate([pairs, singles]), np.concatenate([np.ones(len(pairs), dtype=bool), np.zeros(len(singles), dtype=bool)])
+        return pairs, np.ones(len(pairs), dtype=bool), (j - 1).astype(np.int32)
+    return (
+        np.concatenate([pairs, singles]), np.concatenate([np.ones(len(pairs), dtype=bool), np.zeros(len(singles), dtype=bool)]),
+        np.concatenate([j - 1, np.arange(len(singles))]).astype(np.int32),
+    )
 
 
 def _count(docs: DataFrame, text_col: str, k: int, scratch: Scratch) -> np.ndarray:
@@ -164,10 +172,10 @@ class JaccardJoin:
 
     Equal sets form one class first (128-bit digest of the set), so copies are
     never paired. Classes meet on the keys of ``signature_keys``. On each key
-    first all compare with the smallest class only, then what these links did
-    not connect compares across the components so far; a link between different
-    sets that could join two components is thus always compared on the full sets.
-    Groups of near copies stay linear where their members resemble one another.
+    first all compare with the most typical class only, the one whose shingles
+    are the most frequent on average (of near copies the least changed one). What these links did
+    not connect compares across the components so far, so a link that joins two
+    components is never missed, and groups of near copies make few pairs.
 
     Null and empty texts have no shingles and no links. Repeated rows and null ids
     are rows like others; a component's id is its smallest id that isn't null.
@@ -179,7 +187,7 @@ class JaccardJoin:
         self.docs = placed(docs.select(id_col, text_col))
 
     def _members(self) -> DataFrame:
-        """uid, place, id, n, digest of the set, and the keys with their flags."""
+        """uid, place, id, n, digest of the set, the keys with their flags, and the mean counter of the shingles."""
         counts = _count(self.docs, self.text_col, self.k, self.scratch)
         light, percent, k = boundary(counts, self.percent), self.percent, self.k
         shared = self.docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))
@@ -191,33 +199,39 @@ class JaccardJoin:
             for batch in batches:
                 for at in range(0, len(batch), 1000):
                     some = batch.slice(at, 1000)
-                    n, digests, keys, free = [], [], [], []
+                    n, digests, keys, free, pos, typical = [], [], [], [], [], []
                     for text in some.column(2).to_pylist():
                         own = shingles(words(text), k) if text else np.zeros(0, dtype=np.uint64)
                         n.append(len(own))
                         digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                        a, b = signature_keys(own, order, percent, light)
+                        a, b, c = signature_keys(own, order, percent, light)
                         keys.append(a)
                         free.append(b)
+                        pos.append(c)
+                        typical.append(int(order[(own >> np.uint64(44)).astype(np.int64)].mean()) if len(own) else 0)
                     ends = pa.array(np.concatenate([[0], np.cumsum([len(a) for a in keys])]).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
                         [
                             some.column(0), some.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
                             pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(free))),
+                            pa.ListArray.from_arrays(ends, pa.array(np.concatenate(pos))), pa.array(typical, pa.int64()),
                         ],
-                        ["place", "id", "n", "digest", "keys", "free"],
+                        ["place", "id", "n", "digest", "keys", "free", "pos", "typical"],
                     )
 
         told = self.docs.select(F.col("_place").alias("place"), F.col(self.id_col).alias("id"), F.col(self.text_col).cast("binary").alias("text"))
         kind = self.docs.schema[self.id_col].dataType.simpleString()
-        rows = told.mapInArrow(sets, f"place string, id {kind}, n long, digest binary, keys array<long>, free array<boolean>")
+        rows = told.mapInArrow(sets, f"place string, id {kind}, n long, digest binary, keys array<long>, free array<boolean>, pos array<int>, typical long")
         return self.scratch.write(rows.withColumn("uid", F.monotonically_increasing_id()), "sets")
 
     def _lists(self, sets: DataFrame) -> DataFrame:
-        """(key, uid, n, free) of the keys that more than one class has."""
-        classes = sets.where("n >= 4").groupBy("digest").agg(F.min("uid").alias("uid"))
-        single = sets.join(classes, ["digest", "uid"], "left_semi").select("uid", "n", F.explode(F.arrays_zip("keys", "free")).alias("k"))
-        rows = single.select(F.col("k.keys").alias("key"), "uid", F.col("n").cast("int").alias("n"), F.col("k.free").alias("free"))
+        """(key, uid, n, typical, free, pos) of the keys that more than one class has."""
+        told = sets.where("n >= 4").select("digest", "uid")
+        classes = told.groupBy("digest").agg(F.min("uid").alias("first"))
+        # what goes is written: if that is small, the rows with the keys are not shuffled for it
+        copies = self.scratch.write(told.join(classes, "digest").where("uid <> first").select("uid"), "copies")
+        single = sets.where("n >= 4").join(copies, "uid", "left_anti").select("uid", "n", "typical", F.explode(F.arrays_zip("keys", "free", "pos")).alias("k"))
+        rows = single.select(F.col("k.keys").alias("key"), "uid", F.col("n").cast("int").alias("n"), "typical", F.col("k.free").alias("free"), F.col("k.pos").alias("pos"))
 
         def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = None  # the row before, not yet passed on
@@ -252,7 +266,7 @@ class JaccardJoin:
         nodes = self.scratch.write(nodes.join(sets.select("uid", "place"), "uid"), f"{name}_nodes")
         bloom = BlockedBloom()
         texts = bloom.may_hold(self.docs, bloom.build(nodes, "place"), "_place")
-        texts = texts.select(F.col("_place").alias("place"), F.col(self.text_col).cast("binary").alias("text")).join(nodes, "place").select("uid", "text")
+        texts = texts.select(F.col("_place").alias("place"), F.col(self.text_col).cast("binary").alias("text")).join(self.scratch.sent(nodes, f"{name}_nodes"), "place").select("uid", "text")
         k, percent = self.k, self.percent
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,18 +300,26 @@ class JaccardJoin:
         sets = self._members()
         lists = self._lists(sets)
         sets = sets.select("uid", "place", "id", "n", "digest")
-        fits = lambda x, y: (100 * F.least(x["n"], y["n"]) >= self.percent * F.greatest(x["n"], y["n"])) & (x["free"] | y["free"])
-        leader = lists.groupBy("key").agg(F.min(F.struct("uid", "n", "free")).alias("first"))
+        columns = ("n", "free", "pos")
+
+        def fits(x, y):
+            """Sizes and places allow the pair: of n shingles, n - overlap may stand before the first common one."""
+            overlap = F.ceil(F.lit(self.percent) * (x["n"] + y["n"]) / (100 + self.percent))
+            return (100 * F.least(x["n"], y["n"]) >= self.percent * F.greatest(x["n"], y["n"])) & (x["free"] | y["free"]) & (x["pos"] <= x["n"] - overlap) & (y["pos"] <= y["n"] - overlap)
+
+        leader = lists.groupBy("key").agg(F.min(F.struct((-F.col("typical")).alias("rest"), "uid", *columns)).alias("first"))
         stars = lists.join(leader, "key").where(F.col("uid") != F.col("first.uid"))
-        stars = stars.where(fits({c: F.col(f"first.{c}") for c in ("n", "free")}, {c: F.col(c) for c in ("n", "free")})).select(F.col("first.uid").alias("a"), F.col("uid").alias("b")).distinct()
-        first = self._verified(stars, sets, "stars")
+        stars = stars.where(fits({c: F.col(f"first.{c}") for c in columns}, {c: F.col(c) for c in columns}))
+        stars = stars.select(F.least("first.uid", "uid").alias("a"), F.greatest("first.uid", "uid").alias("b")).distinct()
+        stars = self.scratch.write(stars, "stars")
+        first = self._verified(stars, sets, "star")
         roots = self.scratch.write(components(first, self.scratch, "first"), "first_roots")
         marked = lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
         marked = self.scratch.write(marked, "marked")
         mixed = marked.groupBy("key").agg((F.min("root") != F.max("root")).alias("mixed")).where("mixed").select("key")
         open_lists = self.scratch.write(marked.join(mixed, "key", "left_semi"), "open")
         x, y = open_lists.alias("x"), open_lists.alias("y")
-        of = lambda s: {c: F.col(f"{s}.{c}") for c in ("n", "free")}
+        of = lambda s: {c: F.col(f"{s}.{c}") for c in columns}
         across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & fits(of("x"), of("y")))
         across = across.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
         second = self._verified(across, sets, "across")
@@ -326,4 +348,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col), F.col("place"))
     stays = rows.groupBy("component_id").agg(F.min(order).alias("best"))
     out = rows.where(F.col("component_id").isNotNull()).join(stays, "component_id").where(order != F.col("best")).select(F.col("place").alias("_out"))
+    out = join.scratch.sent(join.scratch.write(out, "out"), "out")
     return docs.join(out, F.col("_place") == F.col("_out"), "left_anti").drop("_place")
