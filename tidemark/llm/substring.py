@@ -56,7 +56,8 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, k: int, least_ch
     order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("place"), F.col("at"))
     first = hits.groupBy("hash").agg(F.min(order).alias("first"))
     later = hits.join(first, "hash").where(order != F.col("first"))
-    return scratch.write(later.groupBy("place").agg(F.collect_set("at").alias("starts")), "later")
+    later = scratch.write(later.groupBy("place").agg(F.collect_set("at").alias("starts")), "later")
+    return scratch.sent(later, "later")  # else the texts of the rows concerned are shuffled
 
 
 def dedup_spans(
