@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, BlockedBloom, Scratch
+from tidemark.llm.common import SPACE, BlockedBloom, Scratch, placed
 
 
 def normalised(text: Column) -> Column:
@@ -131,10 +131,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns. Decisions are joined back by the locator of the row."""
+    scratch = Scratch(docs.sparkSession, "kept")
     try:
         docs.select("_metadata.row_index")
     except AnalysisException:
-        docs = Scratch(docs.sparkSession, "rows").write(docs, "docs")
-    out = exact_dedup(docs, id_col, text_col).where("not kept").select(F.col("locator").alias("_locator"))
-    place = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
-    return docs.withColumn("_place", place).join(out, F.col("_place") == F.col("_locator"), "left_anti").select(*docs.columns)
+        docs = scratch.write(docs, "docs")
+    out = exact_dedup(docs, id_col, text_col)
+    out = scratch.sent(scratch.write(out.where("not kept").select(F.col("locator").alias("_locator")), "out"), "out")
+    return placed(docs).join(out, F.col("_place") == F.col("_locator"), "left_anti").drop("_place")
