@@ -189,10 +189,15 @@ def train(
     """Learns from a bounded sample of labelled rows: at most ``docs_per_lang`` rows of each language, those whose ids
     hash lowest, and of their words the ``words_per_lang`` most frequent. Rows without text or language are not used."""
     path = path or vocabulary("piece_bpe_32k.model")
-    labelled = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     order = [F.xxhash64(F.col(id_col).cast("string")), F.col(id_col), F.xxhash64(F.col(text_col))]
+    many = docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).count().collect()  # a row per language
+    # hashes below this hold four times the sample: the texts of no more rows are ranked
+    below = F.lit(None).cast("double")
+    for r in many:
+        below = F.when(F.col(lang_col) == r.lang, F.lit(min(1.0, 4 * docs_per_lang / r["count"]) * 2.0**64 - 2.0**63)).otherwise(below)
+    chosen = docs.where(F.col(text_col).isNotNull() & (order[0] <= below))
     sample = (
-        labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), *(o.alias(f"o{i}") for i, o in enumerate(order)))
+        chosen.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), *(o.alias(f"o{i}") for i, o in enumerate(order)))
         .withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("o0", "o1", "o2"))).where(F.col("rank") <= docs_per_lang)
     )
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
