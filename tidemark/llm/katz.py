@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, release_shuffles
-from tidemark.llm.jaccard import _ODD, mix, words_of_worker
+from tidemark.llm.jaccard import _ODD, _words, mix, words_of_worker
 
 #: Contexts and tokens are 64-bit word hashes; these two stand for a text's start (a context only) and end (a token only).
 START, END = 1, 2
@@ -97,7 +97,7 @@ def unigrams(docs: DataFrame, text_col: str, train: Column) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 seen.update(text.lower().split())
-                if len(seen) > 500_000:
+                if len(seen) > 250_000:
                     yield out()
                     seen.clear()
         if seen:
@@ -112,7 +112,7 @@ def _pack(values: np.ndarray, most: int) -> bytes:
 
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, dtype="<u2" if len(data) == 2 * n else "<u4").astype(np.int64)
+    return np.frombuffer(data, dtype="<u2" if len(data) == 2 * n else "<u4").astype(np.int32)
 
 
 #: A row per window of documents and bucket: its contexts with run lengths, its tokens, and for each occurrence token and document.
@@ -173,67 +173,128 @@ def _windows(window_tokens: int, buckets: int, shared):
                     yield from out()
         if docs:
             yield from out()
+        _words.clear()
+        del words
+        _give_back()
 
     return run
 
 
-def _bucket(shared):
-    """Solves a bucket: every occurrence of its contexts is here (of hot contexts: every occurrence of its pairs)."""
+def _give_back() -> None:
+    """Returns freed memory to the system: an idle Python worker would keep it while others need it."""
+    import ctypes
 
-    def run(table: pa.Table) -> pa.Table:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
+def _pack_sums(sums: np.ndarray) -> bytes:
+    """Two rows of logarithms and the rows of counts."""
+    return sums[:2].astype("<f8").tobytes() + sums[2:].astype("<u4").tobytes()
+
+
+def _unpack_sums(data, docs: int) -> np.ndarray:
+    logs = np.frombuffer(data, "<f8", 2 * docs).reshape(2, docs)
+    return np.concatenate([logs, np.frombuffer(data, "<u4", offset=16 * docs).reshape(-1, docs)])
+
+
+def _solve_buckets(shared, most_docs: int = 1 << 20):
+    """Solves the buckets of a partition, one after the other.
+
+    Of a bucket every occurrence of its contexts is here (of hot contexts: every
+    occurrence of its pairs). The sums of documents add up over the partition's
+    buckets, for at most ``most_docs`` documents at a time."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "array<long>": pa.list_(pa.int64()), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
+    types = {c.split(" ")[0]: kinds[c.split(" ")[1]] for c in FOUND.split(", ")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lower: Lower = shared.value
-        out: dict[str, list] = {c.split(" ")[0]: [] for c in FOUND.split(", ")}
-
-        def tell(**values) -> None:
-            n = len(next(iter(values.values())))
-            for name in out:
-                v = values.get(name)
-                out[name] += list(v) if v is not None else [None] * n
-
-        table = table.combine_chunks()
-        is_doc = table.column("idx").is_valid()
-        docs = table.filter(is_doc)
-        if len(docs):
-            uid = (docs.column("flush").to_numpy() << 16) + docs.column("idx").to_numpy()
-            tell(kind=[6] * len(docs), a=uid.tolist(), c=docs.column("n_tokens").to_pylist(), id=docs.column("id").to_pylist(), held=docs.column("held").to_pylist())
-        packs = table.filter(pc.invert(is_doc)).to_pylist()
+        _words.clear()  # the worker's memory is for the buckets now
+        out: list[pa.Table] = []
+        sums: dict[int, np.ndarray] = {}
+        packs: list[dict] = []
+
+        def tell(kind: int, n: int, **values) -> None:
+            columns = {"kind": pa.array(np.full(n, kind), pa.int32())} | values
+            arrays = [v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, types[c]) for c in types if (v := columns.get(c, pa.nulls(n, types[c]))) is not None]
+            out.append(pa.table(dict(zip(types, arrays))))
+
+        def solve() -> None:
+            for flush, own in _solve(packs, lower, tell).items():
+                if flush in sums:
+                    sums[flush] += own
+                else:
+                    sums[flush] = own
+            packs.clear()
+
+        def take() -> list[pa.RecordBatch]:
+            got = [b for t in out for b in t.to_batches(max_chunksize=100_000)]
+            out.clear()
+            return got
+
+        def tell_sums() -> None:
+            if sums:
+                tell(0, len(sums), a=list(sums), b=[s.shape[1] for s in sums.values()], blob=[_pack_sums(s) for s in sums.values()])
+                sums.clear()
+
+        for batch in batches:
+            is_doc = batch.column("idx").is_valid()
+            docs = batch.filter(is_doc)
+            if len(docs):
+                uid = (docs.column("flush").to_numpy() << 16) + docs.column("idx").to_numpy()
+                tell(6, len(docs), a=uid, c=docs.column("n_tokens"), id=docs.column("id"), held=docs.column("held"))
+            for p in batch.filter(pc.invert(is_doc)).to_pylist():
+                if packs and p["bucket"] != packs[0]["bucket"]:
+                    solve()
+                    yield from take()
+                    if sum(s.shape[1] for s in sums.values()) > most_docs:
+                        tell_sums()
+                packs.append(p)
+            yield from take()
         if packs:
-            _solve(packs, lower, tell)
-        kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "array<long>": pa.list_(pa.int64()), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
-        return pa.table({c.split(" ")[0]: pa.array(out[c.split(" ")[0]], kinds[c.split(" ")[1]]) for c in FOUND.split(", ")})
+            solve()
+        tell_sums()
+        yield from take()
+        del lower
+        _give_back()
 
     return run
 
 
-def _solve(packs: list[dict], lower: Lower, tell) -> None:
+def _solve(packs: list[dict], lower: Lower, tell) -> dict[int, np.ndarray]:
+    """Tells what one bucket holds; returns the sums of each window's documents."""
     hs, ws, h_at, w_at, d_at, trained = [], [], [], [], [], []
     h_base = w_base = d_base = 0
     starts = []
     for p in packs:
-        hu, hn, wu = np.frombuffer(p["hu"], "<u8"), np.frombuffer(p["hn"], "<u4"), np.frombuffer(p["wu"], "<u8")
+        hu, hn, wu = np.frombuffer(p.pop("hu"), "<u8"), np.frombuffer(p.pop("hn"), "<u4"), np.frombuffer(p.pop("wu"), "<u8")
         n = int(hn.sum())
-        d = _unpack(p["di"], n)
+        d = _unpack(p.pop("di"), n)
         hs.append(hu)
         ws.append(wu)
-        h_at.append(np.repeat(np.arange(len(hu)) + h_base, hn))
-        w_at.append(_unpack(p["wi"], n) + w_base)
-        d_at.append(d + d_base)
+        h_at.append(np.repeat(np.arange(h_base, h_base + len(hu), dtype=np.int32), hn))
+        w_at.append(_unpack(p.pop("wi"), n) + np.int32(w_base))
+        d_at.append(d + np.int32(d_base))
         trained.append(d < p["trained"])
         starts.append(d_base)
         h_base, w_base, d_base = h_base + len(hu), w_base + len(wu), d_base + p["docs"]
     h_all, h_of = np.unique(np.concatenate(hs), return_inverse=True)
     w_all, w_of = np.unique(np.concatenate(ws), return_inverse=True)
-    h, w = h_of[np.concatenate(h_at)], w_of[np.concatenate(w_at)]
-    d, t = np.concatenate(d_at), np.concatenate(trained)
-    del h_at, w_at, d_at, trained
-    pair = h * len(w_all) + w
-    order = np.argsort(pair)
-    pair, d, t = pair[order], d[order], t[order]
-    del h, w, order
+    pair = h_of[np.concatenate(h_at)]
+    pair *= len(w_all)
+    pair += w_of[np.concatenate(w_at)]
+    del hs, ws, h_at, w_at, h_of, w_of
+    order = np.argsort(pair).astype(np.int32)
+    pair, d, t = pair[order], np.concatenate(d_at)[order], np.concatenate(trained)[order]
+    del order, d_at, trained
     first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     sizes = np.diff([*first, len(pair)])
-    r = np.add.reduceat(t.astype(np.int64), first)
+    r = np.add.reduceat(t.astype(np.int32), first).astype(np.int64)
     ph, pw = pair[first] // len(w_all), pair[first] % len(w_all)
+    del pair, t
     # contexts
     is_hot = np.isin(h_all, lower.hot)
     c = np.bincount(ph, r, len(h_all)).astype(np.int64)
@@ -243,39 +304,34 @@ def _solve(packs: list[dict], lower: Lower, tell) -> None:
     w_p = lower.probability(np.maximum(w_count, 0))
     seen = r > 0
     rare = seen & (w_count[pw] < 0)
-    m = np.stack([np.bincount(ph[r == k], minlength=len(h_all)) for k in range(1, K + 1)] + [np.bincount(ph[seen], np.where(r > K, r, 0)[seen], len(h_all)).astype(np.int64)], axis=1)
+    m = np.stack([np.bincount(ph[r == k], minlength=len(h_all)) for k in range(1, K + 1)] + [np.bincount(ph, np.where(r > K, r, 0), len(h_all)).astype(np.int64)], axis=1)
     # hot contexts, and those without a discounted count, keep one count for the unseen
     reserve = is_hot | (m[:, :K].sum(axis=1) == 0)
     top = np.bincount(ph[seen & ~rare], w_p[pw[seen & ~rare]], len(h_all))
     has = np.flatnonzero(np.bincount(ph[seen], minlength=len(h_all)))
     if len(has):
-        tell(kind=[1] * len(has), a=h_all[has].view(np.int64).tolist(), b=(c[has] + reserve[has]).tolist(), c=c[has].tolist(), x=top[has].tolist(), m=m[has].tolist())
+        lists = pa.ListArray.from_arrays(np.arange(len(has) + 1, dtype=np.int32) * m.shape[1], m[has].ravel())
+        tell(1, len(has), a=h_all[has].view(np.int64), b=c[has] + reserve[has], c=c[has], x=top[has], m=lists)
     if rare.any():
-        tell(kind=[2] * int(rare.sum()), a=h_all[ph[rare]].view(np.int64).tolist(), b=w_all[pw[rare]].view(np.int64).tolist())
-    tell(kind=[5], m=[[int((r == k).sum()) for k in range(1, K + 2)] + [int(seen.sum())]])
+        tell(2, int(rare.sum()), a=h_all[ph[rare]].view(np.int64), b=w_all[pw[rare]].view(np.int64))
+    tell(5, 1, m=[[int((r == k).sum()) for k in range(1, K + 2)]])
     # occurrences
-    run = np.repeat(np.arange(len(first)), sizes)
+    run = np.repeat(np.arange(len(first), dtype=np.int32), sizes)
     ch = c[ph]
     token = h_all[ph] != START
     sums = np.zeros((len(LOG_COLUMNS), d_base))
-    per = np.where(token, np.log10(ch + 0.5), 0.0)
-    sums[0] = np.bincount(d, per[run], d_base)
+    sums[0] = np.bincount(d, np.where(token, np.log10(ch + 0.5), 0.0)[run], d_base)
     sums[2] = np.bincount(d, (token & (ch > 0))[run], d_base)
-    with np.errstate(divide="ignore"):
-        per = np.where(seen, np.log10(np.maximum(r, 1)) - np.log10(np.maximum(ch + reserve[ph], 1)), np.where(w_count[pw] >= 0, np.log10(w_p[pw]), 0.0))
+    per = np.where(seen, np.log10(np.maximum(r, 1)) - np.log10(np.maximum(ch + reserve[ph], 1)), np.where(w_count[pw] >= 0, np.log10(w_p[pw]), 0.0))
     sums[1] = np.bincount(d, per[run], d_base)
     for k in range(1, K + 1):
-        some = (r == k)[run]
-        sums[2 + k] = np.bincount(d[some], minlength=d_base)
+        sums[2 + k] = np.bincount(d[(r == k)[run]], minlength=d_base)
     uid = np.concatenate([(p["flush"] << 16) + np.arange(p["docs"]) for p in packs])
-    for p, at in zip(packs, starts):
-        tell(kind=[0], a=[p["flush"]], b=[p["docs"]], blob=[np.ascontiguousarray(sums[:, at : at + p["docs"]]).astype("<f8").tobytes()])
-    unseen = ~seen
-    for kind, which, key in ((3, unseen & (ch > 0), h_all[ph]), (4, unseen & (w_count[pw] < 0), w_all[pw])):
+    for kind, which, key in ((3, ~seen & (ch > 0), h_all[ph]), (4, ~seen & (w_count[pw] < 0), w_all[pw])):
         some = np.flatnonzero(which[run])
         if len(some):
-            keys, docs = key[run[some]], uid[d[some]]
-            tell(kind=[kind] * len(some), a=keys.view(np.int64).tolist(), b=docs.tolist())
+            tell(kind, len(some), a=key[run[some]].view(np.int64), b=uid[d[some]])
+    return {p["flush"]: sums[:, at : at + p["docs"]].copy() for p, at in zip(packs, starts)}
 
 
 class Katz:
@@ -302,7 +358,7 @@ class Katz:
     probability 1; an empty table gives no rows.
     """
 
-    def __init__(self, docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = 1 << 20, window_tokens: int = 1_500_000, bucket_tokens: int = 2_500_000):
+    def __init__(self, docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = 1 << 20, window_tokens: int = 1_500_000, bucket_tokens: int = 1_000_000):
         self.docs, self.train, self.id_col, self.text_col = docs, F.coalesce(train, F.lit(False)), id_col, text_col
         self.frequent, self.window_tokens, self.bucket_tokens = frequent, window_tokens, bucket_tokens
         self.spark = docs.sparkSession
@@ -324,7 +380,8 @@ class Katz:
         all_tokens = max(tokens, 1)
         self.buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(1.3 * all_tokens / self.bucket_tokens))
         hot = hashes[counts > all_tokens / (2 * self.buckets)]
-        hot = np.append(hot[hot != END], [np.uint64(START)] if trained > all_tokens / (2 * self.buckets) else []).astype(np.uint64)
+        start = np.array([START] if trained > all_tokens / (2 * self.buckets) else [], dtype=np.uint64)
+        hot = np.concatenate([hot[hot != END], start])
         return Lower(hashes[order], counts[order], n, types, tokens, trained, np.sort(hot))
 
     def scores(self) -> DataFrame:
@@ -333,12 +390,13 @@ class Katz:
         shared = self.spark.sparkContext.broadcast(lower)
         told = self.docs.select(F.col(self.id_col).cast("string"), ~self.train, F.col(self.text_col).cast("binary"))
         packed = told.mapInArrow(_windows(self.window_tokens, self.buckets, shared), PACKED)
-        found = packed.groupBy("bucket").applyInArrow(_bucket(shared), FOUND)
-        found = self.scratch.write(found, "found", ["kind"])
+        packed = packed.repartition("bucket").sortWithinPartitions("bucket")
+        found = self.scratch.write(packed.mapInArrow(_solve_buckets(shared), FOUND), "found", ["kind"])
+        del packed
         release_shuffles(self.spark)
         kind = lambda n: found.where(F.col("kind") == n)
 
-        types = kind(5).agg(*(F.coalesce(F.sum(F.col("m")[i]), F.lit(0)) for i in range(K + 2))).first()
+        types = kind(5).agg(*(F.coalesce(F.sum(F.col("m")[i]), F.lit(0)) for i in range(K + 1))).first()
         d = discounts([0, *map(int, types[: K + 1])])
         self.discounts = d
         # what the seen pairs of a context add up to, and the p(w) of those with rare tokens
@@ -361,14 +419,14 @@ class Katz:
         alone = alone.groupBy("uid").agg(F.sum(F.log10(lower.column(F.coalesce("c", F.lit(0))))).alias("log_rare"))
 
         def add(key: tuple, table: pa.Table) -> pa.Table:
-            total = None
+            total, docs = None, table.column("docs")[0].as_py()
             for blob in table.column("blob"):
-                part = np.frombuffer(blob.as_buffer(), "<f8").reshape(len(LOG_COLUMNS), -1)
-                total = part.copy() if total is None else total + part
+                part = _unpack_sums(blob.as_buffer(), docs)
+                total = part if total is None else total + part
             n = total.shape[1]
             return pa.table({"uid": pa.array((key[0].as_py() << 16) + np.arange(n))} | {c: pa.array(row) for c, row in zip(LOG_COLUMNS, total)})
 
-        logs = kind(0).select(F.col("a").alias("flush"), "blob").groupBy("flush").applyInArrow(add, "uid long, " + ", ".join(f"{c} double" for c in LOG_COLUMNS))
+        logs = kind(0).select(F.col("a").alias("flush"), F.col("b").cast("int").alias("docs"), "blob").groupBy("flush").applyInArrow(add, "uid long, " + ", ".join(f"{c} double" for c in LOG_COLUMNS))
         rows = kind(6).select(F.col("a").alias("uid"), "id", "held", F.col("c").alias("n_tokens"))
         rows = rows.join(logs, "uid").join(backed, "uid", "left").join(alone, "uid", "left")
         norm = math.log10(lower.tokens + 0.5 * (lower.types + 1))
