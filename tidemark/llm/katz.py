@@ -75,12 +75,17 @@ class Lower:
             left = F.when(c == r, F.lit(r * self.d[r])).otherwise(left)
         return F.when(c > 0, left / max(self.tokens, 1) * self.scale).otherwise(self.unknown)
 
-    def count(self, tokens: np.ndarray) -> np.ndarray:
-        """Training counts of frequent tokens, -1 for others."""
+    def rank(self, tokens: np.ndarray) -> np.ndarray:
+        """Places of frequent tokens, -1 for others."""
         if not len(self.hashes):
             return np.full(len(tokens), -1, dtype=np.int64)
         at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == tokens, self.counts[at], -1)
+        return np.where(self.hashes[at] == tokens, at, -1)
+
+    def count(self, tokens: np.ndarray) -> np.ndarray:
+        """Training counts of frequent tokens, -1 for others."""
+        at = self.rank(tokens)
+        return np.where(at >= 0, self.counts[at], -1) if len(self.hashes) else at
 
 
 def unigrams(docs: DataFrame, text_col: str, train: Column) -> DataFrame:
@@ -108,15 +113,24 @@ def unigrams(docs: DataFrame, text_col: str, train: Column) -> DataFrame:
 
 
 def _pack(values: np.ndarray, most: int) -> bytes:
-    return values.astype("<u2" if most <= 1 << 16 else "<u4").tobytes()
+    """Numbers below ``most``, two or four bytes each; compressed byte by byte, since the upper bytes repeat."""
+    import zstandard
+
+    width = 2 if most <= 1 << 16 else 4
+    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, dtype="<u2" if len(data) == 2 * n else "<u4").astype(np.int32)
+    import zstandard
+
+    width = data[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:], max_output_size=n * width), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int32)
 
 
 #: A row per window of documents and bucket: its contexts with run lengths, its tokens, and for each occurrence token and document.
-PACKED = "bucket int, flush long, docs int, trained int, hu binary, hn binary, wu binary, wi binary, di binary, idx int, id string, held boolean, n_tokens long"
+PACKED = "bucket int, flush long, docs int, trained int, hu binary, hn binary, wf binary, wu binary, wi binary, di binary, idx int, id string, held boolean, n_tokens long"
 #: kind 0: sums of a window's documents (blob); 1: a context; 2: a pair with a rare token; 3: unseen after a context; 4: unseen rare token; 5: counts of counts; 6: a document.
 FOUND = "kind int, a long, b long, c long, x double, m array<long>, id string, held boolean, blob binary"
 
@@ -125,7 +139,8 @@ def _windows(window_tokens: int, buckets: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words, hot = words_of_worker(), shared.value.hot
+        words, lower = words_of_worker(), shared.value
+        hot = lower.hot
         number = TaskContext.get().partitionId() << 20
         docs: list = []
         held = 0
@@ -152,11 +167,16 @@ def _windows(window_tokens: int, buckets: int, shared):
             for a, b in zip([0, *cuts], [*cuts, len(h)]):
                 first = np.flatnonzero(np.concatenate([[True], h[a + 1 : b] != h[a : b - 1]]))
                 wu, wi = np.unique(w[a:b], return_inverse=True)
-                values = (bucket[a], number, len(docs), trained, h[a:b][first].tobytes(), np.diff([*first, b - a]).astype("<u4").tobytes(), wu.tobytes(), _pack(wi, len(wu)), _pack(di[a:b], len(docs)), None, None, None, None)
+                ranks = lower.rank(wu)
+                order_w = np.argsort(ranks < 0, kind="stable")  # frequent tokens first, by rank; the others as they are
+                place_w = np.empty_like(order_w)
+                place_w[order_w] = np.arange(len(order_w))
+                wi, wu, ranks = place_w[wi], wu[order_w], ranks[order_w]
+                values = (bucket[a], number, len(docs), trained, h[a:b][first].tobytes(), np.diff([*first, b - a]).astype("<u4").tobytes(), ranks[ranks >= 0].astype("<u4").tobytes(), wu[ranks < 0].tobytes(), _pack(wi, len(wu)), _pack(di[a:b], len(docs)), None, None, None, None)
                 for name, value in zip(rows, values):
                     rows[name].append(value)
             for i, (name, is_held, own) in enumerate(docs):
-                for key, value in zip(rows, (i % buckets, number, len(docs), trained, None, None, None, None, None, i, name, is_held, len(own) + 1)):
+                for key, value in zip(rows, (i % buckets, number, len(docs), trained, None, None, None, None, None, None, i, name, is_held, len(own) + 1)):
                     rows[key].append(value)
             docs, held, number = [], 0, number + 1
             kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "boolean": pa.bool_()}
@@ -271,6 +291,7 @@ def _solve(packs: list[dict], lower: Lower, tell) -> dict[int, np.ndarray]:
     starts = []
     for p in packs:
         hu, hn, wu = np.frombuffer(p.pop("hu"), "<u8"), np.frombuffer(p.pop("hn"), "<u4"), np.frombuffer(p.pop("wu"), "<u8")
+        wu = np.concatenate([lower.hashes[np.frombuffer(p.pop("wf"), "<u4")], wu])
         n = int(hn.sum())
         d = _unpack(p.pop("di"), n)
         hs.append(hu)
