@@ -80,16 +80,17 @@ def dedup_spans(
     """
     scratch = Scratch(docs.sparkSession, "spans")
     keep = [c for c in docs.columns if c not in (text_col, "n_sentences", "n_removed")]
-    docs = placed(docs)
-    later = repeated_spans(docs, id_col, text_col, k, least_chars, bloom_blocks, scratch)
+    # own names for what is used here; the other columns pass through in one struct, whatever they are called
+    docs = placed(docs.select(F.struct(*keep).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
+    later = repeated_spans(docs, "_id", "_text", k, least_chars, bloom_blocks, scratch)
     bloom = BlockedBloom(bloom_blocks)
     filled = bloom.build(later, "place")
-    pieces = sentences(F.col(text_col))
-    count = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.filter(pieces, lambda s: F.btrim(F.regexp_replace(s, SPACE + "+", " ")) != ""))).cast("long").alias("n_sentences")
+    pieces = sentences(F.col("_text"))
+    count = F.when(F.col("_text").isNull(), 0).otherwise(F.size(F.filter(pieces, lambda s: F.btrim(F.regexp_replace(s, SPACE + "+", " ")) != ""))).cast("long").alias("n_sentences")
     rest = bloom.may_hold(docs, filled, "_place", keep=False)
-    rest = rest.select(*keep, F.col(text_col), count, F.lit(0).cast("long").alias("n_removed"))
+    rest = rest.select("_row.*", F.col("_text").alias(text_col), count, F.lit(0).cast("long").alias("n_removed"))
     touched = bloom.may_hold(docs, filled, "_place").join(later.withColumnRenamed("place", "_later"), F.col("_place") == F.col("_later"), "left")
     touched = touched.withColumn("_cut", F.when(F.col("starts").isNotNull(), _kept(pieces, F.col("starts"), k)))
-    text = F.when(F.col("_cut").isNotNull(), F.array_join("_cut.kept", "")).otherwise(F.col(text_col)).alias(text_col)
-    touched = touched.select(*keep, text, count, F.coalesce(F.col("_cut.gone"), F.lit(0)).cast("long").alias("n_removed"))
+    text = F.when(F.col("_cut").isNotNull(), F.array_join("_cut.kept", "")).otherwise(F.col("_text")).alias(text_col)
+    touched = touched.select("_row.*", text, count, F.coalesce(F.col("_cut.gone"), F.lit(0)).cast("long").alias("n_removed"))
     return touched.unionByName(rest)
