@@ -84,3 +84,14 @@ def test_of_repeated_rows_one_stays_whole(spark, clashing):
 
 def test_empty(empty):
     assert S.dedup_spans(empty).count() == 0
+
+
+def test_short_sentences_make_longer_runs(spark):
+    """A list or a verse of short lines is found, whatever its lines' length; two short sentences alone are no evidence."""
+    rnd = random.Random(4)
+    verse = "".join(prose(rnd, 2).replace(".", "").upper() + rnd.choice(["!\n", ".\n", "\n"]) for _ in range(60))
+    rows = [(1, "First text of its own kind.\n" + verse), (2, "Second text that differs here.\n" + verse + "It ends another way too."), (3, "Yes. No."), (4, "Yes. No.")]
+    out = {r.doc_id: r for r in S.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1].text == rows[0][1] and out[3].text == out[4].text == "Yes. No."
+    left = out[2].text.removeprefix("Second text that differs here.\n")
+    assert left.endswith("It ends another way too.") and len(left) < 40 + len("It ends another way too.") and out[2].n_removed > 50

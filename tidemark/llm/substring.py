@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE, BlockedBloom, Scratch, placed
+from tidemark.llm.jaccard import _ODD, mix, words_of_worker
 
 #: A sentence ends after . ! or ? and white space, or at a line's end; the separators stay with the sentence before them.
 ENDS = r"(?<=[.!?][\x20\x09-\x0D]{1,4})(?=[^\x20\x09-\x0D])|(?<=\n)"
+#: What stands between two sentences that aren't blank, for Python; and a word.
+_ENDS = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]{1,4}(?=[^\x20\x09-\x0D])|\n")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def sentences(text: Column) -> Column:
@@ -16,43 +26,90 @@ def sentences(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), ENDS)
 
 
-def told_sentences(text: Column) -> Column:
-    """(h, n): hash and length of each sentence that isn't blank. Case and white space don't matter."""
-    plain = F.transform(sentences(text), lambda s: F.lower(F.btrim(F.regexp_replace(s, SPACE + "+", " "))))
-    return F.transform(F.filter(plain, lambda s: s != ""), lambda s: F.struct(F.xxhash64(s).alias("h"), F.length(s).alias("n")))
-
-
-def span_hashes(told: str, k: int, least_chars: int) -> Column:
-    """(at, hash) of each run of k told sentences; ``told`` has to be a column, an expression would be evaluated for every run."""
-
-    def run(s: Column, i: Column) -> Column:
-        parts = [s, *(F.get(told, i + j) for j in range(1, k))]
-        size = sum((p["n"] for p in parts[1:]), parts[0]["n"])  # null beyond the end
-        return F.when(size >= least_chars, F.struct(i.alias("at"), F.xxhash64(*(p["h"] for p in parts)).alias("hash")))
-
-    return F.filter(F.transform(told, run), lambda x: x.isNotNull())
-
-
-def _kept(pieces: Column, starts: Column, k: int) -> Column:
-    """The text without the sentences in the runs that start at ``starts`` (counted without blank ones)."""
-    numbered = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("kept"), F.lit(0).alias("gone")),
-        lambda acc, s: F.when(F.btrim(F.regexp_replace(s, SPACE + "+", " ")) == "", F.struct(acc["n"], F.concat(acc["kept"], F.array(s)).alias("kept"), acc["gone"]))
-        .when(F.exists(starts, lambda a: (a <= acc["n"]) & (acc["n"] < a + k)), F.struct((acc["n"] + 1).alias("n"), acc["kept"], (acc["gone"] + 1).alias("gone")))
-        .otherwise(F.struct((acc["n"] + 1).alias("n"), F.concat(acc["kept"], F.array(s)).alias("kept"), acc["gone"])),
-    )
-    return numbered
+def sentence_words(text: str) -> list[list[bytes]]:
+    """The words of each sentence that isn't blank, in lower case."""
+    return [w for s in _ENDS.split(text.lower()) if (w := s.encode().split())]
+
+
+def sentence_runs(sizes: list[int], k: int, least_chars: int) -> Iterator[tuple[int, int]]:
+    """From each sentence on, the shortest run (first, end) of k or more that has ``least_chars`` characters."""
+    end, chars = 0, 0
+    for first, size in enumerate(sizes):
+        while end < len(sizes) and (end < first + k or chars < least_chars):
+            chars += sizes[end]
+            end += 1
+        if end < first + k or chars < least_chars:
+            return
+        yield first, end
+        chars -= size
+
+
+def spans(text: str, k: int, least_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """(span, hash) of each run: its first word << 32 | the word behind it, and the hash of its words."""
+    told = sentence_words(text)
+    starts = np.concatenate([[0], np.cumsum([len(w) for w in told])]).astype(np.int64)
+    sizes = [len(b" ".join(w).decode()) for w in told]
+    runs = list(sentence_runs(sizes, k, least_chars))
+    at = starts[np.array(runs, dtype=np.int64).reshape(-1, 2)]
+    at = at[:, 0] << 32 | at[:, 1]
+    known = words_of_worker().known
+    words = np.fromiter(map(known.__getitem__, chain.from_iterable(told)), dtype=np.uint64, count=int(starts[-1]))
+    return at, span_hashes(words, at)
+
+
+def span_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the spans of a text's words, by sums of powers of an odd number modulo 2^64, taken back to the span's start."""
+    first, end = at >> 32, at & 0xFFFFFFFF
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(len(words) + 1, _ODD[0], dtype=np.uint64))
+        back = np.cumprod(np.full(len(words) + 1, pow(int(_ODD[0]), -1, 1 << 64), dtype=np.uint64))
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(words) * power[:-1], dtype=np.uint64)])
+        return mix((sums[end] - sums[first]) * back[first] + _ODD[9] * (end - first).astype(np.uint64)).view(np.int64)
+
+
+def without(text: str | None, gone: list[int] | None) -> dict | None:
+    """The text without the spans ``gone``, each word with the white space after it; and how many sentences lost words."""
+    if text is None or gone is None:
+        return None
+    at = [m.span() for m in _WORD.finditer(text)]
+    cut = np.zeros(len(at), dtype=bool)
+    for s in gone:
+        cut[s >> 32 : s & 0xFFFFFFFF] = True
+    kept, done, sentence, lost = [], 0, 0, set()
+    for i, (low, high) in enumerate(at):
+        before = text[at[i - 1][1] if i else 0 : low]
+        ended = i > 0 and len(before) <= 4 and text[at[i - 1][1] - 1] in ".!?"
+        sentence += ended or (i > 0 and "\n" in before)
+        if cut[i]:
+            lost.add(sentence)
+            if not ended and (i == 0 or "\n" in before):  # a line's indent is the sentence's, blank lines are nobody's
+                low -= len(before) - before.rfind("\n") - 1
+            kept.append(text[done:low])
+            after = at[i + 1][0] if i + 1 < len(at) else len(text)
+            line = text.find("\n", high, after)
+            done = after if line < 0 else line + 1
+    return {"kept": "".join([*kept, text[done:]]), "gone": len(lost)}
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str, k: int, least_chars: int, bloom_blocks: int, scratch: Scratch) -> DataFrame:
-    """(place, starts): per row of ``docs`` (with _place) the starts of its runs that stand earlier too, in another row or its own."""
-    told = docs.select(F.col("_place").alias("place"), F.col(id_col).alias("id"), F.explode(F.array(told_sentences(F.col(text_col)))).alias("told"))
-    told = scratch.write(told.select("place", "id", span_hashes("told", k, least_chars).alias("spans")), "spans")
-    spans = told.select("place", "id", F.explode("spans").alias("s")).select("place", "id", "s.at", "s.hash")
-    twice = scratch.write(spans.groupBy("hash").count().where("count > 1").select("hash"), "repeated")
+    """(place, starts): per row of ``docs`` (with _place) its runs (as in ``spans``) that stand earlier too, in another row or its own."""
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, len(batch), 1000):
+                some = batch.slice(first, 1000)
+                found = [spans(t or "", k, least_chars) for t in some.column(2).to_pylist()]
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(a) for a, _ in found])]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([f[c] for f in found]))) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *lists], ["place", "id", "at", "hash"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col("_place").alias("place"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = scratch.write(rows.mapInArrow(told, f"place string, id {kind}, at array<long>, hash array<long>"), "spans")
+    runs = rows.select("place", "id", F.explode(F.arrays_zip("at", "hash")).alias("s")).select("place", "id", "s.at", "s.hash")
+    twice = scratch.write(runs.groupBy("hash").count().where("count > 1").select("hash"), "repeated")
     bloom = BlockedBloom(bloom_blocks)
-    hits = bloom.may_hold(spans, bloom.build(twice, "hash"), "hash").join(twice, "hash", "left_semi")
+    hits = bloom.may_hold(runs, bloom.build(twice, "hash"), "hash").join(twice, "hash", "left_semi")
     order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("place"), F.col("at"))
     first = hits.groupBy("hash").agg(F.min(order).alias("first"))
     later = hits.join(first, "hash").where(order != F.col("first"))
@@ -65,12 +122,12 @@ def dedup_spans(
 ) -> DataFrame:
     """docs with ``text_col`` freed of repeated sentences, and n_sentences and n_removed (long) added (or replaced).
 
-    Every run of k consecutive sentences (blank ones not counted) is hashed; all
+    From each sentence on (blank ones not counted), k consecutive sentences are
+    a run, or as many more as it takes to have ``least_chars`` characters: two
+    one-word sentences recur by chance, a list or a verse doesn't. All runs'
     hashes meet in one join. The first place of a run (smallest id, null ids
     last, then file and row, then position) stays; sentences covered by a run at
-    any other place go, with the white space after them. Runs of fewer than
-    ``least_chars`` characters are no evidence: two one-word sentences recur by
-    chance. Counts combine before the shuffle and the join behind them can be
+    any other place go, with the white space after them. Counts combine before the shuffle and the join behind them can be
     split, so a run that a third of all rows hold is no hot spot; rows without
     repeats are not shuffled.
 
@@ -90,7 +147,7 @@ def dedup_spans(
     rest = bloom.may_hold(docs, filled, "_place", keep=False)
     rest = rest.select("_row.*", F.col("_text").alias(text_col), count, F.lit(0).cast("long").alias("n_removed"))
     touched = bloom.may_hold(docs, filled, "_place").join(later.withColumnRenamed("place", "_later"), F.col("_place") == F.col("_later"), "left")
-    touched = touched.withColumn("_cut", F.when(F.col("starts").isNotNull(), _kept(pieces, F.col("starts"), k)))
-    text = F.when(F.col("_cut").isNotNull(), F.array_join("_cut.kept", "")).otherwise(F.col("_text")).alias(text_col)
+    touched = touched.withColumn("_cut", F.udf(without, "kept string, gone long", useArrow=True)("_text", "starts"))
+    text = F.when(F.col("_cut").isNotNull(), F.col("_cut.kept")).otherwise(F.col("_text")).alias(text_col)
     touched = touched.select("_row.*", text, count, F.coalesce(F.col("_cut.gone"), F.lit(0)).cast("long").alias("n_removed"))
     return touched.unionByName(rest)
