@@ -95,3 +95,31 @@ def test_short_sentences_make_longer_runs(spark):
     assert out[1].text == rows[0][1] and out[3].text == out[4].text == "Yes. No."
     left = out[2].text.removeprefix("Second text that differs here.\n")
     assert left.endswith("It ends another way too.") and len(left) < 40 + len("It ends another way too.") and out[2].n_removed > 50
+
+
+def test_every_repeated_stretch_of_50_words_is_cut(spark):
+    """Stretches without a whole sentence, glued to their hosts at both ends: none is left."""
+    rnd = random.Random(6)
+    many = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(40):
+        words = [rnd.choice(many) for _ in range(50)]
+        for j in rnd.sample(range(50), i % 3):
+            words[j] += rnd.choice([".", "!\n"])
+        for _ in range(2):
+            rows.append((len(rows), f"{prose(rnd, rnd.randrange(30), many)} own{len(rows)} {' '.join(words)} end{len(rows)} {prose(rnd, rnd.randrange(30), many)}"))
+    out = {r.doc_id: r for r in S.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        if i % 2 == 0:
+            assert out[i].text == text and out[i].n_removed == 0
+        else:
+            left = out[i].text.split()
+            assert out[i].n_removed > 0 and f"own{i}" in left and f"end{i}" in left
+            assert len(text.split()) - len(left) >= 34 and left[: left.index(f"own{i}")] == text.split()[: left.index(f"own{i}")]
+
+
+def test_cut_words_are_those_of_the_spans():
+    text = "  One two.\n\n  Three four five. Six\n"
+    assert S.without(text, [1 << 32 | 3], 1) == {"kept": "  One \n  four five. Six\n", "gone": 2}
+    assert S.without(text, [1 << 32 | 3], 3) == {"kept": text, "gone": 0}
+    assert S.without(text, [0 << 32 | 2, 5 << 32 | 6], 1) == {"kept": "\n  Three four five. ", "gone": 2}

@@ -20,6 +20,10 @@ ENDS = r"(?<=[.!?][\x20\x09-\x0D]{1,4})(?=[^\x20\x09-\x0D])|(?<=\n)"
 _ENDS = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]{1,4}(?=[^\x20\x09-\x0D])|\n")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
+#: Pieces have up to WINDOW words, their runs RUN to RUN + WINDOW - 1. Of a repeated stretch at most WINDOW - 1 words at
+#: either end lie outside the pieces that all its places share, so one of 50 words holds a whole run: 2 * 5 + 34 + 5 < 50.
+WINDOW, RUN = 6, 34
+
 
 def sentences(text: Column) -> Column:
     """The pieces of the text; joined, they are the text."""
@@ -44,16 +48,37 @@ def sentence_runs(sizes: list[int], k: int, least_chars: int) -> Iterator[tuple[
         chars -= size
 
 
+def piece_starts(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The first words of a text's pieces, and its end: each sentence is split before the least hash of every WINDOW consecutive words in it.
+
+    Between the first and the last window that lie in a repeated stretch the
+    splits are the same wherever it stands, whatever its sentences are glued to.
+    A piece has at most WINDOW words.
+    """
+    if len(words) < WINDOW:
+        return starts
+    sentence = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    least = np.lib.stride_tricks.sliding_window_view(words, WINDOW).argmin(axis=1) + np.arange(len(words) - WINDOW + 1)
+    return np.union1d(starts, least[sentence[: len(least)] == sentence[WINDOW - 1 :]])
+
+
+def piece_runs(starts: np.ndarray) -> np.ndarray:
+    """From each piece on, the shortest run (first word << 32 | end) of ``RUN`` words or more."""
+    end = np.searchsorted(starts, starts + RUN)
+    fits = end < len(starts)
+    return starts[fits] << 32 | starts[end[fits]]
+
+
 def spans(text: str, k: int, least_chars: int) -> tuple[np.ndarray, np.ndarray]:
-    """(span, hash) of each run: its first word << 32 | the word behind it, and the hash of its words."""
+    """(span, hash) of each run of sentences or pieces: its first word << 32 | the word behind it, and the hash of its words."""
     told = sentence_words(text)
     starts = np.concatenate([[0], np.cumsum([len(w) for w in told])]).astype(np.int64)
     sizes = [len(b" ".join(w).decode()) for w in told]
     runs = list(sentence_runs(sizes, k, least_chars))
     at = starts[np.array(runs, dtype=np.int64).reshape(-1, 2)]
-    at = at[:, 0] << 32 | at[:, 1]
     known = words_of_worker().known
     words = np.fromiter(map(known.__getitem__, chain.from_iterable(told)), dtype=np.uint64, count=int(starts[-1]))
+    at = np.union1d(at[:, 0] << 32 | at[:, 1], piece_runs(piece_starts(mix(words), starts)))
     return at, span_hashes(words, at)
 
 
@@ -67,21 +92,36 @@ def span_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
         return mix((sums[end] - sums[first]) * back[first] + _ODD[9] * (end - first).astype(np.uint64)).view(np.int64)
 
 
-def without(text: str | None, gone: list[int] | None) -> dict | None:
-    """The text without the spans ``gone``, each word with the white space after it; and how many sentences lost words."""
+def without(text: str | None, gone: list[int] | None, least: int = RUN) -> dict | None:
+    """The text without the spans ``gone``, each word with the white space after it; and how many sentences lost words.
+
+    Spans of whole sentences go first; of the other spans' words, then, stretches of ``least`` or more.
+    """
     if text is None or gone is None:
         return None
     at = [m.span() for m in _WORD.finditer(text)]
-    cut = np.zeros(len(at), dtype=bool)
+    opens = np.ones(len(at) + 1, dtype=bool)
+    for i in range(1, len(at)):
+        before = text[at[i - 1][1] : at[i][0]]
+        opens[i] = "\n" in before or (len(before) <= 4 and text[at[i - 1][1] - 1] in ".!?")
+    cut, part = np.zeros(len(at), dtype=bool), np.zeros(len(at) + 2, dtype=np.int8)
     for s in gone:
-        cut[s >> 32 : s & 0xFFFFFFFF] = True
+        first, end = s >> 32, s & 0xFFFFFFFF
+        if opens[first] and opens[end]:
+            cut[first:end] = True
+        else:
+            part[first + 1 : end + 1] = 1
+    part[1:-1] &= ~cut
+    turns = np.flatnonzero(np.diff(part))
+    for first, end in zip(turns[::2], turns[1::2]):
+        cut[first:end] |= end - first >= least
     kept, done, sentence, lost = [], 0, 0, set()
     for i, (low, high) in enumerate(at):
-        before = text[at[i - 1][1] if i else 0 : low]
-        ended = i > 0 and len(before) <= 4 and text[at[i - 1][1] - 1] in ".!?"
-        sentence += ended or (i > 0 and "\n" in before)
+        sentence += bool(opens[i])
         if cut[i]:
             lost.add(sentence)
+            before = text[at[i - 1][1] if i else 0 : low]
+            ended = i > 0 and len(before) <= 4 and text[at[i - 1][1] - 1] in ".!?"
             if not ended and (i == 0 or "\n" in before):  # a line's indent is the sentence's, blank lines are nobody's
                 low -= len(before) - before.rfind("\n") - 1
             kept.append(text[done:low])
@@ -124,10 +164,14 @@ def dedup_spans(
 
     From each sentence on (blank ones not counted), k consecutive sentences are
     a run, or as many more as it takes to have ``least_chars`` characters: two
-    one-word sentences recur by chance, a list or a verse doesn't. All runs'
-    hashes meet in one join. The first place of a run (smallest id, null ids
-    last, then file and row, then position) stays; sentences covered by a run at
-    any other place go, with the white space after them. Counts combine before the shuffle and the join behind them can be
+    one-word sentences recur by chance, a list or a verse doesn't. So are, from
+    each piece on (parts of sentences, see ``piece_starts``), as many pieces as it
+    takes to have ``RUN`` words: every stretch of 50 words that recurs holds such
+    a run, wherever its sentences end. All runs' hashes meet in one join. The first place of a run (smallest id, null ids
+    last, then file and row, then position) stays; what a run covers at any other
+    place goes, with the white space after it: whole sentences, and parts of
+    others where ``RUN`` or more words together are left to cut. A sentence that loses some of its
+    words counts as removed too. Counts combine before the shuffle and the join behind them can be
     split, so a run that a third of all rows hold is no hot spot; rows without
     repeats are not shuffled.
 
