@@ -116,3 +116,24 @@ def test_components(spark):
     for a, b in links:
         root[max(find(a), find(b))] = min(find(a), find(b))
     assert got == {x: find(x) for a, b in links if a != b for x in (a, b)}
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_links_against_brute_force(spark, odd_docs, monkeypatch, block):
+    """Groups of one-word edits, of which each is similar to most others, and chains; in one block and in several."""
+    monkeypatch.setattr(jaccard.JaccardJoin, "BLOCK", block)
+    rnd = random.Random(8)
+    many = [f"w{i}" for i in range(500)]
+    rows = [(r[0], r[1]) for r in odd_docs if len(r[1] or "") < 20_000]
+    for size, copies in ((60, 30), (100, 20), (40, 2), (80, 3)):
+        base = prose(rnd, size, many)
+        rows += [(1000 + len(rows) + i, varied(rnd, base, 1)) for i in range(copies)]
+    words = [rnd.choice(many) for _ in range(300)]
+    rows += [(5000 + i, " ".join(words[3 * i : 3 * i + 100])) for i in range(40)]
+    sets = [shingles(r[1]) for r in rows]
+    different = set(filter(None, sets))
+    links = {s: sum(100 * len(s & o) >= 80 * len(s | o) for o in different) - 1 for s in different}
+    join = jaccard.JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string"))
+    told = sorted(((r.doc_id, r.n_links) for r in join.result().collect()), key=repr)
+    assert told == sorted(((r[0], links.get(s, 0)) for r, s in zip(rows, sets)), key=repr)
+    assert 2 * len({(r.a, r.b) for r in join.links()[1].collect()}) == sum(links.values()) == 2 * join.links()[1].count()

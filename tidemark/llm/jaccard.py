@@ -167,6 +167,24 @@ def _count(docs: DataFrame, text_col: str, k: int, scratch: Scratch) -> np.ndarr
     return total.ravel()
 
 
+def similar_pairs(owns: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Whether each of the sets ``left`` is similar to each of ``right``: their overlaps are products of the sets' 0-1 matrix, 2048 shingles at a time."""
+    sizes = np.array([len(o) for o in owns], dtype=np.int64)
+    _, shingle, counts = np.unique(np.concatenate(owns), return_inverse=True, return_counts=True)
+    often = counts > 1
+    keep = often[shingle]
+    column, owner = (np.cumsum(often) - 1)[shingle[keep]], np.repeat(np.arange(len(owns)), sizes)[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(left), len(right)), dtype=np.int64)
+    for first in range(0, int(often.sum()), 2048):
+        a, b = np.searchsorted(column, (first, first + 2048))
+        some = np.zeros((len(owns), 2048), dtype=np.float32)
+        some[owner[a:b], column[a:b] - first] = 1
+        both += (some[left] @ some[right].T).astype(np.int64)
+    return 100 * both >= percent * (sizes[left][:, None] + sizes[right][None, :] - both)
+
+
 class JaccardJoin:
     """Documents whose sets of k-word shingles are similar: 100 * |a and b| >= percent * |a or b|.
 
@@ -175,12 +193,18 @@ class JaccardJoin:
     first all compare with the most typical class only, the one whose shingles
     are the most frequent on average (of near copies the least changed one). What these links did
     not connect compares across the components so far, so a link that joins two
-    components is never missed, and groups of near copies make few pairs.
+    components is never missed, and groups of near copies make few pairs. All
+    links lie inside the components that this gives: there all classes are then
+    compared with each other, a block of them with a block at a time, so that no
+    row is made for a pair.
 
     Null and empty texts have no shingles and no links. Repeated rows and null ids
     are rows like others; a component's id is its smallest id that isn't null.
     """
 
+    #: A block of a component has about so many classes and shingles at most.
+    BLOCK, BLOCK_SHINGLES = 512, 2_000_000
+
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80):
         self.id_col, self.text_col, self.k, self.percent = id_col, text_col, k, percent
         self.scratch = Scratch(docs.sparkSession, "jaccard")
@@ -259,15 +283,12 @@ class JaccardJoin:
         spread = rows.repartition("key").sortWithinPartitions("key", "uid")
         return self.scratch.write(spread.mapInArrow(shared, rows.schema), "lists")
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-        """Those of the pairs (a, b) whose full sets are similar."""
-        pairs = self.scratch.write(pairs, f"{name}_pairs")
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-        nodes = self.scratch.write(nodes.join(sets.select("uid", "place"), "uid"), f"{name}_nodes")
+    def _full(self, nodes: DataFrame, name: str) -> DataFrame:
+        """(uid, own): the full sets of the rows ``nodes`` (uid, place), a written table ``name``."""
         bloom = BlockedBloom()
         texts = bloom.may_hold(self.docs, bloom.build(nodes, "place"), "_place")
-        texts = texts.select(F.col("_place").alias("place"), F.col(self.text_col).cast("binary").alias("text")).join(self.scratch.sent(nodes, f"{name}_nodes"), "place").select("uid", "text")
-        k, percent = self.k, self.percent
+        texts = texts.select(F.col("_place").alias("place"), F.col(self.text_col).cast("binary").alias("text")).join(self.scratch.sent(nodes, name), "place").select("uid", "text")
+        k = self.k
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = words_of_worker()
@@ -275,7 +296,15 @@ class JaccardJoin:
                 own = [shingles(words(t), k).tobytes() for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["uid", "own"])
 
-        full = self.scratch.write(texts.mapInArrow(whole, "uid long, own binary"), f"{name}_full")
+        return texts.mapInArrow(whole, "uid long, own binary")
+
+    def _verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs (a, b) whose full sets are similar."""
+        pairs = self.scratch.write(pairs, f"{name}_pairs")
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+        nodes = self.scratch.write(nodes.join(sets.select("uid", "place"), "uid"), f"{name}_nodes")
+        full = self.scratch.write(self._full(nodes, f"{name}_nodes"), f"{name}_full")
+        percent = self.percent
         side = lambda c: full.select(F.col("uid").alias(c), F.col("own").alias(f"own_{c}"))
 
         def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +324,44 @@ class JaccardJoin:
         self.scratch.drop(f"{name}_full", f"{name}_nodes")
         return links
 
+    def _compared(self, sets: DataFrame, roots: DataFrame, counted: bool) -> DataFrame:
+        """All links of the components of three classes or more: (a, b), or counted, (uid, n_links) by parts that add up."""
+        sized = roots.groupBy("root").agg(F.count(F.lit(1)).alias("classes")).where("classes > 2").select("root")
+        name = "counted" if counted else "paired"
+        nodes = self.scratch.write(roots.join(sized, "root").withColumnRenamed("node", "uid").join(sets.select("uid", "place", "n"), "uid"), f"{name}_nodes")
+        full = self.scratch.write(self._full(nodes.select("uid", "place"), f"{name}_nodes"), f"{name}_full")
+        parts = nodes.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / self.BLOCK, F.sum("n") / self.BLOCK_SHINGLES)).cast("long").alias("parts"))
+        dealt = nodes.join(parts, "root").select("uid", "root", F.pmod(F.xxhash64("uid"), F.col("parts")).alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
+        met = dealt.join(full, "uid").select("root", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "uid", "part", "own")
+        percent = self.percent
+
+        def compare(rows: pa.Table) -> pa.Table:
+            uid, part = rows["uid"].to_numpy(), rows["part"].to_numpy()
+            owns = [np.frombuffer(o, dtype=np.uint64) for o in rows["own"].to_pylist()]
+            i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+            left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+            hit = similar_pairs(owns, left, right, percent)
+            if i == j:
+                hit = np.triu(hit, 1)
+            if counted:
+                found = np.zeros(len(uid), dtype=np.int64)
+                found[left] += hit.sum(axis=1)
+                found[right] += hit.sum(axis=0)
+                return pa.table({"uid": uid, "n_links": found})
+            x, y = np.nonzero(hit)
+            x, y = uid[left[x]], uid[right[y]]
+            return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+        return met.groupBy("root", "i", "j").applyInArrow(compare, "uid long, n_links long" if counted else "a long, b long")
+
     def links(self) -> tuple[DataFrame, DataFrame]:
+        """(sets, links): the rows with their sets' digests; all links between classes (a, b: uids)."""
+        sets, links = self._connecting()
+        roots = self.scratch.write(components(links, self.scratch, "all"), "roots")
+        pair = roots.groupBy("root").agg(F.count(F.lit(1)).alias("classes"), F.min("node").alias("a"), F.max("node").alias("b")).where("classes = 2").select("a", "b")
+        return sets, self._compared(sets, roots, False).unionByName(pair)
+
+    def _connecting(self) -> tuple[DataFrame, DataFrame]:
         """(sets, links): the rows with their sets' digests; verified links between classes (a, b: uids) that connect what is connected."""
         sets = self._members()
         lists = self._lists(sets)
@@ -325,11 +391,19 @@ class JaccardJoin:
         second = self._verified(across, sets, "across")
         return sets, first.unionByName(second)
 
-    def result(self) -> DataFrame:
-        """A row per row of docs: place, id, n_shingles, component_id, n_links (of the row's class)."""
-        sets, links = self.links()
+    def _degrees(self, sets: DataFrame, roots: DataFrame) -> DataFrame:
+        """(uid, n_links) of the classes in components; of two classes alone each has one link."""
+        pair = roots.groupBy("root").agg(F.count(F.lit(1)).alias("classes"), F.min("node").alias("a"), F.max("node").alias("b")).where("classes = 2")
+        pair = pair.select(F.explode(F.array("a", "b")).alias("uid"), F.lit(1).cast("long").alias("n_links"))
+        return self._compared(sets, roots, True).unionByName(pair).groupBy("uid").agg(F.sum("n_links").alias("n_links"))
+
+    def result(self, counted: bool = True) -> DataFrame:
+        """A row per row of docs: place, id, n_shingles, component_id, n_links: to how many other classes the row's class is similar (null unless counted)."""
+        sets, links = self._connecting()
         roots = self.scratch.write(components(links, self.scratch, "all"), "roots")
-        degree = links.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count(F.lit(1)).alias("n_links"))
+        degree = roots.select(F.col("node").alias("uid"), F.lit(None).cast("long").alias("n_links"))
+        if counted:
+            degree = self._degrees(sets, roots)
         filled = sets.where("n > 0")
         classes = filled.groupBy("digest").agg(F.min("uid").alias("class"), F.min("id").alias("least"))
         rooted = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
@@ -344,7 +418,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of docs of which each component keeps one: that of the smallest id (null ids last), then of the first place."""
     docs = placed(docs)
     join = JaccardJoin(docs.drop("_place"), id_col, text_col)
-    rows = join.result().where("n_shingles > 0")
+    rows = join.result(counted=False).where("n_shingles > 0")
     order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col), F.col("place"))
     stays = rows.groupBy("component_id").agg(F.min(order).alias("best"))
     out = rows.where(F.col("component_id").isNotNull()).join(stays, "component_id").where(order != F.col("best")).select(F.col("place").alias("_out"))
