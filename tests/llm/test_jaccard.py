@@ -98,6 +98,14 @@ def test_one_of_each_keeps_the_smallest_id(clashing, odd_docs):
     assert 1 in ids and not {2, 3, 4} & set(ids) and {5, 6, 7, 50, 52} <= set(ids) and ids.count(10) == 1
 
 
+def test_one_of_each_of_rows_without_ids(spark):
+    rnd = random.Random(2)
+    base, other = (prose(rnd, 60, [f"w{i}" for i in range(400)]) for _ in range(2))
+    texts = [base, base.replace(" ", "  "), base + " more", base + " less", other]
+    out = jaccard.one_of_each(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect()
+    assert len(out) == 2 and other in {r.text for r in out}
+
+
 def test_empty(empty):
     assert jaccard.JaccardJoin(empty).result().count() == 0 and jaccard.one_of_each(empty).count() == 0
 

@@ -399,6 +399,10 @@ class JaccardJoin:
 
     def result(self, counted: bool = True) -> DataFrame:
         """A row per row of docs: place, id, n_shingles, component_id, n_links: to how many other classes the row's class is similar (null unless counted)."""
+        return self._grouped(counted).drop("root")
+
+    def _grouped(self, counted: bool) -> DataFrame:
+        """The result with the root (a uid) of the row's component; null for rows without shingles."""
         sets, links = self._connecting()
         roots = self.scratch.write(components(links, self.scratch, "all"), "roots")
         degree = roots.select(F.col("node").alias("uid"), F.lit(None).cast("long").alias("n_links"))
@@ -408,19 +412,19 @@ class JaccardJoin:
         classes = filled.groupBy("digest").agg(F.min("uid").alias("class"), F.min("id").alias("least"))
         rooted = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
         whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-        told = rooted.join(whole, "root").join(degree.withColumnRenamed("uid", "class"), "class", "left").select("digest", "component_id", "n_links")
-        some = filled.join(told, "digest").select("place", "id", "n", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-        none = sets.where("n = 0").select("place", "id", "n", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-        return some.unionByName(none).select("place", F.col("id").alias(self.id_col), F.col("n").alias("n_shingles"), "component_id", "n_links")
+        told = rooted.join(whole, "root").join(degree.withColumnRenamed("uid", "class"), "class", "left").select("digest", "root", "component_id", "n_links")
+        some = filled.join(told, "digest").select("place", "id", "n", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        none = sets.where("n = 0").select("place", "id", "n", F.lit(None).cast("long").alias("root"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+        return some.unionByName(none).select("place", F.col("id").alias(self.id_col), F.col("n").alias("n_shingles"), "root", "component_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs of which each component keeps one: that of the smallest id (null ids last), then of the first place."""
     docs = placed(docs)
     join = JaccardJoin(docs.drop("_place"), id_col, text_col)
-    rows = join.result(counted=False).where("n_shingles > 0")
+    rows = join._grouped(counted=False).where("n_shingles > 0")
     order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col), F.col("place"))
-    stays = rows.groupBy("component_id").agg(F.min(order).alias("best"))
-    out = rows.where(F.col("component_id").isNotNull()).join(stays, "component_id").where(order != F.col("best")).select(F.col("place").alias("_out"))
+    stays = rows.groupBy("root").agg(F.min(order).alias("best"))
+    out = rows.join(stays, "root").where(order != F.col("best")).select(F.col("place").alias("_out"))
     out = join.scratch.sent(join.scratch.write(out, "out"), "out")
     return docs.join(out, F.col("_place") == F.col("_out"), "left_anti").drop("_place")
