@@ -6,7 +6,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +19,18 @@ SPACE = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_own_dirs: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset (tests), a local one of this process."""
     where = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        atexit.register(shutil.rmtree, where.removeprefix("file://"), ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    if where:
+        return where.rstrip("/")
+    if not _own_dirs:
+        _own_dirs.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
+        atexit.register(shutil.rmtree, _own_dirs[0].removeprefix("file://"), ignore_errors=True)
+    return _own_dirs[0]
 
 
 class Scratch:
@@ -61,27 +68,55 @@ class Scratch:
     def read(self, df: DataFrame, name: str) -> DataFrame:
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
-    def bytes(self, name: str) -> int:
-        """What a written table takes on disk."""
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-
     def sent(self, df: DataFrame, name: str, most: int = 8 << 20) -> DataFrame:
-        """A written table, marked for a broadcast if it takes no more than ``most`` bytes; larger ones are left to the planner's shuffle."""
-        return F.broadcast(df) if self.bytes(name) <= most else df
+        """A written table, marked for a broadcast if its values take no more than ``most`` bytes in memory; larger ones are left to the planner's shuffle."""
+        taken = F.lit(16)
+        for c, kind in df.dtypes:
+            if kind in ("string", "binary"):
+                taken = taken + 8 + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+            else:  # of other types by their text, which is no shorter
+                taken = taken + (8 if "<" not in kind else 8 + 8 * F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))))
+        return F.broadcast(df) if (df.agg(F.sum(taken.cast("long"))).first()[0] or 0) <= most else df
 
     def drop(self, *names: str) -> None:
         for name in names:
             self._remove(f"{self.path}/{name}")
 
 
-def placed(docs: DataFrame, name: str = "_place") -> DataFrame:
-    """docs with a column that names each row's place: file and row. Rows that don't come from files are written first."""
+def place() -> Column:
+    """A row's place: the hash of its file's path, and the row in it."""
+    return F.concat_ws("#", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index").cast("string"))
+
+
+def from_files(docs: DataFrame) -> DataFrame:
+    """docs, written first if its rows don't come from files."""
     try:
         docs.select("_metadata.row_index")
     except AnalysisException:
-        docs = Scratch(docs.sparkSession, "rows").write(docs, "docs")
-    return docs.select("*", F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias(name))
+        return Scratch(docs.sparkSession, "rows").write(docs, "docs")
+    return docs
+
+
+def placed(docs: DataFrame, name: str = "_place") -> DataFrame:
+    """docs with a column that names each row's place."""
+    return from_files(docs).select("*", place().alias(name))
+
+
+#: A key is hot if it has more than one in so many rows: so many keys are hot at most.
+HOT_SHARE = 4096
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """rows joined to the one row that ``groups`` (a written table) has for each ``key``; ``size`` there says how many rows share the key.
+
+    Hot keys, fewer than HOT_SHARE of them whatever the input, are broadcast, so their
+    rows stay where they are; the rows of all others meet their group in a shuffle.
+    """
+    least = (groups.agg(F.sum(size)).first()[0] or 0) // HOT_SHARE
+    hot = groups.where(F.col(size) > least)
+    name = "_hot_" + key
+    cold = rows.join(F.broadcast(hot.select(F.col(key).alias(name))), F.col(key) == F.col(name), "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(cold.join(groups.where(F.col(size) <= least).hint("merge"), key))
 
 
 def word_count(text: Column) -> Column:
@@ -101,6 +136,73 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: Odd multipliers of the words of a shingle or a span, and of the finishing mix.
+ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165], dtype=np.uint64)
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * ODD[1]
+    h = (h ^ (h >> np.uint64(29))) * ODD[2]
+    return h ^ (h >> np.uint64(32))
+
+
+class Words:
+    """64-bit hashes of words (bytes), remembered up to ``most`` at a time."""
+
+    def __init__(self, most: int = 150_000):
+        import xxhash
+
+        digest = xxhash.xxh3_64_intdigest
+
+        class Known(dict):
+            def __missing__(self, word: bytes) -> int:
+                h = digest(word)
+                if len(word) < 64:
+                    if len(self) >= most:
+                        self.clear()
+                    self[word] = h
+                return h
+
+        self.known = Known()
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        words = text.lower().split()  # of bytes: A-Z only, ASCII white space only
+        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+_held: dict[str, Any] = {}
+
+
+def own_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task, one thing at a time: another name lets go of the one before."""
+    if name not in _held:
+        let_go()
+        _held[name] = make()
+    return _held[name]
+
+
+def words_of_worker() -> Words:
+    return own_worker("words", Words)
+
+
+def let_go() -> None:
+    _held.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: an idle Python worker would keep it while others need it."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 class BlockedBloom:
     """A register-blocked Bloom filter built and probed with SQL functions.
 

@@ -12,8 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, release_shuffles
-from tidemark.llm.jaccard import _ODD, _words, mix, words_of_worker
+from tidemark.llm.common import ODD, Scratch, give_back, let_go, mix, release_shuffles, words_of_worker
 
 #: Contexts and tokens are 64-bit word hashes; these two stand for a text's start (a context only) and end (a token only).
 START, END = 1, 2
@@ -157,7 +156,7 @@ def _windows(window_tokens: int, buckets: int, shared):
                 h[end - n + 1 : end] = own
             di = np.repeat(np.arange(len(docs)), lengths)
             with np.errstate(over="ignore"):
-                spread = np.where(np.isin(h, hot), mix(h * _ODD[3] + w * _ODD[4]), mix(h)) if len(hot) else mix(h)
+                spread = np.where(np.isin(h, hot), mix(h * ODD[3] + w * ODD[4]), mix(h)) if len(hot) else mix(h)
             bucket = (spread % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((h, bucket))
             bucket, h, w, di = bucket[order], h[order], w[order], di[order]
@@ -193,24 +192,12 @@ def _windows(window_tokens: int, buckets: int, shared):
                     yield from out()
         if docs:
             yield from out()
-        _words.clear()
         del words
-        _give_back()
+        let_go()
 
     return run
 
 
-def _give_back() -> None:
-    """Returns freed memory to the system: an idle Python worker would keep it while others need it."""
-    import ctypes
-
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except OSError:  # another C library
-        pass
-
-
 def _pack_sums(sums: np.ndarray) -> bytes:
     """Two rows of logarithms and the rows of counts."""
     return sums[:2].astype("<f8").tobytes() + sums[2:].astype("<u4").tobytes()
@@ -232,7 +219,7 @@ def _solve_buckets(shared, most_docs: int = 1 << 20):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lower: Lower = shared.value
-        _words.clear()  # the worker's memory is for the buckets now
+        let_go()  # the worker's memory is for the buckets now
         out: list[pa.Table] = []
         sums: dict[int, np.ndarray] = {}
         packs: list[dict] = []
@@ -279,7 +266,7 @@ def _solve_buckets(shared, most_docs: int = 1 << 20):
         tell_sums()
         yield from take()
         del lower
-        _give_back()
+        give_back()
 
     return run
 

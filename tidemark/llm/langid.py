@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidemark.llm.common import Scratch, give_back, own_worker
 from tidemark.llm.packing import vocabulary
 
 UNDETERMINED = "und"
@@ -19,40 +21,49 @@ MARK = "▁"  # stands before each word in the vocabulary
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 _SHIFT = np.uint64(44)
-#: Forward values are multiplied by this for each character, so that words of up to SHORT characters stay within a double.
+#: Forward values are multiplied by this for each character, so that segments of up to SHORT characters stay within a double.
 _SCALE, SHORT = 1e4, 60
+#: Characters of the words that are looked at together, and segments of one size.
+CHUNK, GROUP = 100_000, 10_000
 LETTER = re.compile(r"[^\W\d_]")
 EDGES = ".,;:!?()[]{}\"'|"
 
 
 class Pieces:
-    """Finds the pieces of a fixed vocabulary in matrices of code points, by rolling hashes."""
+    """Finds the pieces of a fixed vocabulary in code points, by polynomial hashes."""
 
-    def __init__(self, path: str):
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        own = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
+    def __init__(self, own: list[str]):
         #: Row 0 of the probabilities is "no piece", row 1 a character that is no piece.
         self.names = ["", "", *own]
-        self.longest = max(map(len, own))
-        self.power = np.ones(self.longest + 1, dtype=np.uint64)
+        self.longest = max(map(len, own), default=1)
+        self.keys = np.zeros(len(self.names), dtype=np.uint64)
+        by_size: dict[int, list[int]] = {}
+        for i, name in enumerate(own, 2):
+            by_size.setdefault(len(name), []).append(i)
         with np.errstate(over="ignore"):
-            for i in range(1, self.longest + 1):
-                self.power[i] = self.power[i - 1] * _BASE
-            keys = np.zeros(len(self.names), dtype=np.uint64)
-            for i, name in enumerate(self.names[2:], 2):
-                keys[i] = self.prefix(np.array([[ord(c) for c in name]], dtype=np.uint64))[0, -1]
-        self.keys = keys
-        self.first = np.zeros(1 << 20, dtype=np.int32)
-        self.second = np.zeros(1 << 20, dtype=np.int32)
-        for i in range(2, len(keys)):
-            for table, slot in ((self.first, self._one(keys[i])), (self.second, self._two(keys[i]))):
-                if not table[slot]:
-                    table[slot] = i
-                    break
+            for size, rows in by_size.items():
+                points = self.mixed(code_points([self.names[i] for i in rows])).reshape(len(rows), size)
+                h = np.zeros(len(rows), dtype=np.uint64)
+                for c in range(size):
+                    h = h * _BASE + points[:, c]
+                self.keys[rows] = h
+            one, two = self._one(self.keys).tolist(), self._two(self.keys).tolist()
+        first, second = [0] * (1 << 20), [0] * (1 << 20)
+        for i in range(2, len(self.names)):
+            if not first[one[i]]:
+                first[one[i]] = i
+            elif not second[two[i]]:
+                second[two[i]] = i
             else:
                 raise ValueError("the vocabulary needs a larger table")
+        self.first, self.second = np.array(first, dtype=np.int32), np.array(second, dtype=np.int32)
+
+    @classmethod
+    def of_file(cls, path: str) -> Pieces:
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        return cls([sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))])
 
     @staticmethod
     def _one(h):
@@ -60,113 +71,197 @@ class Pieces:
 
     @staticmethod
     def _two(h):
-        with np.errstate(over="ignore"):
-            return (h * _SECOND) >> _SHIFT
+        return (h * _SECOND) >> _SHIFT
 
     @staticmethod
-    def prefix(points: np.ndarray) -> np.ndarray:
-        """Hashes of all prefixes of each row."""
-        out = np.zeros((points.shape[0], points.shape[1] + 1), dtype=np.uint64)
-        mixed = (points + np.uint64(1)) * _SECOND
-        mixed ^= mixed >> np.uint64(29)
-        for i in range(points.shape[1]):
-            out[:, i + 1] = out[:, i] * _BASE + mixed[:, i]
-        return out
-
-    def find(self, prefix: np.ndarray, i: int, m: int) -> np.ndarray:
-        """The piece of m characters that ends before position i in each row; 0 (or 1, for a single character) if none."""
-        h = prefix[:, i] - prefix[:, i - m] * self.power[m]
+    def mixed(points: np.ndarray) -> np.ndarray:
+        out = (points + np.uint64(1)) * _SECOND
+        return out ^ (out >> np.uint64(29))
+
+    def find(self, h: np.ndarray, m: int) -> np.ndarray:
+        """The pieces of m characters with these hashes; 0 (or 1, for a single character) if none."""
         at = self.first[self._one(h)]
-        missed = self.keys[at] != h
-        if missed.any():
+        missed = np.flatnonzero(self.keys[at] != h)
+        if len(missed):
             other = self.second[self._two(h[missed])]
             at[missed] = np.where(self.keys[other] == h[missed], other, 1 if m == 1 else 0)
         return at
 
 
-def _matrix(words: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64).reshape(len(words), -1)
+def code_points(words: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
 
 
-def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
-    groups: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        groups.setdefault(len(w), []).append(i)
-    for rows in groups.values():
-        yield np.array(rows), [words[i] for i in rows]
+class Lattice:
+    """The pieces that stand in some words, cut into segments where none of them crosses.
 
+    What all segmentations of a word sum up to is the product of what those of
+    its segments do, so words of any length fall into short parts. Texts without
+    spaces do too: few pieces of their scripts have more than a character or two.
+    """
 
-def log_forward(pieces: Pieces, p: np.ndarray, words: list[str]) -> np.ndarray:
-    """log of the sum, over all segmentations of each word, of the product of piece probabilities; a column per language."""
-    out = np.empty((len(words), p.shape[1]))
-    with np.errstate(over="ignore"):
-        for rows, group in by_length(words):
-            n = len(group[0])
-            if n > SHORT:
-                for r, w in zip(rows, group):
-                    out[r] = _log_forward_long(pieces, p, w)
-                continue
-            for at in range(0, len(rows), 20_000):
-                some = group[at : at + 20_000]
-                prefix = pieces.prefix(_matrix(some))
-                alpha = np.zeros((n + 1, len(some), p.shape[1]))
+    def __init__(self, pieces: Pieces, words: list[str]):
+        sizes = np.array([len(w) for w in words])
+        points = pieces.mixed(code_points(words))
+        n, word = len(points), np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        self.longest = min(pieces.longest, int(sizes.max()))
+        #: At [m - 1, s] the piece of m characters from s on.
+        self.found = np.zeros((self.longest, n), dtype=np.int32)
+        turns = np.zeros(n + 1, dtype=np.int32)
+        h = np.zeros(n + 1, dtype=np.uint64)
+        for m in range(1, self.longest + 1):
+            h = h[: n - m + 1] * _BASE + points[m - 1 :]
+            at = np.flatnonzero(word[: n - m + 1] == word[m - 1 :])
+            k = pieces.find(h[at], m)
+            self.found[m - 1, at] = k
+            if m > 1:
+                at = at[k > 0]
+                turns[at + 1] += 1
+                turns[at + m] -= 1
+        self.starts = np.flatnonzero(np.cumsum(turns[:n]) == 0)
+        self.sizes = np.diff([*self.starts, n])
+        self.word = word[self.starts]
+        self.words = len(words)
+
+    def groups(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(size, segments of it), GROUP at most at a time."""
+        order = np.argsort(self.sizes, kind="stable")
+        cuts = np.flatnonzero(np.diff(self.sizes[order])) + 1
+        for rows in np.split(order, cuts):
+            for i in range(0, len(rows), GROUP):
+                yield int(self.sizes[rows[0]]), rows[i : i + GROUP]
+
+    def spans(self, size: int, rows: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(end, m, which, pieces): of these segments, those with a piece of m characters that ends there."""
+        at = self.starts[rows]
+        for i in range(1, size + 1):
+            for m in range(1, min(self.longest, i) + 1):
+                k = self.found[m - 1, at + (i - m)]
+                hit = np.flatnonzero(k)
+                if len(hit):
+                    yield i, m, hit, k[hit]
+
+    def log_sums(self, p: np.ndarray) -> np.ndarray:
+        """Per word and language the log of the sum over all segmentations."""
+        total = np.zeros((self.words, p.shape[1]))
+        for size, rows in self.groups():
+            if size == 1:
+                value = np.log(p[self.found[0, self.starts[rows]]])
+            elif size <= SHORT:
+                alpha = np.zeros((size + 1, len(rows), p.shape[1]))
                 alpha[0] = 1
-                for i in range(1, n + 1):
-                    for m in range(1, min(pieces.longest, i) + 1):
-                        k = pieces.find(prefix, i, m)
-                        hit = np.flatnonzero(k)
-                        if len(hit) == len(k):
-                            alpha[i] += alpha[i - m] * (p[k] * _SCALE**m)
-                        elif len(hit):
-                            alpha[i, hit] += alpha[i - m, hit] * (p[k[hit]] * _SCALE**m)
-                out[rows[at : at + 20_000]] = np.log(alpha[n]) - n * np.log(_SCALE)
-    return out
+                for i, m, hit, k in self.spans(size, rows):
+                    alpha[i, hit] += alpha[i - m, hit] * (p[k] * _SCALE**m)
+                value = np.log(alpha[size]) - size * np.log(_SCALE)
+            else:
+                value = np.array([self._long(int(r), p) for r in rows])
+            np.add.at(total, self.word[rows], value)
+        return total
+
+    def _long(self, row: int, p: np.ndarray) -> np.ndarray:
+        """The same for one segment of any length: a window of the last values, rescaled at every character."""
+        own = self.found[:, self.starts[row] : self.starts[row] + self.sizes[row]]
+        most = np.arange(1, self.longest + 1)
+        window, scale = np.zeros((self.longest, p.shape[1])), np.zeros(p.shape[1])  # window[m - 1]: the value m characters back
+        window[0] = 1
+        for i in range(1, own.shape[1] + 1):
+            m = most[: min(self.longest, i)]
+            new = (window[: len(m)] * p[own[m - 1, i - m]]).sum(axis=0)
+            window[1:] = window[:-1] / new
+            window[0] = 1
+            scale += np.log(new)
+        return scale
+
+    def expect(self, p: np.ndarray, counts: np.ndarray, expected: np.ndarray) -> None:
+        """Adds how often each piece is expected in these words, which stand ``counts`` times in each language."""
+        langs = p.shape[1]
+        for size, rows in self.groups():
+            weight = counts[self.word[rows]]
+            if size == 1:
+                k = self.found[0, self.starts[rows]]
+                for c in range(langs):
+                    expected[:, c] += np.bincount(k, weight[:, c], len(p))
+            elif size <= SHORT:
+                alpha, beta = np.zeros((size + 1, len(rows), langs)), np.zeros((size + 1, len(rows), langs))
+                alpha[0] = beta[size] = 1
+                spans = list(self.spans(size, rows))
+                for i, m, hit, k in spans:
+                    alpha[i, hit] += alpha[i - m, hit] * (p[k] * _SCALE**m)
+                for i, m, hit, k in reversed(spans):
+                    beta[i - m, hit] += beta[i, hit] * (p[k] * _SCALE**m)
+                share = weight / alpha[size]
+                for i, m, hit, k in spans:
+                    part = alpha[i - m, hit] * beta[i, hit] * (p[k] * _SCALE**m) * share[hit]
+                    for c in range(langs):
+                        expected[:, c] += np.bincount(k, part[:, c], len(p))
+            else:
+                for r, w in zip(rows, weight):
+                    self._expect_long(int(r), p, w, expected)
+
+    def _expect_long(self, row: int, p: np.ndarray, weight: np.ndarray, expected: np.ndarray) -> None:
+        """The same for one segment of any length, in logarithms."""
+        spans = [(i, m, int(k[0])) for i, m, _, k in self.spans(int(self.sizes[row]), np.array([row]))]
+        size = int(self.sizes[row])
+        with np.errstate(divide="ignore"):
+            log_p = np.log(p)
+        alpha, beta = np.full((size + 1, p.shape[1]), -np.inf), np.full((size + 1, p.shape[1]), -np.inf)
+        alpha[0] = beta[size] = 0
+        for i, m, k in spans:
+            alpha[i] = np.logaddexp(alpha[i], alpha[i - m] + log_p[k])
+        for i, m, k in reversed(spans):
+            beta[i - m] = np.logaddexp(beta[i - m], beta[i] + log_p[k])
+        for i, m, k in spans:
+            expected[k] += weight * np.exp(alpha[i - m] + beta[i] + log_p[k] - alpha[size])
+
+
+def parts(pieces: Pieces, word: str, most: int) -> Iterator[str]:
+    """A word of any length in parts that no piece crosses, of about ``most`` characters unless there is no such place."""
+    while len(word) > most:
+        size, open_ = most, np.zeros(0, dtype=np.int64)
+        while not len(open_) and size < len(word):
+            starts = Lattice(pieces, [word[: size + pieces.longest]]).starts
+            open_, size = starts[(starts > 0) & (starts <= size)], 2 * size
+        if not len(open_):
+            break
+        yield word[: open_[-1]]
+        word = word[open_[-1] :]
+    yield word
+
+
+def lattices(pieces: Pieces, words: list[str], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, Lattice]]:
+    """(which words, lattice of them or of parts of them), about CHUNK characters at a time."""
+    own: list[str] = []
+    which: list[int] = []
+    held = 0
+    with np.errstate(over="ignore"):
+        for i, word in enumerate(words):
+            for part in (word,) if len(word) <= most else parts(pieces, word, most):
+                own.append(part)
+                which.append(i)
+                held += len(part)
+                if held >= CHUNK:
+                    yield np.array(which), Lattice(pieces, own)
+                    own, which, held = [], [], 0
+        if own:
+            yield np.array(which), Lattice(pieces, own)
 
 
-def _log_forward_long(pieces: Pieces, p: np.ndarray, word: str) -> np.ndarray:
-    """The same for one word of any length: a window of the last values, rescaled at every character."""
-    prefix = pieces.prefix(_matrix([word]))
-    window = [np.ones(p.shape[1])]
-    scale = np.zeros(p.shape[1])
-    for i in range(1, len(word) + 1):
-        new = np.zeros(p.shape[1])
-        for m in range(1, min(pieces.longest, i) + 1):
-            if k := int(pieces.find(prefix, i, m)[0]):
-                new += window[-m] * p[k]
-        window = [*window[1 - pieces.longest :], new] if pieces.longest > 1 else [new]
-        window = [w / new for w in window]
-        scale += np.log(new)
-    return scale
+def log_forward(pieces: Pieces, p: np.ndarray, words: list[str]) -> np.ndarray:
+    """log of the sum, over all segmentations of each word, of the product of piece probabilities; a column per language."""
+    out = np.zeros((len(words), p.shape[1]))
+    for which, lattice in lattices(pieces, words):
+        np.add.at(out, which, lattice.log_sums(p))
+    return out
 
 
 def fit(pieces: Pieces, words: list[str], counts: np.ndarray, rounds: int, smooth: float) -> np.ndarray:
     """EM over all segmentations: piece probabilities for each column of word counts."""
-    langs = counts.shape[1]
-    p = np.full((len(pieces.names), langs), 1.0 / len(pieces.names))
+    p = np.full((len(pieces.names), counts.shape[1]), 1.0 / len(pieces.names))
     p[0], p[1] = 0, smooth / len(pieces.names)
-    keep = [(rows, group) for rows, group in by_length(words) if len(group[0]) <= SHORT]
     for _ in range(rounds):
         expected = np.zeros_like(p)
-        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-            for rows, group in keep:
-                n, weight = len(group[0]), counts[rows]
-                prefix = pieces.prefix(_matrix(group))
-                alpha, beta = np.zeros((n + 1, len(group), langs)), np.zeros((n + 1, len(group), langs))
-                alpha[0] = beta[n] = 1
-                spans = []
-                for i in range(1, n + 1):
-                    for m in range(1, min(pieces.longest, i) + 1):
-                        k = pieces.find(prefix, i, m)
-                        if k.any():
-                            spans.append((i, m, k))
-                            alpha[i] += alpha[i - m] * (p[k] * _SCALE**m)
-                for i, m, k in reversed(spans):
-                    beta[i - m] += beta[i] * (p[k] * _SCALE**m)
-                share = weight / alpha[n]
-                for i, m, k in spans:
-                    part = alpha[i - m] * beta[i] * (p[k] * _SCALE**m) * share
-                    for c in range(langs):
-                        expected[:, c] += np.bincount(k, part[:, c], len(p))
+        for which, lattice in lattices(pieces, words):
+            lattice.expect(p, counts[which], expected)
         expected[0] = 0
         expected[2:] += smooth
         expected[1] += smooth / 10
@@ -177,90 +272,101 @@ def fit(pieces: Pieces, words: list[str], counts: np.ndarray, rounds: int, smoot
 class LanguageModel:
     """Per-language piece probabilities; picklable, small (pieces x languages doubles)."""
 
-    def __init__(self, path: str, langs: list[str], p: np.ndarray):
-        self.path, self.langs, self.p = path, langs, p
+    def __init__(self, names: list[str], langs: list[str], p: np.ndarray):
+        self.names, self.langs, self.p = names, langs, p
         self.key = uuid.uuid4().hex
 
 
+def words_of(text: str | None) -> list[str]:
+    return text.lower().split() if text else []
+
+
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per_lang: int) -> DataFrame:
+    """(lang, text): of each language the ``docs_per_lang`` rows whose id and text hash lowest, or all if it has fewer.
+
+    The hashes alone are ranked first, in parts so that what the tasks pass on
+    doesn't meet at once; texts are read only of rows up to the last one that is
+    taken, and ranked once more, as repeated rows share a hash.
+    """
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    keyed = known.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
+    lowest = lambda df, order, *part: df.withColumn("rank", F.row_number().over(W.partitionBy("lang", *part).orderBy(*order))).where(F.col("rank") <= docs_per_lang)
+    scratch = Scratch(docs.sparkSession, "langid")
+    some = lowest(keyed.select("lang", "h", (F.spark_partition_id() % 64).alias("part")), ["h"], "part")
+    last = scratch.write(lowest(some, ["h"]).groupBy("lang").agg(F.max("h").alias("last")), "last")
+    chosen = keyed.join(scratch.sent(last, "last"), "lang").where(F.col("h") <= F.col("last"))
+    return lowest(chosen, ["h", "text"]).select("lang", "text")
+
+
 def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None,
-    docs_per_lang: int = 300, words_per_lang: int = 20_000, rounds: int = 3, smooth: float = 0.05,
+    docs_per_lang: int = 300, rounds: int = 3, smooth: float = 0.05,
 ) -> LanguageModel:
-    """Learns from a bounded sample of labelled rows: at most ``docs_per_lang`` rows of each language, those whose ids
-    hash lowest, and of their words the ``words_per_lang`` most frequent. Rows without text or language are not used."""
-    path = path or vocabulary("piece_bpe_32k.model")
-    order = [F.xxhash64(F.col(id_col).cast("string")), F.col(id_col), F.xxhash64(F.col(text_col))]
-    many = docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).count().collect()  # a row per language
-    # hashes below this hold four times the sample: the texts of no more rows are ranked
-    below = F.lit(None).cast("double")
-    for r in many:
-        below = F.when(F.col(lang_col) == r.lang, F.lit(min(1.0, 4 * docs_per_lang / r["count"]) * 2.0**64 - 2.0**63)).otherwise(below)
-    chosen = docs.where(F.col(text_col).isNotNull() & (order[0] <= below))
-    sample = (
-        chosen.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), *(o.alias(f"o{i}") for i, o in enumerate(order)))
-        .withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("o0", "o1", "o2"))).where(F.col("rank") <= docs_per_lang)
-    )
-    words = sample.select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
-    words = words.withColumn("word", F.btrim("word", F.lit(EDGES))).where((F.col("word") != "") & (F.length("word") < SHORT))
-    counts = words.groupBy("lang", "word").count()
-    counts = counts.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("rank") <= words_per_lang)
-    rows = counts.select("lang", "word", "count").collect()
-    langs = sorted({r.lang for r in rows})
-    index = {w: i for i, w in enumerate(sorted({r.word for r in rows}))}
-    table = np.zeros((len(index), len(langs)))
-    for r in rows:
-        table[index[r.word], langs.index(r.lang)] = r["count"]
-    pieces = Pieces(path)
-    return LanguageModel(path, langs, fit(pieces, [MARK + w for w in index], table, rounds, smooth) if langs else np.zeros((len(pieces.names), 0)))
+    """Learns from a bounded sample of labelled rows: ``docs_per_lang`` rows of each language (see ``sample``), all their
+    words. Rows without text or language are not used; null and repeated ids are rows like others."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                found.update((lang, w) for word in words_of(text) if (w := word.strip(EDGES)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found]), pa.array([k[1] for k in found]), pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])
+
+    taken = sample(docs, id_col, text_col, lang_col, docs_per_lang)
+    counts = taken.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
+    pieces = Pieces.of_file(path or vocabulary("piece_bpe_32k.model"))
+    lang, word = counts.column("lang").combine_chunks().dictionary_encode(), counts.column("word").combine_chunks().dictionary_encode()
+    langs, words = lang.dictionary.to_pylist(), word.dictionary.to_pylist()
+    by_name, by_word = sorted(range(len(langs)), key=langs.__getitem__), sorted(range(len(words)), key=words.__getitem__)
+    table = np.zeros((len(words), len(langs)))
+    table[word.indices.to_numpy(), lang.indices.to_numpy()] = counts.column("n").to_numpy()
+    table = table[by_word][:, by_name]
+    p = fit(pieces, [MARK + words[i] for i in by_word], table, rounds, smooth) if langs else np.zeros((len(pieces.names), 0))
+    return LanguageModel(pieces.names[2:], [langs[i] for i in by_name], p)
 
 
 class Scorer:
-    """Scores texts, remembering the words it has seen (at most ``most`` at a time)."""
+    """Scores texts, remembering the words it has seen (about ``most`` of them and ``most_chars`` at a time)."""
 
-    def __init__(self, model: LanguageModel, most: int = 400_000):
-        self.model, self.most = model, most
-        self.pieces = Pieces(model.path)
+    def __init__(self, model: LanguageModel, most: int = 150_000, most_chars: int = 5_000_000):
+        self.model, self.most, self.most_chars, self.chars = model, most, most_chars, 0
+        self.pieces = Pieces(model.names)
         self.index: dict[str, int] = {}
-        self.scores = np.zeros((1 << 16, len(model.langs)))
+        self.scores = np.zeros((0, len(model.langs)))
 
     def _words(self, texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
-        if len(self.index) > self.most:
+        """Per word its row of scores; how many words each text has."""
+        if len(self.index) > self.most or self.chars > self.most_chars:
             self.index.clear()
-        known, get = self.index, self.index.get
-        fresh: list[str] = []
-        at: list[int] = []
-        sizes = []
+            self.scores, self.chars = self.scores[:0], 0
+        known, at, sizes = self.index, [], []
+        fresh: dict[str, int] = {}
         for text in texts:
-            words = text.lower().split() if text else []
-            rows = [get(w, -1) for w in words]
+            words = words_of(text)
+            rows = [known.get(w, -1) for w in words]
             if -1 in rows:
                 for i, r in enumerate(rows):
                     if r < 0:
-                        if (k := get(words[i], -1)) < 0:
-                            k = known[words[i]] = len(known)
-                            fresh.append(words[i])
-                        rows[i] = k
+                        rows[i] = fresh.setdefault(words[i], len(known) + len(fresh))
             at += rows
             sizes.append(len(rows))
-        if len(known) > len(self.scores):
-            grown = np.zeros((max(len(known), 2 * len(self.scores)), self.scores.shape[1]))
-            grown[: len(self.scores)] = self.scores
-            self.scores = grown
         if fresh:
-            self.scores[len(known) - len(fresh) : len(known)] = log_forward(self.pieces, self.model.p, [MARK + w.strip(EDGES) for w in fresh])
+            self.scores = np.concatenate([self.scores, log_forward(self.pieces, self.model.p, [MARK + w.strip(EDGES) for w in fresh])])
+            known.update(fresh)
+            self.chars += sum(map(len, fresh))
         return np.array(at, dtype=np.int64), sizes
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language and its posterior (equal priors) of each text; UNDETERMINED and 0 without letters."""
-        at, sizes = self._words(texts)
-        total = np.zeros((len(texts), len(self.model.langs)))
-        ends = np.cumsum(sizes)
-        for r, (end, n) in enumerate(zip(ends, sizes)):
-            if n:
-                total[r] = self.scores[at[end - n : end]].sum(axis=0)
-        undetermined = np.array([not self.model.langs or not t or not LETTER.search(t) for t in texts])
         if not self.model.langs:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        at, sizes = self._words(texts)
+        total = np.zeros((len(texts), len(self.model.langs)))
+        filled = np.flatnonzero(sizes)
+        if len(filled):
+            total[filled] = np.add.reduceat(self.scores[at], np.concatenate([[0], np.cumsum(np.array(sizes)[filled])[:-1]]))
+        undetermined = np.array([not t or not LETTER.search(t) for t in texts])
         posterior = np.exp(total - total.max(axis=1, keepdims=True))
         posterior /= posterior.sum(axis=1, keepdims=True)
         best = posterior.argmax(axis=1)
@@ -268,9 +374,6 @@ class Scorer:
         return names, np.where(undetermined, 0.0, posterior[np.arange(len(texts)), best])
 
 
-_scorer: list = [None, None]
-
-
 def predict(docs: DataFrame, model: LanguageModel, text: Column, step: int = 500) -> Column:
     """A struct column (lang, score) for the texts of ``docs``; only the text is looked at, and all of it.
 
@@ -281,9 +384,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: Column, step: int = 500
     shared, key = docs.sparkSession.sparkContext.broadcast(model), model.key
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if _scorer[0] != key:
-            _scorer[:] = [key, Scorer(shared.value)]
-        scorer = _scorer[1]
+        scorer = own_worker(f"langid {key}", lambda: Scorer(shared.value))
         for batch in batches:
             langs: list[str] = []
             scores: list[np.ndarray] = []
@@ -292,6 +393,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: Column, step: int = 500
                 langs += a
                 scores.append(b)
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["lang", "score"])
+        give_back()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "lang string, score double")(text)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import give_back, own_worker
+
 END_ID = 0
 #: id 50256 of the vocabulary; its string in a text is that id, as in the library's own reading.
 SPECIAL = "<|endoftext|>"
@@ -31,7 +34,7 @@ class Encoder:
     ``most`` parts at a time.
     """
 
-    def __init__(self, json_path: str, ranks_path: str, most: int = 300_000):
+    def __init__(self, json_path: str, ranks_path: str, most: int = 150_000):
         import re
 
         import public_tokenizers
@@ -41,7 +44,7 @@ class Encoder:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.slow = Tokenizer.from_file(json_path)
+        self.slow = functools.cache(lambda: Tokenizer.from_file(json_path))
         self.odd = re.compile(r"^ | $| \s|\s ")
         encode = self.whole
 
@@ -64,56 +67,43 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
-            return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return np.asarray(self.slow().encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if not text or self.odd.search(text):
             return self.whole(text)
         first, *rest = text.split(" ")
         return self.whole(first) + b"".join(map(self.parts.__getitem__, rest))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(json_path: str, ranks_path: str) -> Encoder:
     """One for each Python worker."""
-    key = (json_path, ranks_path)
-    if key not in _encoders:
-        _encoders[key] = Encoder(*key)
-    return _encoders[key]
+    return own_worker(f"encoder {json_path} {ranks_path}", lambda: Encoder(json_path, ranks_path))
 
 
-def place(lengths: np.ndarray, size: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
+def place(lengths: np.ndarray, size: int, linear: float, quadratic: float, longest: int) -> list[tuple[int, int, int, int, int]]:
     """Assigns documents of these lengths to sequences: (document, start, length, sequence, offset).
 
     A document's cost is linear * n + quadratic * n^2 for each of its pieces, as
-    attention stays inside a document. Whole multiples of ``size`` fill sequences
-    alone. What is left goes, longest first, to the lowest-cost sequence with room
-    for it; if there is none it is cut at the room of the lowest-cost open one. The
-    sequences' capacities add up to the tokens: ``size`` each, and the remainder
-    as powers of two, which need no padding.
+    attention stays inside a document. Documents are cut into pieces of ``longest``
+    tokens and a rest: a piece that fills a sequence alone has a cost that no
+    other sequence can be brought to. Pieces go, longest first, to the lowest-cost
+    sequence with room for them; if there is none a piece is cut at the room of the
+    lowest-cost open one. The sequences' capacities add up to the tokens: ``size``
+    each, and the remainder as powers of two, which need no padding.
     """
     out: list[tuple[int, int, int, int, int]] = []
-    sequence = 0
-    tails: list[tuple[int, int, int]] = []
-    for d, n in enumerate(lengths.tolist()):
-        full = n // size
-        for k in range(full):
-            out.append((d, k * size, size, sequence, 0))
-            sequence += 1
-        if n % size:
-            tails.append((n % size, d, full * size))
-    total = sum(t[0] for t in tails)
+    pieces = [(min(longest, n - start), d, start) for d, n in enumerate(lengths.tolist()) for start in range(0, n, longest)]
+    total = int(lengths.sum())
     room = [size] * (total // size) + [1 << b for b in reversed(range(size.bit_length())) if (total % size) >> b & 1]
     capacity = np.array(room, dtype=np.int64)
     left, cost = capacity.copy(), np.zeros(len(room))
-    for n, d, start in sorted(tails, key=lambda t: (-t[0], t[1])):
+    for n, d, start in sorted(pieces, key=lambda p: (-p[0], p[1], p[2])):
         while n:
             fits = left >= n
             if not fits.any():
                 fits = left > 0
             s = int(np.where(fits, cost, np.inf).argmin())
             take = min(n, int(left[s]))
-            out.append((d, start, take, sequence + s, int(capacity[s] - left[s])))
+            out.append((d, start, take, s, int(capacity[s] - left[s])))
             left[s] -= take
             cost[s] += linear * take + quadratic * take * take
             n, start = n - take, start + take
@@ -122,13 +112,13 @@ def place(lengths: np.ndarray, size: int, linear: float, quadratic: float) -> li
 
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 1024, linear: float = 1.0, quadratic: float = 1 / 1024,
-    window_tokens: int = 2_000_000, json_path: str | None = None, ranks_path: str | None = None,
+    longest: int = 512, window_tokens: int = 2_000_000, json_path: str | None = None, ranks_path: str | None = None,
 ) -> DataFrame:
     """Packs every document's tokens, then one end id, into sequences of at most ``size`` tokens.
 
     Returns a row per piece: id, start and length in the document's ids, ``ids``
     (binary, little-endian unsigned 32-bit), doc_tokens, sequence_id, offset (in
-    the sequence) and cost. Documents are packed where they are read, window by
+    the sequence) and cost. No piece has more than ``longest`` tokens, for the sake of equal costs. Documents are packed where they are read, window by
     window of at least ``window_tokens`` tokens: there is no shuffle, a task
     holds one window, and a task run again gives the same sequences. Sequences
     are full or, at most ten a window, powers of two.
@@ -152,7 +142,7 @@ def pack(
         def flush() -> pa.RecordBatch:
             nonlocal first, ids, tokens
             lengths = np.array([len(t) // 4 for t in tokens], dtype=np.int64)
-            pieces = place(lengths, size, linear, quadratic)
+            pieces = place(lengths, size, linear, quadratic, longest)
             d, start, length, sequence, offset = (np.array(x, dtype=np.int64) for x in zip(*pieces))
             batch = pa.RecordBatch.from_arrays(
                 [
@@ -179,6 +169,7 @@ def pack(
                 ids.append(batch.column(0).slice(at))
         if tokens:
             yield flush()
+        give_back()
 
     kind = id_type.simpleString()
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, cost double"
