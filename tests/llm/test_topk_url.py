@@ -14,43 +14,53 @@ def vectors(spark, rows):
 
 
 def brute(rows, k):
-    q = {i: [math.floor(64 * float(np.float32(x))) for x in v] for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    whole = [(i, [min(max(math.floor(64 * float(np.float32(x))), topk.LOWEST), topk.HIGHEST) for x in v]) for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i in q:
-        if i % 5 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i and len(q[j]) == len(q[i]))
-            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
+    for i in {i for i, _ in whole if i % 5 == 0}:
+        own = min((v, n) for n, (j, v) in enumerate(whole) if j == i)[1]
+        q = whole[own][1]
+        scores = sorted((-min(max(sum(a * b for a, b in zip(q, v)), topk.LOWEST), topk.HIGHEST), j) for n, (j, v) in enumerate(whole) if n != own and len(v) == len(q))
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"dims_per_block": 3, "rows_per_block": 7, "queries_per_round": 4}])
+@pytest.mark.parametrize("options", [{}, {"dims_per_block": 3, "rows_per_block": 7, "cell": (20, 5)}, {"cell_bytes": 24 * 8 * 30}])
 def test_top_k_against_brute_force(spark, options):
     rnd = random.Random(1)
     rows = [(i, [rnd.gauss(0, 0.3) for _ in range(24)], 0) for i in range(120)]
     rows += [(200 + i, rows[0][1], 0) for i in range(30)]  # ties
     rows += [(300, None, 0), (305, [1.0, None] * 12, 0), (310, [float("nan")] * 24, 0), (315, [float("inf")] * 24, 0), (None, rows[1][1], 0), (320, [1.0, 2.0], 0), (321, [3.0, 4.0], 0), (325, [], 0)]
+    rows += [(0, rows[0][1], 0), (0, rows[3][1], 0), (7, rows[8][1], 0), (7, rows[8][1], 0), (330, rows[5][1], 0), (330, rows[5][1], 0)]  # ids that come again
     df = vectors(spark, rows)
-    got = topk.top_k(df, df.where("vec_id % 5 = 0"), k=20, **options)
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=20, **options)
     assert sorted(map(tuple, got.collect())) == brute(rows, 20)
 
 
+@pytest.mark.parametrize("size", [1e6, 1e12, 1e30])
+def test_large_components(spark, size):
+    rnd = random.Random(2)
+    rows = [(i, [rnd.gauss(0, size if i % 3 else 1) for _ in range(8)], 0) for i in range(60)] + [(100 + i, [size * (1 if i % 2 else -1), *[0.0] * 6, float(i)], 0) for i in range(10)]
+    df = vectors(spark, rows)
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=7, dims_per_block=2, rows_per_block=9)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 7)
+
+
 def test_top_k_of_few_and_none(spark):
     df = vectors(spark, [(0, [1.0], 0), (5, [2.0], 0)])
-    assert sorted(map(tuple, topk.top_k(df, df, k=20).collect())) == [(0, 1, 5, 64 * 128), (5, 1, 0, 64 * 128)]
-    assert topk.top_k(df.where("1 = 0"), df.where("1 = 0")).count() == 0
-    big = vectors(spark, [(0, [1e30], 0), (1, [1.0], 0)])
-    with pytest.raises(Exception, match="exact"):
-        topk.top_k(big, big).collect()
+    assert sorted(map(tuple, topk.top_k(df, F.lit(True), k=20).collect())) == [(0, 1, 5, 64 * 128), (5, 1, 0, 64 * 128)]
+    assert topk.top_k(df, F.lit(False)).count() == 0 and topk.top_k(df.where("1 = 0"), F.lit(True)).count() == 0
+    twice = vectors(spark, [(0, [1.0], 0), (0, [1.0], 0), (2, [3.0], 0), (3, [2.0], 0)])
+    assert [tuple(r) for r in topk.top_k(twice, F.col("vec_id") == 0, k=3).orderBy("rank").collect()] == [(0, 1, 2, 64 * 192), (0, 2, 3, 64 * 128), (0, 3, 0, 64 * 64)]
 
 
 def test_branch_and_bound_prunes():
     rnd = np.random.default_rng(0)
-    rows = np.floor(rnd.normal(size=(500, 32)) * 8)
+    rows = np.floor(rnd.normal(size=(500, 32)) * 8).astype(np.int64)
     queries = rows[:3] * 4  # near their own rows
     blocks = [slice(i, i + 8) for i in range(0, 32, 8)]
-    best = topk.Best(3, 5)
-    topk.search(best, queries, np.arange(3) + 1000, rows[:100], np.arange(100), blocks)
-    reached = topk.search(best, queries, np.arange(3) + 1000, rows[100:], np.arange(100, 500), blocks)
+    best, own, uids = topk.Best(3, 5), np.arange(3) + 1000, np.arange(500)
+    topk.search(best, queries, own, rows[:100], uids[:100], uids[:100], blocks)
+    reached = topk.search(best, queries, own, rows[100:], uids[100:], uids[100:], blocks)
     exact = queries @ rows.T
     assert np.array_equal(best.scores, -np.sort(-exact, axis=1)[:, :5]) and reached < 400 * 3 / 2
 

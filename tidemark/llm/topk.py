@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +12,9 @@ from pyspark.sql import Window as W
 
 from tidemark.llm.common import Scratch
 
-#: Beyond this, sums of products could leave the integers that a double holds exactly.
-SAFE = 1 << 20
+#: Integers below this are exact in a double.
+EXACT = 2.0**53
+LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
@@ -22,8 +23,10 @@ def quantised(vector: Column, scale: int = 64) -> Column:
     return F.when(~bad, F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale)))))
 
 
-def matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(column), dims)
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows of 64-bit integers."""
+    lists = column.combine_chunks()
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(lists), -1)
 
 
 def suffix_norms(rows: np.ndarray, blocks: list[slice]) -> np.ndarray:
@@ -36,129 +39,135 @@ class Best:
     """The k highest scores of each query so far, ties to the smaller id."""
 
     def __init__(self, n: int, k: int):
-        self.scores = np.full((n, k), -np.inf)
-        self.ids = np.full((n, k), np.iinfo(np.int64).max)
+        self.scores = np.full((n, k), LOWEST, dtype=np.int64)
+        self.ids = np.full((n, k), HIGHEST, dtype=np.int64)
+        self.held = np.zeros(n, dtype=np.int64)
         self.k = k
 
     def least(self) -> np.ndarray:
         """What a candidate must reach."""
-        return self.scores[:, -1]
+        return np.where(self.held == self.k, self.scores[:, -1].astype(np.float64), -np.inf)
 
     def add(self, q: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         if not len(q):
             return
         rows = np.unique(q)
-        q_all = np.concatenate([q, np.repeat(rows, self.k)])
-        s_all = np.concatenate([scores, self.scores[rows].ravel()])
-        i_all = np.concatenate([ids, self.ids[rows].ravel()])
-        order = np.lexsort((i_all, -s_all, q_all))
+        old = np.arange(self.k) < self.held[rows, None]
+        q_all = np.concatenate([q, np.repeat(rows, self.held[rows])])
+        s_all = np.concatenate([scores, self.scores[rows][old]])
+        i_all = np.concatenate([ids, self.ids[rows][old]])
+        order = np.lexsort((i_all, ~s_all, q_all))  # ~: highest first, without leaving the integers
         q_all, s_all, i_all = q_all[order], s_all[order], i_all[order]
         place = np.arange(len(q_all)) - np.searchsorted(q_all, q_all)
         top = place < self.k
         self.scores[q_all[top], place[top]] = s_all[top]
         self.ids[q_all[top], place[top]] = i_all[top]
+        self.held[rows] = np.minimum(self.k, np.bincount(q_all)[rows])
 
 
-def search(best: Best, queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, blocks: list[slice]) -> int:
+def products(queries: np.ndarray, rows: np.ndarray, q: np.ndarray, c: np.ndarray, step: int = 10_000) -> np.ndarray:
+    """The inner products of pairs in integers of any size, kept within those of 64 bits."""
+    out = np.empty(len(q), dtype=np.int64)
+    for i in range(0, len(q), step):
+        exact = (queries[q[i : i + step]].astype(object) * rows[c[i : i + step]].astype(object)).sum(axis=1)
+        out[i : i + step] = [min(max(int(x), LOWEST), HIGHEST) for x in exact]
+    return out
+
+
+def search(best: Best, queries: np.ndarray, own: np.ndarray, rows: np.ndarray, uids: np.ndarray, ids: np.ndarray, blocks: list[slice]) -> int:
     """Adds a block of candidates to ``best``; returns the number of pairs that reached the last dimension block.
 
     Scores accumulate one dimension block at a time over the candidates' columns.
     After each, what is still possible is the sum so far plus the product of the
     remaining norms (Cauchy-Schwarz); pairs that can't reach the query's k-th
-    score fall away and the survivors are compacted.
+    score fall away and the survivors are compacted. A row (``uids``) is no
+    candidate of the query that it is itself (``own``). Where sums may leave the
+    integers that a double holds, bounds allow for that and survivors are summed
+    again in whole numbers.
     """
-    q_left, c_left = suffix_norms(queries, blocks), suffix_norms(rows, blocks)
-    columns = [np.ascontiguousarray(rows[:, b].T) for b in blocks]  # vertical layout
+    fine_q, fine_c = queries.astype(np.float64), rows.astype(np.float64)
+    exact = float(np.abs(fine_q).max(initial=0)) * float(np.abs(fine_c).max(initial=0)) * max(1, rows.shape[1]) < EXACT
+    q_left, c_left = suffix_norms(fine_q, blocks), suffix_norms(fine_c, blocks)
+    columns = [np.ascontiguousarray(fine_c[:, b].T) for b in blocks]  # vertical layout
     need = best.least()
+    if not exact:
+        need = need - 1e-9 * np.abs(need)
+    slack = lambda done, q, c: q_left[done][q] * c_left[done][c] * (1 + 1e-9) + 1 + (0 if exact else 1e-9 * q_left[0][q] * c_left[0][c])
+    every_q, every_c = np.arange(len(queries))[:, None], np.arange(len(rows))[None, :]
     # the first block is a dense product; what is left of it is a list of pairs
-    sums = queries[:, blocks[0]] @ columns[0]
-    alive = sums + np.outer(q_left[1], c_left[1]) * (1 + 1e-9) + 1 >= need[:, None]
-    alive &= query_ids[:, None] != ids[None, :]
+    sums = fine_q[:, blocks[0]] @ columns[0]
+    alive = sums + slack(1, every_q, every_c) >= need[:, None]
+    alive &= own[:, None] != uids[None, :]
+    kept = np.arange(len(rows))
     done = 1
     while done < len(blocks) and alive.mean() > 0.2:  # too many for a list: stay dense, on the candidates that any query still wants
         keep = np.flatnonzero(alive.any(axis=0))
-        if len(keep) < len(ids):
-            sums, alive, ids, c_left, columns = sums[:, keep], alive[:, keep], ids[keep], c_left[:, keep], [c[:, keep] for c in columns]
-        sums = sums + queries[:, blocks[done]] @ columns[done]
+        if len(keep) < len(kept):
+            sums, alive, kept = sums[:, keep], alive[:, keep], kept[keep]
+        sums = sums + fine_q[:, blocks[done]] @ columns[done][:, kept]
         done += 1
-        alive &= sums + np.outer(q_left[done], c_left[done]) * (1 + 1e-9) + 1 >= need[:, None]
+        alive &= sums + slack(done, every_q, kept[None, :]) >= need[:, None]
     q, c = np.nonzero(alive)
-    part = sums[q, c]
+    part, c = sums[q, c], kept[c]
     for b in range(done, len(blocks)):
-        part = part + np.einsum("ij,ji->i", queries[q][:, blocks[b]], columns[b][:, c])
-        stay = part + q_left[b + 1][q] * c_left[b + 1][c] * (1 + 1e-9) + 1 >= need[q]
+        part = part + np.einsum("ij,ji->i", fine_q[q][:, blocks[b]], columns[b][:, c])
+        stay = part + slack(b + 1, q, c) >= need[q]
         q, c, part = q[stay], c[stay], part[stay]
-    reach = part >= need[q]
-    best.add(q[reach], part[reach], ids[c[reach]])
+    scores = part.astype(np.int64) if exact else products(queries, rows, q, c)
+    best.add(q, scores, ids[c])
     return len(q)
 
 
 def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "vector",
-    dims_per_block: int = 16, rows_per_block: int = 1024, queries_per_round: int = 4096,
+    vectors: DataFrame, asks: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "vector",
+    dims_per_block: int = 16, rows_per_block: int = 1024, cell: tuple[int, int] = (8192, 4096), cell_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """(query_id, rank, id, score): each query's k highest integer inner products among all other rows, ties to the smaller id.
-
-    Both frames hold an id and an array of longs (see ``quantised``). Queries are
-    taken in rounds of ``queries_per_round`` by id, the only thing that is sent to
-    every task (a fixed bound); each round reads the candidates once, in blocks of
-    ``rows_per_block``, and every task keeps k rows a query, which a second stage merges.
-
-    Rows whose vector or id is null take no part; an id's own row is not its
-    candidate, nor are its repeats; vectors of another length than the query's aren't
-    compared. Components are to stay within +-2^20, where sums are exact. With
-    fewer candidates than k there are fewer rows; empty tables give none.
+    """(query_id, rank, id, score): the k highest integer inner products of each row for which ``asks`` holds, among all
+    other rows, ties to the smaller id.
+
+    ``vectors`` holds an id and an array of longs (see ``quantised``). Candidates
+    and queries are dealt into groups of about ``cell`` rows (fewer where vectors
+    are so long that a group would pass ``cell_bytes``); a task takes one group of
+    each, the candidates in blocks of ``rows_per_block``, and passes on k rows a query,
+    which a second stage merges. Nothing is sent to the driver or to every task; a
+    row is moved once for each group of the other side.
+
+    Rows whose vector or id is null take no part. A row is told from its repeats
+    by its place: only the query's own row is not its candidate, other rows of its
+    id are. Of several rows with one id that ask, the one with the least vector
+    (by its components in turn) does. Vectors of another length than the query's
+    aren't compared; empty vectors score 0. Components are 64-bit integers, sums are
+    exact, and scores beyond 64 bits are the nearest integers within. With fewer
+    candidates than k there are fewer rows; empty tables give none.
     """
-    spark = vectors.sparkSession
-    v, i = F.col(vector_col), F.col(id_col).cast("long")
-    usable = v.isNotNull() & F.col(id_col).isNotNull()
-    scratch = Scratch(spark, "topk")
-    wanted = scratch.write(queries.where(usable).select(i.alias("id"), v.alias("v")), "queries")
-    total = wanted.count()
-    parts = max(1, -(-total // queries_per_round))
-    out = None
-    for part in range(parts):
-        mine = wanted.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part).toArrow()
-        by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        table = mine.combine_chunks()
-        if len(table):
-            lists = table.column("v").chunk(0)
-            lengths = np.diff(lists.offsets.to_numpy())
-            for n in np.unique(lengths):
-                at = pa.array(np.flatnonzero(lengths == n))
-                by_length[int(n)] = (table.column("id").chunk(0).take(at).to_numpy(), matrix(lists.take(at), int(n)))
-        found = _round(vectors.where(usable).select(i.alias("id"), v.alias("v")), by_length, k, dims_per_block, rows_per_block)
-        out = found if out is None else out.unionByName(found)
+    scratch = Scratch(vectors.sparkSession, "topk")
+    usable = vectors.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull())
+    rows = usable.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.size(vector_col).alias("dims"), F.coalesce(asks, F.lit(False)).alias("asks"))
+    rows = scratch.write(rows.withColumn("uid", F.monotonically_increasing_id()), "rows")
+    first = rows.where("asks").groupBy("id").agg(F.min(F.struct("v", "uid"))["uid"].alias("uid"))
+    queries = scratch.write(rows.join(first, "uid", "left_semi"), "queries")
+    n, longest = rows.agg(F.count(F.lit(1)), F.max("dims")).first()
+    most = max(1, cell_bytes // (8 * max(1, longest or 1)))
+    groups, query_groups = (max(1, math.ceil(many / min(size, most))) for many, size in zip((n, queries.count()), cell))
+    deal = lambda df, name, n, other, m: df.select("uid", "id", "v", "dims", F.pmod(F.xxhash64("uid"), F.lit(n).cast("long")).alias(name), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(other))
+    key = ("dims", "g", "h")
+    left, right = deal(rows, "g", groups, "h", query_groups).groupBy(*key), deal(queries, "h", query_groups, "g", groups).groupBy(*key)
+
+    def compare(candidates: pa.Table, asking: pa.Table) -> pa.Table:
+        schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
+        if not len(candidates) or not len(asking):
+            return schema.empty_table()
+        own, query_ids, q = asking["uid"].to_numpy(), asking["id"].to_numpy(), matrix(asking["v"])
+        uids, ids, c = candidates["uid"].to_numpy(), candidates["id"].to_numpy(), matrix(candidates["v"])
+        blocks = [slice(b, min(b + dims_per_block, c.shape[1])) for b in range(0, c.shape[1], dims_per_block)] or [slice(0, 0)]
+        top = Best(len(q), k)
+        strong = np.argsort(-np.square(c.astype(np.float64)).sum(axis=1), kind="stable")  # large norms first: the k-th score rises early
+        for s in range(0, len(c), rows_per_block):
+            some = strong[s : s + rows_per_block]
+            search(top, q, own, c[some], uids[some], ids[some], blocks)
+        held = np.arange(k) < top.held[:, None]
+        return pa.table([np.repeat(query_ids, top.held), top.ids[held], top.scores[held]], schema=schema)
+
+    out = left.cogroup(right).applyInArrow(compare, "query_id long, id long, score long")
     ranked = out.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
-
-
-def _round(vectors: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, dims: int, rows_per_block: int) -> DataFrame:
-    shared = vectors.sparkSession.sparkContext.broadcast(queries)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, best = shared.value, {}
-        for batch in batches:
-            lists, ids = batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)
-            lengths = np.diff(lists.offsets.to_numpy())
-            for n in np.unique(lengths):
-                if int(n) not in mine:
-                    continue
-                query_ids, q = mine[int(n)]
-                at = np.flatnonzero(lengths == n)
-                rows = matrix(lists.take(pa.array(at)), int(n))
-                if len(rows) and n and max(np.abs(rows).max(), np.abs(q).max()) > SAFE:
-                    raise ValueError("components beyond +-2^20: sums would not be exact")
-                blocks = [slice(b, min(b + dims, int(n))) for b in range(0, int(n), dims)] or [slice(0, 0)]
-                top = best.setdefault(int(n), Best(len(query_ids), k))
-                strong = np.argsort(-np.square(rows).sum(axis=1), kind="stable")  # large norms first: the k-th score rises early
-                for s in range(0, len(rows), rows_per_block):
-                    some = strong[s : s + rows_per_block]
-                    search(top, q, query_ids, rows[some], ids[at][some], blocks)
-        for n, top in best.items():
-            held = np.isfinite(top.scores)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.broadcast_to(mine[n][0][:, None], held.shape)[held]), pa.array(top.ids[held]), pa.array(top.scores[held].astype(np.int64))], ["query_id", "id", "score"],
-            )
-
-    return vectors.mapInArrow(run, "query_id long, id long, score long")
