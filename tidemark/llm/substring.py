@@ -11,13 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, BlockedBloom, Scratch, placed
-from tidemark.llm.jaccard import _ODD, mix, words_of_worker
+from tidemark.llm.common import ODD, BlockedBloom, Scratch, give_back, mix, placed, words_of_worker
 
-#: A sentence ends after . ! or ? and white space, or at a line's end; the separators stay with the sentence before them.
-ENDS = r"(?<=[.!?][\x20\x09-\x0D]{1,4})(?=[^\x20\x09-\x0D])|(?<=\n)"
-#: What stands between two sentences that aren't blank, for Python; and a word.
-_ENDS = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]{1,4}(?=[^\x20\x09-\x0D])|\n")
+#: What stands between two sentences: white space after . ! or ?, or a line's end. In Java's and in Python's notation alike.
+ENDS = r"(?<=[.!?])[\x20\x09-\x0D]+(?=[^\x20\x09-\x0D])|\n"
+_ENDS = re.compile(ENDS)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 #: Pieces have up to WINDOW words, their runs RUN to RUN + WINDOW - 1. Of a repeated stretch at most WINDOW - 1 words at
@@ -25,9 +23,9 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WINDOW, RUN = 6, 34
 
 
-def sentences(text: Column) -> Column:
-    """The pieces of the text; joined, they are the text."""
-    return F.split(F.coalesce(text, F.lit("")), ENDS)
+def sentence_count(text: Column) -> Column:
+    """How many sentences that aren't blank the text has."""
+    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), ENDS), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))).cast("long")
 
 
 def sentence_words(text: str) -> list[list[bytes]]:
@@ -35,19 +33,6 @@ def sentence_words(text: str) -> list[list[bytes]]:
     return [w for s in _ENDS.split(text.lower()) if (w := s.encode().split())]
 
 
-def sentence_runs(sizes: list[int], k: int, least_chars: int) -> Iterator[tuple[int, int]]:
-    """From each sentence on, the shortest run (first, end) of k or more that has ``least_chars`` characters."""
-    end, chars = 0, 0
-    for first, size in enumerate(sizes):
-        while end < len(sizes) and (end < first + k or chars < least_chars):
-            chars += sizes[end]
-            end += 1
-        if end < first + k or chars < least_chars:
-            return
-        yield first, end
-        chars -= size
-
-
 def piece_starts(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The first words of a text's pieces, and its end: each sentence is split before the least hash of every WINDOW consecutive words in it.
 
@@ -69,27 +54,24 @@ def piece_runs(starts: np.ndarray) -> np.ndarray:
     return starts[fits] << 32 | starts[end[fits]]
 
 
-def spans(text: str, k: int, least_chars: int) -> tuple[np.ndarray, np.ndarray]:
-    """(span, hash) of each run of sentences or pieces: its first word << 32 | the word behind it, and the hash of its words."""
+def spans(text: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(span, hash, second hash) of each run of sentences or pieces: its first word << 32 | the word behind it, and two hashes of its words."""
     told = sentence_words(text)
     starts = np.concatenate([[0], np.cumsum([len(w) for w in told])]).astype(np.int64)
-    sizes = [len(b" ".join(w).decode()) for w in told]
-    runs = list(sentence_runs(sizes, k, least_chars))
-    at = starts[np.array(runs, dtype=np.int64).reshape(-1, 2)]
     known = words_of_worker().known
     words = np.fromiter(map(known.__getitem__, chain.from_iterable(told)), dtype=np.uint64, count=int(starts[-1]))
-    at = np.union1d(at[:, 0] << 32 | at[:, 1], piece_runs(piece_starts(mix(words), starts)))
-    return at, span_hashes(words, at)
+    at = np.union1d(starts[:-k] << 32 | starts[k:], piece_runs(piece_starts(mix(words), starts)))
+    return at, span_hashes(words, at, ODD[0]), span_hashes(words, at, ODD[7])
 
 
-def span_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+def span_hashes(words: np.ndarray, at: np.ndarray, base: np.uint64) -> np.ndarray:
     """Hashes of the spans of a text's words, by sums of powers of an odd number modulo 2^64, taken back to the span's start."""
     first, end = at >> 32, at & 0xFFFFFFFF
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(len(words) + 1, _ODD[0], dtype=np.uint64))
-        back = np.cumprod(np.full(len(words) + 1, pow(int(_ODD[0]), -1, 1 << 64), dtype=np.uint64))
-        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(words) * power[:-1], dtype=np.uint64)])
-        return mix((sums[end] - sums[first]) * back[first] + _ODD[9] * (end - first).astype(np.uint64)).view(np.int64)
+        power = np.cumprod(np.full(len(words) + 1, base, dtype=np.uint64))
+        back = np.cumprod(np.full(len(words) + 1, pow(int(base), -1, 1 << 64), dtype=np.uint64))
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(words ^ base) * power[:-1], dtype=np.uint64)])
+        return mix((sums[end] - sums[first]) * back[first] + ODD[9] * (end - first).astype(np.uint64)).view(np.int64)
 
 
 def without(text: str | None, gone: list[int] | None, least: int = RUN) -> dict | None:
@@ -103,7 +85,7 @@ def without(text: str | None, gone: list[int] | None, least: int = RUN) -> dict
     opens = np.ones(len(at) + 1, dtype=bool)
     for i in range(1, len(at)):
         before = text[at[i - 1][1] : at[i][0]]
-        opens[i] = "\n" in before or (len(before) <= 4 and text[at[i - 1][1] - 1] in ".!?")
+        opens[i] = "\n" in before or text[at[i - 1][1] - 1] in ".!?"
     cut, part = np.zeros(len(at), dtype=bool), np.zeros(len(at) + 2, dtype=np.int8)
     for s in gone:
         first, end = s >> 32, s & 0xFFFFFFFF
@@ -121,7 +103,7 @@ def without(text: str | None, gone: list[int] | None, least: int = RUN) -> dict
         if cut[i]:
             lost.add(sentence)
             before = text[at[i - 1][1] if i else 0 : low]
-            ended = i > 0 and len(before) <= 4 and text[at[i - 1][1] - 1] in ".!?"
+            ended = i > 0 and text[at[i - 1][1] - 1] in ".!?"
             if not ended and (i == 0 or "\n" in before):  # a line's indent is the sentence's, blank lines are nobody's
                 low -= len(before) - before.rfind("\n") - 1
             kept.append(text[done:low])
@@ -131,63 +113,68 @@ def without(text: str | None, gone: list[int] | None, least: int = RUN) -> dict
     return {"kept": "".join([*kept, text[done:]]), "gone": len(lost)}
 
 
-def repeated_spans(docs: DataFrame, id_col: str, text_col: str, k: int, least_chars: int, bloom_blocks: int, scratch: Scratch) -> DataFrame:
-    """(place, starts): per row of ``docs`` (with _place) its runs (as in ``spans``) that stand earlier too, in another row or its own."""
+def repeated_spans(docs: DataFrame, id_col: str, text_col: str, k: int, bloom_blocks: int, scratch: Scratch) -> DataFrame:
+    """(place, starts): per row of ``docs`` (with _place) its runs (as in ``spans``) that stand earlier too, in another row or its own.
+
+    Nothing is joined on a run: what a run's places have in common is counted and
+    their first is found by sums that begin where the runs are read; each row then
+    takes the places that are first from its own.
+    """
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, len(batch), 1000):
                 some = batch.slice(first, 1000)
-                found = [spans(t or "", k, least_chars) for t in some.column(2).to_pylist()]
-                ends = pa.array(np.concatenate([[0], np.cumsum([len(a) for a, _ in found])]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([f[c] for f in found]))) for c in (0, 1)]
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *lists], ["place", "id", "at", "hash"])
+                found = [spans(t or "", k) for t in some.column(2).to_pylist()]
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(f[0]) for f in found])]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([f[c] for f in found]))) for c in range(3)]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *lists], ["place", "id", "at", "hash", "second"])
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col("_place").alias("place"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = scratch.write(rows.mapInArrow(told, f"place string, id {kind}, at array<long>, hash array<long>"), "spans")
-    runs = rows.select("place", "id", F.explode(F.arrays_zip("at", "hash")).alias("s")).select("place", "id", "s.at", "s.hash")
+    rows = scratch.write(rows.mapInArrow(told, f"place string, id {kind}, at array<long>, hash array<long>, second array<long>"), "spans")
+    runs = rows.select("place", "id", F.explode(F.arrays_zip("at", "hash", "second")).alias("s")).select("place", "id", "s.*")
     twice = scratch.write(runs.groupBy("hash").count().where("count > 1").select("hash"), "repeated")
     bloom = BlockedBloom(bloom_blocks)
-    hits = bloom.may_hold(runs, bloom.build(twice, "hash"), "hash").join(twice, "hash", "left_semi")
+    hits = bloom.may_hold(runs, bloom.build(twice, "hash"), "hash")  # a run that passes by chance is the first of its kind
     order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("place"), F.col("at"))
-    first = hits.groupBy("hash").agg(F.min(order).alias("first"))
-    later = hits.join(first, "hash").where(order != F.col("first"))
-    later = scratch.write(later.groupBy("place").agg(F.collect_set("at").alias("starts")), "later")
-    return scratch.sent(later, "later")  # else the texts of the rows concerned are shuffled
+    first = hits.groupBy("hash", "second").agg(F.min(order).alias("first"))
+    first = first.groupBy(F.col("first.place").alias("place")).agg(F.collect_set("first.at").alias("firsts"))
+    later = hits.groupBy("place").agg(F.collect_set("at").alias("all")).join(first, "place", "left")
+    later = later.select("place", F.array_except("all", F.coalesce("firsts", F.array().cast("array<long>"))).alias("starts")).where(F.size("starts") > 0)
+    return scratch.write(later, "later")
 
 
 def dedup_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, least_chars: int = 40, bloom_blocks: int = 1 << 16,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, bloom_blocks: int = 1 << 16,
 ) -> DataFrame:
     """docs with ``text_col`` freed of repeated sentences, and n_sentences and n_removed (long) added (or replaced).
 
-    From each sentence on (blank ones not counted), k consecutive sentences are
-    a run, or as many more as it takes to have ``least_chars`` characters: two
-    one-word sentences recur by chance, a list or a verse doesn't. So are, from
+    Every k consecutive sentences (blank ones not counted) are a run. So are, from
     each piece on (parts of sentences, see ``piece_starts``), as many pieces as it
     takes to have ``RUN`` words: every stretch of 50 words that recurs holds such
-    a run, wherever its sentences end. All runs' hashes meet in one join. The first place of a run (smallest id, null ids
+    a run, wherever its sentences end. Runs are equal if two 64-bit hashes of
+    their words are. The first place of a run (smallest id, null ids
     last, then file and row, then position) stays; what a run covers at any other
     place goes, with the white space after it: whole sentences, and parts of
-    others where ``RUN`` or more words together are left to cut. A sentence that loses some of its
-    words counts as removed too. Counts combine before the shuffle and the join behind them can be
-    split, so a run that a third of all rows hold is no hot spot; rows without
-    repeats are not shuffled.
+    others where ``RUN`` or more words together are left to cut. A sentence that
+    loses some of its words counts as removed too. Counts and first places combine
+    before the shuffle, so a run that a third of all rows hold is no hot spot; rows
+    without repeats are not shuffled.
 
     Null text stays null and has no sentences; texts with fewer than k sentences
-    have no run; of repeated rows one stays whole; a text may become empty; an
-    empty table stays empty.
+    have no run of sentences; of repeated rows one stays whole; a text may become
+    empty; an empty table stays empty.
     """
     scratch = Scratch(docs.sparkSession, "spans")
     keep = [c for c in docs.columns if c not in (text_col, "n_sentences", "n_removed")]
     # own names for what is used here; the other columns pass through in one struct, whatever they are called
     docs = placed(docs.select(F.struct(*keep).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
-    later = repeated_spans(docs, "_id", "_text", k, least_chars, bloom_blocks, scratch)
+    later = repeated_spans(docs, "_id", "_text", k, bloom_blocks, scratch)
     bloom = BlockedBloom(bloom_blocks)
     filled = bloom.build(later, "place")
-    pieces = sentences(F.col("_text"))
-    count = F.when(F.col("_text").isNull(), 0).otherwise(F.size(F.filter(pieces, lambda s: F.btrim(F.regexp_replace(s, SPACE + "+", " ")) != ""))).cast("long").alias("n_sentences")
+    count = F.when(F.col("_text").isNull(), F.lit(0).cast("long")).otherwise(sentence_count(F.col("_text"))).alias("n_sentences")
     rest = bloom.may_hold(docs, filled, "_place", keep=False)
     rest = rest.select("_row.*", F.col("_text").alias(text_col), count, F.lit(0).cast("long").alias("n_removed"))
     touched = bloom.may_hold(docs, filled, "_place").join(later.withColumnRenamed("place", "_later"), F.col("_place") == F.col("_later"), "left")
