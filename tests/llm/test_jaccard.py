@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import jaccard
@@ -54,7 +55,7 @@ def varied(rnd, base, edits):
 @pytest.mark.parametrize("seed", range(2))
 def test_against_brute_force(spark, odd_docs, seed):
     rnd = random.Random(seed)
-    rows = [(r[0], r[1]) for r in odd_docs if len(r[1] or "") < 20_000]
+    rows = [(r[0], r[1]) for r in odd_docs]
     many = [f"w{i}" for i in range(400)]
     for size in (3, 5, 8, 9, 12, 15, 20, 40, 90, 200):
         for _ in range(4):
@@ -76,6 +77,46 @@ def test_chains_and_common_passages(spark):
     assert out == brute(rows) and {r[2] for r in out if r[0] < 60} == {0}
 
 
+@pytest.mark.parametrize("block", [512, 40])
+def test_texts_of_one_template_make_few_candidates(spark, monkeypatch, block):
+    """Two words changed in each row: most rows share a key with all others and are similar to none of them."""
+    monkeypatch.setattr(jaccard.JaccardJoin, "BLOCK", block)
+    rnd = random.Random(5)
+    many = [f"w{i}" for i in range(5000)]
+    base = [rnd.choice(many) for _ in range(100)]
+    pairs = {}
+    for n in (200, 800):
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for j in rnd.sample(range(100), 2):
+                words[j] = rnd.choice(many)
+            rows.append((i, " ".join(words)))
+        join = jaccard.JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert got(join.result(counted=False)) == brute(rows)
+        made = lambda name: spark.read.parquet(f"{join.scratch.path}/{name}").count()
+        pairs[n] = made("star_pairs") + made("across_pairs")
+        assert made("star_pairs") < 2 * n and made("across_pairs") < n + 2 * made("across_links")  # of n * n / 2 that meet
+
+
+def test_sketches_never_hide_a_pair():
+    rnd = np.random.default_rng(3)
+    sets = []
+    for n in (4, 31, 32, 33, 60, 200, 1000):
+        a = np.unique(rnd.integers(0, 2**63, n, dtype=np.uint64))
+        sets += [a, a[: max(4, n * 4 // 5)], np.unique(np.concatenate([a[: n * 9 // 10], rnd.integers(0, 2**63, n // 10, dtype=np.uint64)])), np.unique(rnd.integers(0, 2**63, n, dtype=np.uint64))]
+    n = np.array([len(s) for s in sets])
+    x, y = np.triu_indices(len(sets), 1)
+    fit = 100 * np.minimum(n[x], n[y]) >= 80 * np.maximum(n[x], n[y])
+    x, y = x[fit], y[fit]
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(x, y)])
+    alike = 100 * both >= 80 * (n[x] + n[y] - both)
+    for rows in (pa.array([jaccard.sketch(s) for s in sets]), pa.array([b"skipped", *(jaccard.sketch(s) for s in sets)]).slice(1)):
+        passed = jaccard.may_be_similar(rows, n, x, y, 80, step=500)
+        assert (passed | ~alike).all() and alike.any() and (~passed).any()
+    assert jaccard.sketch(np.arange(300, dtype=np.uint64) << np.uint64(20)) == b""  # more in one counter than a byte holds
+
+
 def test_light_and_heavy_keys_meet():
     rnd = np.random.default_rng(0)
     counts = np.zeros(jaccard.COUNTERS, dtype=np.uint32)

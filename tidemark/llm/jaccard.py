@@ -9,66 +9,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BlockedBloom, Scratch, placed
+from tidemark.llm.common import ODD, BlockedBloom, Scratch, give_back, mix, placed, spread_join, words_of_worker
 from tidemark.llm.components import components
 
-#: Odd multipliers of the words of a shingle, and of the finishing mix.
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165], dtype=np.uint64)
 #: The subsets' size.
 SUBSET = 2
 COUNTERS, SLICES = 1 << 20, 64
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * _ODD[1]
-    h = (h ^ (h >> np.uint64(29))) * _ODD[2]
-    return h ^ (h >> np.uint64(32))
-
-
-class Words:
-    """64-bit hashes of words (bytes), remembered up to ``most`` at a time."""
-
-    def __init__(self, most: int = 250_000):
-        import xxhash
-
-        digest = xxhash.xxh3_64_intdigest
-
-        class Known(dict):
-            def __missing__(self, word: bytes) -> int:
-                h = digest(word)
-                if len(word) < 64:
-                    if len(self) >= most:
-                        self.clear()
-                    self[word] = h
-                return h
-
-        self.known = Known()
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()  # of bytes: A-Z only, ASCII white space only
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
-_words: list[Words] = []
-
-
-def words_of_worker() -> Words:
-    if not _words:
-        _words.append(Words())
-    return _words[0]
-
-
 def shingles(words: np.ndarray, k: int = 5) -> np.ndarray:
     """Sorted hashes of the distinct k-word shingles; of fewer words, the whole sequence as one; of none, none."""
     if not len(words):
         return words
     with np.errstate(over="ignore"):
         if len(words) < k:
-            return mix((words * _ODD[: len(words)]).sum(keepdims=True) + _ODD[9] * np.uint64(len(words)))
+            return mix((words * ODD[: len(words)]).sum(keepdims=True) + ODD[9] * np.uint64(len(words)))
         n = len(words) - k + 1
         h = np.zeros(n, dtype=np.uint64)
         for j in range(k):
-            h += words[j : j + n] * _ODD[j]
+            h += words[j : j + n] * ODD[j]
         return np.unique(mix(h))
 
 
@@ -123,7 +82,7 @@ def signature_keys(own: np.ndarray, counts: np.ndarray, percent: int, light: int
     i, j = np.triu_indices(len(rare), 1)
     with np.errstate(over="ignore"):
         low, high = np.minimum(rare[i], rare[j]), np.maximum(rare[i], rare[j])
-        pairs = mix(low * _ODD[5] + high * _ODD[6])
+        pairs = mix(low * ODD[5] + high * ODD[6])
     if 100 * n < percent * (light + 1):
         return pairs, np.ones(len(pairs), dtype=bool), (j - 1).astype(np.int32)
     return (
@@ -150,6 +109,7 @@ def _count(docs: DataFrame, text_col: str, k: int, scratch: Scratch) -> np.ndarr
         for i, part in enumerate(np.split(counts.astype("<u8"), SLICES)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.astype("<u4").tobytes()], pa.binary())], ["slice", "counts"])
+        give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -167,6 +127,55 @@ def _count(docs: DataFrame, text_col: str, k: int, scratch: Scratch) -> np.ndarr
     return total.ravel()
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """How many shingles fall into each of some four times as many counters, by their last bits; empty if that is more than a byte holds.
+
+    The lesser counters of two sets add up to no less than what they share."""
+    size = 1 << max(5, min(18, int(len(own)).bit_length() + 2))
+    counts = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def may_be_similar(sketches: pa.Array, n: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int, step: int = 1 << 22) -> np.ndarray:
+    """Whether the sketches of rows x and y leave it possible that their sets of n[x] and n[y] shingles are similar.
+
+    Larger sketches fold onto the size of smaller ones; all are folded to an eighth first, which few pairs pass."""
+    data = np.frombuffer(sketches.buffers()[2] or b"", dtype=np.uint8)
+    ends = np.frombuffer(sketches.buffers()[1], dtype=np.int32)[sketches.offset : sketches.offset + len(sketches) + 1].astype(np.int64)
+    sizes = np.diff(ends)
+    out = np.ones(len(x), dtype=bool)
+    small, large = np.where(sizes[x] <= sizes[y], x, y), np.where(sizes[x] <= sizes[y], y, x)
+    kinds = sizes[small] << 32 | sizes[large]
+    at = np.empty(len(sizes), dtype=np.int64)
+
+    def folded(rows: np.ndarray, size: int) -> np.ndarray:
+        """A row of ``size`` counters for each of these rows, whose sketches have one size; ``at`` then says where."""
+        at[rows] = np.arange(len(rows))
+        own = int(sizes[rows[0]])
+        return np.stack([data[ends[r] : ends[r] + own].reshape(-1, size).sum(axis=0, dtype=np.uint16) for r in rows])
+
+    for kind in np.unique(kinds):
+        a = int(kind) >> 32
+        for size in (a // 8, a) if a else ():
+            pairs = np.flatnonzero((kinds == kind) & out)
+            if not len(pairs):
+                break
+            left, left_at = folded(np.unique(small[pairs]), size), at[small[pairs]]
+            right, right_at = folded(np.unique(large[pairs]), size), at[large[pairs]]
+            for i in range(0, len(pairs), max(1, step // size)):
+                j = slice(i, i + max(1, step // size))
+                most = np.minimum(left[left_at[j]], right[right_at[j]]).sum(axis=1, dtype=np.int64)
+                some = pairs[j]
+                out[some] = 100 * most >= percent * (n[x[some]] + n[y[some]] - most)
+    return out
+
+
+def fitting(n_x, n_y, pos_x, pos_y, percent: int):
+    """Sizes and places allow the pair: of n shingles, n - overlap may stand before the first common one."""
+    overlap = -(-percent * (n_x + n_y) // (100 + percent))
+    return (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y)) & (pos_x <= n_x - overlap) & (pos_y <= n_y - overlap)
+
+
 def similar_pairs(owns: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
     """Whether each of the sets ``left`` is similar to each of ``right``: their overlaps are products of the sets' 0-1 matrix, 2048 shingles at a time."""
     sizes = np.array([len(o) for o in owns], dtype=np.int64)
@@ -204,6 +213,7 @@ class JaccardJoin:
 
     #: A block of a component has about so many classes and shingles at most.
     BLOCK, BLOCK_SHINGLES = 512, 2_000_000
+    FEW = 8
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80):
         self.id_col, self.text_col, self.k, self.percent = id_col, text_col, k, percent
@@ -211,7 +221,7 @@ class JaccardJoin:
         self.docs = placed(docs.select(id_col, text_col))
 
     def _members(self) -> DataFrame:
-        """uid, place, id, n, digest of the set, the keys with their flags, and the mean counter of the shingles."""
+        """uid, place, id, n, digest of the set, the keys with their flags, the mean counter of the shingles and their sketch."""
         counts = _count(self.docs, self.text_col, self.k, self.scratch)
         light, percent, k = boundary(counts, self.percent), self.percent, self.k
         shared = self.docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))
@@ -223,7 +233,7 @@ class JaccardJoin:
             for batch in batches:
                 for at in range(0, len(batch), 1000):
                     some = batch.slice(at, 1000)
-                    n, digests, keys, free, pos, typical = [], [], [], [], [], []
+                    n, digests, keys, free, pos, typical, sketches = [], [], [], [], [], [], []
                     for text in some.column(2).to_pylist():
                         own = shingles(words(text), k) if text else np.zeros(0, dtype=np.uint64)
                         n.append(len(own))
@@ -232,28 +242,30 @@ class JaccardJoin:
                         keys.append(a)
                         free.append(b)
                         pos.append(c)
+                        sketches.append(sketch(own) if len(own) >= 4 else b"")
                         typical.append(int(order[(own >> np.uint64(44)).astype(np.int64)].mean()) if len(own) else 0)
                     ends = pa.array(np.concatenate([[0], np.cumsum([len(a) for a in keys])]).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
                         [
                             some.column(0), some.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
                             pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(free))),
-                            pa.ListArray.from_arrays(ends, pa.array(np.concatenate(pos))), pa.array(typical, pa.int64()),
+                            pa.ListArray.from_arrays(ends, pa.array(np.concatenate(pos))), pa.array(typical, pa.int64()), pa.array(sketches, pa.binary()),
                         ],
-                        ["place", "id", "n", "digest", "keys", "free", "pos", "typical"],
+                        ["place", "id", "n", "digest", "keys", "free", "pos", "typical", "sketch"],
                     )
+            give_back()
 
         told = self.docs.select(F.col("_place").alias("place"), F.col(self.id_col).alias("id"), F.col(self.text_col).cast("binary").alias("text"))
         kind = self.docs.schema[self.id_col].dataType.simpleString()
-        rows = told.mapInArrow(sets, f"place string, id {kind}, n long, digest binary, keys array<long>, free array<boolean>, pos array<int>, typical long")
+        rows = told.mapInArrow(sets, f"place string, id {kind}, n long, digest binary, keys array<long>, free array<boolean>, pos array<int>, typical long, sketch binary")
         return self.scratch.write(rows.withColumn("uid", F.monotonically_increasing_id()), "sets")
 
     def _lists(self, sets: DataFrame) -> DataFrame:
         """(key, uid, n, typical, free, pos) of the keys that more than one class has."""
         told = sets.where("n >= 4").select("digest", "uid")
-        classes = told.groupBy("digest").agg(F.min("uid").alias("first"))
+        classes = told.groupBy("digest").agg(F.min("uid").alias("uid"))
         # what goes is written: if that is small, the rows with the keys are not shuffled for it
-        copies = self.scratch.write(told.join(classes, "digest").where("uid <> first").select("uid"), "copies")
+        copies = self.scratch.write(told.select("uid").join(classes.select("uid"), "uid", "left_anti"), "copies")
         single = sets.where("n >= 4").join(copies, "uid", "left_anti").select("uid", "n", "typical", F.explode(F.arrays_zip("keys", "free", "pos")).alias("k"))
         rows = single.select(F.col("k.keys").alias("key"), "uid", F.col("n").cast("int").alias("n"), "typical", F.col("k.free").alias("free"), F.col("k.pos").alias("pos"))
 
@@ -365,16 +377,18 @@ class JaccardJoin:
         """(sets, links): the rows with their sets' digests; verified links between classes (a, b: uids) that connect what is connected."""
         sets = self._members()
         lists = self._lists(sets)
+        sketches = sets.select("uid", "sketch")
         sets = sets.select("uid", "place", "id", "n", "digest")
         columns = ("n", "free", "pos")
 
         def fits(x, y):
-            """Sizes and places allow the pair: of n shingles, n - overlap may stand before the first common one."""
+            """As ``fitting``, and not two light sets on a single shingle."""
             overlap = F.ceil(F.lit(self.percent) * (x["n"] + y["n"]) / (100 + self.percent))
             return (100 * F.least(x["n"], y["n"]) >= self.percent * F.greatest(x["n"], y["n"])) & (x["free"] | y["free"]) & (x["pos"] <= x["n"] - overlap) & (y["pos"] <= y["n"] - overlap)
 
-        leader = lists.groupBy("key").agg(F.min(F.struct((-F.col("typical")).alias("rest"), "uid", *columns)).alias("first"))
-        stars = lists.join(leader, "key").where(F.col("uid") != F.col("first.uid"))
+        leader = lists.groupBy("key").agg(F.min(F.struct((-F.col("typical")).alias("rest"), "uid", *columns)).alias("first"), F.count(F.lit(1)).alias("m"))
+        leader = self.scratch.write(leader, "leaders")
+        stars = spread_join(lists, leader, "key", "m").where(F.col("uid") != F.col("first.uid"))
         stars = stars.where(fits({c: F.col(f"first.{c}") for c in columns}, {c: F.col(c) for c in columns}))
         stars = stars.select(F.least("first.uid", "uid").alias("a"), F.greatest("first.uid", "uid").alias("b")).distinct()
         stars = self.scratch.write(stars, "stars")
@@ -382,15 +396,64 @@ class JaccardJoin:
         roots = self.scratch.write(components(first, self.scratch, "first"), "first_roots")
         marked = lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
         marked = self.scratch.write(marked, "marked")
-        mixed = marked.groupBy("key").agg((F.min("root") != F.max("root")).alias("mixed")).where("mixed").select("key")
-        open_lists = self.scratch.write(marked.join(mixed, "key", "left_semi"), "open")
-        x, y = open_lists.alias("x"), open_lists.alias("y")
+        mixed = marked.groupBy("key").agg((F.min("root") != F.max("root")).alias("mixed"), F.count(F.lit(1)).alias("m")).where("mixed").select("key", "m")
+        open_lists = self.scratch.write(spread_join(marked, self.scratch.write(mixed, "mixed"), "key", "m"), "open")
+        few = open_lists.where(F.col("m") <= self.FEW)
+        x, y = few.alias("x"), few.alias("y")
         of = lambda s: {c: F.col(f"{s}.{c}") for c in columns}
         across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & fits(of("x"), of("y")))
-        across = across.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-        second = self._verified(across, sets, "across")
+        across = across.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b"))
+        across = across.unionByName(self._possible(open_lists.where(F.col("m") > self.FEW), sketches))
+        second = self._verified(across.distinct().join(stars, ["a", "b"], "left_anti"), sets, "across")
         return sets, first.unionByName(second)
 
+    def _possible(self, lists: DataFrame, sketches: DataFrame) -> DataFrame:
+        """(a, b): pairs of classes from different components that meet on a key and whose sketches may be those of similar sets.
+
+        A key's classes are dealt into blocks; each block meets each other one in a task's memory, where the pairs are compared."""
+        parts = F.ceil(F.col("m") / self.BLOCK)
+        dealt = lists.join(sketches, "uid").withColumn("part", F.pmod(F.xxhash64("uid"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        met = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "uid", "root", "n", "free", "pos", "sketch")
+        percent = self.percent
+
+        def compare(rows: pa.Table) -> pa.RecordBatch:
+            key, i, j, part, uid, root, n, free, pos = (rows.column(c).to_numpy() for c in range(9))
+            group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))])
+            n, pos, found = n.astype(np.int64), pos.astype(np.int64), []
+            x = np.arange(len(group))
+            for step in range(1, len(group)):
+                x = x[x + step < len(group)]
+                x = x[group[x] == group[x + step]]
+                if not len(x):
+                    break
+                y = x + step
+                fits = (root[x] != root[y]) & ((i[x] == j[x]) | (part[x] != part[y])) & (free[x] | free[y]) & fitting(n[x], n[y], pos[x], pos[y], percent)
+                found.append(np.stack([x[fits], y[fits]]))
+            x, y = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+            left = may_be_similar(rows.column(9).combine_chunks(), n, x, y, percent)
+            x, y = uid[x[left]], uid[y[left]]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []  # the last group, which may go on in the next batch
+            for batch in batches:
+                if not len(batch):
+                    continue
+                last = [c[len(batch) - 1].as_py() for c in batch.columns[:3]]
+                same = np.logical_and.reduce([c.to_numpy() == v for c, v in zip(batch.columns[:3], last)])
+                begin = int(np.argmax(same))
+                if begin or (held and [c[0].as_py() for c in held[0].columns[:3]] != last):
+                    whole = pa.Table.from_batches([*held, batch.slice(0, begin)])
+                    held = []
+                    if len(whole):
+                        yield compare(whole)
+                held.append(batch.slice(begin))
+            if held:
+                yield compare(pa.Table.from_batches(held))
+            give_back()
+
+        return met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
+
     def _degrees(self, sets: DataFrame, roots: DataFrame) -> DataFrame:
         """(uid, n_links) of the classes in components; of two classes alone each has one link."""
         pair = roots.groupBy("root").agg(F.count(F.lit(1)).alias("classes"), F.min("node").alias("a"), F.max("node").alias("b")).where("classes = 2")
@@ -409,11 +472,12 @@ class JaccardJoin:
         if counted:
             degree = self._degrees(sets, roots)
         filled = sets.where("n > 0")
-        classes = filled.groupBy("digest").agg(F.min("uid").alias("class"), F.min("id").alias("least"))
+        classes = filled.groupBy("digest").agg(F.min("uid").alias("class"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
         rooted = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-        whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-        told = rooted.join(whole, "root").join(degree.withColumnRenamed("uid", "class"), "class", "left").select("digest", "root", "component_id", "n_links")
-        some = filled.join(told, "digest").select("place", "id", "n", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        rooted = self.scratch.write(rooted.join(degree.withColumnRenamed("uid", "class"), "class", "left"), "rooted")
+        whole = self.scratch.write(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes")), "whole")
+        told = self.scratch.write(spread_join(rooted, whole, "root", "classes").select("digest", "root", "component_id", "n_links", "copies"), "told")
+        some = spread_join(filled, told, "digest", "copies").select("place", "id", "n", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
         none = sets.where("n = 0").select("place", "id", "n", F.lit(None).cast("long").alias("root"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
         return some.unionByName(none).select("place", F.col("id").alias(self.id_col), F.col("n").alias("n_shingles"), "root", "component_id", "n_links")
 
@@ -422,9 +486,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of docs of which each component keeps one: that of the smallest id (null ids last), then of the first place."""
     docs = placed(docs)
     join = JaccardJoin(docs.drop("_place"), id_col, text_col)
-    rows = join._grouped(counted=False).where("n_shingles > 0")
+    rows = join.scratch.write(join._grouped(counted=False).where("n_shingles > 0"), "grouped")
     order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col), F.col("place"))
-    stays = rows.groupBy("root").agg(F.min(order).alias("best"))
-    out = rows.join(stays, "root").where(order != F.col("best")).select(F.col("place").alias("_out"))
+    stays = rows.groupBy("root").agg(F.min(order).alias("best")).select("best.place")
+    out = rows.select("place").join(stays, "place", "left_anti").withColumnRenamed("place", "_out")
     out = join.scratch.sent(join.scratch.write(out, "out"), "out")
     return docs.join(out, F.col("_place") == F.col("_out"), "left_anti").drop("_place")

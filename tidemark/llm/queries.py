@@ -36,17 +36,18 @@ def op2_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
-    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
 OP3_SQL = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
+n AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY q) AS copy FROM v),
 s AS (
   SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+  FROM n a JOIN n b ON a.vec_id % 20 = 0 AND a.copy = 1 AND len(a.q) = len(b.q) AND (a.vec_id <> b.vec_id OR b.copy > 1)
 ),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
