@@ -10,6 +10,7 @@ from tidemark.functions.keys import as_datetime, survivor_order
 from tidemark.operators import dedup, features
 from tidemark.operators.merge import missing_rows
 from tidemark.plans.registry import TableSpec
+from tidemark.sources.store import ReservedName
 from tidemark.streaming.flows import Flow
 
 USAGE = "record_id string, usage_date date, tag string"
@@ -84,9 +85,24 @@ def test_null_keys_are_equal(spark, store):
     assert t.read().count() == 2
     assert dedup.count_keys(df.unionByName(df), ["listing_id", "consumer_email"]) == (4, 2)
     assert tuple(dedup.count_keys_by_struct(df.unionByName(df), ["listing_id", "consumer_email"]).first()) == (4, 2)
-    with pytest.raises(dedup.DuplicateKeys):
-        dedup.check_unique("s.t", 4, 2)
-    dedup.check_unique("s.t", 10, 10)
+
+
+def test_a_rewrite_that_leaves_duplicates_is_not_committed(spark, store, monkeypatch):
+    t = store.table("s", "t")
+    rows = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
+    t.append(rows)
+    monkeypatch.setattr(dedup, "dedup_frame", lambda df, keys, order: df)
+    with pytest.raises(dedup.DuplicateKeys, match="s.t: 2 rows but 1 distinct"):
+        dedup.dedup_table(t, "s.t", ["k"], "v")
+    assert t.version() == 0 and t.read().count() == 2
+
+
+def test_columns_may_have_any_name_but_the_tables_own(spark, store):
+    df = spark.createDataFrame([(1, 5, 7), (1, 4, 7)], "k int, _row_num int, place int")
+    assert [tuple(r) for r in dedup.dedup_frame(df, ["k"], survivor_order("_row_num", None)).collect()] == [(1, 5, 7)]
+    for name in ("_row_id", "__stored_row_id"):
+        with pytest.raises(ReservedName, match=name):
+            store.table("s", "t").append(df.withColumnRenamed("place", name))
 
 
 def test_a_null_tiebreaker_loses(spark):

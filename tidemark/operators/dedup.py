@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,8 +13,6 @@ from tidemark.functions.keys import key_struct, survivor_order
 from tidemark.operators.features import row_tracking_enabled
 from tidemark.sources.store import ROW_ID, ArchiveTable
 
-_PLACE = "_row_num"
-
 
 class DuplicateKeys(RuntimeError):
     """A table has more rows than keys."""
@@ -30,8 +29,9 @@ def has_duplicates(df: DataFrame, keys: list[str]) -> bool:
 
 def dedup_frame(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first by ``order``. Spark keeps one row a key and task before the shuffle (WindowGroupLimit)."""
+    place = f"place_{uuid.uuid4().hex}"  # no column of the caller's is called that
     first = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(_PLACE, first).where(F.col(_PLACE) == 1).drop(_PLACE)
+    return df.withColumn(place, first).where(F.col(place) == 1).drop(place)
 
 
 def count_keys(df: DataFrame, keys: list[str]) -> tuple[int, int]:
@@ -48,11 +48,6 @@ def count_keys_by_struct(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows"), F.count_distinct(key_struct(keys)).alias("distinct_keys"))
 
 
-def check_unique(table: str, rows: int, keys: int) -> None:
-    if rows != keys:
-        raise DuplicateKeys(f"{table}: {rows} rows but {keys} distinct keys after dedup")
-
-
 def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str, newest_version_wins: bool = False) -> dict:
     """Dedups a table in place and returns its report.
 
@@ -74,7 +69,8 @@ def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str
 
     def verify(written: DataFrame) -> None:
         rows, distinct = count_keys(written, keys)
-        check_unique(name, rows, distinct)
+        if rows != distinct:
+            raise DuplicateKeys(f"{name}: {rows} rows but {distinct} distinct keys after dedup")
         after.append(rows)
 
     # the rows of a key are together: sorted by key, files can be skipped by later filters

@@ -31,54 +31,80 @@ class TableSpec:
         return self.tiebreaker
 
 
-def builtin(request_id: str = "request_id") -> list[TableSpec]:
-    """The tables the engine knows. ``request_id`` names the key of serving.endpoint_usage, which has the platform's own name in it."""
-    out: list[TableSpec] = []
-    # Keys > tiebreaker of the streamed tables; ! the newest version wins, * the other wire format.
-    for line in f"""
-        access.audit: event_id > event_time
-        access.clean_room_events: event_id > event_time
-        access.inbound_network: event_id > event_time *
-        access.outbound_network: event_id > event_time
-        access.column_lineage: record_id > event_time
-        access.table_lineage: record_id > event_time
-        billing.usage: record_id > usage_date
-        serving.endpoint_usage: {request_id} > request_time
-        sharing.materialization_history: sharing_materialization_id > created_at
-        mlflow.run_metrics_history: record_id > insert_time
-        mlflow.experiments_latest: workspace_id, experiment_id > update_time !
-        mlflow.runs_latest: workspace_id, run_id > update_time !
-        compute.clusters: workspace_id, cluster_id, change_time > change_time
-        compute.warehouses: workspace_id, warehouse_id, change_time > change_time
-        lakeflow.jobs: workspace_id, job_id, change_time > change_time
-        lakeflow.pipelines: workspace_id, pipeline_id, change_time > change_time
-        lakeflow.job_tasks: workspace_id, job_id, task_key, change_time > change_time
-        serving.served_entities: served_entity_id, change_time > change_time
-        lakeflow.job_run_timeline: workspace_id, run_id, period_start_time > period_start_time
-        lakeflow.job_task_run_timeline: workspace_id, run_id, period_start_time > period_start_time
-        lakeflow.pipeline_update_timeline: workspace_id, update_id, period_start_time > period_start_time *
-        compute.warehouse_events: workspace_id, warehouse_id, event_type, event_time > event_time
-        marketplace.listing_funnel_events: listing_id, event_type, event_time, consumer_cloud, consumer_region > event_time
-        marketplace.listing_access_events: listing_id, event_type, event_time, consumer_email > event_time
-        compute.node_timeline: cluster_id, instance_id, start_time > start_time
-        lakeflow.zerobus_stream: stream_id > event_time *!
-        lakeflow.zerobus_ingest: stream_id, commit_version > commit_time *
-    """.strip().splitlines():
-        name, rest = line.strip().split(": ")
-        keys, tail = rest.split(" > ")
-        tiebreaker, *flags = tail.split(" ")
-        schema, table = name.split(".")
-        options = {"responseFormat": "delta"} if "*" in "".join(flags) else {}
-        out.append(TableSpec(schema, table, STREAM, tuple(keys.split(", ")), tiebreaker, "!" in "".join(flags), options))
-    # Keys and high-water-mark columns of the merged tables.
-    for schema, table, keys, mark in (
-        ("query", "history", ("statement_id",), "end_time"),
-        ("data_classification", "results", ("catalog_name", "schema_name", "table_name", "column_name", "class_tag"), "latest_detected_time"),
-        ("access", "assistant_events", ("event_id",), "event_time"),
-        ("storage", "predictive_optimization_operations_history", ("operation_id",), "start_time"),
-    ):
-        out.append(TableSpec(schema, table, WATERMARK, keys, mark))
-    # The tables that are replaced outright.
-    for name in ("billing.list_prices", "billing.account_prices", "billing.cloud_infra_cost", "compute.node_types", "access.workspaces_latest", "data_quality_monitoring.table_results"):
-        out.append(TableSpec(*name.split("."), OVERWRITE))
+#: Stands for the one column that ends in this, the caller's own (CLIENT) aside: the platform's name comes before it.
+REQUEST_KEY, CLIENT = "*_request_id", "client_request_id"
+#: The read option of tables that come in the other wire format.
+WIRE = {"responseFormat": "delta"}
+
+
+def keys_in(spec: TableSpec, columns: list[str]) -> list[str]:
+    """The spec's natural keys as columns of a table; raises KeyError if REQUEST_KEY has no or no single column."""
+    out = []
+    for key in spec.natural_keys:
+        if key == REQUEST_KEY:
+            fits = [c for c in columns if c.endswith(REQUEST_KEY[1:]) and c != CLIENT]
+            if len(fits) != 1:
+                raise KeyError(f"{spec.name}: {len(fits)} columns fit {REQUEST_KEY}")
+            key = fits[0]
+        out.append(key)
     return out
+
+
+# Natural keys and tiebreakers of the streamed tables, by kind; which of them keep the newest version; wire formats.
+STREAMED = [
+    # events with an id of their own
+    TableSpec("access", "audit", STREAM, ("event_id",), "event_time"),
+    TableSpec("access", "column_lineage", STREAM, ("record_id",), "event_time"),
+    TableSpec("access", "table_lineage", STREAM, ("record_id",), "event_time"),
+    TableSpec("access", "clean_room_events", STREAM, ("event_id",), "event_time"),
+    TableSpec("access", "inbound_network", STREAM, ("event_id",), "event_time", read_options=WIRE),
+    TableSpec("access", "outbound_network", STREAM, ("event_id",), "event_time"),
+    TableSpec("billing", "usage", STREAM, ("record_id",), "usage_date"),
+    TableSpec("serving", "endpoint_usage", STREAM, (REQUEST_KEY,), "request_time"),
+    TableSpec("sharing", "materialization_history", STREAM, ("sharing_materialization_id",), "created_at"),
+    TableSpec("mlflow", "run_metrics_history", STREAM, ("record_id",), "insert_time"),
+    # latest states
+    TableSpec("mlflow", "experiments_latest", STREAM, ("workspace_id", "experiment_id"), "update_time", newest_version_wins=True),
+    TableSpec("mlflow", "runs_latest", STREAM, ("workspace_id", "run_id"), "update_time", newest_version_wins=True),
+    # slowly changing dimensions
+    TableSpec("compute", "clusters", STREAM, ("workspace_id", "cluster_id", "change_time"), "change_time"),
+    TableSpec("compute", "warehouses", STREAM, ("workspace_id", "warehouse_id", "change_time"), "change_time"),
+    TableSpec("lakeflow", "jobs", STREAM, ("workspace_id", "job_id", "change_time"), "change_time"),
+    TableSpec("lakeflow", "job_tasks", STREAM, ("workspace_id", "job_id", "task_key", "change_time"), "change_time"),
+    TableSpec("lakeflow", "pipelines", STREAM, ("workspace_id", "pipeline_id", "change_time"), "change_time"),
+    TableSpec("serving", "served_entities", STREAM, ("served_entity_id", "change_time"), "change_time"),
+    # timelines
+    TableSpec("lakeflow", "job_run_timeline", STREAM, ("workspace_id", "run_id", "period_start_time"), "period_start_time"),
+    TableSpec("lakeflow", "job_task_run_timeline", STREAM, ("workspace_id", "run_id", "period_start_time"), "period_start_time"),
+    TableSpec("lakeflow", "pipeline_update_timeline", STREAM, ("workspace_id", "update_id", "period_start_time"), "period_start_time", read_options=WIRE),
+    # events without an id
+    TableSpec("compute", "warehouse_events", STREAM, ("workspace_id", "warehouse_id", "event_type", "event_time"), "event_time"),
+    TableSpec("marketplace", "listing_funnel_events", STREAM, ("listing_id", "event_type", "event_time", "consumer_cloud", "consumer_region"), "event_time"),
+    TableSpec("marketplace", "listing_access_events", STREAM, ("listing_id", "event_type", "event_time", "consumer_email"), "event_time"),
+    # metric snapshots
+    TableSpec("compute", "node_timeline", STREAM, ("cluster_id", "instance_id", "start_time"), "start_time"),
+    # internal tables
+    TableSpec("lakeflow", "zerobus_stream", STREAM, ("stream_id",), "event_time", newest_version_wins=True, read_options=WIRE),
+    TableSpec("lakeflow", "zerobus_ingest", STREAM, ("stream_id", "commit_version"), "commit_time", read_options=WIRE),
+]
+# Keys and high-water-mark columns of the merged tables.
+MERGED = [
+    TableSpec("query", "history", WATERMARK, ("statement_id",), "end_time"),
+    TableSpec("data_classification", "results", WATERMARK, ("catalog_name", "schema_name", "table_name", "column_name", "class_tag"), "latest_detected_time"),
+    TableSpec("access", "assistant_events", WATERMARK, ("event_id",), "event_time"),
+    TableSpec("storage", "predictive_optimization_operations_history", WATERMARK, ("operation_id",), "start_time"),
+]
+# The tables that are replaced outright.
+REPLACED = [
+    TableSpec("billing", "list_prices", OVERWRITE),
+    TableSpec("billing", "account_prices", OVERWRITE),
+    TableSpec("billing", "cloud_infra_cost", OVERWRITE),
+    TableSpec("compute", "node_types", OVERWRITE),
+    TableSpec("access", "workspaces_latest", OVERWRITE),
+    TableSpec("data_quality_monitoring", "table_results", OVERWRITE),
+]
+
+
+def builtin() -> list[TableSpec]:
+    """The tables the engine knows."""
+    return [*STREAMED, *MERGED, *REPLACED]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,7 +17,7 @@ from tidemark.operators.features import ensure_features
 from tidemark.operators.freshness import check_table
 from tidemark.operators.merge import process_overwrite_table, process_watermark_table
 from tidemark.plans.config import EngineConfig
-from tidemark.plans.registry import OVERWRITE, STREAM, WATERMARK, TableSpec
+from tidemark.plans.registry import OVERWRITE, STREAM, WATERMARK, TableSpec, keys_in
 from tidemark.sources.store import ArchiveStore
 
 #: One schema for the reports of all kinds of tasks.
@@ -28,32 +29,40 @@ class TablesFailed(RuntimeError):
     """Some tables failed; the others have been processed."""
 
 
-def process_all(specs: Iterable[TableSpec], process: Callable[[TableSpec], dict], at_once: int = 1) -> list[dict]:
-    """A report per table; an exception becomes the report of its table. Tables are independent: ``at_once`` of them run side by side."""
+class RunReport(list):
+    """What became of each table of a run, in the order of the tables; a failure is a report like others until ``settle``."""
 
-    def one(spec: TableSpec) -> dict:
-        began = time.monotonic()
-        try:
-            return process(spec)
-        except Exception as e:
-            return {"table": spec.name, "status": FAILED, "error": str(e) or type(e).__name__, "elapsed_s": time.monotonic() - began}
-
-    with ThreadPoolExecutor(max(1, at_once)) as pool:
-        return list(pool.map(one, specs))
+    @classmethod
+    def of(cls, specs: Iterable[TableSpec], work: Callable[[TableSpec], dict], at_once: int = 1) -> RunReport:
+        """Works on all tables, ``at_once`` of them side by side."""
 
+        def attempt(spec: TableSpec) -> dict:
+            began = time.monotonic()
+            try:
+                return work(spec)
+            except Exception as e:
+                return {"table": spec.name, "status": FAILED, "error": str(e) or type(e).__name__, "elapsed_s": time.monotonic() - began}
 
-def failed_results(results: list[dict]) -> list[dict]:
-    return [r for r in results if r["status"] == FAILED]
+        with ThreadPoolExecutor(max(1, at_once)) as pool:
+            return cls(pool.map(attempt, specs))
 
+    @property
+    def failures(self) -> dict[str, str]:
+        return {r["table"]: r.get("error") for r in self if r["status"] == FAILED}
 
-def raise_if_failed(results: list[dict]) -> None:
-    if bad := failed_results(results):
-        raise TablesFailed(f"{len(bad)} of {len(results)} tables failed: " + "; ".join(f"{r['table']}: {r.get('error')}" for r in bad))
+    def settle(self) -> RunReport:
+        """Raises if a table failed, and names them all."""
+        if self.failures:
+            raise TablesFailed(f"{len(self.failures)} of {len(self)} tables failed: " + "; ".join(f"{t}: {e}" for t, e in self.failures.items()))
+        return self
 
+    def frame(self, spark: SparkSession) -> DataFrame:
+        names = [c.split(" ")[0] for c in RESULTS.split(", ")]
+        return spark.createDataFrame([tuple(r.get(n) for n in names) for r in self], RESULTS)
 
-def results_frame(spark: SparkSession, results: list[dict]) -> DataFrame:
-    names = [c.split(" ")[0] for c in RESULTS.split(", ")]
-    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in results], RESULTS)
+    def exit_value(self) -> str:
+        """What the run hands to its scheduler, as JSON."""
+        return json.dumps({"tables": len(self), "by_status": Counter(r["status"] for r in self), "results": self}, default=str)
 
 
 def summary(results: DataFrame) -> DataFrame:
@@ -64,13 +73,6 @@ def summary(results: DataFrame) -> DataFrame:
     )
 
 
-def exit_json(results: list[dict]) -> str:
-    counts: dict[str, int] = {}
-    for r in results:
-        counts[r["status"]] = counts.get(r["status"], 0) + 1
-    return json.dumps({"tables": len(results), "by_status": counts, "results": results}, default=str)
-
-
 # -- what the tasks do ------------------------------------------------------
 
 
@@ -102,37 +104,38 @@ class Engine:
             except Exception as e:
                 self.warnings.append({"table": spec.name, "warning": str(e)})
 
-    def dedup(self, at_once: int = 1) -> list[dict]:
+    def dedup(self, at_once: int = 1) -> RunReport:
         """Dedups all streamed tables, excluded ones too (their rows stay), then turns features on for those that didn't fail.
 
         Raises at the end if a table failed."""
         streamed = [s for s in self.specs if s.strategy == STREAM]
 
         def one(s: TableSpec) -> dict:
-            return {"strategy": "dedup"} | dedup_table(self.store.table(s.schema, s.table), s.name, list(s.natural_keys), s.tiebreaker, s.newest_version_wins)
+            table = self.store.table(s.schema, s.table)
+            keys = keys_in(s, table.snapshot().schema.names) if table.exists() else list(s.natural_keys)
+            return {"strategy": "dedup"} | dedup_table(table, s.name, keys, s.tiebreaker, s.newest_version_wins)
 
-        results = process_all(streamed, one, at_once)
-        bad = {r["table"] for r in failed_results(results)}
-        self._features(s for s in streamed if s.name not in bad)
-        raise_if_failed(results)
-        return results
+        report = RunReport.of(streamed, one, at_once)
+        self._features(s for s in streamed if s.name not in report.failures)
+        return report.settle()
 
-    def batch(self, at_once: int = 1) -> list[dict]:
+    def batch(self, at_once: int = 1) -> RunReport:
         """Merges, then features for merged tables, then replacements. Never raises: failures are in the reports."""
         chosen = [s for s in self.specs if self.config.should_process(s.source)]
 
         def merge(s: TableSpec) -> dict:
             self.store.create_schema(s.schema)
-            return process_watermark_table(self.source(s), self.store.table(s.schema, s.table), s.name, list(s.natural_keys), s.time_column, self.config.watermark_buffer_hours)
+            source = self.source(s)
+            return process_watermark_table(source, self.store.table(s.schema, s.table), s.name, keys_in(s, source.columns), s.time_column, self.config.watermark_buffer_hours)
 
         def replace(s: TableSpec) -> dict:
             self.store.create_schema(s.schema)
             return process_overwrite_table(self.source(s), self.store.table(s.schema, s.table), s.name)
 
         merged = [s for s in chosen if s.strategy == WATERMARK]
-        results = process_all(merged, merge, at_once)
+        report = RunReport.of(merged, merge, at_once)
         self._features(merged)
-        return results + process_all([s for s in chosen if s.strategy == OVERWRITE], replace, at_once)
+        return RunReport([*report, *RunReport.of([s for s in chosen if s.strategy == OVERWRITE], replace, at_once)])
 
     def freshness(self) -> list[dict]:
         """A report per incremental table (those that are replaced outright are not checked)."""

@@ -11,7 +11,7 @@ from tidemark.functions.keys import survivor_order
 from tidemark.operators import dedup, features, freshness, merge
 from tidemark.plans.config import EngineConfig
 from tidemark.plans.registry import OVERWRITE, WATERMARK, TableSpec, builtin
-from tidemark.plans.runner import Engine, process_all, raise_if_failed, results_frame, summary
+from tidemark.plans.runner import Engine, RunReport, TablesFailed, summary
 from tidemark.sources.change_feed import follow
 from tidemark.sources.files import Files, shared_root
 from tidemark.sources.store import ROW_ID, ArchiveStore, ArchiveTable
@@ -127,7 +127,7 @@ def _half(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ArchiveTable]:
 @query(f"SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events WHERE event_id < {HALF}) - INTERVAL 4 HOURS")
 def watermark_incremental_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, table = _half(spark, sf_dir)
-    return merge.incremental_read(events, "ts", merge.high_water_mark(table.read(), "ts"), 4)
+    return merge.incremental_read(events, "ts", merge.high_water_mark(table, "ts"), 4)
 
 
 @query("SELECT * FROM events")
@@ -348,7 +348,7 @@ def freshness_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def freshness_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every state of archive and source."""
-    events = read(spark, sf_dir, "events").limit(50)
+    events = read(spark, sf_dir, "events")
     none = events.where("1 = 0")
     later = lambda hours: events.withColumn("ts", F.lit(str(last)).cast("timestamp_ntz") + F.expr(f"INTERVAL {hours} HOURS"))
     store = new_store(spark)
@@ -420,14 +420,14 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.table("b", "three").append(region)
     specs = [TableSpec("a", "one", natural_keys=("n_nationkey",), tiebreaker="n_name"), TableSpec("a", "two", natural_keys=("r_regionkey",), tiebreaker="r_name")]
     specs += [TableSpec("b", "three", natural_keys=("nothing",), tiebreaker="r_name"), TableSpec("b", "four", natural_keys=("x",), tiebreaker="x")]
-    results = process_all(specs, lambda s: dedup.dedup_table(store.table(s.schema, s.table), s.name, list(s.natural_keys), s.tiebreaker))
+    report = RunReport.of(specs, lambda s: dedup.dedup_table(store.table(s.schema, s.table), s.name, list(s.natural_keys), s.tiebreaker))
     try:
-        raise_if_failed(results)
+        report.settle()
         raise RuntimeError("a failure was lost")
-    except Exception as e:
+    except TablesFailed as e:
         if "b.three" not in str(e):
             raise
-    return summary(results_frame(spark, results)).select("status", "tables", "duplicates_removed")
+    return summary(report.frame(spark)).select("status", "tables", "duplicates_removed")
 
 
 @query("SELECT * FROM (VALUES ('main.events', 'watermark', 'success', (SELECT count(*) FROM events)), ('main.nation', 'overwrite', 'success', (SELECT count(*) FROM nation))) r(tab, strategy, status, rows_read)")
@@ -436,8 +436,7 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [TableSpec("main", "events", WATERMARK, ("event_id",), "ts"), TableSpec("main", "nation", OVERWRITE)]
     engine = Engine(spark, specs, EngineConfig(new_store(spark).root), lambda s: read(spark, sf_dir, s.table))
     engine.setup()
-    rows = engine.batch(at_once=2)
-    return results_frame(spark, rows).select(F.col("table").alias("tab"), "strategy", "status", "rows_read")
+    return engine.batch(at_once=2).frame(spark).select(F.col("table").alias("tab"), "strategy", "status", "rows_read")
 
 
 @query("SELECT count(*) AS rows FROM lineitem")
