@@ -53,6 +53,30 @@ def test_no_source_rows_create_nothing_and_an_empty_archive_is_merged(spark, sto
     assert t.read().count() == 1 and [r.operation for r in t.history().collect()] == ["append", "append"]
 
 
+def test_a_small_batch_moves_nothing_of_the_archive(spark, sf_dir, store):
+    t = store.table("s", "t")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    t.append(lines.withColumn("l_returnflag", F.when(F.col("l_linenumber") == 2, F.lit(None)).otherwise(F.col("l_returnflag"))))
+    keys = ["l_orderkey", "l_linenumber", "l_returnflag"]
+    batch = t.read().limit(20).unionByName(t.read().limit(2).withColumn("l_orderkey", F.lit(-1).cast("long")))
+    small, large = merge.missing_rows(batch, t.read(), keys), merge.missing_rows(batch, t.read(), keys, most_sent=0)
+    plan = small._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "LeftSemi" in plan
+    assert [r.l_orderkey for r in small.collect()] == [r.l_orderkey for r in large.collect()] == [-1, -1]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_the_log_knows_the_latest_times(spark, store, kind, monkeypatch):
+    t = store.table("s", "t")
+    df = spark.createDataFrame([(1, at(5, 1)), (2, dt.datetime(2024, 1, 2, 3, 4, 5, 6)), (3, None)], "k int, t timestamp").withColumn("t", F.col("t").cast(kind))
+    t.append(df.where("k = 3"))
+    assert merge.high_water_mark(t, "t") is None
+    t.append(df.where("k < 3").repartition(2))
+    scanned = merge.high_water_mark(t.read(), "t")
+    monkeypatch.setattr(type(t), "_scan", None)  # no row is read
+    assert merge.high_water_mark(t, "t") == scanned is not None
+
+
 def test_the_null_safe_anti_join_is_hashed(spark):
     a = spark.createDataFrame([(1, "x")], "k int, l string")
     plan = merge.missing_rows(a, a, ["k", "l"])._jdf.queryExecution().executedPlan().toString()

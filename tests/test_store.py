@@ -139,3 +139,15 @@ def test_schemas_are_made_and_dropped(store):
     store.create_schema("x")
     store.drop_schema("x")
     assert not store.table("x", "t").exists()
+
+
+def test_the_feed_shows_the_smallest_change(spark, store):
+    """Microseconds, not-a-number, and maps whose entries only stand in another order."""
+    t = store.table("s", "t")
+    df = spark.sql("SELECT id AS k, timestamp_ntz'2024-01-01 00:00:00.000001' AS ts, CAST('NaN' AS double) AS x, map('a', array(named_struct('m', map(1, 2))), 'b', null) AS m FROM range(4)")
+    t.append(df)
+    t.update(F.col("k") == 0, {"ts": F.col("ts") + F.expr("INTERVAL '0.000005' SECOND")})
+    t.update(F.col("k") == 1, {"m": F.expr("map('b', null, 'a', array(named_struct('m', map(1, 2))))")})  # the same map
+    t.update(F.col("k") == 2, {"m": F.expr("map('b', null, 'a', array(named_struct('m', map(1, 3))))")})
+    got = [(r.k, r._change_type, r._commit_version) for r in t.changes(1).orderBy("_commit_version", "_change_type").collect()]
+    assert got == [(0, "update_postimage", 1), (0, "update_preimage", 1), (2, "update_postimage", 3), (2, "update_preimage", 3)]

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:
@@ -39,3 +40,35 @@ def as_datetime(value: dt.date | dt.datetime | None) -> dt.datetime | None:
     if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
         return dt.datetime.combine(value, dt.time())
     return value
+
+
+def comparable(value: Column, kind: T.DataType) -> Column:
+    """The value with every map in it as its entries in order of their keys, since maps can't be compared."""
+    if isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(comparable(e["key"], kind.keyType).alias("key"), comparable(e["value"], kind.valueType).alias("value")))
+        return F.sort_array(entries)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: comparable(e, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*(comparable(value[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+    return value
+
+
+def has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and has_map(kind.elementType)
+
+
+def bytes_taken(df: DataFrame) -> int:
+    """About what the rows take in memory: texts by their length, nested values by that of their JSON."""
+    taken = F.lit(16)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            taken = taken + 8 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            taken = taken + 8 + 8 * F.octet_length(F.to_json(F.struct(c)))
+        else:
+            taken = taken + 16
+    return int(df.agg(F.sum(taken.cast("long"))).first()[0] or 0)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import as_datetime
+from tidemark.operators.merge import high_water_mark
 from tidemark.sources.store import ArchiveTable, TableMissing
 
 OK, STALE, ERROR, SKIPPED = "OK", "STALE", "ERROR", "SKIPPED"
@@ -39,7 +39,7 @@ def check_table(name: str, column: str, source, table: ArchiveTable, threshold_h
         return says(SKIPPED, "excluded")
     try:
         rows: DataFrame = source()
-        last = as_datetime(table.read().agg(F.max(column)).first()[0]) if table.exists() else None
+        last = high_water_mark(table, column) if table.exists() else None
         if last is None:
             what = "archive is empty" if table.exists() else "no archive"
             return says(OK, f"{what}, source too") if rows.isEmpty() else says(STALE, f"{what}, source has rows")

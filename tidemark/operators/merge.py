@@ -8,13 +8,13 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import as_datetime, same_key
+from tidemark.functions.keys import as_datetime, bytes_taken, same_key
 from tidemark.sources.store import ArchiveTable
 
 
-def high_water_mark(archive: DataFrame, column: str) -> dt.datetime | None:
-    """The latest time in the archive; null for an empty one."""
-    return as_datetime(archive.agg(F.max(column)).first()[0])
+def high_water_mark(archive: DataFrame | ArchiveTable, column: str) -> dt.datetime | None:
+    """The latest time in the archive; null for an empty one. A table's log knows it, rows have to be read."""
+    return as_datetime(archive.latest(column) if isinstance(archive, ArchiveTable) else archive.agg(F.max(column)).first()[0])
 
 
 def incremental_read(source: DataFrame, column: str, mark: dt.datetime | None, buffer_hours: int) -> DataFrame:
@@ -30,10 +30,19 @@ def incremental_read(source: DataFrame, column: str, mark: dt.datetime | None, b
     return source.where((c.cast("timestamp_ntz") if kind == "date" else c) >= (bound if kind in ("date", "timestamp_ntz") else bound.cast(kind)))
 
 
-def missing_rows(source: DataFrame, archive: DataFrame, keys: list[str]) -> DataFrame:
+def missing_rows(source: DataFrame, archive: DataFrame, keys: list[str], most_sent: int = 32 << 20) -> DataFrame:
     """Source rows whose key the archive lacks; null keys are equal. The archived version of a key stays for ever, and
-    duplicates within the source all come."""
-    return source.alias("s").join(archive.select(*keys).alias("a"), same_key("s", "a", keys), "left_anti")
+    duplicates within the source all come.
+
+    The batch's distinct keys go to the archive, not the archive to them: if they
+    take up to ``most_sent`` bytes they are broadcast, the archive's rows are
+    looked at where they are read, and the few keys found there (no more than were
+    sent) come back. Larger batches meet the archive's keys in a shuffle."""
+    wanted = source.select(*keys).distinct()
+    if bytes_taken(wanted) > most_sent:
+        return source.alias("s").join(archive.select(*keys).alias("a"), same_key("s", "a", keys), "left_anti")
+    held = archive.select(*keys).alias("a").join(F.broadcast(wanted.alias("w")), same_key("a", "w", keys), "left_semi").distinct()
+    return source.alias("s").join(F.broadcast(held.alias("h")), same_key("s", "h", keys), "left_anti")
 
 
 def process_watermark_table(source: DataFrame, table: ArchiveTable, name: str, keys: list[str], column: str, buffer_hours: int = 4) -> dict:
@@ -44,7 +53,7 @@ def process_watermark_table(source: DataFrame, table: ArchiveTable, name: str, k
     began = time.monotonic()
     report = {"table": name, "strategy": "watermark", "status": "success"}
     exists = table.exists()
-    mark = high_water_mark(table.read(), column) if exists else None
+    mark = high_water_mark(table, column) if exists else None
     batch = incremental_read(source, column, mark, buffer_hours)
     rows = batch.count()
     report |= {"rows_read": rows}

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.keys import comparable, has_map
 from tidemark.functions.schema import evolve, nullable
 from tidemark.sources.files import Files
 
@@ -34,6 +35,10 @@ class ConcurrentCommit(RuntimeError):
     """Another writer has committed since this one read the table."""
 
 
+class ReservedName(ValueError):
+    """A column is named like one of the table's own."""
+
+
 class TableMissing(LookupError):
     """There is no such table."""
 
@@ -44,6 +49,8 @@ class DataFile:
     rows: int
     bytes: int
     first_id: int
+    #: The latest value of each day or time column, null if it has none; tables written before this was noted have nothing.
+    latest: dict[str, str | None] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -60,6 +67,30 @@ class Snapshot:
         return sum(f.rows for f in self.files)
 
 
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def _told(value: dt.date | dt.datetime | None, kind: T.DataType) -> str | None:
+    """A day or a time as text: of times with a zone the one in UTC, whatever zone this driver is in."""
+    if isinstance(kind, T.TimestampType) and value is not None:
+        value = value.astimezone(dt.timezone.utc)
+    return None if value is None else value.isoformat()
+
+
+def _moment(text: str, kind: T.DataType) -> dt.date | dt.datetime:
+    """The same back, as a query returns it here."""
+    if isinstance(kind, T.DateType):
+        return dt.date.fromisoformat(text)
+    value = dt.datetime.fromisoformat(text)
+    return value.astimezone().replace(tzinfo=None) if isinstance(kind, T.TimestampType) else value
+
+
+def _checked(schema: T.StructType) -> T.StructType:
+    if taken := {ROW_ID, _STORED_ID} & set(schema.names):
+        raise ReservedName(f"a table has a column of its own called {', '.join(sorted(taken))}")
+    return nullable(schema)
+
+
 class ArchiveTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.disk = spark, path.rstrip("/"), Files(spark)
@@ -154,6 +185,15 @@ class ArchiveTable:
         s = self.snapshot()
         return {"version": s.version, "num_files": len(s.files), "size_in_bytes": sum(f.bytes for f in s.files), "rows": s.rows}
 
+    def latest(self, column: str):
+        """The greatest value of a column: of days and times from the log, which has it for every file, else from the rows."""
+        s = self.snapshot()
+        kind = s.schema[column].dataType
+        if not isinstance(kind, _TIMES) or any(column not in f.latest for f in s.files):
+            return self._scan(s.files, s.schema).agg(F.max(column)).first()[0]
+        values = [_moment(f.latest[column], kind) for f in s.files if f.latest[column] is not None]
+        return max(values, default=None)
+
     # -- writing -----------------------------------------------------------
 
     def _write(self, df: DataFrame, next_id: int) -> list[DataFile]:
@@ -161,19 +201,23 @@ class ArchiveTable:
         folder = f"data/{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{folder}")
         parts = {n: size for n, size in sorted(self.disk.names(f"{self.path}/{folder}").items()) if n.endswith(".parquet")}
-        counted = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").groupBy(F.col("_metadata.file_name").alias("name")).count()
-        rows = {r["name"]: r["count"] for r in counted.collect()}  # a row per file of this commit
+        times = [f for f in df.schema.fields if isinstance(f.dataType, _TIMES)]
+        ends = [F.max(F.col(f"`{f.name}`")).alias(f"_latest{i}") for i, f in enumerate(times)]
+        counted = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("count"), *ends)
+        rows, latest = {}, {}
+        for r in counted.collect():  # a row per file of this commit
+            rows[r["name"]], latest[r["name"]] = r["count"], {f.name: _told(r[f"_latest{i}"], f.dataType) for i, f in enumerate(times)}
         files = []
         for name, size in parts.items():
             if rows.get(name):
                 new = f"{folder}/r{next_id:020d}-{rows[name]}.parquet"
                 self.disk.rename(f"{self.path}/{folder}/{name}", f"{self.path}/{new}")
-                files.append(DataFile(new, rows[name], size, next_id))
+                files.append(DataFile(new, rows[name], size, next_id, latest[name]))
                 next_id += rows[name]
         return files
 
     def create(self, schema: T.StructType, properties: dict[str, str] | None = None) -> int:
-        return self._commit(None, "create", nullable(schema), properties=properties or {})
+        return self._commit(None, "create", _checked(schema), properties=properties or {})
 
     def append(self, df: DataFrame, transaction: tuple[str, int] | None = None) -> int | None:
         """Adds rows; new fields widen the schema, other types raise SchemaConflict. Creates the table if there is none.
@@ -184,7 +228,8 @@ class ArchiveTable:
         base = self.snapshot() if self.exists() else None
         if base and transaction and base.transactions.get(transaction[0], -1) >= transaction[1]:
             return None
-        schema = evolve(base.schema, df.schema) if base else nullable(df.schema)
+        own = _checked(df.schema)
+        schema = evolve(base.schema, own) if base else own
         files = self._write(df, base.next_id if base else 0)
         ends = [f.first_id + f.rows for f in files]
         return self._commit(base, "append", schema, files, next_id=max([base.next_id if base else 0, *ends]), transaction=transaction)
@@ -197,7 +242,8 @@ class ArchiveTable:
         commit: if it raises, the table stays as it was.
         """
         base = self.snapshot() if self.exists() else None
-        schema = evolve(base.schema, df.schema) if base and schema_mode == "merge" else nullable(df.schema)
+        own = _checked(df.schema)
+        schema = evolve(base.schema, own) if base and schema_mode == "merge" else own
         start = base.next_id if base else 0
         files = self._write(df, start)
         if check:
@@ -247,7 +293,8 @@ class ArchiveTable:
                 content = F.struct(*schema.names)
                 a = old.select(ROW_ID, content.alias("old"))
                 b = new.select(ROW_ID, content.alias("new"))
-                changed = a.join(b, ROW_ID).where(~F.to_json("old").eqNullSafe(F.to_json("new")))
+                as_one = lambda c: comparable(F.col(c), schema) if has_map(schema) else F.col(c)
+                changed = a.join(b, ROW_ID).where(~as_one("old").eqNullSafe(as_one("new")))
                 images = F.explode(F.array(F.struct(F.col("old").alias("r"), F.lit("update_preimage").alias("t")), F.struct(F.col("new").alias("r"), F.lit("update_postimage").alias("t"))))
                 parts = [changed.select(images.alias("i")).select("i.r.*", F.col("i.t").alias("_change_type"), *stamp)]
             else:
