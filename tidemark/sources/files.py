@@ -11,14 +11,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_own_dirs: list[str] = []
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset (tests), a local one of this process."""
     where = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        atexit.register(shutil.rmtree, where.removeprefix("file://"), ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    if where:
+        return where.rstrip("/")
+    if not _own_dirs:
+        _own_dirs.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
+        atexit.register(shutil.rmtree, _own_dirs[0].removeprefix("file://"), ignore_errors=True)
+    return _own_dirs[0]
 
 
 class Files:
