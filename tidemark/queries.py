@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import survivor_order
 from tidemark.operators import dedup, features, freshness, merge
 from tidemark.plans.config import EngineConfig
-from tidemark.plans.registry import OVERWRITE, WATERMARK, TableSpec, builtin
-from tidemark.plans.runner import Engine, RunReport, TablesFailed, summary
+from tidemark.plans.registry import OVERWRITE, STREAM, WATERMARK, TableSpec, builtin
+from tidemark.plans.runner import Engine, RunReport, TablesFailed, Task, daily, run_dag, summary
 from tidemark.sources.change_feed import follow
 from tidemark.sources.files import Files, shared_root
-from tidemark.sources.store import ROW_ID, ArchiveStore, ArchiveTable
-from tidemark.streaming.flows import Flow
+from tidemark.sources.store import ROW_ID, ArchiveStore, ArchiveTable, ConcurrentCommit
+from tidemark.streaming.flows import Flow, start_flows
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -451,6 +451,185 @@ def existence_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(not events.isEmpty(), beyond("2024-01-20"), beyond("2099-01-01"))], "has_rows boolean, has_later boolean, has_much_later boolean")
 
 
+@query("SELECT 1::BIGINT AS commit_version, t AS change_type, count(*) AS n, (CASE t WHEN 'update_preimage' THEN 0 ELSE 5 END * count(*))::BIGINT AS micros_added FROM events, (VALUES ('update_preimage'), ('update_postimage')) v(t) WHERE event_id % 10 = 0 GROUP BY t")
+def change_feed_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An update that adds five microseconds shows as one; one that sets what is there already doesn't."""
+    table = new_table(spark, "events")
+    events = read(spark, sf_dir, "events")
+    table.append(events)
+    table.update(F.expr("event_id % 10 = 0"), {"ts": F.col("ts") + F.expr("INTERVAL '0.000005' SECOND")})
+    table.update(F.expr("event_id % 10 = 1"), {"props": F.col("props")})
+    changes = table.changes(1).alias("c").join(events.select("event_id", F.col("ts").alias("was")), "event_id")
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("was").cast("timestamp"))
+    return changes.groupBy(F.col("_commit_version").alias("commit_version"), F.col("_change_type").alias("change_type")).agg(F.count(F.lit(1)).alias("n"), F.sum(micros).alias("micros_added"))
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props, CASE WHEN event_id % 3 = 2 THEN 2::BIGINT ELSE 1 END AS copies FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT event_id, ts, user_id, event_type, value, props, 1 FROM events WHERE event_id % 3 = 0")
+def stream_ignores_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source folder that is deleted after it was read takes nothing away; rows that are written anew come again."""
+    source, events, flow = _event_stream(spark, sf_dir)
+    files = Files(spark)
+    parts = {n: events.where(f"event_id % 3 = {n}") for n in range(3)}
+    for n in (0, 1, 2):
+        parts[n].write.mode("append").parquet(source)
+        flow.run()
+        if n == 0:
+            files.remove(source)  # gone, and no longer in the source
+    parts[2].write.mode("append").parquet(source)  # rewritten
+    flow.run()
+    return flow.table.read().groupBy(*events.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("SELECT tab, rows FROM (SELECT 'region' AS tab, count(*) AS rows FROM region UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'supplier', NULL FROM range(1))")
+def start_all_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All streamed tables start together; an excluded one doesn't."""
+    store = new_store(spark)
+    specs = [TableSpec("main", name, natural_keys=("k",), tiebreaker="k") for name in ("region", "nation", "supplier")]
+    config = EngineConfig(store.root, exclude_tables="main.supplier")
+    for s in specs:
+        read(spark, sf_dir, s.table).write.parquet(f"{store.root}/source/{s.table}")
+    started = start_flows(spark, specs, config, lambda s: f"{store.root}/source/{s.table}", store, f"{store.root}/state")
+    for q in started:
+        q.awaitTermination()
+    tables = {s.table: store.table("main", s.table) for s in specs}
+    return spark.createDataFrame([(name, t.read().count() if t.exists() else None) for name, t in tables.items()], "tab string, rows long")
+
+
+@query("SELECT * FROM (VALUES (2::BIGINT, 1::BIGINT, 1::BIGINT, 'main.nothing')) e(tables, succeeded, failed, failed_table)")
+def exit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run hands to its scheduler, read back from its JSON."""
+    report = RunReport.of([TableSpec("main", "region"), TableSpec("main", "nothing")], lambda s: {"table": s.name, "status": "success", "rows_read": read(spark, sf_dir, s.table).count()})
+    told = spark.createDataFrame([(report.exit_value(),)], "j string")
+    parsed = told.select(F.from_json("j", "tables bigint, by_status map<string, bigint>, results array<struct<table string, status string>>").alias("r"))
+    return parsed.select("r.tables", F.col("r.by_status")["success"].alias("succeeded"), F.col("r.by_status")["failed"].alias("failed"), F.filter("r.results", lambda x: x["status"] == "failed")[0]["table"].alias("failed_table"))
+
+
+@query("SELECT * FROM (VALUES ('a', false, false), ('b', true, false)) d(name, there_before, there_after)")
+def drop_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A schema is dropped with its tables; one that isn't there is no error."""
+    store = new_store(spark)
+    region = read(spark, sf_dir, "region")
+    store.table("b", "region").append(region)
+    before = {n: store.table(n, "region").exists() for n in "ab"}
+    for n in "ab":
+        store.drop_schema(n)
+    return spark.createDataFrame([(n, before[n], store.table(n, "region").exists()) for n in "ab"], "name string, there_before boolean, there_after boolean")
+
+
+@query("SELECT * FROM (VALUES ('plain', false, 2::BIGINT), ('tracked', true, 1), ('both', true, 0)) p(tab, row_tracking, missing)")
+def read_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, rows = new_store(spark), []
+    for name, properties in {"plain": {}, "tracked": {features.ROW_TRACKING: " TRUE "}, "both": dict.fromkeys(features.FEATURES, "true")}.items():
+        table = store.table("main", name)
+        table.create(read(spark, sf_dir, "region").schema, properties)
+        found = table.snapshot().properties
+        rows.append((name, features.row_tracking_enabled(found), len(features.missing_features(found))))
+    return spark.createDataFrame(rows, "tab string, row_tracking boolean, missing long")
+
+
+@query("SELECT 'rejected' AS second_writer, count(*) AS rows, 1::BIGINT AS version FROM lineitem")
+def concurrent_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two writers that have read the same version the second one fails, and nothing of it is seen."""
+    first = new_table(spark, "lineitem")
+    lines = read(spark, sf_dir, "lineitem")
+    first.append(lines.where("l_linenumber = 1"))
+    second = ArchiveTable(spark, first.path)
+    base = second.snapshot()
+    first.append(lines.where("l_linenumber <> 1"))
+    second.snapshot = lambda version=None: base  # what it read before
+    try:
+        second.overwrite(lines.where("1 = 0"))
+        outcome = "committed"
+    except ConcurrentCommit:
+        outcome = "rejected"
+    return first.read().agg(F.count(F.lit(1)).alias("rows")).select(F.lit(outcome).alias("second_writer"), "rows", F.lit(first.version()).cast("long").alias("version"))
+
+
+@query("SELECT * FROM (VALUES ('main.events', 'deduped', true, 0::BIGINT), ('main.nation', 'clean', true, 0), ('main.region', 'failed', false, 0)) m(tab, status, features, warnings)")
+def maintenance_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dedup task: a failing table raises at the end and gets no features, the others do; an excluded one is deduped too."""
+    specs = [TableSpec("main", "events", natural_keys=("event_id",), tiebreaker="ts"), TableSpec("main", "nation", natural_keys=("n_nationkey",), tiebreaker="n_name"), TableSpec("main", "region", natural_keys=("nothing",), tiebreaker="r_name")]
+    engine = Engine(spark, specs, EngineConfig(new_store(spark).root, exclude_tables="main.events"), lambda s: read(spark, sf_dir, s.table))
+    engine.setup()
+    for s in specs:
+        for _ in range(2 if s.table == "events" else 1):
+            engine.store.table("main", s.table).append(read(spark, sf_dir, s.table))
+    try:
+        engine.dedup(at_once=2)
+        failed = set()
+    except TablesFailed as e:
+        failed = {s.name for s in specs if s.name in str(e)}
+    rows = []
+    for s in specs:
+        table = engine.store.table("main", s.table)
+        status = "failed" if s.name in failed else "deduped" if table.commit_record(min(2, table.version()))["operation"] == "dedup" else "clean"
+        rows.append((s.name, status, not features.missing_features(table.snapshot().properties), len(engine.warnings)))
+    return spark.createDataFrame(rows, "tab string, status string, features boolean, warnings long")
+
+
+@query("SELECT * FROM (VALUES ('main.nation', 'a warning', 'success')) w(tab, warning, status)")
+def feature_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features that can't be turned on are a warning, not a failure of the table."""
+    specs = [TableSpec("main", "nation", WATERMARK, ("n_nationkey",), "n_nationkey")]
+    engine = Engine(spark, specs, EngineConfig(new_store(spark).root), lambda s: read(spark, sf_dir, s.table))
+
+    class Locked(ArchiveTable):
+        def set_properties(self, properties):
+            raise PermissionError("a warning")
+
+    engine.store.table = lambda schema, name: Locked(spark, f"{engine.store.root}/{schema}/{name}")
+    results = engine.batch()
+    return spark.createDataFrame([(w["table"], w["warning"], r["status"]) for w, r in zip(engine.warnings, results)], "tab string, warning string, status string")
+
+
+@query("SELECT * FROM (VALUES ('stream', 'failed'), ('dedup', 'success'), ('batch', 'success'), ('report', 'skipped')) t(task, state)")
+def task_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks of the daily run start whatever became of the one before; one that asks for success is skipped."""
+
+    def broken():
+        raise OSError("no source")
+
+    tasks = [*daily(broken, lambda: None, lambda: None), Task("report", lambda: None, ("stream",))]
+    return spark.createDataFrame([(name, d["state"]) for name, d in run_dag(tasks).items()], "task string, state string")
+
+
+@query(
+    "SELECT 'days' AS tab, CASE WHEN max(CAST(ts AS DATE)) + INTERVAL 3 DAYS > CAST(max(CAST(ts AS DATE)) AS TIMESTAMP) + INTERVAL 48 HOURS THEN 'STALE' ELSE 'OK' END AS status FROM events "
+    "UNION ALL SELECT 'days_at_limit', CASE WHEN max(CAST(ts AS DATE)) + INTERVAL 2 DAYS > CAST(max(CAST(ts AS DATE)) AS TIMESTAMP) + INTERVAL 48 HOURS THEN 'STALE' ELSE 'OK' END FROM events"
+)
+def freshness_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day counts as its midnight, in the archive and in the source."""
+    days = read(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("day"))
+    table = new_table(spark, "days")
+    table.append(days)
+    rows = [freshness.check_table(name, "day", lambda n=n: days.select(F.date_add("day", n).alias("day")), table, 48) for name, n in (("days", 3), ("days_at_limit", 2))]
+    return spark.createDataFrame([(r["table"], r["status"]) for r in rows], "tab string, status string")
+
+
+@query("SELECT * FROM (VALUES ('main.events', 'OK', 'raised'), ('main.orders', 'STALE', 'raised'), ('main.supplier', 'SKIPPED', 'raised')) f(tab, status, outcome)")
+def freshness_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The freshness task over a registry: replaced tables aren't checked, excluded ones are skipped, a stale one raises."""
+    specs = [TableSpec("main", "events", STREAM, ("event_id",), "ts"), TableSpec("main", "orders", WATERMARK, ("o_orderkey",), "o_orderdate"), TableSpec("main", "supplier", STREAM, ("s_suppkey",), "s_suppkey"), TableSpec("main", "nation", OVERWRITE)]
+    engine = Engine(spark, specs, EngineConfig(new_store(spark).root, exclude_tables="main.supplier"), lambda s: read(spark, sf_dir, s.table))
+    engine.setup()
+    engine.store.table("main", "events").append(read(spark, sf_dir, "events"))
+    results = engine.freshness()
+    try:
+        freshness.raise_if_stale(results)
+        outcome = "passed"
+    except freshness.StaleTables:
+        outcome = "raised"
+    return spark.createDataFrame([(r["table"], r["status"], outcome) for r in results], "tab string, status string, outcome string")
+
+
+@query("SELECT range AS id FROM range(1000)")
+def row_generator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated rows through the store, their row ids being what was generated."""
+    table = new_table(spark, "generated")
+    table.append(spark.range(1000).repartitionByRange(3, "id").sortWithinPartitions("id"))
+    return table.read(row_id=True).where(F.col(ROW_ID) == F.col("id")).select("id")
+
+
 def clean_up(spark: SparkSession) -> None:
     """Removes the archives that queries have left in the shared folder."""
     root, files = shared_root(spark), Files(spark)
