@@ -1,24 +1,23 @@
-"""A Katz back-off bigram model with Good-Turing discounts, learned and evaluated in packed context buckets."""
+"""A Katz back-off model with Good-Turing discounts: counted, normalised and evaluated order by order, in packed buckets."""
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ODD, Scratch, give_back, let_go, mix, release_shuffles, words_of_worker
+from tidemark.llm.common import ODD, Scratch, give_back, let_go, mix, release_shuffles, spread_join, words_of_worker
 
-#: Contexts and tokens are 64-bit word hashes; these two stand for a text's start (a context only) and end (a token only).
-START, END = 1, 2
+#: Words are 64-bit hashes; this one stands for a text's end (a token, never a context). Contexts before a text's start are START.
+END, START = 2, 1
 #: Counts up to this are discounted.
 K = 5
-LOG_COLUMNS = ["base", "seen", "known", *(f"n{r}" for r in range(1, K + 1))]
+#: What is left to the unseen, and room for them, never falls below this.
+LEAST = 1e-12
 
 
 def discounts(n: list[int], k: int = K) -> list[float]:
@@ -44,406 +43,487 @@ def kept(r, d: list[float]):
     return r * np.take(np.array([*d, 1.0]), np.minimum(r, K + 1).astype(np.int64))
 
 
-def count_of_counts(counts: DataFrame, column: str) -> tuple[list[int], int, int]:
-    """n[0..K+1], the number of types and of tokens."""
-    row = counts.agg(F.count(F.lit(1)), F.sum(column), *(F.sum((F.col(column) == r).cast("long")) for r in range(1, K + 2))).first()
-    return [0, *(int(x or 0) for x in row[2:])], int(row[0]), int(row[1] or 0)
+class Model:
+    """What every task knows: numbers of training texts and tokens, and the discounts of each order so far."""
 
+    def __init__(self, train_docs: int, buckets: int, hot: int):
+        #: Contexts of ``hot`` counts or more are spread over the buckets.
+        self.train_docs, self.buckets, self.hot = train_docs, buckets, hot
+        self.d: dict[int, list[float]] = {}
+        self.types = self.tokens = 0
+        self.unknown = self.scale = 1.0
 
-class Lower:
-    """What the buckets know of single tokens: the counts of all frequent ones (a fixed number), N, V and the discounts."""
+    def learn(self, order: int, n: list[int], types: int, tokens: int) -> None:
+        self.d[order] = discounts([0, *n])
+        if order == 1:
+            self.types, self.tokens = types, tokens
+            spent = tokens - sum((r - kept(np.array([r]), self.d[1])[0]) * n[r - 1] for r in range(1, K + 1))
+            #: The probability of any token that training has not seen.
+            self.unknown = max(LEAST, 1 - spent / tokens) if tokens else 1.0
+            self.scale = (1 - self.unknown) / (spent / tokens) if tokens and spent else 1.0
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, n: list[int], types: int, tokens: int, train_docs: int, hot: np.ndarray):
-        self.hashes, self.counts, self.types, self.tokens, self.train_docs, self.hot = hashes, counts, types, tokens, train_docs, hot
-        self.d = discounts(n)
-        r, n_r = np.arange(1, K + 1), np.array(n[1 : K + 1])
-        spent = tokens - ((r - kept(r, self.d)) * n_r).sum()
-        #: The probability of any token that training has not seen.
-        self.unknown = max(1e-12, 1 - spent / tokens) if tokens else 1.0
-        self.scale = (1 - self.unknown) / (spent / tokens) if tokens and spent else 1.0
+    def single(self, c: np.ndarray) -> np.ndarray:
+        """The probability of tokens with these training counts."""
+        return np.where(c > 0, kept(np.maximum(c, 1), self.d[1]) / max(self.tokens, 1) * self.scale, self.unknown)
 
-    def probability(self, c: np.ndarray) -> np.ndarray:
-        """Of tokens with these training counts."""
-        c = np.asarray(c, dtype=np.float64)
-        return np.where(c > 0, kept(np.maximum(c, 1), self.d) / max(self.tokens, 1) * self.scale, self.unknown)
+    def seen(self, order: int, c: np.ndarray, den: np.ndarray) -> np.ndarray:
+        """The probability of seen n-grams of an order."""
+        return self.single(c) if order == 1 else kept(c, self.d[order]) / np.maximum(den, 1)
 
-    def column(self, c: Column) -> Column:
-        """The same as a DataFrame expression."""
-        left = c.cast("double")
-        for r in range(K, 0, -1):
-            left = F.when(c == r, F.lit(r * self.d[r])).otherwise(left)
-        return F.when(c > 0, left / max(self.tokens, 1) * self.scale).otherwise(self.unknown)
+    def log_alpha(self, order: int, c: np.ndarray, m: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """The back-off weights of contexts: counts, how many continuations occur 1..K times, and the lower order's share of all seen ones."""
+        den = c + (m.sum(axis=1) == 0)
+        r = np.arange(1, K + 1)
+        spent = m @ kept(r, self.d[order]) + (c - m @ r)
+        return np.log10(np.maximum(LEAST, 1 - spent / den)) - np.log10(np.maximum(LEAST, 1 - room))
 
-    def rank(self, tokens: np.ndarray) -> np.ndarray:
-        """Places of frequent tokens, -1 for others."""
-        if not len(self.hashes):
-            return np.full(len(tokens), -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == tokens, at, -1)
 
-    def count(self, tokens: np.ndarray) -> np.ndarray:
-        """Training counts of frequent tokens, -1 for others."""
-        at = self.rank(tokens)
-        return np.where(at >= 0, self.counts[at], -1) if len(self.hashes) else at
-
-
-def unigrams(docs: DataFrame, text_col: str, train: Column) -> DataFrame:
-    """(w, c): training counts of words, by hash, counted where they are read before the shuffle."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest
-
-        def out() -> pa.RecordBatch:
-            hashes = np.fromiter(map(xxh3_64_intdigest, seen), dtype=np.uint64, count=len(seen))
-            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(list(seen.values()), pa.int64())], ["w", "c"])
-
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(text.lower().split())
-                if len(seen) > 250_000:
-                    yield out()
-                    seen.clear()
-        if seen:
-            yield out()
-
-    texts = docs.where(train & F.col(text_col).isNotNull()).select(F.col(text_col).cast("binary"))
-    return texts.mapInArrow(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
-
-
-def _pack(values: np.ndarray, most: int) -> bytes:
-    """Numbers below ``most``, two or four bytes each; compressed byte by byte, since the upper bytes repeat."""
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers, compressed byte by byte, since the upper bytes repeat."""
     import zstandard
 
-    width = 2 if most <= 1 << 16 else 4
-    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    most = int(values.max(initial=0))
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    planes = np.ascontiguousarray(values.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T
     return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def _unpack(data: bytes, n: int) -> np.ndarray:
+def unpack(data: bytes, n: int) -> np.ndarray:
     import zstandard
 
     width = data[0]
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:], max_output_size=n * width), np.uint8).reshape(width, n)
-    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int32)
-
-
-#: A row per window of documents and bucket: its contexts with run lengths, its tokens, and for each occurrence token and document.
-PACKED = "bucket int, flush long, docs int, trained int, hu binary, hn binary, wf binary, wu binary, wi binary, di binary, idx int, id string, held boolean, n_tokens long"
-#: kind 0: sums of a window's documents (blob); 1: a context; 2: a pair with a rare token; 3: unseen after a context; 4: unseen rare token; 5: counts of counts; 6: a document.
-FOUND = "kind int, a long, b long, c long, x double, m array<long>, id string, held boolean, blob binary"
-
-
-def _windows(window_tokens: int, buckets: int, shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        words, lower = words_of_worker(), shared.value
-        hot = lower.hot
-        number = TaskContext.get().partitionId() << 20
-        docs: list = []
-        held = 0
-
-        def out() -> list[pa.RecordBatch]:
-            nonlocal docs, held, number
-            docs.sort(key=lambda d: d[1])  # training documents first
-            lengths = np.array([len(d[2]) + 1 for d in docs])
-            ends = np.cumsum(lengths)
-            w = np.full(ends[-1], END, dtype=np.uint64)
-            h = np.full(ends[-1], START, dtype=np.uint64)
-            for (_, _, own), n, end in zip(docs, lengths, ends):
-                w[end - n : end - 1] = own
-                h[end - n + 1 : end] = own
-            di = np.repeat(np.arange(len(docs)), lengths)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:], max_output_size=max(1, n * width)), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
+
+
+def group_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where new values begin in sorted columns."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+TYPES = {"kind": pa.int32(), "window": pa.int64(), "bucket": pa.int64(), "level": pa.int32(), "ids": pa.list_(pa.string()), "held": pa.list_(pa.bool_()), "x": pa.int64(), "y": pa.int64(), "m": pa.list_(pa.int64()), "room": pa.float64()} | {c: pa.binary() for c in "abcdefg"}
+SCHEMA = ", ".join(f"{c} {'array<string>' if c == 'ids' else 'array<boolean>' if c == 'held' else 'array<long>' if c == 'm' else {'int32': 'int', 'int64': 'long', 'double': 'double', 'binary': 'binary'}[str(t)]}" for c, t in TYPES.items())
+#: Kinds of rows: windows of documents; what windows ask; what buckets answer; counts of counts (m) with types (x) and tokens (y);
+#: the tables of n-grams and of contexts; a spread context's part in a bucket (x, its count y, m, room); who asks for it.
+WINDOW, ASK, ANSWER, STATS, GRAMS, CONTEXTS, PART, WANT = range(8)
+
+
+def rows(kind: int, n: int = 1, **columns) -> pa.RecordBatch:
+    given = {"kind": pa.array(np.full(n, kind, dtype=np.int32))} | columns
+    return pa.RecordBatch.from_arrays([pa.array(given[c], t) if c in given else pa.nulls(n, t) for c, t in TYPES.items()], list(TYPES))
+
+
+def windows(batches: Iterator[pa.RecordBatch], most_tokens: int) -> Iterator[pa.RecordBatch]:
+    """Documents (id, held out, text) to windows of them: a (lengths), b (hashes of its words), c (tokens as places among these)."""
+    from pyspark import TaskContext
+
+    words, number = words_of_worker(), TaskContext.get().partitionId() << 24
+    ids: list = []
+    held: list[bool] = []
+    texts: list[np.ndarray] = []
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        nonlocal number, size
+        tokens = np.concatenate([part for t in texts for part in (t, end)])
+        hashes, at = np.unique(tokens, return_inverse=True)
+        made = rows(WINDOW, window=[number], level=[0], ids=[list(ids)], held=[list(held)], x=[len(tokens)], a=[pack(np.array([len(t) + 1 for t in texts]))], b=[hashes.tobytes()], c=[pack(at)])
+        number, size = number + 1, 0
+        for v in (ids, held, texts):
+            v.clear()
+        return made
+
+    end = np.array([END], dtype=np.uint64)
+    for batch in batches:
+        for name, is_held, text in zip(*(c.to_pylist() for c in batch.columns)):
+            ids.append(name)
+            held.append(is_held)
+            texts.append(words(text) if text else np.zeros(0, dtype=np.uint64))
+            size += len(texts[-1]) + 1
+            if size >= most_tokens:
+                yield out()
+    if ids:
+        yield out()
+    del words
+    let_go()
+
+
+class Window:
+    """The n-grams of a window of documents, and what the buckets have answered of them.
+
+    The n-grams of an order, and its contexts, are numbers that each window gives
+    itself; a context is the n-gram of the order below that ends before a token,
+    or, as the last number, what stands before a text.
+    """
+
+    def __init__(self, row: dict, model: Model, order: int):
+        self.model, self.ids, self.held = model, row["ids"], np.array(row["held"])
+        self.lengths = unpack(row["a"], len(self.ids))
+        self.hashes = np.frombuffer(row["b"], "<u8")
+        t = unpack(row["c"], int(self.lengths.sum()))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        trained = np.repeat(~self.held, self.lengths)
+        size = len(self.hashes)
+        self.token = t
+        self.n = {1: np.bincount(t[trained], minlength=size)}
+        self.gram, self.context, self.context_of, self.word_of, self.lower, self.lower_context = {1: t}, {}, {1: None}, {1: np.arange(size)}, {}, {}
+        for m in range(2, order + 1):
+            context = np.empty_like(t)
+            context[1:] = self.gram[m - 1][:-1]
+            context[self.starts] = size
+            keys, gram = np.unique(context * len(self.hashes) + t, return_inverse=True)
+            self.gram[m], self.context[m], self.context_of[m], self.word_of[m] = gram, context, keys // len(self.hashes), keys % len(self.hashes)
+            self.lower[m] = np.empty(len(keys), dtype=np.int64)
+            self.lower[m][gram] = self.gram[m - 1]
+            if m > 2:
+                self.lower_context[m] = np.zeros(size + 1, dtype=np.int64)
+                self.lower_context[m][context] = self.context[m - 1]
+            self.n[m] = np.bincount(gram[trained], minlength=len(keys))
+            size = len(keys)
+        #: Answers: training counts of n-grams; of contexts their counts, what they are divided by, and the logarithms of their back-off weights.
+        self.r: dict[int, np.ndarray] = {}
+        self.c: dict[int, np.ndarray] = {}
+        self.den: dict[int, np.ndarray] = {}
+        self.alpha: dict[int, np.ndarray] = {}
+
+    def context_keys(self, m: int) -> np.ndarray:
+        """What contexts are called everywhere: for order 2 the words' numbers, above it hashes of these."""
+        number = (self.number + 3).astype(np.uint64)
+        keys = np.append(number, np.uint64(START))
+        with np.errstate(over="ignore"):
+            for k in range(3, m + 1):
+                keys = np.append(mix(keys[self.context_of[k - 1]] * ODD[3] + number[self.word_of[k - 1]] * ODD[4]), mix(np.array([START * k], dtype=np.uint64)))
+        return keys
+
+    def dealt(self, m: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(bucket, n-grams, their contexts, where these begin among the n-grams)."""
+        if m == 1:
+            bucket, context = mix(self.hashes) % np.uint64(self.model.buckets), np.zeros(len(self.hashes), dtype=np.int64)
+        else:
+            keys, context = self.context_keys(m), self.context_of[m]
             with np.errstate(over="ignore"):
-                spread = np.where(np.isin(h, hot), mix(h * ODD[3] + w * ODD[4]), mix(h)) if len(hot) else mix(h)
-            bucket = (spread % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((h, bucket))
-            bucket, h, w, di = bucket[order], h[order], w[order], di[order]
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            rows: dict[str, list] = {c.split(" ")[0]: [] for c in PACKED.split(", ")}
-            trained = sum(not d[1] for d in docs)
-            for a, b in zip([0, *cuts], [*cuts, len(h)]):
-                first = np.flatnonzero(np.concatenate([[True], h[a + 1 : b] != h[a : b - 1]]))
-                wu, wi = np.unique(w[a:b], return_inverse=True)
-                ranks = lower.rank(wu)
-                order_w = np.argsort(ranks < 0, kind="stable")  # frequent tokens first, by rank; the others as they are
-                place_w = np.empty_like(order_w)
-                place_w[order_w] = np.arange(len(order_w))
-                wi, wu, ranks = place_w[wi], wu[order_w], ranks[order_w]
-                values = (bucket[a], number, len(docs), trained, h[a:b][first].tobytes(), np.diff([*first, b - a]).astype("<u4").tobytes(), ranks[ranks >= 0].astype("<u4").tobytes(), wu[ranks < 0].tobytes(), _pack(wi, len(wu)), _pack(di[a:b], len(docs)), None, None, None, None)
-                for name, value in zip(rows, values):
-                    rows[name].append(value)
-            for i, (name, is_held, own) in enumerate(docs):
-                for key, value in zip(rows, (i % buckets, number, len(docs), trained, None, None, None, None, None, None, i, name, is_held, len(own) + 1)):
-                    rows[key].append(value)
-            docs, held, number = [], 0, number + 1
-            kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "boolean": pa.bool_()}
-            types = [kinds[c.split(" ")[1]] for c in PACKED.split(", ")]
-            whole = pa.RecordBatch.from_arrays([pa.array(rows[k], t) for k, t in zip(rows, types)], list(rows))
-            return [whole.slice(i, 2000) for i in range(0, len(whole), 2000)]
-
-        for batch in batches:
-            for name, is_held, text in zip(*(c.to_pylist() for c in batch.columns)):
-                own = words(text) if text else np.zeros(0, dtype=np.uint64)
-                docs.append((name, is_held, own))
-                held += len(own) + 1
-                if held >= window_tokens or len(docs) == 1 << 16:
-                    yield from out()
-        if docs:
-            yield from out()
-        del words
-        let_go()
-
-    return run
-
-
-def _pack_sums(sums: np.ndarray) -> bytes:
-    """Two rows of logarithms and the rows of counts."""
-    return sums[:2].astype("<f8").tobytes() + sums[2:].astype("<u4").tobytes()
-
-
-def _unpack_sums(data, docs: int) -> np.ndarray:
-    logs = np.frombuffer(data, "<f8", 2 * docs).reshape(2, docs)
-    return np.concatenate([logs, np.frombuffer(data, "<u4", offset=16 * docs).reshape(-1, docs)])
-
-
-def _solve_buckets(shared, most_docs: int = 1 << 20):
-    """Solves the buckets of a partition, one after the other.
-
-    Of a bucket every occurrence of its contexts is here (of hot contexts: every
-    occurrence of its pairs). The sums of documents add up over the partition's
-    buckets, for at most ``most_docs`` documents at a time."""
-    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "array<long>": pa.list_(pa.int64()), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
-    types = {c.split(" ")[0]: kinds[c.split(" ")[1]] for c in FOUND.split(", ")}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lower: Lower = shared.value
-        let_go()  # the worker's memory is for the buckets now
-        out: list[pa.Table] = []
-        sums: dict[int, np.ndarray] = {}
-        packs: list[dict] = []
-
-        def tell(kind: int, n: int, **values) -> None:
-            columns = {"kind": pa.array(np.full(n, kind), pa.int32())} | values
-            arrays = [v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, types[c]) for c in types if (v := columns.get(c, pa.nulls(n, types[c]))) is not None]
-            out.append(pa.table(dict(zip(types, arrays))))
-
-        def solve() -> None:
-            for flush, own in _solve(packs, lower, tell).items():
-                if flush in sums:
-                    sums[flush] += own
-                else:
-                    sums[flush] = own
-            packs.clear()
-
-        def take() -> list[pa.RecordBatch]:
-            got = [b for t in out for b in t.to_batches(max_chunksize=100_000)]
-            out.clear()
-            return got
-
-        def tell_sums() -> None:
-            if sums:
-                tell(0, len(sums), a=list(sums), b=[s.shape[1] for s in sums.values()], blob=[_pack_sums(s) for s in sums.values()])
-                sums.clear()
-
-        for batch in batches:
-            is_doc = batch.column("idx").is_valid()
-            docs = batch.filter(is_doc)
-            if len(docs):
-                uid = (docs.column("flush").to_numpy() << 16) + docs.column("idx").to_numpy()
-                tell(6, len(docs), a=uid, c=docs.column("n_tokens"), id=docs.column("id"), held=docs.column("held"))
-            for p in batch.filter(pc.invert(is_doc)).to_pylist():
-                if packs and p["bucket"] != packs[0]["bucket"]:
-                    solve()
-                    yield from take()
-                    if sum(s.shape[1] for s in sums.values()) > most_docs:
-                        tell_sums()
-                packs.append(p)
-            yield from take()
-        if packs:
-            solve()
-        tell_sums()
-        yield from take()
-        del lower
-        give_back()
-
-    return run
-
-
-def _solve(packs: list[dict], lower: Lower, tell) -> dict[int, np.ndarray]:
-    """Tells what one bucket holds; returns the sums of each window's documents."""
-    hs, ws, h_at, w_at, d_at, trained = [], [], [], [], [], []
-    h_base = w_base = d_base = 0
-    starts = []
-    for p in packs:
-        hu, hn, wu = np.frombuffer(p.pop("hu"), "<u8"), np.frombuffer(p.pop("hn"), "<u4"), np.frombuffer(p.pop("wu"), "<u8")
-        wu = np.concatenate([lower.hashes[np.frombuffer(p.pop("wf"), "<u4")], wu])
-        n = int(hn.sum())
-        d = _unpack(p.pop("di"), n)
-        hs.append(hu)
-        ws.append(wu)
-        h_at.append(np.repeat(np.arange(h_base, h_base + len(hu), dtype=np.int32), hn))
-        w_at.append(_unpack(p.pop("wi"), n) + np.int32(w_base))
-        d_at.append(d + np.int32(d_base))
-        trained.append(d < p["trained"])
-        starts.append(d_base)
-        h_base, w_base, d_base = h_base + len(hu), w_base + len(wu), d_base + p["docs"]
-    h_all, h_of = np.unique(np.concatenate(hs), return_inverse=True)
-    w_all, w_of = np.unique(np.concatenate(ws), return_inverse=True)
-    pair = h_of[np.concatenate(h_at)]
-    pair *= len(w_all)
-    pair += w_of[np.concatenate(w_at)]
-    del hs, ws, h_at, w_at, h_of, w_of
-    order = np.argsort(pair).astype(np.int32)
-    pair, d, t = pair[order], np.concatenate(d_at)[order], np.concatenate(trained)[order]
-    del order, d_at, trained
-    first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-    sizes = np.diff([*first, len(pair)])
-    r = np.add.reduceat(t.astype(np.int32), first).astype(np.int64)
-    ph, pw = pair[first] // len(w_all), pair[first] % len(w_all)
-    del pair, t
-    # contexts
-    is_hot = np.isin(h_all, lower.hot)
-    c = np.bincount(ph, r, len(h_all)).astype(np.int64)
-    if is_hot.any():
-        c[is_hot] = np.where(h_all[is_hot] == START, lower.train_docs, lower.count(h_all[is_hot]))
-    w_count = lower.count(w_all)
-    w_p = lower.probability(np.maximum(w_count, 0))
+                spread = np.where(self.is_hot(m)[context], mix(keys[context] * ODD[5] + self.number[self.word_of[m]].astype(np.uint64) * ODD[6]), mix(keys[context]))
+            bucket = spread % np.uint64(self.model.buckets)
+        order = np.argsort(bucket, kind="stable")  # n-grams of one context stay together
+        bucket = bucket[order]
+        cuts = group_starts(bucket)
+        for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
+            grams = order[a:b]
+            begins = group_starts(context[grams])
+            yield int(bucket[a]), grams, context[grams[begins]], begins
+
+    def is_hot(self, m: int) -> np.ndarray:
+        return np.append(self.r[m - 1], self.model.train_docs) >= self.model.hot
+
+    def asks(self, m: int, window: int) -> Iterator[pa.RecordBatch]:
+        """A row for each bucket: a contexts, b how many n-grams each has here, c last words, d training counts here, e counts one
+        order below, f what these are divided by, g which contexts are spread. Of order 1 only a, the words' hashes, and d."""
+        if m > 1:
+            keys, hot = self.context_keys(m), self.is_hot(m)
+        found: dict[str, list] = {c: [] for c in ("bucket", *("ad" if m == 1 else "abcdefg"))}
+        for bucket, grams, contexts, begins in self.dealt(m):
+            own = self.n[m][grams]
+            if m == 1:
+                values = (bucket, self.hashes[grams].tobytes(), pack(own))
+            else:
+                below = np.where(own > 0, self.r[m - 1][self.lower[m][grams]], 0)
+                den = self.den[m - 1][self.lower_context[m][contexts]] if m > 2 else np.zeros(len(contexts), dtype=np.int64)
+                values = (bucket, keys[contexts].tobytes(), pack(np.diff(np.append(begins, len(grams)))), pack(self.number[self.word_of[m][grams]]), pack(own), pack(below), pack(den), np.packbits(hot[contexts]).tobytes())
+            for name, value in zip(found, values):
+                found[name].append(value)
+        n = len(found["bucket"])
+        whole = rows(ASK, n, window=np.full(n, window), **found)
+        for i in range(0, n, 500):
+            yield whole.slice(i, 500)
+
+    def hear(self, m: int, answers: dict[int, dict], hot_rows: list[dict]) -> None:
+        """Takes the buckets' answers of an order."""
+        size = len(self.n[m])
+        self.r[m] = np.zeros(size, dtype=np.int64)
+        if m == 1:
+            self.number = np.zeros(size, dtype=np.int64)
+            for bucket, grams, _, _ in self.dealt(1):
+                self.r[1][grams], self.number[grams] = unpack(answers[bucket]["a"], len(grams)), unpack(answers[bucket]["b"], len(grams))
+            return
+        contexts_here = len(self.n[m - 1]) + 1
+        c, free = np.zeros(contexts_here, dtype=np.int64), np.zeros(contexts_here, dtype=bool)
+        alpha = np.zeros(contexts_here)
+        hot = self.is_hot(m)
+        for bucket, grams, contexts, begins in self.dealt(m):
+            row = answers[bucket]
+            r = self.r[m][grams] = unpack(row["a"], len(grams))
+            cold = ~hot[contexts]
+            c[contexts[cold]] = unpack(row["b"], len(contexts))[cold]
+            free[contexts[cold]] = np.unpackbits(np.frombuffer(row["c"], np.uint8), count=len(contexts)).astype(bool)[cold]
+            needed = contexts[asked_weights(r, begins, c[contexts]) & cold]
+            if len(needed):
+                alpha[needed] = self.model.log_alpha(m, c[needed], unpack(row["d"], K * len(needed)).reshape(-1, K), np.frombuffer(row["e"], "<f8"))
+        if hot_rows:
+            keys = self.context_keys(m)
+            order = np.argsort(keys)
+            for row in hot_rows:
+                at = order[np.searchsorted(keys, np.uint64(row["x"] % 2**64), sorter=order)]
+                counts = np.array([row["m"]])
+                c[at], free[at] = row["y"], counts.sum() == 0
+                if row["y"]:
+                    alpha[at] = self.model.log_alpha(m, c[[at]], counts, np.array([row["room"]]))[0]
+        self.c[m], self.den[m], self.alpha[m] = c, c + (free & (c > 0)), alpha
+
+    def log_probabilities(self, m: int) -> np.ndarray:
+        """Of the n-grams of an order, each by its own count if it is seen, else by its context's weight and the order below."""
+        if m == 1:
+            return np.log10(self.model.single(self.r[1]))
+        r, context = self.r[m], self.context_of[m]
+        seen = r > 0
+        below = self.alpha[m][context] + self.log_probabilities(m - 1)[self.lower[m]]
+        return np.where(seen, np.log10(self.model.seen(m, np.maximum(r, 1), self.den[m][context])), below)
+
+    def scored(self, order: int) -> pa.Table:
+        total = lambda values: np.add.reduceat(values, self.starts)
+        known = self.r[1][self.token]
+        base = np.log10((known + 0.5) / (self.model.tokens + 0.5 * (self.model.types + 1)))
+        return pa.table({
+            "id": pa.array(self.ids, pa.string()), "held_out": pa.array(self.held), "n_tokens": pa.array(self.lengths), "n_known": pa.array(total((known > 0).astype(np.int64))),
+            "train_tokens": pa.array(np.full(len(self.ids), self.model.tokens, dtype=np.int64)), "base_score": pa.array(total(base)), "score": pa.array(total(self.log_probabilities(order)[self.gram[order]])),
+        })
+
+
+def asked_weights(r: np.ndarray, begins: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Which contexts' back-off weights a window needs: those seen, with an n-gram that isn't."""
+    return np.logical_or.reduceat(r == 0, begins) & (c > 0)
+
+
+def solve_words(parts: list[dict], model: Model) -> Iterator[pa.RecordBatch]:
+    """A bucket of words: their counts and numbers."""
+    hashes = [np.frombuffer(p["a"], "<u8") for p in parts]
+    whole, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    count = np.bincount(at, np.concatenate([unpack(p["d"], len(h)) for p, h in zip(parts, hashes)]), len(whole)).astype(np.int64)
+    number = np.arange(len(whole)) * model.buckets + parts[0]["bucket"]
+    ends = np.cumsum([len(h) for h in hashes])[:-1]
+    yield rows(ANSWER, len(parts), window=[p["window"] for p in parts], bucket=[p["bucket"] for p in parts], level=np.full(len(parts), 1), a=[pack(count[i]) for i in np.split(at, ends)], b=[pack(number[i]) for i in np.split(at, ends)])
+    seen = count > 0
+    yield rows(STATS, m=[[int((count == r).sum()) for r in range(1, K + 2)]], x=[int(seen.sum())], y=[int(count.sum())])
+    yield rows(GRAMS, bucket=[parts[0]["bucket"]], level=[1], x=[int(seen.sum())], a=[whole[seen].tobytes()], c=[pack(number[seen])], d=[pack(count[seen])])
+
+
+def solve(parts: list[dict], model: Model, m: int) -> Iterator[pa.RecordBatch]:
+    """A bucket of n-grams: every one of its contexts is whole here, but for spread ones, of which every n-gram is."""
+    bucket = parts[0]["bucket"]
+    keys = [np.frombuffer(p["a"], "<u8") for p in parts]
+    runs = [unpack(p["b"], len(k)) for p, k in zip(parts, keys)]
+    sizes = [int(r.sum()) for r in runs]
+    word, own, below = (np.concatenate([unpack(p[c], n) for p, n in zip(parts, sizes)]) for c in "cde")
+    whole, entry = np.unique(np.concatenate(keys), return_inverse=True)
+    den_below, hot = np.zeros(len(whole), dtype=np.int64), np.zeros(len(whole), dtype=bool)
+    np.maximum.at(den_below, entry, np.concatenate([unpack(p["f"], len(k)) for p, k in zip(parts, keys)]))
+    np.logical_or.at(hot, entry, np.concatenate([np.unpackbits(np.frombuffer(p["g"], np.uint8), count=len(k)) for p, k in zip(parts, keys)]).astype(bool))
+    context = np.repeat(entry, np.concatenate(runs))
+    order = np.lexsort((word, context))
+    first = group_starts(context[order], word[order])
+    group = np.empty(len(order), dtype=np.int64)
+    group[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    r, below = np.add.reduceat(own[order], first), np.maximum.reduceat(below[order], first)
+    gram_context, gram_word = context[order][first], word[order][first]
+    del order, own, context
     seen = r > 0
-    rare = seen & (w_count[pw] < 0)
-    m = np.stack([np.bincount(ph[r == k], minlength=len(h_all)) for k in range(1, K + 1)] + [np.bincount(ph, np.where(r > K, r, 0), len(h_all)).astype(np.int64)], axis=1)
-    # hot contexts, and those without a discounted count, keep one count for the unseen
-    reserve = is_hot | (m[:, :K].sum(axis=1) == 0)
-    top = np.bincount(ph[seen & ~rare], w_p[pw[seen & ~rare]], len(h_all))
-    has = np.flatnonzero(np.bincount(ph[seen], minlength=len(h_all)))
-    if len(has):
-        lists = pa.ListArray.from_arrays(np.arange(len(has) + 1, dtype=np.int32) * m.shape[1], m[has].ravel())
-        tell(1, len(has), a=h_all[has].view(np.int64), b=c[has] + reserve[has], c=c[has], x=top[has], m=lists)
-    if rare.any():
-        tell(2, int(rare.sum()), a=h_all[ph[rare]].view(np.int64), b=w_all[pw[rare]].view(np.int64))
-    tell(5, 1, m=[[int((r == k).sum()) for k in range(1, K + 2)]])
-    # occurrences
-    run = np.repeat(np.arange(len(first), dtype=np.int32), sizes)
-    ch = c[ph]
-    token = h_all[ph] != START
-    sums = np.zeros((len(LOG_COLUMNS), d_base))
-    sums[0] = np.bincount(d, np.where(token, np.log10(ch + 0.5), 0.0)[run], d_base)
-    sums[2] = np.bincount(d, (token & (ch > 0))[run], d_base)
-    per = np.where(seen, np.log10(np.maximum(r, 1)) - np.log10(np.maximum(ch + reserve[ph], 1)), np.where(w_count[pw] >= 0, np.log10(w_p[pw]), 0.0))
-    sums[1] = np.bincount(d, per[run], d_base)
-    for k in range(1, K + 1):
-        sums[2 + k] = np.bincount(d[(r == k)[run]], minlength=d_base)
-    uid = np.concatenate([(p["flush"] << 16) + np.arange(p["docs"]) for p in packs])
-    for kind, which, key in ((3, ~seen & (ch > 0), h_all[ph]), (4, ~seen & (w_count[pw] < 0), w_all[pw])):
-        some = np.flatnonzero(which[run])
-        if len(some):
-            tell(kind, len(some), a=key[run[some]].view(np.int64), b=uid[d[some]])
-    return {p["flush"]: sums[:, at : at + p["docs"]].copy() for p, at in zip(packs, starts)}
+    c = np.bincount(gram_context, r, len(whole)).astype(np.int64)
+    counts = np.stack([np.bincount(gram_context[r == k], minlength=len(whole)) for k in range(1, K + 1)], axis=1)
+    share = model.seen(m - 1, below[seen], den_below[gram_context[seen]])
+    room = np.bincount(gram_context[seen], share, len(whole))
+    free = counts.sum(axis=1) == 0
+    # answers
+    answers: dict[str, list] = {x: [] for x in "abcde"}
+    at = at_entry = 0
+    for run, n in zip(runs, sizes):
+        mine, contexts = r[group[at : at + n]], entry[at_entry : at_entry + len(run)]
+        needed = contexts[asked_weights(mine, np.cumsum(run) - run, c[contexts]) & ~hot[contexts]]
+        for x, value in zip("abcde", (pack(mine), pack(c[contexts]), np.packbits(free[contexts]).tobytes(), pack(counts[needed].ravel()), room[needed].tobytes())):
+            answers[x].append(value)
+        at, at_entry = at + n, at_entry + len(run)
+    n = len(parts)
+    made = rows(ANSWER, n, window=[p["window"] for p in parts], bucket=np.full(n, bucket), level=np.full(n, m), **answers)
+    for i in range(0, n, 500):
+        yield made.slice(i, 500)
+    yield rows(STATS, m=[[int((r == k).sum()) for k in range(1, K + 2)]], x=[int(seen.sum())], y=[int(r.sum())])
+    # tables
+    kept_contexts = np.flatnonzero(c > 0)
+    if len(kept_contexts):
+        yield rows(GRAMS, bucket=[bucket], level=[m], x=[int(seen.sum())], y=[len(kept_contexts)], a=[whole[kept_contexts].tobytes()], b=[pack(np.bincount(gram_context[seen], minlength=len(whole))[kept_contexts])], c=[pack(gram_word[seen])], d=[pack(r[seen])])
+        cold = kept_contexts[~hot[kept_contexts]]
+        yield rows(CONTEXTS, bucket=[bucket], level=[m], x=[len(cold)], a=[whole[cold].tobytes()], b=[pack(c[cold])], c=[pack(counts[cold].ravel())], e=[room[cold].tobytes()])
+    spread = np.flatnonzero(hot)
+    if len(spread):
+        yield rows(PART, len(spread), x=whole[spread].view(np.int64), y=c[spread], m=counts[spread].tolist(), room=room[spread])
+        asked = np.concatenate([np.full(len(k), p["window"]) for p, k in zip(parts, keys)])
+        some = np.flatnonzero(hot[entry])
+        yield rows(WANT, len(some), window=asked[some], x=whole[entry[some]].view(np.int64))
 
 
 class Katz:
     """Learns from the rows where ``train`` holds and scores all rows.
 
     Tokens: the text's words (A-Z lower-cased, between ASCII white space), then
-    one end. p(w | h) is d(r) * r / c(h) for r = c(h, w) > 0, else alpha(h) * p(w),
-    with alpha(h) = (1 - sum of the seen) / (1 - sum of their p(w)): the
-    probabilities after each context add up to one exactly. A context whose
-    counts are all above K, or that is hot, counts once more than it occurs, which
-    leaves the unseen some mass. p(w) is Good-Turing discounted too, its rest
-    belongs to the one class of unknown words; after unknown contexts p(w) holds.
-
-    Every occurrence moves once: windows of documents are packed (contexts,
-    tokens and documents as small numbers) into buckets by context. Contexts
-    with more than 1/(2 * buckets) of the tokens are spread by pair. Buckets
-    count, discount and score; what they can't know follows in joins: the
-    probabilities of rare tokens (frequent ones, at most ``frequent``, are sent to
-    the tasks) and the back-off weights of unseen pairs' contexts. The tables
-    ``unigrams``, ``contexts`` and the bigrams' statistics are written, by kind.
+    one end. An n-gram seen r > 0 times after a context h has the probability
+    d(r) * r / c(h), any other one alpha(h) times its probability without the
+    first word of h, and so on down to single tokens, whose rest belongs to the one class of unknown
+    words. d are Good-Turing discounts of each order; alpha(h) is (1 - sum of the
+    seen) / (1 - sum of what the order below gives them), so that the
+    probabilities after each context add up to one exactly; a context that training lacks
+    has alpha 1. A context whose counts are all above K counts once more than it
+    occurs, which leaves the unseen some mass. Before a text stand as many marks as there are words in a context.
+
+    Order by order, windows of documents (at least ``window_tokens`` tokens each)
+    send their distinct n-grams, packed, to buckets of contexts (about
+    ``bucket_tokens`` tokens each), with their counts there and what the order below
+    said; buckets add up, write the tables of n-grams and contexts, and
+    answer each window what it asked for. So a probability is put together where
+    the text is, from the top order down. What a window sends of an n-gram
+    doesn't grow with its repeats. Contexts with a large share of the tokens are spread
+    over the buckets, n-gram by n-gram; their sums are joined. Neither that nor the
+    numbers of windows and buckets changes a probability.
+
+    ``ngrams`` and ``contexts`` give the stored tables, which are partitioned by
+    order and, inside, by bucket of the context's hash.
 
     Null and empty texts have one token, the end. Null ids and repeated rows are
     rows like others. Without training rows everything is unknown with
-    probability 1; an empty table gives no rows.
+    probability 1; an empty table gives no rows. Other columns are not read.
     """
 
-    def __init__(self, docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = 1 << 20, window_tokens: int = 1_500_000, bucket_tokens: int = 1_000_000):
-        self.docs, self.train, self.id_col, self.text_col = docs, F.coalesce(train, F.lit(False)), id_col, text_col
-        self.frequent, self.window_tokens, self.bucket_tokens = frequent, window_tokens, bucket_tokens
+    def __init__(self, docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, window_tokens: int = 1_000_000, bucket_tokens: int = 1_000_000):
+        self.docs, self.train, self.id_col, self.text_col, self.order = docs, F.coalesce(train, F.lit(False)), id_col, text_col, order
+        self.window_tokens, self.bucket_tokens = window_tokens, bucket_tokens
         self.spark = docs.sparkSession
         self.scratch = Scratch(self.spark, "katz")
 
-    def lower(self) -> Lower:
-        trained = self.docs.where(self.train).count()
-        uni = self.scratch.write(unigrams(self.docs, self.text_col, self.train), "words")
-        end = self.spark.createDataFrame([(END, trained)], "w long, c long").where("c > 0")
-        self.unigrams = self.scratch.write(uni.unionByName(end), "unigrams")
-        self.scratch.drop("words")
-        n, types, tokens = count_of_counts(self.unigrams, "c")
-        steps = [1 << i for i in range(48)]
-        over = self.unigrams.agg(*(F.sum((F.col("c") >= s).cast("long")).alias(f"s{s}") for s in steps)).first()
-        least = next(s for s, many in zip(steps, over) if (many or 0) <= self.frequent)
-        top = self.unigrams.where(F.col("c") >= least).toArrow()
-        hashes, counts = top.column("w").to_numpy().view(np.uint64), top.column("c").to_numpy()
-        order = np.argsort(hashes)
-        all_tokens = max(tokens, 1)
-        self.buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(1.3 * all_tokens / self.bucket_tokens))
-        hot = hashes[counts > all_tokens / (2 * self.buckets)]
-        start = np.array([START] if trained > all_tokens / (2 * self.buckets) else [], dtype=np.uint64)
-        hot = np.concatenate([hot[hot != END], start])
-        return Lower(hashes[order], counts[order], n, types, tokens, trained, np.sort(hot))
+    def _found(self, m: int, kind: int) -> DataFrame:
+        return self.found[m].where(F.col("kind") == kind)
+
+    def _states(self, m: int) -> DataFrame:
+        """The windows with all answers of the orders below m."""
+        out = self.windows
+        for k in range(1, m):
+            out = out.unionByName(self._found(k, ANSWER)).unionByName(self.hot[k]) if k > 1 else out.unionByName(self._found(1, ANSWER))
+        return out
+
+    def _grouped(self, m: int, work, schema: str) -> DataFrame:
+        """work(window, number) for each window once it has heard of the orders below m."""
+        model, order = self.model, self.order
+
+        def one(table: pa.Table) -> pa.Table:
+            told: dict[int, dict[int, dict]] = {}
+            hot: dict[int, list[dict]] = {}
+            window = None
+            for row in table.to_pylist():
+                if row["kind"] == WINDOW:
+                    window, number = Window(row, model, min(order, m)), row["window"]
+                elif row["kind"] == ANSWER:
+                    told.setdefault(row["level"], {})[row["bucket"]] = row
+                else:
+                    hot.setdefault(row["level"], []).append(row)
+            for k in range(1, m):
+                window.hear(k, told[k], hot.get(k, []))
+            out = work(window, number)
+            del window, told
+            give_back()
+            return out
+
+        return self._states(m).groupBy("window").applyInArrow(one, schema)
+
+    def fit(self) -> Model:
+        """Counts all orders, one after the other."""
+        told, most = self.docs.select(F.col(self.id_col).cast("string"), ~self.train, F.col(self.text_col).cast("binary")), self.window_tokens
+        self.windows = self.scratch.write(told.mapInArrow(lambda batches: windows(batches, most), SCHEMA), "windows")
+        everything = self.windows.agg(F.sum("x")).first()[0] or 0
+        trained = self.windows.select(F.explode("held").alias("held")).where("not held").count()
+        buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(everything / self.bucket_tokens))
+        self.model, self.found, self.hot = Model(trained, buckets, max(2, everything // (2 * buckets))), {}, {}
+        for m in range(1, self.order + 1):
+            model = self.model
+            if m == 1:
+
+                def ask(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
+                    for batch in batches:
+                        for row in batch.to_pylist():
+                            yield from Window(row, model, 1).asks(1, row["window"])
+
+                asked = self.windows.mapInArrow(ask, SCHEMA)
+            else:
+                asked = self._grouped(m, lambda w, number, m=m: pa.Table.from_batches(list(w.asks(m, number))), SCHEMA)
+
+            def answer(batches: Iterator[pa.RecordBatch], model=model, m=m) -> Iterator[pa.RecordBatch]:
+                parts: list[dict] = []
+                solved = lambda: solve_words(parts, model) if m == 1 else solve(parts, model, m)
+                for batch in batches:
+                    for row in batch.to_pylist():
+                        if parts and parts[0]["bucket"] != row["bucket"]:
+                            yield from solved()
+                            parts = []
+                        parts.append(row)
+                if parts:
+                    yield from solved()
+                give_back()
+
+            needed = [f.name for f in self.windows.schema if f.name in ("window", "bucket", *"abcdefg")]
+            answered = asked.select(*needed).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, SCHEMA)
+            self.found[m] = self.scratch.write(answered, f"order{m}", ["kind"]).select(*TYPES)
+            del asked, answered
+            release_shuffles(self.spark)
+            sums = self._found(m, STATS).agg(*(F.sum(F.col("m")[i]) for i in range(K + 1)), F.sum("x"), F.sum("y")).first()
+            *n, types, tokens = (int(v or 0) for v in sums)
+            self.model.learn(m, n, types, tokens)
+            if m > 1:
+                self._spread(m)
+        return self.model
+
+    def _spread(self, m: int) -> None:
+        """Adds up the contexts that were spread, for the windows that want them."""
+        parts = self._found(m, PART).groupBy("x").agg(F.sum("y").alias("y"), F.array(*(F.sum(F.col("m")[i]) for i in range(K))).alias("m"), F.sum("room").alias("room"))
+        wanted = self.scratch.write(self._found(m, WANT).select("window", "x").distinct(), f"wanted{m}")
+        sized = self.scratch.write(parts.join(wanted.groupBy("x").agg(F.count(F.lit(1)).alias("askers")), "x"), f"spread{m}")
+        told = spread_join(wanted, sized, "x", "askers").select("window", "x", "y", "m", "room")
+        given = {"kind": F.lit(PART), "level": F.lit(m)} | {c: F.col(c) for c in ("window", "x", "y", "m", "room")}
+        types = {f.name: f.dataType for f in self.windows.schema}
+        self.hot[m] = self.scratch.write(told.select(*(given.get(c, F.lit(None)).cast(types[c]).alias(c) for c in TYPES)), f"hot{m}")
 
     def scores(self) -> DataFrame:
         """A row per row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-        lower = self.lower()
-        shared = self.spark.sparkContext.broadcast(lower)
-        told = self.docs.select(F.col(self.id_col).cast("string"), ~self.train, F.col(self.text_col).cast("binary"))
-        packed = told.mapInArrow(_windows(self.window_tokens, self.buckets, shared), PACKED)
-        packed = packed.repartition("bucket").sortWithinPartitions("bucket")
-        found = self.scratch.write(packed.mapInArrow(_solve_buckets(shared), FOUND), "found", ["kind"])
-        del packed
-        release_shuffles(self.spark)
-        kind = lambda n: found.where(F.col("kind") == n)
-
-        types = kind(5).agg(*(F.coalesce(F.sum(F.col("m")[i]), F.lit(0)) for i in range(K + 1))).first()
-        d = discounts([0, *map(int, types[: K + 1])])
-        self.discounts = d
-        # what the seen pairs of a context add up to, and the p(w) of those with rare tokens
-        spent = F.lit(0.0)
-        for r in range(1, K + 1):
-            spent = spent + F.col(f"m{r}") * (r * d[r])
-        spent = spent + F.col("big")
-        contexts = kind(1).groupBy("a").agg(
-            F.max("b").alias("den"), F.sum("x").alias("top"), *(F.sum(F.col("m")[r - 1]).alias(f"m{r}") for r in range(1, K + 1)),
-            F.sum(F.col("m")[K]).alias("big"),
-        )
-        rare = kind(2).select("a", F.col("b").alias("w")).join(self.unigrams, "w").groupBy("a").agg(F.sum(lower.column(F.col("c"))).alias("rare"))
-        full = contexts.join(rare, "a", "left").select(
-            F.col("a").alias("h"), F.greatest(F.lit(1e-12), 1 - spent / F.col("den")).alias("left"),
-            F.greatest(F.lit(1e-12), 1 - F.col("top") - F.coalesce("rare", F.lit(0.0))).alias("room"),
-        )
-        self.contexts = self.scratch.write(full.select("h", F.log10(F.col("left") / F.col("room")).alias("log_alpha")), "contexts")
-        backed = kind(3).select(F.col("a").alias("h"), F.col("b").alias("uid")).join(self.contexts, "h").groupBy("uid").agg(F.sum("log_alpha").alias("log_alpha"))
-        alone = kind(4).select(F.col("a").alias("w"), F.col("b").alias("uid")).join(self.unigrams, "w", "left")
-        alone = alone.groupBy("uid").agg(F.sum(F.log10(lower.column(F.coalesce("c", F.lit(0))))).alias("log_rare"))
-
-        def add(key: tuple, table: pa.Table) -> pa.Table:
-            total, docs = None, table.column("docs")[0].as_py()
-            for blob in table.column("blob"):
-                part = _unpack_sums(blob.as_buffer(), docs)
-                total = part if total is None else total + part
-            n = total.shape[1]
-            return pa.table({"uid": pa.array((key[0].as_py() << 16) + np.arange(n))} | {c: pa.array(row) for c, row in zip(LOG_COLUMNS, total)})
-
-        logs = kind(0).select(F.col("a").alias("flush"), F.col("b").cast("int").alias("docs"), "blob").groupBy("flush").applyInArrow(add, "uid long, " + ", ".join(f"{c} double" for c in LOG_COLUMNS))
-        rows = kind(6).select(F.col("a").alias("uid"), "id", "held", F.col("c").alias("n_tokens"))
-        rows = rows.join(logs, "uid").join(backed, "uid", "left").join(alone, "uid", "left")
-        norm = math.log10(lower.tokens + 0.5 * (lower.types + 1))
-        taken = F.col("seen") + F.coalesce("log_alpha", F.lit(0.0)) + F.coalesce("log_rare", F.lit(0.0))
-        for r in range(1, K + 1):
-            taken = taken + F.col(f"n{r}") * math.log10(d[r])
-        end_count = lower.train_docs
-        return rows.select(
-            F.col("id").cast(self.docs.schema[self.id_col].dataType).alias(self.id_col), F.col("held").alias("held_out"), "n_tokens",
-            (F.col("known") + (1 if end_count else 0)).cast("long").alias("n_known"), F.lit(lower.tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + math.log10(end_count + 0.5) - F.col("n_tokens") * norm).alias("base_score"), taken.alias("score"),
-        )
+        self.fit()
+        order = self.order
+        out = self._grouped(order + 1, lambda w, number: w.scored(order), "id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        return out.withColumn("id", F.col("id").cast(self.docs.schema[self.id_col].dataType)).withColumnRenamed("id", self.id_col)
+
+    def ngrams(self, m: int) -> DataFrame:
+        """The stored n-grams of an order: bucket, context (of order 1: the word's hash), word (its number), count."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    context, word, count = np.frombuffer(row["a"], "<i8"), unpack(row["c"], row["x"]), unpack(row["d"], row["x"])
+                    if m > 1:
+                        context = np.repeat(context, unpack(row["b"], row["y"]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), row["bucket"])), pa.array(context), pa.array(word), pa.array(count)], ["bucket", "context", "word", "count"])
+
+        return self._found(m, GRAMS).select("bucket", "x", "y", "a", "b", "c", "d").mapInArrow(run, "bucket long, context long, word long, count long")
+
+    def contexts(self, m: int) -> DataFrame:
+        """The stored contexts of an order: context, count, log_alpha (base 10). Spread ones are added up from their buckets."""
+        model = self.model
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    if row["kind"] == CONTEXTS:
+                        context, count, n = np.frombuffer(row["a"], "<i8"), unpack(row["b"], row["x"]), row["x"]
+                        counts, room = unpack(row["c"], K * n).reshape(-1, K), np.frombuffer(row["e"], "<f8")
+                    else:
+                        context, count, counts, room = np.array([row["x"]]), np.array([row["y"]]), np.array([row["m"]]), np.array([row["room"]])
+                    yield pa.RecordBatch.from_arrays([pa.array(context), pa.array(count), pa.array(model.log_alpha(m, count, counts, room))], ["context", "count", "log_alpha"])
+
+        spread = self._found(m, PART).groupBy("kind", "x").agg(F.sum("y").alias("y"), F.array(*(F.sum(F.col("m")[i]) for i in range(K))).alias("m"), F.sum("room").alias("room")).where("y > 0")
+        columns = ("kind", "x", "y", "m", "room", "a", "b", "c", "e")
+        rows_of = self._found(m, CONTEXTS).where("x > 0").select(*columns).unionByName(spread, allowMissingColumns=True)
+        return rows_of.mapInArrow(run, "context long, count long, log_alpha double")
