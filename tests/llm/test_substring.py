@@ -132,12 +132,20 @@ def test_long_texts_take_time_in_proportion(spark):
     assert times[1] < 30 * times[0]
 
 
-def test_equal_hashes_of_other_words_stay(spark, monkeypatch):
-    real = S.span_hashes
-    rows = spark.createDataFrame([(i, f"Text {i} has one. Text {i} has two. Text {i} has three. Text {i} has four.") for i in range(5)], "doc_id long, text string")
-    monkeypatch.setattr(S, "span_hashes", lambda words, at, base: np.zeros(len(at), dtype=np.int64) if base == S.ODD[0] else real(words, at, base))
-    found = [S.spans(r.text, 4) for r in rows.collect()]
-    assert len({int(h) for _, h, _ in found for h in h}) == 1 and len({int(h) for _, _, h in found for h in h}) == 5
+def test_equal_hashes_of_other_words_are_no_repeat():
+    runs = {"hash": [5, 5, 5, 5], "second": [1, 2, 1, 2], "no_id": [0, 0, 0, 1], "id": [7, 8, 6, 0], "uid": [1, 2, 3, 4], "at": [0, 0, 0, 0]}
+    runs, first = S._firsts({c: np.array(runs[c], dtype=t) for c, t in S.RUN_COLUMNS.items()})
+    assert runs["uid"].tolist() == [3, 1, 2, 4] and first.tolist() == [True, False, True, False]
+
+
+@pytest.mark.parametrize("words", [1, 300])
+def test_windows_and_buckets_change_nothing(spark, words):
+    rnd = random.Random(7)
+    passages = ["".join(sentence(rnd) for _ in range(6)) for _ in range(4)]
+    rows = [(rnd.choice([None, i]), "".join(sentence(rnd) for _ in range(3)) + rnd.choice(passages)) for i in range(60)]
+    docs = S.placed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    found = [sorted((r.place, sorted(r.starts)) for r in S.repeated_spans(docs, "doc_id", "text", 4, S.Scratch(spark, "t"), *options).collect()) for options in ((), (words, 50))]
+    assert found[0] == found[1] and len(found[0]) > 40
 
 
 def test_cut_words_are_those_of_the_spans():

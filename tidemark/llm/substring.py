@@ -18,14 +18,17 @@ ENDS = r"(?<=[.!?])[\x20\x09-\x0D]+(?=[^\x20\x09-\x0D])|\n"
 _ENDS = re.compile(ENDS)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
-#: Pieces have up to WINDOW words, their runs RUN to RUN + WINDOW - 1. Of a repeated stretch at most WINDOW - 1 words at
-#: either end lie outside the pieces that all its places share, so one of 50 words holds a whole run: 2 * 5 + 34 + 5 < 50.
-WINDOW, RUN = 6, 34
+#: A sentence's first character, with what stands before it.
+_BEGIN = r"(?:\A[\x20\x09-\x0D]*|\n[\x20\x09-\x0D]*|(?<=[.!?])[\x20\x09-\x0D]+)[^\x20\x09-\x0D]"
+
+#: Of RUN consecutive words there is a run where their hash is the least of WINDOW neighbouring ones: of a repeated stretch
+#: the same runs are taken wherever it stands, and one of RUN + WINDOW - 1 = 50 words holds at least one.
+RUN, WINDOW = 34, 17
 
 
 def sentence_count(text: Column) -> Column:
     """How many sentences that aren't blank the text has."""
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), ENDS), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_BEGIN)).cast("long")
 
 
 def sentence_words(text: str) -> list[list[bytes]]:
@@ -33,35 +36,25 @@ def sentence_words(text: str) -> list[list[bytes]]:
     return [w for s in _ENDS.split(text.lower()) if (w := s.encode().split())]
 
 
-def piece_starts(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The first words of a text's pieces, and its end: each sentence is split before the least hash of every WINDOW consecutive words in it.
-
-    Between the first and the last window that lie in a repeated stretch the
-    splits are the same wherever it stands, whatever its sentences are glued to.
-    A piece has at most WINDOW words.
-    """
-    if len(words) < WINDOW:
-        return starts
-    sentence = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    least = np.lib.stride_tricks.sliding_window_view(words, WINDOW).argmin(axis=1) + np.arange(len(words) - WINDOW + 1)
-    return np.union1d(starts, least[sentence[: len(least)] == sentence[WINDOW - 1 :]])
-
-
-def piece_runs(starts: np.ndarray) -> np.ndarray:
-    """From each piece on, the shortest run (first word << 32 | end) of ``RUN`` words or more."""
-    end = np.searchsorted(starts, starts + RUN)
-    fits = end < len(starts)
-    return starts[fits] << 32 | starts[end[fits]]
+def word_runs(words: np.ndarray) -> np.ndarray:
+    """The runs of RUN words (first word << 32 | end) that are taken from these words; of fewer than 50, the one of least hash."""
+    first = np.arange(len(words) - RUN + 1, dtype=np.int64)
+    if not len(first):
+        return first
+    hashes = span_hashes(words, first << 32 | first + RUN, ODD[3]).view(np.uint64)
+    taken = np.lib.stride_tricks.sliding_window_view(hashes, min(WINDOW, len(hashes))).argmin(axis=1)
+    first = np.unique(taken + np.arange(len(taken)))
+    return first << 32 | first + RUN
 
 
 def spans(text: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(span, hash, second hash) of each run of sentences or pieces: its first word << 32 | the word behind it, and two hashes of its words."""
+    """(span, hash, second hash) of each run of sentences or words: its first word << 32 | the word behind it, and two hashes of its words."""
     told = sentence_words(text)
     starts = np.concatenate([[0], np.cumsum([len(w) for w in told])]).astype(np.int64)
     known = words_of_worker().known
     words = np.fromiter(map(known.__getitem__, chain.from_iterable(told)), dtype=np.uint64, count=int(starts[-1]))
-    at = np.union1d(starts[:-k] << 32 | starts[k:], piece_runs(piece_starts(mix(words), starts)))
-    return at, span_hashes(words, at, ODD[0]), span_hashes(words, at, ODD[7])
+    at = np.union1d(starts[:-k] << 32 | starts[k:], word_runs(words))
+    return at, span_hashes(words, at, ODD[0]), span_hashes(words, at, ODD[7]).view(np.uint64).astype(np.uint32)
 
 
 def span_hashes(words: np.ndarray, at: np.ndarray, base: np.uint64) -> np.ndarray:
@@ -113,37 +106,125 @@ def without(text: str | None, gone: list[int] | None, least: int = RUN) -> dict
     return {"kept": "".join([*kept, text[done:]]), "gone": len(lost)}
 
 
-def repeated_spans(docs: DataFrame, id_col: str, text_col: str, k: int, bloom_blocks: int, scratch: Scratch) -> DataFrame:
+#: What is known of a run: two hashes, its row's id (and whether it is null) and number, and where it stands.
+RUN_COLUMNS = {"hash": "<u8", "second": "<u4", "no_id": "u1", "id": "<i8", "uid": "<i8", "at": "<i8"}
+
+
+def _firsts(runs: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The runs in order, and which of them are the first of their words."""
+    order = np.lexsort([runs[c] for c in reversed(RUN_COLUMNS)])
+    runs = {c: v[order] for c, v in runs.items()}
+    return runs, np.concatenate([[True], (runs["hash"][1:] != runs["hash"][:-1]) | (runs["second"][1:] != runs["second"][:-1])])[: len(order)]
+
+
+def _batch(values: dict[str, list], types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values[c], types[c]) for c in types], list(types))
+
+
+def _later(runs: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """(window, uid, at): a row for each window of these runs."""
+    order = np.argsort(runs["uid"], kind="stable")
+    uid, at = runs["uid"][order], runs["at"][order]
+    window = uid >> 20
+    cuts = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]])[: len(uid)])
+    ends = np.append(cuts[1:], len(uid))
+    values = {"window": window[cuts], "uid": [uid[a:b].tobytes() for a, b in zip(cuts, ends)], "at": [at[a:b].tobytes() for a, b in zip(cuts, ends)]}
+    return _batch(values, {"window": pa.int64(), "uid": pa.binary(), "at": pa.binary()})
+
+
+def _windows(k: int, most_words: int, numbered: bool):
+    """Rows of documents to windows of them: their places, the runs that are the first of their words in the window, and the others."""
+    types = {"window": pa.int64(), "places": pa.list_(pa.string()), "runs": pa.int64()} | {c: pa.binary() for c in (*RUN_COLUMNS, "later_uid", "later_at")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        window, places, held = TaskContext.get().partitionId() << 20, [], 0
+        found: dict[str, list[np.ndarray]] = {c: [] for c in RUN_COLUMNS}
+
+        def out() -> pa.RecordBatch:
+            nonlocal window, places, held
+            runs, first = _firsts({c: np.concatenate(v).astype(RUN_COLUMNS[c]) for c, v in found.items()})
+            values = {"window": [window], "places": [places], "runs": [int(first.sum())], "later_uid": [runs["uid"][~first].tobytes()], "later_at": [runs["at"][~first].tobytes()]}
+            whole = _batch(values | {c: [v[first].tobytes()] for c, v in runs.items()}, types)
+            window, places, held = window + 1, [], 0
+            for v in found.values():
+                v.clear()
+            return whole
+
+        for batch in batches:
+            for place, number, text in zip(*(c.to_pylist() for c in batch.columns)):
+                at, first, second = spans(text or "", k)
+                values = (first.view(np.uint64), second, number is None, number if numbered and number is not None else 0, window << 20 | len(places), at)
+                for c, v in zip(RUN_COLUMNS, values):
+                    found[c].append(v if isinstance(v, np.ndarray) else np.full(len(at), v))
+                places.append(place)
+                held += len(text or "") // 6 + 1
+                if held >= most_words or len(places) == 1 << 20:
+                    yield out()
+        if places:
+            yield out()
+        give_back()
+
+    return run, "window long, places array<string>, runs long, " + ", ".join(f"{c} binary" for c in (*RUN_COLUMNS, "later_uid", "later_at"))
+
+
+def repeated_spans(docs: DataFrame, id_col: str, text_col: str, k: int, scratch: Scratch, window_words: int = 1_000_000, bucket_runs: int = 1_000_000) -> DataFrame:
     """(place, starts): per row of ``docs`` (with _place) its runs (as in ``spans``) that stand earlier too, in another row or its own.
 
-    Nothing is joined on a run: what a run's places have in common is counted and
-    their first is found by sums that begin where the runs are read; each row then
-    takes the places that are first from its own.
-    """
+    Windows of documents tell apart the first of equal runs and the others, which
+    need not be asked about; the firsts, a row for each window and bucket of hashes,
+    meet by bucket, where all but one of each are found to be later ones."""
+    types = {"bucket": pa.int64()} | {c: pa.binary() for c in RUN_COLUMNS}
+    numbered = docs.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    make, schema = _windows(k, window_words, numbered)
+    told = scratch.write(docs.select("_place", F.col(id_col), F.col(text_col)).mapInArrow(make, schema), "windows")
+    total = told.agg(F.sum("runs")).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_runs))
 
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, len(batch), 1000):
-                some = batch.slice(first, 1000)
-                found = [spans(t or "", k) for t in some.column(2).to_pylist()]
-                ends = pa.array(np.concatenate([[0], np.cumsum([len(f[0]) for f in found])]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([f[c] for f in found]))) for c in range(3)]
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *lists], ["place", "id", "at", "hash", "second"])
+            for row in batch.to_pylist():
+                runs = {c: np.frombuffer(row[c], t) for c, t in RUN_COLUMNS.items()}
+                bucket = (runs["hash"] % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                runs, bucket = {c: v[order] for c, v in runs.items()}, bucket[order]
+                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(bucket)])
+                values: dict[str, list] = {c: [v[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(bucket)))] for c, v in runs.items()}
+                yield _batch(values | {"bucket": bucket[cuts]}, types)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[dict] = []
+
+        def solve() -> pa.RecordBatch:
+            runs, first = _firsts({c: np.concatenate([np.frombuffer(p[c], t) for p in parts]) for c, t in RUN_COLUMNS.items()})
+            parts.clear()
+            return _later({c: v[~first] for c, v in runs.items()})
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if parts and row["bucket"] != parts[0]["bucket"]:
+                    yield solve()
+                parts.append(row)
+        if parts:
+            yield solve()
         give_back()
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col("_place").alias("place"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = scratch.write(rows.mapInArrow(told, f"place string, id {kind}, at array<long>, hash array<long>, second array<long>"), "spans")
-    runs = rows.select("place", "id", F.explode(F.arrays_zip("at", "hash", "second")).alias("s")).select("place", "id", "s.*")
-    twice = scratch.write(runs.groupBy("hash").count().where("count > 1").select("hash"), "repeated")
-    bloom = BlockedBloom(bloom_blocks)
-    hits = bloom.may_hold(runs, bloom.build(twice, "hash"), "hash")  # a run that passes by chance is the first of its kind
-    order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("place"), F.col("at"))
-    first = hits.groupBy("hash", "second").agg(F.min(order).alias("first"))
-    first = first.groupBy(F.col("first.place").alias("place")).agg(F.collect_set("first.at").alias("firsts"))
-    later = hits.groupBy("place").agg(F.collect_set("at").alias("all")).join(first, "place", "left")
-    later = later.select("place", F.array_except("all", F.coalesce("firsts", F.array().cast("array<long>"))).alias("starts")).where(F.size("starts") > 0)
-    return scratch.write(later, "later")
+    def gather(rows: pa.Table) -> pa.Table:
+        """All later runs of a window, by the places of its documents."""
+        uid, at = (np.concatenate([np.frombuffer(v.as_buffer(), "<i8") for v in rows[c] if v.is_valid]) for c in ("uid", "at"))
+        places = next(v.values for v in rows["places"] if v.is_valid)
+        order = np.argsort(uid, kind="stable")
+        number, at = uid[order] & (1 << 20) - 1, at[order]
+        cuts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])[: len(number)])
+        ends = pa.array(np.append(cuts, len(number)).astype(np.int32))
+        return pa.table({"place": places.take(pa.array(number[cuts])), "starts": pa.ListArray.from_arrays(ends, pa.array(at))})
+
+    dealt = told.select(*RUN_COLUMNS).mapInArrow(deal, "bucket long, " + ", ".join(f"{c} binary" for c in RUN_COLUMNS))
+    across = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "window long, uid binary, at binary")
+    inside = told.select("window", "places", F.col("later_uid").alias("uid"), F.col("later_at").alias("at"))
+    both = inside.unionByName(across, allowMissingColumns=True)
+    return scratch.write(both.groupBy("window").applyInArrow(gather, "place string, starts array<long>"), "later")
 
 
 def dedup_spans(
@@ -151,17 +232,16 @@ def dedup_spans(
 ) -> DataFrame:
     """docs with ``text_col`` freed of repeated sentences, and n_sentences and n_removed (long) added (or replaced).
 
-    Every k consecutive sentences (blank ones not counted) are a run. So are, from
-    each piece on (parts of sentences, see ``piece_starts``), as many pieces as it
-    takes to have ``RUN`` words: every stretch of 50 words that recurs holds such
-    a run, wherever its sentences end. Runs are equal if two 64-bit hashes of
-    their words are. The first place of a run (smallest id, null ids
-    last, then file and row, then position) stays; what a run covers at any other
+    Every k consecutive sentences (blank ones not counted) are a run. So are some
+    stretches of RUN words, whatever sentences they stand in (see ``RUN``): every
+    stretch of 50 words that recurs holds such a run. Runs are equal if their words
+    have the same 64-bit and the same second 32-bit hash. The first place of a run stays (of
+    the smallest id where ids are whole numbers, null ids last, then of the row
+    read first, then in its text); what a run covers at any other
     place goes, with the white space after it: whole sentences, and parts of
     others where ``RUN`` or more words together are left to cut. A sentence that
-    loses some of its words counts as removed too. Counts and first places combine
-    before the shuffle, so a run that a third of all rows hold is no hot spot; rows
-    without repeats are not shuffled.
+    loses some of its words counts as removed too. A run that a third of all rows hold
+    moves once for each window of documents; rows without repeats are not shuffled.
 
     Null text stays null and has no sentences; texts with fewer than k sentences
     have no run of sentences; of repeated rows one stays whole; a text may become
@@ -171,7 +251,7 @@ def dedup_spans(
     keep = [c for c in docs.columns if c not in (text_col, "n_sentences", "n_removed")]
     # own names for what is used here; the other columns pass through in one struct, whatever they are called
     docs = placed(docs.select(F.struct(*keep).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
-    later = repeated_spans(docs, "_id", "_text", k, bloom_blocks, scratch)
+    later = repeated_spans(docs, "_id", "_text", k, scratch)
     bloom = BlockedBloom(bloom_blocks)
     filled = bloom.build(later, "place")
     count = F.when(F.col("_text").isNull(), F.lit(0).cast("long")).otherwise(sentence_count(F.col("_text"))).alias("n_sentences")
