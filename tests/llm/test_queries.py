@@ -2,13 +2,20 @@
 
 import importlib
 import os
+import random
+import re
+from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.test_queries import TABLES, counted
-from tidemark.llm import queries
+from tidemark.llm import langid, packing, queries
+
+from .conftest import SCHEMA, prose
+from .test_jaccard import brute, varied
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +65,60 @@ def test_pipeline(spark, sf_dir):
     assert all(sum(r.length for r in out if r.doc_id == i) % n == 0 for i, n in list(tokens.items())[:20])
 
 
+def test_each_stage_against_a_plain_version(spark, tmp_path, odd_docs):
+    """What each stage keeps of all that its predecessor kept, held against plain code or SQL."""
+    rnd = random.Random(11)
+    rows = [r for r in odd_docs if len(r[1] or "") < 5000] + [(50, "!!! 123", "en", "src0", 1)]
+    for i in range(40):
+        base = prose(rnd, 80, [f"word{j}" for j in range(500)])
+        rows += [(200 + 10 * i + j, varied(rnd, base, j), ["en", "de"][i % 2], f"src{i % 3}", 1) for j in range(1 + i % 4)]
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"file://{path}")
+    docs = spark.read.parquet(f"file://{path}")
+    stages = dict(corpus_pipeline.STAGES)
+    told = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+
+    def after(name, df):
+        out = stages[name](spark, df, f"file://{tmp_path}")
+        if name != "packing":
+            assert out.columns == docs.columns
+        out.write.parquet(f"file://{tmp_path}/{name}")
+        return spark.read.parquet(f"file://{tmp_path}/{name}")
+
+    model = langid.train(docs.where(~langid.held_out("doc_id")))
+    of = [(r.doc_id, r.text, r.of) for r in docs.select("doc_id", "text", langid.predict(docs, model, F.col("text")).alias("of")).collect()]
+    kept = after("language ID", docs)
+    assert told(kept) == sorted(((i, t) for i, t, x in of if x.lang != langid.UNDETERMINED and x.score >= 0.5), key=repr) and kept.count() < docs.count()
+
+    best = {}
+    for i, t in told(kept):
+        key = re.sub(r"[\x20\x09-\x0d]", "", t)
+        best[key] = min(best.get(key, (1, 0, 0, t)), (-len(t), i is None, i or 0, t))
+    distinct = after("exact dedup", kept)
+    assert told(distinct) == sorted(((None if b[1] else b[2], b[3]) for b in best.values()), key=repr) and distinct.count() < kept.count()
+
+    components = {}
+    for i, _, c in brute(told(distinct)):
+        components.setdefault(c, []).append(i)
+    single = after("n-gram Jaccard join", distinct)
+    assert sorted(r.doc_id for r in single.collect() if r.doc_id is not None) == sorted(c for c in components if c is not None) and single.count() < distinct.count()
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/n-gram Jaccard join/*.parquet'")
+    cur = con.execute(queries.ORACLE_SQL["op7_mixing"])
+    at = [d[0] for d in cur.description].index("copies")
+    want = [r[0] for r in cur.fetchall() for _ in range(r[at])]
+    mixed = after("mixing to target weights", single)
+    assert sorted(map(repr, (r.doc_id for r in mixed.collect()))) == sorted(map(repr, want))
+
+    packed = after("packing", mixed).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    encode = packing.encoder(packing.vocabulary("byte_bpe_50k.json"), packing.vocabulary("byte_bpe_50k.tiktoken"))
+    tokens = Counter()
+    for i, t in told(mixed):
+        tokens[i] += len(encode(t or "")) // 4 + 1
+    assert {r.doc_id: r.n for r in packed} == dict(tokens)
+
+
 def test_the_pipeline_does_not_hide_missing_parts():
     source = open(os.path.join(os.path.dirname(corpus_pipeline.__file__), "corpus_pipeline.py")).read()
     assert "except" not in source and importlib.import_module("tidemark.llm.queries")

@@ -102,6 +102,14 @@ def placed(docs: DataFrame, name: str = "_place") -> DataFrame:
     return from_files(docs).select("*", place().alias(name))
 
 
+def dealt_out(docs: DataFrame) -> DataFrame:
+    """docs, dealt out to all cores if they are read from fewer files than there are cores: a small table's one file would be one task.
+
+    Rows are unchanged; tables of more files are read as they are, without a shuffle."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores) if 0 < len(docs.inputFiles()) < cores else docs
+
+
 #: A key is hot if it has more than one in so many rows: so many keys are hot at most.
 HOT_SHARE = 4096
 
@@ -146,24 +154,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class Words:
-    """64-bit hashes of words (bytes), remembered up to ``most`` at a time."""
+class Recent(dict):
+    """What ``make`` gives for short keys, remembered for ``most`` to twice as many that were asked for last."""
 
-    def __init__(self, most: int = 150_000):
-        import xxhash
+    def __init__(self, make: Callable[[Any], Any], most: int):
+        self.make, self.most, self.before = make, most, {}
 
-        digest = xxhash.xxh3_64_intdigest
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) < 64:
+            if len(self) >= self.most:
+                self.before = self.copy()
+                self.clear()
+            self[key] = value
+        return value
 
-        class Known(dict):
-            def __missing__(self, word: bytes) -> int:
-                h = digest(word)
-                if len(word) < 64:
-                    if len(self) >= most:
-                        self.clear()
-                    self[word] = h
-                return h
 
-        self.known = Known()
+class Words:
+    """64-bit hashes of words (bytes), the last ones remembered."""
+
+    def __init__(self, most: int = 100_000):
+        import xxhash
+
+        self.known = Recent(xxhash.xxh3_64_intdigest, most)
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.lower().split()  # of bytes: A-Z only, ASCII white space only

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, ascii_lower
+from tidemark.llm.common import ascii_lower, dealt_out, placed
 
 #: What separates words, the phrases of the base labels, and public license notices by label.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -75,28 +74,26 @@ def scan(
     (broadcast: a fixed list of some hundred rows), equal hashes are checked on
     the words themselves, and hits vote for their diagonal, text position minus
     notice position. Diagonals at most ``near`` apart merge; a merged span stands
-    if at least ``least`` of the notice's k-grams hit it and it is at most twice
+    if at least ``least`` of the notice's k-grams hit it in the notice's order, each
+    further on in the notice than the hit before it, and it is at most twice
     as long as the notice. Votes are combined where they are cast.
 
     Null texts count as empty and have no words; shorter texts than k have no
     k-grams; repeated rows and null ids are judged row by row (the key is the
     row's place in its file); an empty table gives empty results.
     """
-    try:
-        docs.select("_metadata.row_index")
-    except AnalysisException:
-        docs = Scratch(docs.sparkSession, "rows").write(docs, "docs")
-    place = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("place")
-    words = words_of(F.col(text_col))
+    told = placed(docs.select(F.struct(*[c for c in docs.columns if c != text_col]).alias("row"), F.col(text_col).alias("text")), "place")
+    told = dealt_out(told)
+    words = words_of(F.col("text"))
     has_phrase_word = F.lit(False)
     for phrase in phrases:
         has_phrase_word = has_phrase_word | F.array_contains("words", phrase.split(" ")[-1])
-    known = docs.select(place, F.struct(*[c for c in docs.columns if c != text_col]).alias("row"), words.alias("words"))
+    known = told.select("place", "row", words.alias("words"))
     none = F.array().cast("array<struct<at:int,label:string>>")
     documents = known.select("place", "row", F.size("words").cast("long").alias("n_words"), F.when(has_phrase_word, _base(F.col("words"), phrases)).otherwise(none).alias("base"))
 
     table = F.broadcast(templates(docs.sparkSession, notices, k)).alias("t")
-    rolled = docs.select(place, words.alias("words")).select("place", "words", F.posexplode(grams(F.col("words"), k)).alias("pos", "hash")).alias("d")
+    rolled = told.select("place", words.alias("words")).select("place", "words", F.posexplode(grams(F.col("words"), k)).alias("pos", "hash")).alias("d")
     hits = rolled.join(table, (F.col("d.hash") == F.col("t.hash")) & (F.slice("d.words", F.col("d.pos") + 1, k) == F.col("t.gram")))
     votes = (
         hits.groupBy("place", "template", (F.col("pos") - F.col("at")).alias("diagonal"))
@@ -105,10 +102,15 @@ def scan(
     ordered = W.partitionBy("place", "template").orderBy("diagonal")
     starts = (F.col("diagonal") - F.lag("diagonal").over(ordered) > near).cast("int")
     runs = votes.withColumn("starts", F.coalesce(starts, F.lit(0))).withColumn("run", F.sum("starts").over(ordered))
-    spans = runs.groupBy("place", "template", "run").agg(
-        F.first("label").alias("label"), F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"),
-        (F.size(F.array_distinct(F.flatten(F.collect_list("at")))) / F.first("grams")).alias("coverage"), F.first("size").alias("size"),
+    placed_hits = F.transform("at", lambda a: F.struct((a + F.col("diagonal")).alias("pos"), a.alias("at")))
+    merged = runs.groupBy("place", "template", "run").agg(
+        F.first("label").alias("label"), F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"), F.sort_array(F.flatten(F.collect_list(placed_hits))).alias("hits"),
+        F.first("grams").alias("grams"), F.first("size").alias("size"),
     )
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("n"))
+    in_order = F.aggregate("hits", start, lambda seen, h: F.struct(h["at"].alias("last"), (seen["n"] + (h["at"] > seen["last"]).cast("int")).alias("n")), lambda seen: seen["n"])
+    different = F.size(F.array_distinct(F.transform("hits", lambda h: h["at"])))
+    spans = merged.withColumn("coverage", F.least(different, in_order) / F.col("grams"))
     spans = spans.where((F.col("coverage") >= least) & (F.col("last") - F.col("first") + 1 <= 2 * F.col("size")))
     return documents, spans.select("place", "template", "label", "first", "last", "coverage")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import give_back, own_worker
+from tidemark.llm.common import Recent, dealt_out, give_back, own_worker
 
 END_ID = 0
 #: id 50256 of the vocabulary; its string in a text is that id, as in the library's own reading.
@@ -30,11 +31,10 @@ class Encoder:
     The vocabulary's pattern never joins a space to what precedes it, so a text
     whose spaces all stand alone between other characters falls into parts that
     encode by themselves. Other texts are encoded as they are, texts with the
-    special string by the slower library that knows it. The memory holds
-    ``most`` parts at a time.
+    special string by the slower library that knows it.
     """
 
-    def __init__(self, json_path: str, ranks_path: str, most: int = 150_000):
+    def __init__(self, json_path: str, ranks_path: str, most: int = 120_000):
         import re
 
         import public_tokenizers
@@ -46,24 +46,10 @@ class Encoder:
         self.plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.slow = functools.cache(lambda: Tokenizer.from_file(json_path))
         self.odd = re.compile(r"^ | $| \s|\s ")
-        encode = self.whole
-
-        class Parts(dict):
-            def __init__(self, before: str):
-                self.before = before
-
-            def __missing__(self, part: str) -> bytes:
-                ids = encode(self.before + part)
-                if len(part) < 64:
-                    if len(self) >= most:
-                        self.clear()
-                    self[part] = ids
-                return ids
-
-        self.parts = Parts(" ")
+        self.parts = Recent(lambda part: self.whole(" " + part), most)
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.plain.encode_ordinary(text), dtype="<u4").tobytes()
+        return array("I", self.plain.encode_ordinary(text)).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
@@ -173,4 +159,4 @@ def pack(
 
     kind = id_type.simpleString()
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, cost double"
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return dealt_out(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, jaccard, katz, langid, license_scan, mixing, packing, substring, topk, url_filter
+from tidemark.llm.common import dealt_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,7 +151,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out("doc_id")))
-    judged = docs.select("doc_id", langid.held_out("doc_id").alias("held_out"), langid.predict(docs, model, F.col("text")).alias("of"))
+    judged = dealt_out(docs).select("doc_id", langid.held_out("doc_id").alias("held_out"), langid.predict(docs, model, F.col("text")).alias("of"))
     return judged.select("doc_id", "held_out", F.col("of.lang").alias("lang_pred"), F.col("of.score").alias("score"))
 
 
