@@ -173,16 +173,56 @@ class Recent(dict):
 
 
 class Words:
-    """64-bit hashes of words (bytes), the last ones remembered."""
+    """64-bit hashes of a text's words: A-Z are lower-cased, ASCII white space parts them.
 
-    def __init__(self, most: int = 100_000):
-        import xxhash
+    Each byte stands for two random numbers; a word's are summed, times powers of
+    an odd number that count from the word's start, in two independent sums modulo
+    2^64 that are mixed into one. All words of a text at once: sums run over the
+    whole text, and what stands before a word is taken off.
+    """
 
-        self.known = Recent(xxhash.xxh3_64_intdigest, most)
+    def __init__(self, size: int = 1 << 16):
+        random = np.random.default_rng(20240229)  # the same numbers everywhere
+        codes = random.integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + random.integers(0, 2, (2, 256), dtype=np.uint64)
+        codes[:, 65:91] = codes[:, 97:123]
+        self.codes, self.size = codes, size
+        self.tables = self._tables(size + 1)
+        self.space = np.zeros(256, dtype=bool)
+        self.space[[9, 10, 11, 12, 13, 32]] = True
+
+    @staticmethod
+    def _tables(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Powers of the two odd numbers, and of what undoes them."""
+        powers = lambda base: np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, base, dtype=np.uint64)]))
+        return [(powers(base), powers(np.uint64(pow(int(base), -1, 1 << 64)))) for base in (ODD[0], ODD[7])]
+
+    def bounds(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words of a text (its bytes) begin and end."""
+        edges = np.diff(self.space[text].view(np.int8), prepend=np.int8(1), append=np.int8(1))
+        return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+
+    def hashes(self, text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out, done = np.empty(len(begin), dtype=np.uint64), 0
+        while done < len(begin):  # as many words as the tables hold, or one that is longer
+            first = int(begin[done])
+            upto = max(done + 1, int(np.searchsorted(end, first + self.size, side="right")))
+            some = slice(done, upto)
+            part = text[first : int(end[upto - 1])]
+            tables = self.tables if len(part) <= self.size else self._tables(len(part) + 1)
+            b, e = begin[some] - first, end[some] - first
+            with np.errstate(over="ignore"):
+                sums = []
+                for codes, (power, back) in zip(self.codes, tables):
+                    total = np.zeros(len(part) + 1, dtype=np.uint64)
+                    np.cumsum(codes[part] * power[: len(part)], out=total[1:])
+                    sums.append((total[e] - total[b]) * back[b])
+                out[some] = mix(sums[0] + ODD[8] * (e - b).astype(np.uint64)) ^ (sums[1] * ODD[9])
+            done = upto
+        return out
 
     def __call__(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()  # of bytes: A-Z only, ASCII white space only
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
+        data = np.frombuffer(text, dtype=np.uint8)
+        return self.hashes(data, *self.bounds(data))
 
 
 _held: dict[str, Any] = {}

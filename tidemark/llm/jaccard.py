@@ -128,12 +128,20 @@ def _count(docs: DataFrame, text_col: str, k: int, scratch: Scratch) -> np.ndarr
 
 
 def sketch(own: np.ndarray) -> bytes:
-    """How many shingles fall into each of some four times as many counters, by their last bits; empty if that is more than a byte holds.
+    """How many shingles fall into each of some four times as many counters, by their last bits: two bits each, up to three.
 
-    The lesser counters of two sets add up to no less than what they share."""
-    size = 1 << max(5, min(18, int(len(own)).bit_length() + 2))
-    counts = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size)
-    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+    What two sets share is no more than their lesser counters add up to, and the
+    lesser of what each has beyond its counters."""
+    size = 1 << max(6, min(20, int(len(own)).bit_length() + 2))
+    counts = np.minimum(np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size), 3).astype(np.uint8)
+    return (counts[0::4] | counts[1::4] << 2 | counts[2::4] << 4 | counts[3::4] << 6).tobytes()
+
+
+def counters(sketches: list[np.ndarray], size: int) -> np.ndarray:
+    """The counters of sketches of one size, folded onto ``size`` of them."""
+    packed = np.stack(sketches)
+    spread = np.stack([packed >> shift & 3 for shift in (0, 2, 4, 6)], axis=2).reshape(len(packed), -1)
+    return spread.reshape(len(packed), -1, size).sum(axis=1, dtype=np.uint16)
 
 
 def may_be_similar(sketches: pa.Array, n: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int, step: int = 1 << 22) -> np.ndarray:
@@ -142,21 +150,22 @@ def may_be_similar(sketches: pa.Array, n: np.ndarray, x: np.ndarray, y: np.ndarr
     Larger sketches fold onto the size of smaller ones; all are folded to an eighth first, which few pairs pass."""
     data = np.frombuffer(sketches.buffers()[2] or b"", dtype=np.uint8)
     ends = np.frombuffer(sketches.buffers()[1], dtype=np.int32)[sketches.offset : sketches.offset + len(sketches) + 1].astype(np.int64)
-    sizes = np.diff(ends)
+    sizes = 4 * np.diff(ends)
     out = np.ones(len(x), dtype=bool)
     small, large = np.where(sizes[x] <= sizes[y], x, y), np.where(sizes[x] <= sizes[y], y, x)
     kinds = sizes[small] << 32 | sizes[large]
-    at = np.empty(len(sizes), dtype=np.int64)
+    at, beyond = np.empty(len(sizes), dtype=np.int64), np.zeros(len(sizes), dtype=np.int64)
 
     def folded(rows: np.ndarray, size: int) -> np.ndarray:
-        """A row of ``size`` counters for each of these rows, whose sketches have one size; ``at`` then says where."""
+        """The counters of these rows, whose sketches have one size; ``at`` then says where, ``beyond`` what they leave out."""
+        found = counters([data[ends[r] : ends[r + 1]] for r in rows], size)
         at[rows] = np.arange(len(rows))
-        own = int(sizes[rows[0]])
-        return np.stack([data[ends[r] : ends[r] + own].reshape(-1, size).sum(axis=0, dtype=np.uint16) for r in rows])
+        beyond[rows] = n[rows] - found.sum(axis=1, dtype=np.int64)
+        return found
 
     for kind in np.unique(kinds):
-        a = int(kind) >> 32
-        for size in (a // 8, a) if a else ():
+        whole = int(kind) >> 32
+        for size in (whole // 8, whole):
             pairs = np.flatnonzero((kinds == kind) & out)
             if not len(pairs):
                 break
@@ -164,8 +173,8 @@ def may_be_similar(sketches: pa.Array, n: np.ndarray, x: np.ndarray, y: np.ndarr
             right, right_at = folded(np.unique(large[pairs]), size), at[large[pairs]]
             for i in range(0, len(pairs), max(1, step // size)):
                 j = slice(i, i + max(1, step // size))
-                most = np.minimum(left[left_at[j]], right[right_at[j]]).sum(axis=1, dtype=np.int64)
                 some = pairs[j]
+                most = np.minimum(left[left_at[j]], right[right_at[j]]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[x[some]], beyond[y[some]])
                 out[some] = 100 * most >= percent * (n[x[some]] + n[y[some]] - most)
     return out
 
@@ -242,7 +251,7 @@ class JaccardJoin:
                         keys.append(a)
                         free.append(b)
                         pos.append(c)
-                        sketches.append(sketch(own) if len(own) >= 4 else b"")
+                        sketches.append(sketch(own))
                         typical.append(int(order[(own >> np.uint64(44)).astype(np.int64)].mean()) if len(own) else 0)
                     ends = pa.array(np.concatenate([[0], np.cumsum([len(a) for a in keys])]).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
@@ -261,39 +270,48 @@ class JaccardJoin:
         return self.scratch.write(rows.withColumn("uid", F.monotonically_increasing_id()), "sets")
 
     def _lists(self, sets: DataFrame) -> DataFrame:
-        """(key, uid, n, typical, free, pos) of the keys that more than one class has."""
+        """(key, uid, n, free, pos) of the keys that more than one class has, and the same of each key's leader, its most typical class."""
         told = sets.where("n >= 4").select("digest", "uid")
         classes = told.groupBy("digest").agg(F.min("uid").alias("uid"))
         # what goes is written: if that is small, the rows with the keys are not shuffled for it
         copies = self.scratch.write(told.select("uid").join(classes.select("uid"), "uid", "left_anti"), "copies")
         single = sets.where("n >= 4").join(copies, "uid", "left_anti").select("uid", "n", "typical", F.explode(F.arrays_zip("keys", "free", "pos")).alias("k"))
-        rows = single.select(F.col("k.keys").alias("key"), "uid", F.col("n").cast("int").alias("n"), "typical", F.col("k.free").alias("free"), F.col("k.pos").alias("pos"))
+        rows = single.select(F.col("k.keys").alias("key"), "typical", "uid", F.col("n").cast("int").alias("n"), F.col("k.free").alias("free"), F.col("k.pos").alias("pos"))
+        names = ["key", "uid", "n", "free", "pos", "lead_uid", "lead_n", "lead_free", "lead_pos"]
 
         def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last = None  # the row before, not yet passed on
-            open_key, passed = None, False
+            """Rows come by key, leaders first: a row without neighbours of its key goes, the others learn who leads."""
+            first = None  # the one row of the key that is open, which may stay alone
+            lead = None  # what leads that key
             for batch in batches:
                 if not len(batch):
                     continue
-                key = batch.column(0).to_numpy()
-                same = key[1:] == key[:-1]
-                keep = np.zeros(len(key), dtype=bool)
-                keep[1:] |= same
-                keep[:-1] |= same
-                if key[0] == open_key:
-                    first = key == open_key
-                    keep |= first
-                    if not passed:
-                        yield last
-                    passed = True
+                batch = batch.select([0, 2, 3, 4, 5])
+                if first is not None and first.column(0)[0].as_py() == batch.column(0)[0].as_py():
+                    batch = pa.Table.from_batches([first, batch]).combine_chunks().to_batches()[0]
+                    lead = None
+                first = None
+                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                key = columns[0]
+                starts = np.concatenate([[True], key[1:] != key[:-1]])
+                at = np.flatnonzero(starts)[np.cumsum(starts) - 1]
+                leaders = [c[at] for c in columns]
+                goes_on = lead is not None and lead[0] == key[0]
+                if goes_on:
+                    for c, v in zip(leaders, lead):
+                        c[: np.argmax(~(key == key[0])) if key[-1] != key[0] else len(key)] = v
+                keep = ~starts
+                keep[:-1] |= ~starts[1:]
+                if goes_on:
+                    keep[0] = True
+                if not keep[-1]:
+                    first = batch.slice(len(batch) - 1)
+                lead = [c[-1] for c in leaders]
                 if keep.any():
-                    yield batch.filter(pa.array(keep))
-                if key[-1] != open_key:
-                    open_key, passed = key[-1], bool(keep[-1])
-                last = batch.slice(len(batch) - 1)
+                    yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (*columns, *leaders[1:])], names)
 
-        spread = rows.repartition("key").sortWithinPartitions("key", "uid")
-        return self.scratch.write(spread.mapInArrow(shared, rows.schema), "lists")
+        spread = rows.repartition("key").sortWithinPartitions("key", F.desc("typical"), "uid")
+        return self.scratch.write(spread.mapInArrow(shared, "key long, uid long, n int, free boolean, pos int, lead_uid long, lead_n int, lead_free boolean, lead_pos int"), "lists")
 
     def _full(self, nodes: DataFrame, name: str) -> DataFrame:
         """(uid, own): the full sets of the rows ``nodes`` (uid, place), a written table ``name``."""
@@ -379,40 +397,94 @@ class JaccardJoin:
         lists = self._lists(sets)
         sketches = sets.select("uid", "sketch")
         sets = sets.select("uid", "place", "id", "n", "digest")
-        columns = ("n", "free", "pos")
-
-        def fits(x, y):
-            """As ``fitting``, and not two light sets on a single shingle."""
-            overlap = F.ceil(F.lit(self.percent) * (x["n"] + y["n"]) / (100 + self.percent))
-            return (100 * F.least(x["n"], y["n"]) >= self.percent * F.greatest(x["n"], y["n"])) & (x["free"] | y["free"]) & (x["pos"] <= x["n"] - overlap) & (y["pos"] <= y["n"] - overlap)
-
-        leader = lists.groupBy("key").agg(F.min(F.struct((-F.col("typical")).alias("rest"), "uid", *columns)).alias("first"), F.count(F.lit(1)).alias("m"))
-        leader = self.scratch.write(leader, "leaders")
-        stars = spread_join(lists, leader, "key", "m").where(F.col("uid") != F.col("first.uid"))
-        stars = stars.where(fits({c: F.col(f"first.{c}") for c in columns}, {c: F.col(c) for c in columns}))
-        stars = stars.select(F.least("first.uid", "uid").alias("a"), F.greatest("first.uid", "uid").alias("b")).distinct()
+        overlap = F.ceil(F.lit(self.percent) * (F.col("n") + F.col("lead_n")) / (100 + self.percent))
+        fits = (100 * F.least("n", "lead_n") >= self.percent * F.greatest("n", "lead_n")) & (F.col("free") | F.col("lead_free"))
+        fits = fits & (F.col("pos") <= F.col("n") - overlap) & (F.col("lead_pos") <= F.col("lead_n") - overlap)  # as ``fitting``
+        stars = lists.where((F.col("uid") != F.col("lead_uid")) & fits).select(F.least("lead_uid", "uid").alias("a"), F.greatest("lead_uid", "uid").alias("b")).distinct()
         stars = self.scratch.write(stars, "stars")
         first = self._verified(stars, sets, "star")
         roots = self.scratch.write(components(first, self.scratch, "first"), "first_roots")
-        marked = lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-        marked = self.scratch.write(marked, "marked")
-        mixed = marked.groupBy("key").agg((F.min("root") != F.max("root")).alias("mixed"), F.count(F.lit(1)).alias("m")).where("mixed").select("key", "m")
-        open_lists = self.scratch.write(spread_join(marked, self.scratch.write(mixed, "mixed"), "key", "m"), "open")
-        few = open_lists.where(F.col("m") <= self.FEW)
-        x, y = few.alias("x"), few.alias("y")
-        of = lambda s: {c: F.col(f"{s}.{c}") for c in columns}
-        across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & fits(of("x"), of("y")))
-        across = across.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b"))
-        across = across.unionByName(self._possible(open_lists.where(F.col("m") > self.FEW), sketches))
+        marked = lists.select("key", "uid", "n", "free", "pos").join(self.scratch.sent(roots.withColumnRenamed("node", "uid"), "first_roots"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+        met = self._met(marked)
+        across = met.where("kind = 0").select("a", "b").unionByName(self._possible(met, sketches))
         second = self._verified(across.distinct().join(stars, ["a", "b"], "left_anti"), sets, "across")
         return sets, first.unionByName(second)
 
-    def _possible(self, lists: DataFrame, sketches: DataFrame) -> DataFrame:
-        """(a, b): pairs of classes from different components that meet on a key and whose sketches may be those of similar sets.
+    def _met(self, marked: DataFrame) -> DataFrame:
+        """What the keys say: kind 0, a pair (a, b) from different components that fits, of keys of up to FEW classes; 1, a
+        class on a larger key, with its block there; 2, a larger key with its number of classes (a) and whether they are of different components (b)."""
+        few, block, percent = self.FEW, self.BLOCK, self.percent
+        schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("part", pa.int64()), ("uid", pa.int64()), ("root", pa.int64()), ("n", pa.int32()), ("free", pa.bool_()), ("pos", pa.int32())])
+
+        def rows_of(**columns) -> pa.RecordBatch:
+            size = len(next(iter(columns.values())))
+            return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+        def pairs(c: list[np.ndarray]) -> pa.RecordBatch:
+            """Of rows of small groups."""
+            key, uid, n, free, pos, root = c
+            found, x = [], np.arange(len(key))
+            for step in range(1, few):
+                x = x[x + step < len(key)]
+                x = x[key[x] == key[x + step]]
+                y = x + step
+                fits = (root[x] != root[y]) & (free[x] | free[y]) & fitting(n[x].astype(np.int64), n[y].astype(np.int64), pos[x], pos[y], percent)
+                found.append(np.stack([uid[x[fits]], uid[y[fits]]]))
+            both = np.concatenate(found, axis=1)
+            return rows_of(kind=np.zeros(both.shape[1], np.int32), a=both.min(axis=0, initial=2**63 - 1), b=both.max(axis=0, initial=-(2**63)))
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Rows come by key. ``held``: rows of the open key, up to FEW; ``large``: [key, rows so far, least root, greatest root] if it has more."""
+            held: list[np.ndarray] | None = None
+            large: list[int] | None = None
+
+            def closed() -> pa.RecordBatch:
+                return rows_of(kind=[2], a=[large[1]], b=[int(large[2] != large[3])], key=[large[0]])
+
+            for batch in batches:
+                if not len(batch):
+                    continue
+                c = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("key", "uid", "n", "free", "pos", "root")]
+                if held is not None:
+                    c, held = [np.concatenate(v) for v in zip(held, c)], None
+                starts = np.flatnonzero(np.concatenate([[True], c[0][1:] != c[0][:-1]]))
+                sizes = np.diff([*starts, len(c[0])])
+                if large and large[0] != c[0][0]:
+                    yield closed()
+                    large = None
+                is_large = sizes > few
+                is_large[0] |= large is not None
+                if not is_large[-1]:  # may go on
+                    held = [v[starts[-1] :] for v in c]
+                    c, starts, sizes, is_large = [v[: starts[-1]] for v in c], starts[:-1], sizes[:-1], is_large[:-1]
+                small = np.repeat(~is_large, sizes)
+                if small.any():
+                    yield pairs([v[small] for v in c])
+                for start, size in zip(starts[is_large], sizes[is_large]):
+                    key, uid, n, free, pos, root = (v[start : start + size] for v in c)
+                    if large and large[0] != key[0]:
+                        yield closed()
+                        large = None
+                    large = large or [int(key[0]), 0, int(root[0]), int(root[0])]
+                    yield rows_of(kind=np.ones(size, np.int32), key=key, part=(large[1] + np.arange(size)) // block, uid=uid, root=root, n=n, free=free, pos=pos)
+                    large = [large[0], large[1] + int(size), min(large[2], int(root.min())), max(large[3], int(root.max()))]
+            if held is not None:
+                yield pairs(held)
+            if large:
+                yield closed()
+            give_back()
+
+        spread = marked.select("key", "uid", "n", "free", "pos", "root").repartition("key").sortWithinPartitions("key", "uid")
+        return self.scratch.write(spread.mapInArrow(meet, "kind int, a long, b long, key long, part long, uid long, root long, n int, free boolean, pos int"), "met", ["kind"])
+
+    def _possible(self, met: DataFrame, sketches: DataFrame) -> DataFrame:
+        """(a, b): pairs of classes from different components that meet on a larger key and whose sketches may be those of similar sets.
 
-        A key's classes are dealt into blocks; each block meets each other one in a task's memory, where the pairs are compared."""
+        A key's classes stand in blocks; each block meets each other one in a task's memory, where the pairs are compared."""
+        mixed = self.scratch.write(met.where("kind = 2 AND b = 1").select("key", F.col("a").alias("m")), "mixed")
+        lists = spread_join(met.where("kind = 1").select("key", "part", "uid", "root", "n", "free", "pos"), mixed, "key", "m")
         parts = F.ceil(F.col("m") / self.BLOCK)
-        dealt = lists.join(sketches, "uid").withColumn("part", F.pmod(F.xxhash64("uid"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        dealt = lists.join(sketches, "uid").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
         met = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "uid", "root", "n", "free", "pos", "sketch")
         percent = self.percent
 

@@ -107,8 +107,8 @@ def group_starts(*columns: np.ndarray) -> np.ndarray:
 TYPES = {"kind": pa.int32(), "window": pa.int64(), "bucket": pa.int64(), "level": pa.int32(), "ids": pa.list_(pa.string()), "held": pa.list_(pa.bool_()), "x": pa.int64(), "y": pa.int64(), "m": pa.list_(pa.int64()), "room": pa.float64()} | {c: pa.binary() for c in "abcdefg"}
 SCHEMA = ", ".join(f"{c} {'array<string>' if c == 'ids' else 'array<boolean>' if c == 'held' else 'array<long>' if c == 'm' else {'int32': 'int', 'int64': 'long', 'double': 'double', 'binary': 'binary'}[str(t)]}" for c, t in TYPES.items())
 #: Kinds of rows: windows of documents; what windows ask; what buckets answer; counts of counts (m) with types (x) and tokens (y);
-#: the tables of n-grams and of contexts; a spread context's part in a bucket (x, its count y, m, room); who asks for it.
-WINDOW, ASK, ANSWER, STATS, GRAMS, CONTEXTS, PART, WANT = range(8)
+#: the tables of n-grams and of contexts; a spread context's part in a bucket (x, its count y, m, room); who asks for it; a window's words.
+WINDOW, ASK, ANSWER, STATS, GRAMS, CONTEXTS, PART, WANT, WORDS = range(9)
 
 
 def rows(kind: int, n: int = 1, **columns) -> pa.RecordBatch:
@@ -117,7 +117,7 @@ def rows(kind: int, n: int = 1, **columns) -> pa.RecordBatch:
 
 
 def windows(batches: Iterator[pa.RecordBatch], most_tokens: int) -> Iterator[pa.RecordBatch]:
-    """Documents (id, held out, text) to windows of them: a (lengths), b (hashes of its words), c (tokens as places among these)."""
+    """Documents (id, held out, text) to windows of them, x tokens: a (lengths), c (tokens as places among the window's y words); and these words: a (hashes, in order), d (training counts)."""
     from pyspark import TaskContext
 
     words, number = words_of_worker(), TaskContext.get().partitionId() << 24
@@ -126,15 +126,16 @@ def windows(batches: Iterator[pa.RecordBatch], most_tokens: int) -> Iterator[pa.
     texts: list[np.ndarray] = []
     size = 0
 
-    def out() -> pa.RecordBatch:
+    def out() -> Iterator[pa.RecordBatch]:
         nonlocal number, size
-        tokens = np.concatenate([part for t in texts for part in (t, end)])
-        hashes, at = np.unique(tokens, return_inverse=True)
-        made = rows(WINDOW, window=[number], level=[0], ids=[list(ids)], held=[list(held)], x=[len(tokens)], a=[pack(np.array([len(t) + 1 for t in texts]))], b=[hashes.tobytes()], c=[pack(at)])
+        lengths = np.array([len(t) + 1 for t in texts])
+        hashes, at = np.unique(np.concatenate([part for t in texts for part in (t, end)]), return_inverse=True)
+        trained = np.bincount(at[np.repeat(~np.array(held), lengths)], minlength=len(hashes))
+        yield rows(WINDOW, window=[number], level=[0], ids=[list(ids)], held=[list(held)], x=[len(at)], y=[len(hashes)], a=[pack(lengths)], c=[pack(at)])
+        yield rows(WORDS, window=[number], level=[0], y=[len(hashes)], a=[hashes.tobytes()], d=[pack(trained)])
         number, size = number + 1, 0
         for v in (ids, held, texts):
             v.clear()
-        return made
 
     end = np.array([END], dtype=np.uint64)
     for batch in batches:
@@ -144,9 +145,9 @@ def windows(batches: Iterator[pa.RecordBatch], most_tokens: int) -> Iterator[pa.
             texts.append(words(text) if text else np.zeros(0, dtype=np.uint64))
             size += len(texts[-1]) + 1
             if size >= most_tokens:
-                yield out()
+                yield from out()
     if ids:
-        yield out()
+        yield from out()
     del words
     let_go()
 
@@ -162,11 +163,10 @@ class Window:
     def __init__(self, row: dict, model: Model, order: int):
         self.model, self.ids, self.held = model, row["ids"], np.array(row["held"])
         self.lengths = unpack(row["a"], len(self.ids))
-        self.hashes = np.frombuffer(row["b"], "<u8")
+        self.words = size = row["y"]
         t = unpack(row["c"], int(self.lengths.sum()))
         self.starts = np.cumsum(self.lengths) - self.lengths
         trained = np.repeat(~self.held, self.lengths)
-        size = len(self.hashes)
         self.token = t
         self.n = {1: np.bincount(t[trained], minlength=size)}
         self.gram, self.context, self.context_of, self.word_of, self.lower, self.lower_context = {1: t}, {}, {1: None}, {1: np.arange(size)}, {}, {}
@@ -174,8 +174,8 @@ class Window:
             context = np.empty_like(t)
             context[1:] = self.gram[m - 1][:-1]
             context[self.starts] = size
-            keys, gram = np.unique(context * len(self.hashes) + t, return_inverse=True)
-            self.gram[m], self.context[m], self.context_of[m], self.word_of[m] = gram, context, keys // len(self.hashes), keys % len(self.hashes)
+            keys, gram = np.unique(context * self.words + t, return_inverse=True)
+            self.gram[m], self.context[m], self.context_of[m], self.word_of[m] = gram, context, keys // self.words, keys % self.words
             self.lower[m] = np.empty(len(keys), dtype=np.int64)
             self.lower[m][gram] = self.gram[m - 1]
             if m > 2:
@@ -200,13 +200,10 @@ class Window:
 
     def dealt(self, m: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(bucket, n-grams, their contexts, where these begin among the n-grams)."""
-        if m == 1:
-            bucket, context = mix(self.hashes) % np.uint64(self.model.buckets), np.zeros(len(self.hashes), dtype=np.int64)
-        else:
-            keys, context = self.context_keys(m), self.context_of[m]
-            with np.errstate(over="ignore"):
-                spread = np.where(self.is_hot(m)[context], mix(keys[context] * ODD[5] + self.number[self.word_of[m]].astype(np.uint64) * ODD[6]), mix(keys[context]))
-            bucket = spread % np.uint64(self.model.buckets)
+        keys, context = self.context_keys(m), self.context_of[m]
+        with np.errstate(over="ignore"):
+            spread = np.where(self.is_hot(m)[context], mix(keys[context] * ODD[5] + self.number[self.word_of[m]].astype(np.uint64) * ODD[6]), mix(keys[context]))
+        bucket = spread % np.uint64(self.model.buckets)
         order = np.argsort(bucket, kind="stable")  # n-grams of one context stay together
         bucket = bucket[order]
         cuts = group_starts(bucket)
@@ -220,34 +217,24 @@ class Window:
 
     def asks(self, m: int, window: int) -> Iterator[pa.RecordBatch]:
         """A row for each bucket: a contexts, b how many n-grams each has here, c last words, d training counts here, e counts one
-        order below, f what these are divided by, g which contexts are spread. Of order 1 only a, the words' hashes, and d."""
-        if m > 1:
-            keys, hot = self.context_keys(m), self.is_hot(m)
-        found: dict[str, list] = {c: [] for c in ("bucket", *("ad" if m == 1 else "abcdefg"))}
+        order below, f what these are divided by, g which contexts are spread."""
+        keys, hot = self.context_keys(m), self.is_hot(m)
+        found: dict[str, list] = {c: [] for c in ("bucket", *"abcdefg")}
         for bucket, grams, contexts, begins in self.dealt(m):
             own = self.n[m][grams]
-            if m == 1:
-                values = (bucket, self.hashes[grams].tobytes(), pack(own))
-            else:
-                below = np.where(own > 0, self.r[m - 1][self.lower[m][grams]], 0)
-                den = self.den[m - 1][self.lower_context[m][contexts]] if m > 2 else np.zeros(len(contexts), dtype=np.int64)
-                values = (bucket, keys[contexts].tobytes(), pack(np.diff(np.append(begins, len(grams)))), pack(self.number[self.word_of[m][grams]]), pack(own), pack(below), pack(den), np.packbits(hot[contexts]).tobytes())
+            below = np.where(own > 0, self.r[m - 1][self.lower[m][grams]], 0)
+            den = self.den[m - 1][self.lower_context[m][contexts]] if m > 2 else np.zeros(len(contexts), dtype=np.int64)
+            values = (bucket, keys[contexts].tobytes(), pack(np.diff(np.append(begins, len(grams)))), pack(self.number[self.word_of[m][grams]]), pack(own), pack(below), pack(den), np.packbits(hot[contexts]).tobytes())
             for name, value in zip(found, values):
                 found[name].append(value)
-        n = len(found["bucket"])
-        whole = rows(ASK, n, window=np.full(n, window), **found)
-        for i in range(0, n, 500):
-            yield whole.slice(i, 500)
+        yield from sliced(rows(ASK, len(found["bucket"]), window=np.full(len(found["bucket"]), window), **found))
 
     def hear(self, m: int, answers: dict[int, dict], hot_rows: list[dict]) -> None:
         """Takes the buckets' answers of an order."""
-        size = len(self.n[m])
-        self.r[m] = np.zeros(size, dtype=np.int64)
-        if m == 1:
-            self.number = np.zeros(size, dtype=np.int64)
-            for bucket, grams, _, _ in self.dealt(1):
-                self.r[1][grams], self.number[grams] = unpack(answers[bucket]["a"], len(grams)), unpack(answers[bucket]["b"], len(grams))
+        if m == 1:  # buckets are ranges of the words' hashes, so that their answers follow one another
+            self.r[1], self.number = (np.concatenate([unpack(row[c], row["x"]) for _, row in sorted(answers.items())]) for c in "ab")
             return
+        self.r[m] = np.zeros(len(self.n[m]), dtype=np.int64)
         contexts_here = len(self.n[m - 1]) + 1
         c, free = np.zeros(contexts_here, dtype=np.int64), np.zeros(contexts_here, dtype=bool)
         alpha = np.zeros(contexts_here)
@@ -291,6 +278,20 @@ class Window:
         })
 
 
+def sliced(batch: pa.RecordBatch, step: int = 500) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(batch), step):
+        yield batch.slice(i, step)
+
+
+def asked_words(row: dict, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A window's words by bucket: a hashes, d training counts here."""
+    hashes, own = np.frombuffer(row["a"], "<u8"), unpack(row["d"], row["y"])
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cuts = group_starts(bucket)
+    ends = np.append(cuts[1:], len(bucket))
+    yield from sliced(rows(ASK, len(cuts), window=np.full(len(cuts), row["window"]), bucket=bucket[cuts], a=[hashes[a:b].tobytes() for a, b in zip(cuts, ends)], d=[pack(own[a:b]) for a, b in zip(cuts, ends)]))
+
+
 def asked_weights(r: np.ndarray, begins: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Which contexts' back-off weights a window needs: those seen, with an n-gram that isn't."""
     return np.logical_or.reduceat(r == 0, begins) & (c > 0)
@@ -303,7 +304,7 @@ def solve_words(parts: list[dict], model: Model) -> Iterator[pa.RecordBatch]:
     count = np.bincount(at, np.concatenate([unpack(p["d"], len(h)) for p, h in zip(parts, hashes)]), len(whole)).astype(np.int64)
     number = np.arange(len(whole)) * model.buckets + parts[0]["bucket"]
     ends = np.cumsum([len(h) for h in hashes])[:-1]
-    yield rows(ANSWER, len(parts), window=[p["window"] for p in parts], bucket=[p["bucket"] for p in parts], level=np.full(len(parts), 1), a=[pack(count[i]) for i in np.split(at, ends)], b=[pack(number[i]) for i in np.split(at, ends)])
+    yield rows(ANSWER, len(parts), window=[p["window"] for p in parts], bucket=[p["bucket"] for p in parts], level=np.full(len(parts), 1), x=[len(h) for h in hashes], a=[pack(count[i]) for i in np.split(at, ends)], b=[pack(number[i]) for i in np.split(at, ends)])
     seen = count > 0
     yield rows(STATS, m=[[int((count == r).sum()) for r in range(1, K + 2)]], x=[int(seen.sum())], y=[int(count.sum())])
     yield rows(GRAMS, bucket=[parts[0]["bucket"]], level=[1], x=[int(seen.sum())], a=[whole[seen].tobytes()], c=[pack(number[seen])], d=[pack(count[seen])])
@@ -344,9 +345,7 @@ def solve(parts: list[dict], model: Model, m: int) -> Iterator[pa.RecordBatch]:
             answers[x].append(value)
         at, at_entry = at + n, at_entry + len(run)
     n = len(parts)
-    made = rows(ANSWER, n, window=[p["window"] for p in parts], bucket=np.full(n, bucket), level=np.full(n, m), **answers)
-    for i in range(0, n, 500):
-        yield made.slice(i, 500)
+    yield from sliced(rows(ANSWER, n, window=[p["window"] for p in parts], bucket=np.full(n, bucket), level=np.full(n, m), **answers))
     yield rows(STATS, m=[[int((r == k).sum()) for k in range(1, K + 2)]], x=[int(seen.sum())], y=[int(r.sum())])
     # tables
     kept_contexts = np.flatnonzero(c > 0)
@@ -436,7 +435,8 @@ class Katz:
     def fit(self) -> Model:
         """Counts all orders, one after the other."""
         told, most = self.docs.select(F.col(self.id_col).cast("string"), ~self.train, F.col(self.text_col).cast("binary")), self.window_tokens
-        self.windows = self.scratch.write(told.mapInArrow(lambda batches: windows(batches, most), SCHEMA), "windows")
+        made = self.scratch.write(told.mapInArrow(lambda batches: windows(batches, most), SCHEMA), "windows", ["kind"]).select(*TYPES)
+        self.windows, words = made.where(F.col("kind") == WINDOW), made.where(F.col("kind") == WORDS)
         everything = self.windows.agg(F.sum("x")).first()[0] or 0
         trained = self.windows.select(F.explode("held").alias("held")).where("not held").count()
         buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(everything / self.bucket_tokens))
@@ -448,9 +448,9 @@ class Katz:
                 def ask(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
                     for batch in batches:
                         for row in batch.to_pylist():
-                            yield from Window(row, model, 1).asks(1, row["window"])
+                            yield from asked_words(row, model.buckets)
 
-                asked = self.windows.mapInArrow(ask, SCHEMA)
+                asked = words.mapInArrow(ask, SCHEMA)
             else:
                 asked = self._grouped(m, lambda w, number, m=m: pa.Table.from_batches(list(w.asks(m, number))), SCHEMA)
 
@@ -472,6 +472,8 @@ class Katz:
             self.found[m] = self.scratch.write(answered, f"order{m}", ["kind"]).select(*TYPES)
             del asked, answered
             release_shuffles(self.spark)
+            if m == 1:  # from now on words have numbers
+                self.scratch.drop(f"windows/kind={WORDS}")
             sums = self._found(m, STATS).agg(*(F.sum(F.col("m")[i]) for i in range(K + 1)), F.sum("x"), F.sum("y")).first()
             *n, types, tokens = (int(v or 0) for v in sums)
             self.model.learn(m, n, types, tokens)

@@ -34,7 +34,7 @@ class Encoder:
     special string by the slower library that knows it.
     """
 
-    def __init__(self, json_path: str, ranks_path: str, most: int = 120_000):
+    def __init__(self, json_path: str, ranks_path: str, most: int = 200_000):
         import re
 
         import public_tokenizers

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,9 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ODD, BlockedBloom, Scratch, give_back, mix, placed, words_of_worker
 
-#: What stands between two sentences: white space after . ! or ?, or a line's end. In Java's and in Python's notation alike.
-ENDS = r"(?<=[.!?])[\x20\x09-\x0D]+(?=[^\x20\x09-\x0D])|\n"
-_ENDS = re.compile(ENDS)
+#: A sentence ends with a line, or where . ! or ? stand before white space. A word, for Python.
+_CLOSES = np.isin(np.arange(256), list(b".!?"))
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 #: A sentence's first character, with what stands before it.
@@ -31,11 +29,6 @@ def sentence_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_BEGIN)).cast("long")
 
 
-def sentence_words(text: str) -> list[list[bytes]]:
-    """The words of each sentence that isn't blank, in lower case."""
-    return [w for s in _ENDS.split(text.lower()) if (w := s.encode().split())]
-
-
 def word_runs(words: np.ndarray) -> np.ndarray:
     """The runs of RUN words (first word << 32 | end) that are taken from these words; of fewer than 50, the one of least hash."""
     first = np.arange(len(words) - RUN + 1, dtype=np.int64)
@@ -49,10 +42,13 @@ def word_runs(words: np.ndarray) -> np.ndarray:
 
 def spans(text: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(span, hash, second hash) of each run of sentences or words: its first word << 32 | the word behind it, and two hashes of its words."""
-    told = sentence_words(text)
-    starts = np.concatenate([[0], np.cumsum([len(w) for w in told])]).astype(np.int64)
-    known = words_of_worker().known
-    words = np.fromiter(map(known.__getitem__, chain.from_iterable(told)), dtype=np.uint64, count=int(starts[-1]))
+    hasher, data = words_of_worker(), np.frombuffer(text.encode(), dtype=np.uint8)
+    begin, end = hasher.bounds(data)
+    words = hasher.hashes(data, begin, end)
+    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    opens = np.ones(len(words) + 1, dtype=bool)
+    opens[1:-1] = (lines[begin[1:]] > lines[end[:-1]]) | _CLOSES[data[end[:-1] - 1]]
+    starts = np.flatnonzero(opens)
     at = np.union1d(starts[:-k] << 32 | starts[k:], word_runs(words))
     return at, span_hashes(words, at, ODD[0]), span_hashes(words, at, ODD[7]).view(np.uint64).astype(np.uint32)
 
@@ -106,6 +102,20 @@ def without(text: str | None, gone: list[int] | None, least: int = RUN) -> dict
     return {"kept": "".join([*kept, text[done:]]), "gone": len(lost)}
 
 
+def cut_texts(text: Column, starts: Column, step: int = 500) -> Column:
+    """``without`` as a column (kept, gone), some hundred texts at a time."""
+    kind = pa.struct([("kept", pa.string()), ("gone", pa.int64())])
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, spans_of in batches:
+            parts = [pa.array([without(t, g) for t, g in zip(texts.slice(i, step).to_pylist(), spans_of.slice(i, step).to_pylist())], kind) for i in range(0, len(texts), step)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+        give_back()
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "kept string, gone long")(text, starts)
+
+
 #: What is known of a run: two hashes, its row's id (and whether it is null) and number, and where it stands.
 RUN_COLUMNS = {"hash": "<u8", "second": "<u4", "no_id": "u1", "id": "<i8", "uid": "<i8", "at": "<i8"}
 
@@ -258,7 +268,7 @@ def dedup_spans(
     rest = bloom.may_hold(docs, filled, "_place", keep=False)
     rest = rest.select("_row.*", F.col("_text").alias(text_col), count, F.lit(0).cast("long").alias("n_removed"))
     touched = bloom.may_hold(docs, filled, "_place").join(later.withColumnRenamed("place", "_later"), F.col("_place") == F.col("_later"), "left")
-    touched = touched.withColumn("_cut", F.udf(without, "kept string, gone long", useArrow=True)("_text", "starts"))
+    touched = touched.withColumn("_cut", cut_texts(F.col("_text"), F.col("starts")))
     text = F.when(F.col("_cut").isNotNull(), F.col("_cut.kept")).otherwise(F.col("_text")).alias(text_col)
     touched = touched.select("_row.*", text, count, F.coalesce(F.col("_cut.gone"), F.lit(0)).cast("long").alias("n_removed"))
     return touched.unionByName(rest)
