@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch
 
 
-def components(links: DataFrame, scratch: Scratch, name: str = "stars", most_rounds: int = 50) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, name: str = "stars") -> DataFrame:
     """(node, root) for every node of ``links`` (a, b: long); root is the component's smallest node.
 
     Large-star and small-star steps (Kiveris and others, "Connected Components in
@@ -19,7 +21,7 @@ def components(links: DataFrame, scratch: Scratch, name: str = "stars", most_rou
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = scratch.write(edges, f"{name}0")
     before = None
-    for number in range(1, most_rounds + 1):
+    for number in count(1):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -31,6 +33,4 @@ def components(links: DataFrame, scratch: Scratch, name: str = "stars", most_rou
         if now == before or now[0] == 0:
             break
         before = now
-    else:
-        raise RuntimeError(f"no end after {most_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

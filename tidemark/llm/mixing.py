@@ -81,7 +81,7 @@ def mix(
 
     Tokens are words. Null text has none (such rows are in every epoch that is
     reached, for nothing); null lang or source is a name of its own, the empty
-    one; null ids are ordered as the empty string; repeated rows are rows; an
+    one; rows without an id are ordered by their place instead; repeated rows are rows; an
     empty table gives no rows. Budgets below one document give no document.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
@@ -95,7 +95,7 @@ def mix(
     leaf = scratch.write(budgets(leaves, weights, share, epochs), "leaves").select(
         *LEVELS, F.expr("CASE WHEN tokens = 0 THEN 0 ELSE given div tokens END").alias("whole"), F.expr("CASE WHEN tokens = 0 THEN 0 ELSE given % tokens END").alias("part"),
     )
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.col("place"))).cast("binary"))
     ordered = slim.join(leaf, list(LEVELS)).withColumn("key", key).withColumn("bucket", F.substring("key", 1, digits))
     sums = ordered.groupBy(*LEVELS, "bucket").agg(F.sum("tokens").alias("sum"), F.first("part").alias("part"))
     running = F.sum("sum").over(W.partitionBy(*LEVELS).orderBy("bucket"))
