@@ -122,3 +122,9 @@ def test_each_stage_against_a_plain_version(spark, tmp_path, odd_docs):
 def test_the_pipeline_does_not_hide_missing_parts():
     source = open(os.path.join(os.path.dirname(corpus_pipeline.__file__), "corpus_pipeline.py")).read()
     assert "except" not in source and importlib.import_module("tidemark.llm.queries")
+
+
+@pytest.mark.parametrize("name", ["op4_url_filter", "op7_mixing", "op10_license_scan"])
+def test_native_queries_run_no_python(spark, sf_dir, name):
+    plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"(Python|Pandas|Arrow)\w*( |$|\()", plan)

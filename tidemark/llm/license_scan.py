@@ -40,7 +40,8 @@ def grams(words: Column, k: int) -> Column:
 
 def templates(spark: SparkSession, notices: list[tuple[str, str]], k: int) -> DataFrame:
     """(template, label, grams, words, at, gram, hash): a row per k-gram of each notice; as many as the fixed list has."""
-    rows = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(notices)], "template int, label string, text string")
+    listed = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (label, text) in enumerate(notices)))
+    rows = spark.range(1).select(F.explode(listed).alias("r")).select("r.*")
     words = rows.select("template", "label", words_of(F.col("text")).alias("w"))
     words = words.withColumn("grams", F.size("w") - (k - 1)).where("grams > 0")
     at = words.select("template", "label", "grams", F.size("w").alias("words"), "w", F.posexplode(grams(F.col("w"), k)).alias("at", "hash")).where("at < grams")
