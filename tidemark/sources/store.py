@@ -281,31 +281,44 @@ class ArchiveTable:
         """
         last = self.version() if last is None else last
         schema = self.snapshot(last).schema
-        out = None
+        state = self.snapshot(first - 1) if first else None
+        moved: dict[str, list[tuple[DataFile, int, str]]] = {"delete": [], "insert": []}
+        parts: list[DataFrame] = []
         for v in range(first, last + 1):
             record = self.commit_record(v)
-            added = [DataFile(**f) for f in record["add"]]
-            known = {f.path: f for f in (self.snapshot(v - 1).files if v else ())}
-            removed = [known[p] for p in record["remove"]]
-            stamp = [F.lit(v).cast("long").alias("_commit_version"), F.lit(record["timestamp"]).cast("timestamp").alias("_commit_timestamp")]
+            known = {f.path: f for f in (state.files if state else ())}
+            added, removed = [DataFile(**f) for f in record["add"]], [known[p] for p in record["remove"]]
+            state = self._apply(state, record)
             if record["operation"] == "update":
-                old, new = self._scan(removed, schema, row_id=True), self._scan(added, schema, row_id=True)
-                content = F.struct(*schema.names)
-                a = old.select(ROW_ID, content.alias("old"))
-                b = new.select(ROW_ID, content.alias("new"))
-                as_one = lambda c: comparable(F.col(c), schema) if has_map(schema) else F.col(c)
-                changed = a.join(b, ROW_ID).where(~as_one("old").eqNullSafe(as_one("new")))
-                images = F.explode(F.array(F.struct(F.col("old").alias("r"), F.lit("update_preimage").alias("t")), F.struct(F.col("new").alias("r"), F.lit("update_postimage").alias("t"))))
-                parts = [changed.select(images.alias("i")).select("i.r.*", F.col("i.t").alias("_change_type"), *stamp)]
+                stamp = [F.lit(v).cast("long").alias("_commit_version"), F.lit(record["timestamp"]).cast("timestamp").alias("_commit_timestamp")]
+                parts.append(self._updated(removed, added, schema).select("*", *stamp))
             else:
-                parts = [self._scan(files, schema).select("*", F.lit(kind).alias("_change_type"), *stamp) for kind, files in (("delete", removed), ("insert", added)) if files]
-            for part in parts:
-                out = part if out is None else out.unionByName(part)
-        if out is None:
+                moved["delete"] += [(f, v, record["timestamp"]) for f in removed]
+                moved["insert"] += [(f, v, record["timestamp"]) for f in added]
+        for kind, files in moved.items():  # one scan for all commits: a file's name says which one it belongs to
+            if files:
+                commits = self.spark.createDataFrame([(f.path.rpartition("/")[2], v, t) for f, v, t in files], "_file string, _commit_version long, _commit_timestamp string")
+                rows = self._scan([f for f, _, _ in files], schema).withColumn("_file", F.col("_metadata.file_name"))
+                stamped = rows.join(F.broadcast(commits), "_file")  # a row per file of these commits
+                parts.append(stamped.select(*schema.names, F.lit(kind).alias("_change_type"), "_commit_version", F.col("_commit_timestamp").cast("timestamp").alias("_commit_timestamp")))
+        if not parts:
             tail = "_change_type string, _commit_version long, _commit_timestamp timestamp"
             return self.spark.createDataFrame([], T.StructType([*schema.fields, *T.StructType.fromDDL(tail).fields]))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
         return out
 
+    def _updated(self, removed: list[DataFile], added: list[DataFile], schema: T.StructType) -> DataFrame:
+        """Both images of the rows that differ between the files that an update has replaced and its own."""
+        content = F.struct(*schema.names)
+        a = self._scan(removed, schema, row_id=True).select(ROW_ID, content.alias("old"))
+        b = self._scan(added, schema, row_id=True).select(ROW_ID, content.alias("new"))
+        as_one = lambda c: comparable(F.col(c), schema) if has_map(schema) else F.col(c)
+        changed = a.join(b, ROW_ID).where(~as_one("old").eqNullSafe(as_one("new")))
+        images = F.explode(F.array(F.struct(F.col("old").alias("r"), F.lit("update_preimage").alias("t")), F.struct(F.col("new").alias("r"), F.lit("update_postimage").alias("t"))))
+        return changed.select(images.alias("i")).select("i.r.*", F.col("i.t").alias("_change_type"))
+
 
 class ArchiveStore:
     """Tables by schema and name below a root folder."""
