@@ -107,8 +107,9 @@ def group_starts(*columns: np.ndarray) -> np.ndarray:
 TYPES = {"kind": pa.int32(), "window": pa.int64(), "bucket": pa.int64(), "level": pa.int32(), "ids": pa.list_(pa.string()), "held": pa.list_(pa.bool_()), "x": pa.int64(), "y": pa.int64(), "m": pa.list_(pa.int64()), "room": pa.float64()} | {c: pa.binary() for c in "abcdefg"}
 SCHEMA = ", ".join(f"{c} {'array<string>' if c == 'ids' else 'array<boolean>' if c == 'held' else 'array<long>' if c == 'm' else {'int32': 'int', 'int64': 'long', 'double': 'double', 'binary': 'binary'}[str(t)]}" for c, t in TYPES.items())
 #: Kinds of rows: windows of documents; what windows ask; what buckets answer; counts of counts (m) with types (x) and tokens (y);
-#: the tables of n-grams and of contexts; a spread context's part in a bucket (x, its count y, m, room); who asks for it; a window's words.
-WINDOW, ASK, ANSWER, STATS, GRAMS, CONTEXTS, PART, WANT, WORDS = range(9)
+#: the table: y contexts (a) with runs (b) of the x last words (c) seen after them, these counts (d), what the order below gives each
+#: context's (e), and which are spread (g); a spread context's part in a bucket (x, its count y, m, room); who asks for it; a window's words.
+WINDOW, ASK, ANSWER, STATS, GRAMS, PART, WANT, WORDS = range(8)
 
 
 def rows(kind: int, n: int = 1, **columns) -> pa.RecordBatch:
@@ -307,7 +308,7 @@ def solve_words(parts: list[dict], model: Model) -> Iterator[pa.RecordBatch]:
     yield rows(ANSWER, len(parts), window=[p["window"] for p in parts], bucket=[p["bucket"] for p in parts], level=np.full(len(parts), 1), x=[len(h) for h in hashes], a=[pack(count[i]) for i in np.split(at, ends)], b=[pack(number[i]) for i in np.split(at, ends)])
     seen = count > 0
     yield rows(STATS, m=[[int((count == r).sum()) for r in range(1, K + 2)]], x=[int(seen.sum())], y=[int(count.sum())])
-    yield rows(GRAMS, bucket=[parts[0]["bucket"]], level=[1], x=[int(seen.sum())], a=[whole[seen].tobytes()], c=[pack(number[seen])], d=[pack(count[seen])])
+    yield rows(GRAMS, bucket=[parts[0]["bucket"]], level=[1], x=[int(seen.sum())], y=[int(seen.sum())], a=[pack(whole[seen])], c=[pack(number[seen])], d=[pack(count[seen])])
 
 
 def solve(parts: list[dict], model: Model, m: int) -> Iterator[pa.RecordBatch]:
@@ -350,9 +351,8 @@ def solve(parts: list[dict], model: Model, m: int) -> Iterator[pa.RecordBatch]:
     # tables
     kept_contexts = np.flatnonzero(c > 0)
     if len(kept_contexts):
-        yield rows(GRAMS, bucket=[bucket], level=[m], x=[int(seen.sum())], y=[len(kept_contexts)], a=[whole[kept_contexts].tobytes()], b=[pack(np.bincount(gram_context[seen], minlength=len(whole))[kept_contexts])], c=[pack(gram_word[seen])], d=[pack(r[seen])])
-        cold = kept_contexts[~hot[kept_contexts]]
-        yield rows(CONTEXTS, bucket=[bucket], level=[m], x=[len(cold)], a=[whole[cold].tobytes()], b=[pack(c[cold])], c=[pack(counts[cold].ravel())], e=[room[cold].tobytes()])
+        runs = np.bincount(gram_context[seen], minlength=len(whole))[kept_contexts]
+        yield rows(GRAMS, bucket=[bucket], level=[m], x=[int(seen.sum())], y=[len(kept_contexts)], a=[pack(whole[kept_contexts])], b=[pack(runs)], c=[pack(gram_word[seen])], d=[pack(r[seen])], e=[room[kept_contexts].tobytes()], g=[np.packbits(hot[kept_contexts]).tobytes()])
     spread = np.flatnonzero(hot)
     if len(spread):
         yield rows(PART, len(spread), x=whole[spread].view(np.int64), y=c[spread], m=counts[spread].tolist(), room=room[spread])
@@ -504,7 +504,7 @@ class Katz:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
-                    context, word, count = np.frombuffer(row["a"], "<i8"), unpack(row["c"], row["x"]), unpack(row["d"], row["x"])
+                    context, word, count = unpack(row["a"], row["y"]), unpack(row["c"], row["x"]), unpack(row["d"], row["x"])
                     if m > 1:
                         context = np.repeat(context, unpack(row["b"], row["y"]))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), row["bucket"])), pa.array(context), pa.array(word), pa.array(count)], ["bucket", "context", "word", "count"])
@@ -518,14 +518,17 @@ class Katz:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
-                    if row["kind"] == CONTEXTS:
-                        context, count, n = np.frombuffer(row["a"], "<i8"), unpack(row["b"], row["x"]), row["x"]
-                        counts, room = unpack(row["c"], K * n).reshape(-1, K), np.frombuffer(row["e"], "<f8")
+                    if row["kind"] == GRAMS:
+                        whole = ~np.unpackbits(np.frombuffer(row["g"], np.uint8), count=row["y"]).astype(bool)
+                        runs, seen = unpack(row["b"], row["y"]), unpack(row["d"], row["x"])
+                        begins = np.cumsum(runs) - runs
+                        context, count, room = unpack(row["a"], row["y"])[whole], np.add.reduceat(seen, begins)[whole], np.frombuffer(row["e"], "<f8")[whole]
+                        counts = np.stack([np.add.reduceat((seen == k).astype(np.int64), begins) for k in range(1, K + 1)], axis=1)[whole]
                     else:
                         context, count, counts, room = np.array([row["x"]]), np.array([row["y"]]), np.array([row["m"]]), np.array([row["room"]])
                     yield pa.RecordBatch.from_arrays([pa.array(context), pa.array(count), pa.array(model.log_alpha(m, count, counts, room))], ["context", "count", "log_alpha"])
 
         spread = self._found(m, PART).groupBy("kind", "x").agg(F.sum("y").alias("y"), F.array(*(F.sum(F.col("m")[i]) for i in range(K))).alias("m"), F.sum("room").alias("room")).where("y > 0")
-        columns = ("kind", "x", "y", "m", "room", "a", "b", "c", "e")
-        rows_of = self._found(m, CONTEXTS).where("x > 0").select(*columns).unionByName(spread, allowMissingColumns=True)
+        columns = ("kind", "x", "y", "m", "room", "a", "b", "d", "e", "g")
+        rows_of = self._found(m, GRAMS).select(*columns).unionByName(spread, allowMissingColumns=True)
         return rows_of.mapInArrow(run, "context long, count long, log_alpha double")
