@@ -102,12 +102,16 @@ def placed(docs: DataFrame, name: str = "_place") -> DataFrame:
     return from_files(docs).select("*", place().alias(name))
 
 
-def dealt_out(docs: DataFrame) -> DataFrame:
-    """docs, dealt out to all cores if they are read from fewer files than there are cores: a small table's one file would be one task.
-
-    Rows are unchanged; tables of more files are read as they are, without a shuffle."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    return docs.repartition(cores) if 0 < len(docs.inputFiles()) < cores else docs
+def dealt_out(docs: DataFrame, most: int = 1 << 30) -> DataFrame:
+    """docs, dealt out to all cores if they are read from fewer files than there are cores, of ``most`` bytes together: a small
+    table's one file would be one task. Rows are unchanged; larger tables are read as they are, without a shuffle."""
+    context = docs.sparkSession.sparkContext
+    files = docs.inputFiles()
+    if not 0 < len(files) < context.defaultParallelism:
+        return docs
+    paths = [context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(f)) for f in files]
+    size = sum(p.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in paths)
+    return docs.repartition(context.defaultParallelism) if size <= most else docs
 
 
 #: A key is hot if it has more than one in so many rows: so many keys are hot at most.
