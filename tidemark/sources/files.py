@@ -53,6 +53,10 @@ class Files:
             return {}
         return {s.getPath().getName(): s.getLen() for s in self._fs(path).listStatus(self._path(path))}
 
+    def size(self, uri: str) -> int:
+        path = self.jvm.org.apache.hadoop.fs.Path(self.jvm.java.net.URI(uri))
+        return path.getFileSystem(self.conf).getFileStatus(path).getLen()
+
     def read(self, path: str) -> str:
         stream = self._fs(path).open(self._path(path))
         try:

@@ -196,6 +196,12 @@ class ArchiveTable:
 
     # -- writing -----------------------------------------------------------
 
+    def _dealt_out(self, df: DataFrame, least: int = 4 << 20, most: int = 1 << 30) -> DataFrame:
+        """Rows read from fewer files than there are cores, of ``least`` to ``most`` bytes: dealt out, as one file would be one task
+        now and whenever the table is read."""
+        files, cores = df.inputFiles(), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if 0 < len(files) < cores and least <= sum(map(self.disk.size, files)) <= most else df
+
     def _write(self, df: DataFrame, next_id: int) -> list[DataFile]:
         """Writes immutable files named by their first row id."""
         folder = f"data/{uuid.uuid4().hex}"
@@ -230,7 +236,7 @@ class ArchiveTable:
             return None
         own = _checked(df.schema)
         schema = evolve(base.schema, own) if base else own
-        files = self._write(df, base.next_id if base else 0)
+        files = self._write(self._dealt_out(df), base.next_id if base else 0)
         ends = [f.first_id + f.rows for f in files]
         return self._commit(base, "append", schema, files, next_id=max([base.next_id if base else 0, *ends]), transaction=transaction)
 
