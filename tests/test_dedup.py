@@ -87,6 +87,27 @@ def test_null_keys_are_equal(spark, store):
     assert tuple(dedup.count_keys_by_struct(df.unionByName(df), ["listing_id", "consumer_email"]).first()) == (4, 2)
 
 
+def test_a_rewrite_clusters_by_key(spark, store, sf_dir):
+    """Files have ranges of the key that don't overlap, and the rows were shuffled once; a key of very many rows is combined first."""
+    lines, key = spark.read.parquet(f"{sf_dir}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]
+    frame = dedup.dedup_frame(lines.repartitionByRange(*key), key, survivor_order("l_shipdate", None))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    t = store.table("s", "t")
+    t.append(lines)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so small a table is one file
+    try:
+        assert dedup.dedup_table(t, "s.t", key, "l_shipdate")["status"] == "deduped"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ends = F.struct(*key)
+    ranges = sorted((tuple(r.low), tuple(r.high)) for r in t.read().groupBy(F.col("_metadata.file_name")).agg(F.min(ends).alias("low"), F.max(ends).alias("high")).collect())
+    assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    hot = store.table("s", "hot")
+    hot.append(lines.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, F.lit(0)).otherwise(F.col("l_orderkey"))))
+    assert dedup.dedup_table(hot, "s.hot", key, "l_shipdate")["count_after"] == hot.read().select(*key).distinct().count()
+
+
 def test_a_rewrite_that_leaves_duplicates_is_not_committed(spark, store, monkeypatch):
     t = store.table("s", "t")
     rows = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")

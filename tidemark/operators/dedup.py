@@ -61,10 +61,16 @@ def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str
     snapshot = table.snapshot()
     tracked = row_tracking_enabled(snapshot.properties)
     ordering = "row_id" if tracked else "tiebreaker"
-    if not has_duplicates(table.read(snapshot.version), keys):
+    copies = duplicate_groups(table.read(snapshot.version), keys).agg(F.max("copies")).first()[0]
+    if copies is None:
         return {"table": name, "status": "clean", "ordering": ordering, "count_before": snapshot.rows, "count_after": snapshot.rows, "duplicates_removed": 0, "elapsed_s": time.monotonic() - began}
     order = survivor_order(tiebreaker, ROW_ID if tracked else None, newest_version_wins)
-    unique = dedup_frame(table.read(snapshot.version, row_id=tracked), keys, order).drop(ROW_ID)
+    rows = table.read(snapshot.version, row_id=tracked)
+    # the table is dealt out by ranges of its key, so that later filters on the key skip files; the window needs no other shuffle.
+    # Not if one key has more rows than a task should: those combine before the shuffle, which then goes by hash.
+    if copies * int(table.spark.conf.get("spark.sql.shuffle.partitions")) <= snapshot.rows:
+        rows = rows.repartitionByRange(*keys)
+    unique = dedup_frame(rows, keys, order).drop(ROW_ID)
     after: list[int] = []
 
     def verify(written: DataFrame) -> None:
@@ -73,7 +79,6 @@ def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str
             raise DuplicateKeys(f"{name}: {rows} rows but {distinct} distinct keys after dedup")
         after.append(rows)
 
-    # the rows of a key are together: sorted by key, files can be skipped by later filters
     table.overwrite(unique.sortWithinPartitions(*keys), schema_mode="merge", check=verify, operation="dedup")
     return {
         "table": name, "status": "deduped", "ordering": ordering, "count_before": snapshot.rows, "count_after": after[0],
