@@ -410,10 +410,14 @@ class JaccardJoin:
         second = self._verified(across.distinct().join(stars, ["a", "b"], "left_anti"), sets, "across")
         return sets, first.unionByName(second)
 
+    def _block(self) -> int:
+        """The classes of a key's block: half as many as a component's, since several keys' blocks may fall to one task."""
+        return max(1, self.BLOCK // 2)
+
     def _met(self, marked: DataFrame) -> DataFrame:
         """What the keys say: kind 0, a pair (a, b) from different components that fits, of keys of up to FEW classes; 1, a
         class on a larger key, with its block there; 2, a larger key with its number of classes (a) and whether they are of different components (b)."""
-        few, block, percent = self.FEW, self.BLOCK, self.percent
+        few, block, percent = self.FEW, self._block(), self.percent
         schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("part", pa.int64()), ("uid", pa.int64()), ("root", pa.int64()), ("n", pa.int32()), ("free", pa.bool_()), ("pos", pa.int32())])
 
         def rows_of(**columns) -> pa.RecordBatch:
@@ -483,7 +487,7 @@ class JaccardJoin:
         A key's classes stand in blocks; each block meets each other one in a task's memory, where the pairs are compared."""
         mixed = self.scratch.write(met.where("kind = 2 AND b = 1").select("key", F.col("a").alias("m")), "mixed")
         lists = spread_join(met.where("kind = 1").select("key", "part", "uid", "root", "n", "free", "pos"), mixed, "key", "m")
-        parts = F.ceil(F.col("m") / self.BLOCK)
+        parts = F.ceil(F.col("m") / self._block())
         dealt = lists.join(sketches, "uid").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
         met = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "uid", "root", "n", "free", "pos", "sketch")
         percent = self.percent
