@@ -24,13 +24,6 @@ def test_words_are_the_same_in_any_block():
     assert np.array_equal(whole(b"Mixed CASE"), whole(b"mixed case")) and whole(b"ab")[0] != whole(b"ba")[0]
 
 
-def test_recent_remembers_and_forgets():
-    made = []
-    recent = common.Recent(lambda k: made.append(k) or k.upper(), 2)
-    assert [recent[k] for k in "abcab"] == list("ABCAB") and made == ["a", "b", "c"]  # a and b from the generation before
-    assert recent["x" * 100] == "X" * 100 and "x" * 100 not in recent
-
-
 @pytest.mark.parametrize("share", [2, 4096])
 def test_spread_join_is_a_join(spark, monkeypatch, share):
     monkeypatch.setattr(common, "HOT_SHARE", share)

@@ -158,24 +158,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class Recent(dict):
-    """What ``make`` gives for short keys, remembered for ``most`` to twice as many that were asked for last."""
-
-    def __init__(self, make: Callable[[Any], Any], most: int):
-        self.make, self.most, self.before = make, most, {}
-
-    def __missing__(self, key):
-        value = self.before.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) < 64:
-            if len(self) >= self.most:
-                self.before = self.copy()
-                self.clear()
-            self[key] = value
-        return value
-
-
 class Words:
     """64-bit hashes of a text's words: A-Z are lower-cased, ASCII white space parts them.
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Recent, dealt_out, give_back, own_worker
+from tidemark.llm.common import dealt_out, give_back, own_worker
 
 END_ID = 0
 #: id 50256 of the vocabulary; its string in a text is that id, as in the library's own reading.
@@ -26,17 +26,9 @@ def vocabulary(name: str) -> str:
 
 
 class Encoder:
-    """Whole texts to ids (little-endian unsigned 32-bit), remembering the ids of what stands between single spaces.
-
-    The vocabulary's pattern never joins a space to what precedes it, so a text
-    whose spaces all stand alone between other characters falls into parts that
-    encode by themselves. Other texts are encoded as they are, texts with the
-    special string by the slower library that knows it.
-    """
-
-    def __init__(self, json_path: str, ranks_path: str, most: int = 200_000):
-        import re
+    """Whole texts to ids (little-endian unsigned 32-bit): by the ranks, which is faster, or, where the special string is in a text, by the library that knows it."""
 
+    def __init__(self, json_path: str, ranks_path: str):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -45,19 +37,11 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.slow = functools.cache(lambda: Tokenizer.from_file(json_path))
-        self.odd = re.compile(r"^ | $| \s|\s ")
-        self.parts = Recent(lambda part: self.whole(" " + part), most)
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.plain.encode_ordinary(text)).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
-            return np.asarray(self.slow().encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if not text or self.odd.search(text):
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        return self.whole(first) + b"".join(map(self.parts.__getitem__, rest))
+            return array("I", self.slow().encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self.plain.encode_ordinary(text)).tobytes()
 
 
 def encoder(json_path: str, ranks_path: str) -> Encoder:
