@@ -327,19 +327,20 @@ def train(
 
 
 class Scorer:
-    """Scores texts, remembering the words it has seen (about ``most`` of them and ``most_chars`` at a time)."""
+    """Scores texts, remembering the words it has seen: a generation of about ``most`` of them or ``most_chars``, and the one before."""
 
-    def __init__(self, model: LanguageModel, most: int = 150_000, most_chars: int = 5_000_000):
+    def __init__(self, model: LanguageModel, most: int = 200_000, most_chars: int = 5_000_000):
         self.model, self.most, self.most_chars, self.chars = model, most, most_chars, 0
         self.pieces = Pieces(model.names)
         self.index: dict[str, int] = {}
-        self.scores = np.zeros((0, len(model.langs)))
+        self.before: dict[str, int] = {}
+        self.scores = self.scores_before = np.zeros((0, len(model.langs)))
 
     def _words(self, texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
         """Per word its row of scores; how many words each text has."""
         if len(self.index) > self.most or self.chars > self.most_chars:
-            self.index.clear()
-            self.scores, self.chars = self.scores[:0], 0
+            self.before, self.scores_before = self.index, self.scores
+            self.index, self.scores, self.chars = {}, self.scores[:0], 0
         known, at, sizes = self.index, [], []
         fresh: dict[str, int] = {}
         for text in texts:
@@ -352,7 +353,11 @@ class Scorer:
             at += rows
             sizes.append(len(rows))
         if fresh:
-            self.scores = np.concatenate([self.scores, log_forward(self.pieces, self.model.p, [MARK + w.strip(EDGES) for w in fresh])])
+            old = np.array([self.before.get(w, -1) for w in fresh])
+            scores = np.empty((len(fresh), len(self.model.langs)))
+            scores[old >= 0] = self.scores_before[old[old >= 0]]
+            scores[old < 0] = log_forward(self.pieces, self.model.p, [MARK + w.strip(EDGES) for w, k in zip(fresh, old) if k < 0])
+            self.scores = np.concatenate([self.scores, scores])
             known.update(fresh)
             self.chars += sum(map(len, fresh))
         return np.array(at, dtype=np.int64), sizes
