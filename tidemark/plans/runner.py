@@ -78,7 +78,7 @@ def summary(results: DataFrame) -> DataFrame:
 
 @dataclass
 class Engine:
-    """The reference run over a registry: where sources are read (by spec) and archives stand."""
+    """The run over a registry: where sources are read (by spec) and archives stand."""
 
     spark: SparkSession
     specs: list[TableSpec]
