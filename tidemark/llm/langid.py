@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, give_back, own_worker
+from tidemark.llm.common import Scratch, let_go, own_worker
 from tidemark.llm.packing import vocabulary
 
 UNDETERMINED = "und"
@@ -329,7 +329,7 @@ def train(
 class Scorer:
     """Scores texts, remembering the words it has seen: a generation of about ``most`` of them or ``most_chars``, and the one before."""
 
-    def __init__(self, model: LanguageModel, most: int = 200_000, most_chars: int = 5_000_000):
+    def __init__(self, model: LanguageModel, most: int = 80_000, most_chars: int = 2_500_000):
         self.model, self.most, self.most_chars, self.chars = model, most, most_chars, 0
         self.pieces = Pieces(model.names)
         self.index: dict[str, int] = {}
@@ -398,7 +398,8 @@ def predict(docs: DataFrame, model: LanguageModel, text: Column, step: int = 500
                 langs += a
                 scores.append(b)
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["lang", "score"])
-        give_back()
+        del scorer
+        let_go()  # the next stage needs the memory more than the next task needs these words
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "lang string, score double")(text)

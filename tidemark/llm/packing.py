@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import dealt_out, give_back, own_worker
+from tidemark.llm.common import dealt_out, let_go, own_worker
 
 END_ID = 0
 #: id 50256 of the vocabulary; its string in a text is that id, as in the library's own reading.
@@ -139,7 +139,8 @@ def pack(
                 ids.append(batch.column(0).slice(at))
         if tokens:
             yield flush()
-        give_back()
+        del encode
+        let_go()
 
     kind = id_type.simpleString()
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, cost double"
