@@ -141,6 +141,14 @@ def test_odd_texts(docs, clashing, odd_docs):
     assert {5, 6, 7, 50}.isdisjoint({r.doc_id for r in out.collect()})
 
 
+def test_signs_for_numbers_are_no_letters(spark, docs):
+    model = langid.train(docs, rounds=1)
+    texts = ["²", "½ ¾", "Ⅷ", "① 12", "٣", "_", "ª", "ʰ", "日"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", langid.predict(docs, model, F.col("text")).alias("of")).collect()
+    letters = {r.text for r in rows if r.of.lang != langid.UNDETERMINED}
+    assert letters == {"ª", "ʰ", "日"} and all(r.of.score == 0 for r in rows if r.text not in letters)
+
+
 def test_nothing_to_learn_from(docs, empty):
     model = langid.train(empty, rounds=1)
     assert model.langs == [] and {r.of.lang for r in docs.select(langid.predict(docs, model, F.col("text")).alias("of")).collect()} == {langid.UNDETERMINED}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -25,7 +24,6 @@ _SHIFT = np.uint64(44)
 _SCALE, SHORT = 1e4, 60
 #: Characters of the words that are looked at together, and segments of one size.
 CHUNK, GROUP = 100_000, 10_000
-LETTER = re.compile(r"[^\W\d_]")
 EDGES = ".,;:!?()[]{}\"'|"
 
 
@@ -281,6 +279,11 @@ def words_of(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a character of Unicode's category L is in the text; signs for numbers (², ½, Ⅷ, ①) are none."""
+    return any(map(str.isalpha, text or ""))
+
+
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per_lang: int) -> DataFrame:
     """(lang, text): of each language the ``docs_per_lang`` rows whose id and text hash lowest, or all if it has fewer.
 
@@ -371,7 +374,7 @@ class Scorer:
         filled = np.flatnonzero(sizes)
         if len(filled):
             total[filled] = np.add.reduceat(self.scores[at], np.concatenate([[0], np.cumsum(np.array(sizes)[filled])[:-1]]))
-        undetermined = np.array([not t or not LETTER.search(t) for t in texts])
+        undetermined = np.array([not has_letter(t) for t in texts])
         posterior = np.exp(total - total.max(axis=1, keepdims=True))
         posterior /= posterior.sum(axis=1, keepdims=True)
         best = posterior.argmax(axis=1)
@@ -410,6 +413,8 @@ def held_out(id_col: str, of: int = 4, fold: int = 2) -> Column:
 
 
 def identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows whose language is determined with a posterior of at least ``least``; their columns as they are."""
+    """The rows whose language is determined with a posterior of at least ``least``; their columns as they are.
+
+    Null texts and texts without letters go. Null and repeated ids are judged row by row; an empty table stays empty."""
     judged = docs.select(F.struct(*docs.columns).alias("row"), predict(docs, model, F.col(text_col)).alias("of"))
     return judged.where((F.col("of.lang") != UNDETERMINED) & (F.col("of.score") >= least)).select("row.*")

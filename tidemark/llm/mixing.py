@@ -111,7 +111,8 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that the mixture holds, once for each copy, with all their columns."""
+    """The rows of docs that the mixture holds, once for each copy, with all their columns. Nulls, repeated rows
+    and empty tables as in ``mix``; columns of any name pass through, but for _place, _at, _copies and _copy."""
     docs = placed(docs)
     decided = mix(docs.drop("_place"), **options).where("copies > 0").select(F.col("place").alias("_at"), F.col("copies").alias("_copies"))
     held = docs.join(decided, F.col("_place") == F.col("_at"))
