@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, jaccard, katz, langid, license_scan, mixing, packing, substring, topk, url_filter
-from tidemark.llm.common import dealt_out
+from tidemark.llm import divergence, exact_dedup, jaccard, katz, langid, license_scan, mixing, packing, periodic, substring, topk, url_filter
+from tidemark.llm.common import SPACE, dealt_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -159,6 +159,58 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.judged(table(spark, sf_dir, "documents"))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in every tenth document, by the CRC-32 of its id, all words from some place on repeat with some period;
+    the others, and rows without an id, are as they were."""
+    h, words = F.crc32(F.col("doc_id").cast("string")), F.array_remove(F.split("text", SPACE + "+"), "")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), h.alias("h"))
+    rows = rows.selectExpr("*", "h div 10 AS g").withColumn("w", F.when((F.col("h") % 10 == 0) & (F.size(words) > 0), words)).selectExpr("*", "IF(w IS NULL, NULL, size(w)) AS n")
+    rows = rows.selectExpr("*", "CAST(g % n AS int) AS a").selectExpr("*", "CAST(1 + (n - a) div (3 + g % 8) AS int) AS p")
+    again = "slice(flatten(array_repeat(slice(w, a + 1, p), CAST((n - a + p - 1) div p AS int))), 1, n - a)"
+    return rows.selectExpr("doc_id", f"coalesce(array_join(concat(slice(w, 1, a), {again}), ' '), text) AS text")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = planted(dealt_out(table(spark, sf_dir, "documents"))).select("doc_id", periodic.periodic_runs(F.col("text")).alias("of"))
+    lines = F.array_join(F.transform("of.runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = [F.col(f"of.best.{c}").alias(c) for c in ("start", "length", "period")]
+    return found.select(
+        "doc_id", F.size("of.runs").cast("long").alias("n_runs"), *best, F.expr("1000 * of.best.length div of.best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("of.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+o AS (SELECT id, lang, source, unnest(words) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY ALL),
+k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS n_lang
+      FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT *, 1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER w + 5 * count(*) OVER w) AS p,
+             1 + 1000000000::HUGEINT * (n_lang + 5) // (sum(n_lang) OVER w + 5 * count(*) OVER w) AS q
+      FROM f WINDOW w AS (PARTITION BY lang, source)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_katz_score": op2_katz_score,
@@ -170,10 +222,13 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_source_divergence": op13_source_divergence,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
     "op3_topk_search": OP3_SQL,
     "op4_url_filter": OP4_SQL,
     "op7_mixing": OP7_SQL,
+    "op13_source_divergence": OP13_SQL,
 }
