@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import divergence, exact_dedup, jaccard, katz, langid, license_scan, mixing, packing, periodic, substring, topk, url_filter
+from tidemark.llm import divergence, exact_dedup, jaccard, katz, langid, license_scan, mixing, packing, periodic, substring, topk, toxicity, url_filter
 from tidemark.llm.common import SPACE, dealt_out
 
 
@@ -159,6 +159,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judge = toxicity.train(dealt_out(docs), labels.where(~toxicity.held_out("doc_id")))
+    judged = dealt_out(docs).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), toxicity.score(docs, judge, F.col("text")).alias("of"))
+    evidence = F.slice("of.evidence", 1, 3).alias("evidence")
+    return judged.select("doc_id", "held_out", F.col("of.score").alias("score"), F.when(F.col("of.score") >= 0.5, 1).otherwise(0).alias("predicted"), evidence)
+
+
 def planted(docs: DataFrame) -> DataFrame:
     """(doc_id, text): in every tenth document, by the CRC-32 of its id, all words from some place on repeat with some period;
     the others, and rows without an id, are as they were."""
@@ -222,6 +230,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
+    "op11_toxicity": op11_toxicity,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_source_divergence": op13_source_divergence,
 }
