@@ -117,23 +117,30 @@ class BlockMaxIndex:
         return self.order[examples[near]], cosines[near]
 
 
-def calibrate(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve over the votes' log odds that fits the labels best (Platt's targets)."""
+def calibrate(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray, least: float = 0.5) -> tuple[float, float]:
+    """Slope and offset of a logistic curve over the votes' log odds that fits the labels best (Platt's targets).
+
+    An example's own label is missing from its vote, so where all are alike those with label 1 get the lower ones; a curve
+    less steep than ``least`` is taken for that, and only the offset is fitted, for a slope of 1.
+    """
     x = np.log(votes / (1 - votes))
     n1, n0 = weights[labels == 1].sum(), weights[labels == 0].sum()
     y = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a, b = 1.0, 0.0
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -500, 500)))
-        d, h = weights * (p - y), weights * p * (1 - p)
-        g = np.array([(d * x).sum() + 1e-3 * (a - 1), d.sum() + 1e-3 * b])
-        hess = np.array([[(h * x * x).sum() + 1e-3, (h * x).sum()], [(h * x).sum(), h.sum() + 1e-3]])
-        step = np.linalg.solve(hess, g)
-        step /= max(1.0, np.abs(step).max())
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-10:
+    for free in (np.array([1.0, 1.0]), np.array([0.0, 1.0])):
+        at = np.array([1.0, 0.0])
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(at[0] * x + at[1], -500, 500)))
+            d, h = weights * (p - y), weights * p * (1 - p)
+            slope = np.array([(d * x).sum(), d.sum()]) + 1e-3 * (at - [1, 0])
+            bend = np.array([[(h * x * x).sum(), (h * x).sum()], [(h * x).sum(), h.sum()]]) + 1e-3 * np.eye(2)
+            step = np.linalg.solve(bend * np.outer(free, free) + np.diag(1 - free), slope * free)
+            step /= max(1.0, np.abs(step).max())
+            at = at - step
+            if np.abs(step).max() < 1e-10:
+                break
+        if at[0] >= least:
             break
-    return max(float(a), 1e-3), float(b)
+    return float(at[0]), float(at[1])
 
 
 class Judge:
