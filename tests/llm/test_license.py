@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -54,6 +55,7 @@ MIT = L.NOTICES[1][1]
 TEXTS = [
     f"Foreword here. {MIT}. More text.", MIT.replace("obtaining a copy", "who is obtaining one copy"), "Released under the MIT License and the mit  LICENSE", "the apache-license, general public license",
     "Licensed under CC BY-NC 4.0.", "licensed under", "redistribution and use in source", f"{L.NOTICES[6][1]} and again {L.NOTICES[6][1]}", "Mıt license İ K license mit", "x", None, "", "mit", "license mit license",
+    f"Before. {L.NOTICES[10][1]} After.", L.NOTICES[11][1].upper(), L.NOTICES[12][1][:300], " ".join(t for _, t in L.NOTICES), L.NOTICES[16][1].replace("software", "package"),
     L.NOTICES[3][1][:60], "All rights reserved by nobody " * 50, "é license. apache\nlicense",
 ]
 
@@ -69,6 +71,27 @@ def test_against_plain_scan(spark, docs, odd_docs, tmp_path, from_files):
     assert sorted(got, key=repr) == sorted([(i, *plain(t)) for i, t in rows], key=repr)
 
 
+def test_whole_licenses_are_found(spark):
+    """Each whole text gives its label with a span over all of it, and half of one doesn't."""
+    whole = L.NOTICES[10:]
+    rows = [(i, f"some words before {t} and after") for i, (_, t) in enumerate(whole)] + [(100 + i, " ".join(t.split()[: len(t.split()) // 2])) for i, (_, t) in enumerate(whole)]
+    documents, found = L.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    whole_ones = found.where("template >= 10 AND coverage = 1").join(documents.select("place", "row"), "place")
+    got = {(r.row.doc_id, r.label, r.last - r.first + 1) for r in whole_ones.collect()}
+    assert got == {(i, label, len(words(t))) for i, (label, t) in enumerate(whole)}
+
+
+def test_time_in_proportion_to_the_length(spark):
+    took = []
+    for n in (1000, 100_000, 400_000):  # the first run compiles
+        df = spark.createDataFrame([(1, "alpha beta gamma without restriction " * (n // 5) + MIT)], "doc_id long, text string")
+        began = time.time()
+        (r,) = L.judged(df).collect()
+        took.append(time.time() - began)
+        assert r.labels == "mit" and r.n_words == n // 5 * 5 + len(words(MIT))
+    assert took[2] < 5 * max(took[1], 1)
+
+
 def test_spans_say_where(spark):
     _, found = L.scan(spark.createDataFrame([(1, "one two " + L.NOTICES[5][1] + " three")], "doc_id long, text string"))
     (r,) = found.where("label = 'gpl' AND coverage = 1").collect()

@@ -7,26 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.llm.common import ascii_lower, dealt_out, placed
+from tidemark.llm.notices import NOTICES
 
-#: What separates words, the phrases of the base labels, and public license notices by label.
+#: What separates words, and the phrases of the base labels.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {
     "mit license": "mit",
     "apache license": "apache",
     "general public license": "gpl",
 }
-NOTICES = [
-    ("mit", "released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"),
-    ("apache", "licensed under the Apache License, Version 2.0"),
-    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("gpl", "licensed under the GNU General Public License, version 3"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-nc", "licensed under CC BY-NC 4.0"),
-    ("proprietary", "All rights reserved. No part of this publication may be reproduced"),
-]
 
 
 def words_of(text: Column) -> Column:
@@ -71,8 +60,10 @@ def scan(
     """(documents, spans). documents: place, the columns of docs in ``row``, n_words, base (places and labels of phrases).
     spans: place, template, label, first, last (words of the text), coverage: the verified notices.
 
-    Every k-gram hash of every text is joined to the hashes of the notices
-    (broadcast: a fixed list of some hundred rows), equal hashes are checked on
+    Every k-gram of every text is hashed where the text is read, and those that
+    have the hash of a notice's k-gram become rows (with their words alone, so a text
+    costs in proportion to its length), which are joined to the notices
+    (broadcast: a fixed list of some thousand rows), equal hashes are checked on
     the words themselves, and hits vote for their diagonal, text position minus
     notice position. Diagonals at most ``near`` apart merge; a merged span stands
     if at least ``least`` of the notice's k-grams hit it in the notice's order, each
@@ -89,13 +80,18 @@ def scan(
     has_phrase_word = F.lit(False)
     for phrase in phrases:
         has_phrase_word = has_phrase_word | F.array_contains("words", phrase.split(" ")[-1])
-    known = told.select("place", "row", words.alias("words"))
+    split = told.select("place", "row", words.alias("words"))
     none = F.array().cast("array<struct<at:int,label:string>>")
-    documents = known.select("place", "row", F.size("words").cast("long").alias("n_words"), F.when(has_phrase_word, _base(F.col("words"), phrases)).otherwise(none).alias("base"))
-
-    table = F.broadcast(templates(docs.sparkSession, notices, k)).alias("t")
-    rolled = told.select("place", words.alias("words")).select("place", "words", F.posexplode(grams(F.col("words"), k)).alias("pos", "hash")).alias("d")
-    hits = rolled.join(table, (F.col("d.hash") == F.col("t.hash")) & (F.slice("d.words", F.col("d.pos") + 1, k) == F.col("t.gram")))
+    documents = split.select("place", "row", F.size("words").cast("long").alias("n_words"), F.when(has_phrase_word, _base(F.col("words"), phrases)).otherwise(none).alias("base"))
+
+    table = templates(docs.sparkSession, notices, k)
+    listed = sorted(r["hash"] for r in table.select("hash").distinct().collect())  # as many as the fixed list has
+    # the words pass through a generator, or the optimizer would put the split of the whole text into what is done for each word
+    rolled = told.select("place", F.explode(F.array(words)).alias("words")).select("place", "words", grams(F.col("words"), k).alias("hashes"))
+    known = F.filter(F.transform("hashes", lambda h, i: F.when(h.isin(listed), F.struct(i.alias("pos"), h.alias("hash")))), lambda x: x.isNotNull())
+    few = rolled.select("place", "words", known.alias("known"))
+    few = few.select("place", F.inline(F.transform("known", lambda x: F.struct(x["pos"].alias("pos"), x["hash"].alias("hash"), F.slice("words", x["pos"] + 1, k).alias("gram")))))
+    hits = few.alias("d").join(F.broadcast(table).alias("t"), (F.col("d.hash") == F.col("t.hash")) & (F.col("d.gram") == F.col("t.gram")))
     votes = (
         hits.groupBy("place", "template", (F.col("pos") - F.col("at")).alias("diagonal"))
         .agg(F.collect_set("at").alias("at"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.first("label").alias("label"), F.first("grams").alias("grams"), F.first("t.words").alias("size"))
