@@ -19,7 +19,7 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def brute(rows):
+def brute(rows, percent=80):
     sets = [shingles(r[1]) for r in rows]
     root = list(range(len(rows)))
 
@@ -31,7 +31,7 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 root[max(find(i), find(j))] = min(find(i), find(j))
     least = {}
     for i, r in enumerate(rows):
@@ -52,6 +52,19 @@ def varied(rnd, base, edits):
     return " ".join(words)
 
 
+@pytest.mark.parametrize("percent", [34, 50, 60, 67, 75, 81, 95, 100])
+def test_any_percentage(spark, percent):
+    """Sets of one to a few shingles, whose partners differ from percentage to percentage, and larger ones."""
+    rnd = random.Random(percent)
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g h"), (3, "a b c d e"), (4, "a b c d e f"), (5, "b c d e f"), (6, "x a b c d e"), (7, "a b"), (8, "A  b"), (9, "a b c")]
+    for base in range(12):
+        text = prose(rnd, rnd.choice([5, 6, 7, 8, 10, 30]), [f"w{i}" for i in range(60)])
+        words = text.split(" ")
+        rows += [(100 + 10 * base + i, " ".join(words[: len(words) - i] + [f"t{i}"] * (i % 3))) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(jaccard.JaccardJoin(docs, percent=percent).result()) == brute(rows, percent)
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_against_brute_force(spark, odd_docs, seed):
     rnd = random.Random(seed)

@@ -96,3 +96,13 @@ def test_bloom_passes_every_key_and_few_others(spark):
     held = bloom.may_hold(rows, bloom.build(keys, "k"), "k")
     assert held.where("k < 10000").count() == 10_000 and held.where("k >= 10000").count() < 500
     assert bloom.may_hold(rows, bloom.build(keys, "k"), "k", keep=False).count() + held.count() == 20_000
+
+
+def test_the_filter_grows_with_its_keys(spark):
+    """At four million keys under 2 % of others pass, in 8 MB; the bound is 64 MB."""
+    bloom = BlockedBloom()
+    filled = bloom.build(spark.range(4_000_000).select(F.concat(F.lit("key"), "id").alias("k")), "k")
+    assert bloom.blocks == 1 << 20 and filled.select(F.size("bloom")).first()[0] == bloom.blocks
+    held = lambda first, n: bloom.may_hold(spark.range(first, first + n).select(F.concat(F.lit("key"), "id").alias("k")), filled, "k").count()
+    assert held(3_900_000, 100_000) == 100_000 and held(5_000_000, 100_000) < 2000
+    assert [BlockedBloom().sized(n) for n in (0, 1, 1 << 14, (1 << 14) + 1, 1 << 40)] == [1 << 12, 1 << 12, 1 << 12, 1 << 13, 1 << 23]

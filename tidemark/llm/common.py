@@ -247,17 +247,22 @@ def give_back() -> None:
 class BlockedBloom:
     """A register-blocked Bloom filter built and probed with SQL functions.
 
-    Each key sets ``BITS`` bits of one 64-bit block. The filter is an array of
-    ``blocks`` longs, so its size is fixed (8 bytes a block) whatever the number
-    of keys: with more keys than it was made for it passes more rows, never
-    fewer, and the exact join behind it removes them.
+    Each key sets ``BITS`` bits of one 64-bit block; the filter is an array of
+    ``blocks`` longs. Unless their number is given, it follows the keys': 16 bits
+    a key and upwards, at which fewer than 1 % of other keys pass, from 32 KB up to 64 MB
+    (32 million keys). With more keys, or too few blocks, more rows pass, never
+    fewer, and the exact join behind the filter removes them.
     """
 
-    BITS = 5
+    BITS, KEYS, LEAST, MOST, SLICE = 5, 4, 1 << 12, 1 << 23, 1 << 10
 
-    def __init__(self, blocks: int = 1 << 16):
+    def __init__(self, blocks: int | None = None):
         self.blocks = blocks
 
+    def sized(self, keys: int) -> int:
+        """Blocks for so many keys: a power of two with up to KEYS of them in each."""
+        return min(max(self.LEAST, 1 << max(0, -(-keys // self.KEYS) - 1).bit_length()), self.MOST)
+
     def _block(self, h: Column) -> Column:
         return F.pmod(h, F.lit(self.blocks)).cast("int")
 
@@ -270,15 +275,18 @@ class BlockedBloom:
         return mask
 
     def build(self, keys: DataFrame, key: str) -> DataFrame:
-        """One row, one column ``bloom``: the blocks in order. Partial bit_or runs before the shuffle."""
+        """One row, one column ``bloom``: the blocks in order. Partial bit_or runs before the shuffle; slices of blocks are
+        put together in many tasks and then, as arrays of longs, in one. ``keys`` is counted first, so it should be a written table."""
         spark = keys.sparkSession
         k = F.col(key)
+        self.blocks = self.blocks or self.sized(keys.count())
         hashed = keys.where(k.isNotNull()).select(F.xxhash64(k).alias("h"))
         set_bits = hashed.select(self._block(F.col("h")).alias("block"), self._mask(F.col("h")).alias("mask"))
         empty = spark.range(self.blocks).select(F.col("id").cast("int").alias("block"), F.lit(0).cast("long").alias("mask"))
         merged = set_bits.unionByName(empty).groupBy("block").agg(F.bit_or("mask").alias("mask"))
-        ordered = F.array_sort(F.collect_list(F.struct("block", "mask")))
-        return merged.agg(F.transform(ordered, lambda x: x["mask"]).alias("bloom"))
+        in_order = lambda of: F.array_sort(F.collect_list(of))
+        slices = merged.groupBy(F.expr(f"block div {self.SLICE}").alias("slice")).agg(F.transform(in_order(F.struct("block", "mask")), lambda x: x["mask"]).alias("masks"))
+        return slices.agg(F.flatten(F.transform(in_order(F.struct("slice", "masks")), lambda x: x["masks"])).alias("bloom"))
 
     def may_hold(self, rows: DataFrame, bloom: DataFrame, key: str, keep: bool = True) -> DataFrame:
         """The rows whose key may have been put in: every one that was, and few others; with keep=False, the rest.

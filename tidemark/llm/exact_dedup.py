@@ -52,11 +52,11 @@ class ExactDedup:
     looked at.
     """
 
-    def __init__(self, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text", digest=sha256, bloom_blocks: int = 1 << 16, path: str | None = None):
+    def __init__(self, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text", digest=sha256, bloom_blocks: int | None = None, path: str | None = None):
         self.spark, self.id_col, self.text_col, self.digest = spark, id_col, text_col, digest
         self.scratch = Scratch(spark, "exact")
         self.path = path.rstrip("/") if path else self.scratch.path
-        self.bloom = BlockedBloom(bloom_blocks)
+        self.bloom_blocks = bloom_blocks
 
     def _listed(self, folder: str) -> list[str]:
         jvm = self.spark.sparkContext._jvm
@@ -144,7 +144,8 @@ class ExactDedup:
             state = state.join(arrivals.select("digest").distinct(), "digest", "left_semi")
         hits = self.scratch.write(state.where("n > 1").select("digest"), f"hits{number}")
         rows = self._digested(docs, normalised(F.col(self.text_col)).alias("norm"))
-        rows = self.bloom.may_hold(rows, self.bloom.build(hits, "digest"), "digest")
+        bloom = BlockedBloom(self.bloom_blocks)
+        rows = bloom.may_hold(rows, bloom.build(hits, "digest"), "digest")
         ends = rows.groupBy("digest").agg(F.min("norm").alias("least"), F.max("norm").alias("most"))
         if before is not None:
             held = self.scratch.write(before.join(hits, "digest", "left_semi").select("digest", "best.locator"), f"held{number}")

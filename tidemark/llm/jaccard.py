@@ -36,6 +36,11 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def least_size(percent: int) -> int:
+    """The size from which on a set can be similar to one that isn't equal: with one more shingle."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 31
+
+
 def boundary(counts: np.ndarray, percent: int, k: int = SUBSET) -> int:
     """The largest size at which enumerating a light set's subsets costs no more than scanning its inverted lists.
 
@@ -68,11 +73,13 @@ def signature_keys(own: np.ndarray, counts: np.ndarray, percent: int, light: int
     single ones, where light sets large enough for a heavy partner wait too (not
     ``free``: two of them have met already). ``pos`` is the shingle's place in
     that order (of a pair, the second one's less one): two sets that have to share
-    more than the least overlap meet on the first n - overlap places already.
+    more than the least overlap meet on the first n - overlap places already. At
+    low percentages some small sets need share but one shingle; they meet on single ones too.
     """
     n = len(own)
-    if n < 4:  # a partner would be the same set
+    if n < least_size(percent):  # a partner would be the same set
         return own[:0], np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int32)
+    one = least_overlap(n, percent) < SUBSET
     p = n - least_overlap(n, percent) + SUBSET
     order = np.lexsort((own, counts[(own >> np.uint64(44)).astype(np.int64)]))
     rare = own[order[:p]]
@@ -83,10 +90,10 @@ def signature_keys(own: np.ndarray, counts: np.ndarray, percent: int, light: int
     with np.errstate(over="ignore"):
         low, high = np.minimum(rare[i], rare[j]), np.maximum(rare[i], rare[j])
         pairs = mix(low * ODD[5] + high * ODD[6])
-    if 100 * n < percent * (light + 1):
+    if 100 * n < percent * (light + 1) and not one:
         return pairs, np.ones(len(pairs), dtype=bool), (j - 1).astype(np.int32)
     return (
-        np.concatenate([pairs, singles]), np.concatenate([np.ones(len(pairs), dtype=bool), np.zeros(len(singles), dtype=bool)]),
+        np.concatenate([pairs, singles]), np.concatenate([np.ones(len(pairs), dtype=bool), np.full(len(singles), one)]),
         np.concatenate([j - 1, np.arange(len(singles))]).astype(np.int32),
     )
 
@@ -271,11 +278,11 @@ class JaccardJoin:
 
     def _lists(self, sets: DataFrame) -> DataFrame:
         """(key, uid, n, free, pos) of the keys that more than one class has, and the same of each key's leader, its most typical class."""
-        told = sets.where("n >= 4").select("digest", "uid")
+        told = sets.where(F.col("n") >= least_size(self.percent)).select("digest", "uid")
         classes = told.groupBy("digest").agg(F.min("uid").alias("uid"))
         # what goes is written: if that is small, the rows with the keys are not shuffled for it
         copies = self.scratch.write(told.select("uid").join(classes.select("uid"), "uid", "left_anti"), "copies")
-        single = sets.where("n >= 4").join(copies, "uid", "left_anti").select("uid", "n", "typical", F.explode(F.arrays_zip("keys", "free", "pos")).alias("k"))
+        single = sets.where(F.col("n") >= least_size(self.percent)).join(copies, "uid", "left_anti").select("uid", "n", "typical", F.explode(F.arrays_zip("keys", "free", "pos")).alias("k"))
         rows = single.select(F.col("k.keys").alias("key"), "typical", "uid", F.col("n").cast("int").alias("n"), F.col("k.free").alias("free"), F.col("k.pos").alias("pos"))
         names = ["key", "uid", "n", "free", "pos", "lead_uid", "lead_n", "lead_free", "lead_pos"]
 

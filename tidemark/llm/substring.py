@@ -238,7 +238,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, k: int, scratch:
 
 
 def dedup_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, bloom_blocks: int = 1 << 16,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, bloom_blocks: int | None = None,
 ) -> DataFrame:
     """docs with ``text_col`` freed of repeated sentences, and n_sentences and n_removed (long) added (or replaced).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BlockedBloom, ascii_lower
+from tidemark.llm.common import BlockedBloom, Scratch, ascii_lower
 
 #: Fixed values: (verdict, host, path) of the production rules.
 RULES = [
@@ -53,16 +53,16 @@ def repeated(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") ->
 
 
 def filter_urls(
-    pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", bloom_blocks: int = 1 << 16,
+    pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", bloom_blocks: int | None = None,
 ) -> DataFrame:
     """A row per page: id, host, path, rule, listed, verdict.
 
     ``listed`` has a row per canonical URL, and in ``spared`` the id (or null) of
     the page that may keep it. A page is blocked or allowed by the longest rule
     that fits; without a rule, it is blocked if its canonical URL is listed and it
-    isn't spared. Only pages that pass the Bloom filter (``bloom_blocks`` x 8
-    bytes, whatever the list's size) meet the list in a hash join, which removes
-    what the filter let through by chance; the others never move.
+    isn't spared. Only pages that pass the Bloom filter (16 bits a listed URL and
+    upwards, up to 64 MB; or ``bloom_blocks`` x 8 bytes) meet the list in a hash
+    join, which removes what the filter let through by chance; the others never move.
 
     Null URLs and URLs without :// have empty host and path, fit no rule and are
     allowed. Repeated rows are judged alike; null ids are never spared; empty
@@ -71,6 +71,7 @@ def filter_urls(
     url = F.col(url_col)
     bloom = BlockedBloom(bloom_blocks)
     keyed = pages.select(F.col(id_col).alias("id"), host(url).alias("host"), path(url).alias("path"), canonical(url).alias("canonical"))
+    listed = Scratch(pages.sparkSession, "urls").write(listed, "listed")  # counted, filtered by and joined
     filled = bloom.build(listed, "canonical")
     exact = listed.select("canonical", "spared", F.lit(True).alias("listed")).hint("shuffle_hash")
     possible = bloom.may_hold(keyed, filled, "canonical").join(exact, "canonical", "left").select("id", "host", "path", F.coalesce("listed", F.lit(False)).alias("listed"), (F.coalesce(F.col("spared") == F.col("id"), F.lit(False))).alias("spared"))
