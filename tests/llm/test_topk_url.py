@@ -106,3 +106,15 @@ def test_the_filter_grows_with_its_keys(spark):
     held = lambda first, n: bloom.may_hold(spark.range(first, first + n).select(F.concat(F.lit("key"), "id").alias("k")), filled, "k").count()
     assert held(3_900_000, 100_000) == 100_000 and held(5_000_000, 100_000) < 2000
     assert [BlockedBloom().sized(n) for n in (0, 1, 1 << 14, (1 << 14) + 1, 1 << 40)] == [1 << 12, 1 << 12, 1 << 12, 1 << 13, 1 << 23]
+
+
+def test_most_pairs_fall_away_before_the_last_block(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", topk.quantised(F.col("embedding")).alias("v")).where("v IS NOT NULL").collect()
+    ids, c = np.array([r.vec_id for r in rows]), np.array([r.v for r in rows])
+    asking = ids % 20 == 0
+    blocks = [slice(b, b + 16) for b in range(0, c.shape[1], 16)]
+    best, reached = topk.best_of(c[asking], ids[asking], c, ids, ids, blocks, 20, 1024)
+    assert reached < 0.5 * asking.sum() * len(c)
+    scores = c[asking] @ c.T
+    scores[ids[asking][:, None] == ids[None, :]] = np.iinfo(np.int64).min
+    assert (best.scores == -np.sort(-scores, axis=1)[:, :20]).all()

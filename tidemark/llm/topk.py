@@ -118,6 +118,20 @@ def search(best: Best, queries: np.ndarray, own: np.ndarray, rows: np.ndarray, u
     return len(q)
 
 
+def best_of(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, uids: np.ndarray, ids: np.ndarray, blocks: list[slice], k: int, most: int) -> tuple[Best, int]:
+    """The best k of all candidates, and how many pairs reached the last dimension block.
+
+    Large norms come first, and few rows first, so that there is a k-th score before most candidates come."""
+    best = Best(len(queries), k)
+    strong = np.argsort(-np.square(rows.astype(np.float64)).sum(axis=1), kind="stable")
+    at, size, reached = 0, min(2 * k, most), 0
+    while at < len(rows):
+        some = strong[at : at + size]
+        reached += search(best, queries, own, rows[some], uids[some], ids[some], blocks)
+        at, size = at + size, min(2 * size, most)
+    return best, reached
+
+
 def top_k(
     vectors: DataFrame, asks: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "vector",
     dims_per_block: int = 16, rows_per_block: int = 1024, cell: tuple[int, int] = (8192, 4096), cell_bytes: int = 64 << 20,
@@ -128,7 +142,7 @@ def top_k(
     ``vectors`` holds an id and an array of longs (see ``quantised``). Candidates
     and queries are dealt into groups of about ``cell`` rows (fewer where vectors
     are so long that a group would pass ``cell_bytes``); a task takes one group of
-    each, the candidates in blocks of ``rows_per_block``, and passes on k rows a query,
+    each, the candidates by falling norm in blocks of 2 * k rows, then ever more up to ``rows_per_block``, and passes on k rows a query,
     which a second stage merges. Nothing is sent to the driver or to every task; a
     row is moved once for each group of the other side.
 
@@ -160,11 +174,7 @@ def top_k(
         own, query_ids, q = asking["uid"].to_numpy(), asking["id"].to_numpy(), matrix(asking["v"])
         uids, ids, c = candidates["uid"].to_numpy(), candidates["id"].to_numpy(), matrix(candidates["v"])
         blocks = [slice(b, min(b + dims_per_block, c.shape[1])) for b in range(0, c.shape[1], dims_per_block)] or [slice(0, 0)]
-        top = Best(len(q), k)
-        strong = np.argsort(-np.square(c.astype(np.float64)).sum(axis=1), kind="stable")  # large norms first: the k-th score rises early
-        for s in range(0, len(c), rows_per_block):
-            some = strong[s : s + rows_per_block]
-            search(top, q, own, c[some], uids[some], ids[some], blocks)
+        top, _ = best_of(q, own, c, uids, ids, blocks, k, rows_per_block)
         held = np.arange(k) < top.held[:, None]
         return pa.table([np.repeat(query_ids, top.held), top.ids[held], top.scores[held]], schema=schema)
 
