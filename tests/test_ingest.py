@@ -19,7 +19,7 @@ def at(hour, day=1):
 def test_the_bound_is_inclusive_for_every_time_type(spark, kind):
     df = spark.createDataFrame([(1, at(0, 1)), (2, at(0, 2)), (3, at(0, 3)), (4, None)], "k int, t timestamp").withColumn("t", F.col("t").cast(kind))
     mark = merge.high_water_mark(df.where("k <= 3"), "t")
-    assert mark == at(0, 3)
+    assert mark.zoned == (kind == "timestamp") and mark.datetime() == at(0, 3)
     got = {r.k for r in merge.incremental_read(df, "t", mark, 24).collect()}
     assert got == {2, 3}
     assert merge.incremental_read(df, "t", None, 24).count() == 4

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import key_struct, survivor_order
+from tidemark.functions.keys import bytes_taken, key_struct, quoted, same_key, survivor_order
 from tidemark.operators.features import row_tracking_enabled
-from tidemark.sources.store import ROW_ID, ArchiveTable
+from tidemark.sources.store import FILE, MOST_SENT, PLACE, ROW_ID, ArchiveTable, Snapshot
 
 
 class DuplicateKeys(RuntimeError):
@@ -20,7 +20,7 @@ class DuplicateKeys(RuntimeError):
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of more than one row, with their number of rows ``copies``; nulls are equal. Reads only the key columns."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
 def has_duplicates(df: DataFrame, keys: list[str]) -> bool:
@@ -30,7 +30,7 @@ def has_duplicates(df: DataFrame, keys: list[str]) -> bool:
 def dedup_frame(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first by ``order``. Spark keeps one row a key and task before the shuffle (WindowGroupLimit)."""
     place = f"place_{uuid.uuid4().hex}"  # no column of the caller's is called that
-    first = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+    first = F.row_number().over(W.partitionBy(*map(quoted, keys)).orderBy(*order))
     return df.withColumn(place, first).where(F.col(place) == 1).drop(place)
 
 
@@ -39,7 +39,7 @@ def count_keys(df: DataFrame, keys: list[str]) -> tuple[int, int]:
 
     A sum over groups instead of a distinct count over all rows: keys are counted
     in many tasks, and only one number a task meets in the last one."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    row = df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     return int(row[0]), int(row[1])
 
 
@@ -48,28 +48,69 @@ def count_keys_by_struct(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows"), F.count_distinct(key_struct(keys)).alias("distinct_keys"))
 
 
+#: Duplicates are marked as deleted where they are, and no file is rewritten, if they are at most one row in so many.
+FEW = 20
+
+
 def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str, newest_version_wins: bool = False) -> dict:
     """Dedups a table in place and returns its report.
 
     skipped: there is no table. clean: no duplicate key (an empty table too);
-    nothing is written. deduped: rewritten in one commit, after what was written
+    nothing is written. deduped: in one commit, after the outcome
     has been verified; if that fails the table stays as it was and the error is raised.
+
+    Few duplicates (one row in FEW or fewer, and no more than scans can leave out without a shuffle) are ``marked``: only the
+    rows of their keys are compared, and the commit names those that go. With more of them the table is ``rewritten``.
     """
     began = time.monotonic()
     if not table.exists():
         return {"table": name, "status": "skipped", "reason": "no table"}
     snapshot = table.snapshot()
     tracked = row_tracking_enabled(snapshot.properties)
-    ordering = "row_id" if tracked else "tiebreaker"
-    copies = duplicate_groups(table.read(snapshot.version), keys).agg(F.max("copies")).first()[0]
-    if copies is None:
-        return {"table": name, "status": "clean", "ordering": ordering, "count_before": snapshot.rows, "count_after": snapshot.rows, "duplicates_removed": 0, "elapsed_s": time.monotonic() - began}
+    report = {"table": name, "ordering": "row_id" if tracked else "tiebreaker", "count_before": snapshot.rows}
+    groups = duplicate_groups(table.read(snapshot.version), keys)
+    found = groups.agg(F.max("copies").alias("most"), F.sum(F.col("copies") - 1).alias("gone"), F.count(F.lit(1)).alias("keys")).first()
+    if found.most is None:
+        return report | {"status": "clean", "count_after": snapshot.rows, "duplicates_removed": 0, "elapsed_s": time.monotonic() - began}
     order = survivor_order(tiebreaker, ROW_ID if tracked else None, newest_version_wins)
+    few = found.gone * FEW <= snapshot.rows and sum(f.deleted for f in snapshot.files) + found.gone <= MOST_SENT
+    if few:
+        _mark(table, snapshot, name, keys, order, tracked, groups, found.gone)
+        after = snapshot.rows - found.gone
+    else:
+        after = _rewritten(table, snapshot, name, keys, order, tracked, found.most)
+    done = {"status": "deduped", "method": "marked" if few else "rewritten", "count_after": after, "duplicates_removed": snapshot.rows - after}
+    return report | done | {"elapsed_s": time.monotonic() - began}
+
+
+def _of_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of some keys, looked at where they are: the keys go to them if they take no more than 32 MB, as a checked size."""
+    listed = groups.select(*map(quoted, keys))
+    listed = F.broadcast(listed) if bytes_taken(listed) <= 32 << 20 else listed
+    return rows.alias("r").join(listed.alias("g"), same_key("r", "g", keys), "left_semi")
+
+
+def _mark(table: ArchiveTable, snapshot: Snapshot, name: str, keys: list[str], order: list[Column], tracked: bool, groups: DataFrame, gone: int) -> None:
+    rows = table.scan(snapshot, row_id=tracked)
+    rank = f"rank_{uuid.uuid4().hex}"
+    ranked = _of_groups(rows, groups, keys).withColumn(rank, F.row_number().over(W.partitionBy(*map(quoted, keys)).orderBy(*order, FILE, PLACE)))
+
+    def verify(left: DataFrame) -> None:
+        rows, distinct = count_keys(_of_groups(left, groups, keys), keys)
+        total = left.count()
+        if rows != distinct or total != snapshot.rows - gone:
+            raise DuplicateKeys(f"{name}: {rows} rows of {distinct} keys that had copies, {total} rows in all after dedup of {snapshot.rows - gone}")
+
+    table.delete_rows(ranked.where(F.col(rank) > 1).select(FILE, PLACE), "dedup", snapshot, verify)
+
+
+def _rewritten(table: ArchiveTable, snapshot: Snapshot, name: str, keys: list[str], order: list[Column], tracked: bool, most: int) -> int:
     rows = table.read(snapshot.version, row_id=tracked)
+    names = [quoted(k) for k in keys]
     # the table is dealt out by ranges of its key, so that later filters on the key skip files; the window needs no other shuffle.
     # Not if one key has more rows than a task should: those combine before the shuffle, which then goes by hash.
-    if copies * int(table.spark.conf.get("spark.sql.shuffle.partitions")) <= snapshot.rows:
-        rows = rows.repartitionByRange(*keys)
+    if most * int(table.spark.conf.get("spark.sql.shuffle.partitions")) <= snapshot.rows:
+        rows = rows.repartitionByRange(*names)
     unique = dedup_frame(rows, keys, order).drop(ROW_ID)
     after: list[int] = []
 
@@ -79,8 +120,5 @@ def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str
             raise DuplicateKeys(f"{name}: {rows} rows but {distinct} distinct keys after dedup")
         after.append(rows)
 
-    table.overwrite(unique.sortWithinPartitions(*keys), schema_mode="merge", check=verify, operation="dedup")
-    return {
-        "table": name, "status": "deduped", "ordering": ordering, "count_before": snapshot.rows, "count_after": after[0],
-        "duplicates_removed": snapshot.rows - after[0], "elapsed_s": time.monotonic() - began,
-    }
+    table.overwrite(unique.sortWithinPartitions(*names), schema_mode="merge", check=verify, operation="dedup")
+    return after[0]

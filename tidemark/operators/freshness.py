@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import Moment, quoted
 from tidemark.operators.merge import high_water_mark
 from tidemark.sources.store import ArchiveTable, TableMissing
 
@@ -18,10 +17,9 @@ class StaleTables(RuntimeError):
     """Some tables are stale or could not be checked."""
 
 
-def _beyond(column: str, kind: str, after: dt.datetime) -> Column:
-    c = F.col(column).cast("timestamp_ntz") if kind == "date" else F.col(column)
-    bound = F.lit(str(after)).cast("timestamp_ntz")
-    return c > (bound if kind in ("date", "timestamp_ntz") else bound.cast(kind))
+def _beyond(column: str, kind: str, after: Moment) -> Column:
+    c = F.col(quoted(column))
+    return (c.cast("timestamp_ntz") if kind == "date" else c) > after.column(kind)
 
 
 def check_table(name: str, column: str, source, table: ArchiveTable, threshold_hours: int = 48, excluded: bool = False) -> dict:
@@ -43,7 +41,7 @@ def check_table(name: str, column: str, source, table: ArchiveTable, threshold_h
         if last is None:
             what = "archive is empty" if table.exists() else "no archive"
             return says(OK, f"{what}, source too") if rows.isEmpty() else says(STALE, f"{what}, source has rows")
-        after = last + dt.timedelta(hours=threshold_hours)
+        after = last.plus(threshold_hours)
         newer = rows.where(_beyond(column, rows.schema[column].dataType.simpleString(), after))
         return says(OK, f"archive reaches {last}") if newer.isEmpty() else says(STALE, f"archive reaches {last}, source goes beyond {after}")
     except TableMissing as e:

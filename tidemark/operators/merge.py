@@ -7,27 +7,32 @@ import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.keys import as_datetime, bytes_taken, same_key
+from tidemark.functions.keys import Moment, bytes_taken, micros, quoted, same_key
 from tidemark.sources.store import ArchiveTable
 
 
-def high_water_mark(archive: DataFrame | ArchiveTable, column: str) -> dt.datetime | None:
+def high_water_mark(archive: DataFrame | ArchiveTable, column: str) -> Moment | None:
     """The latest time in the archive; null for an empty one. A table's log knows it, rows have to be read."""
-    return as_datetime(archive.latest(column) if isinstance(archive, ArchiveTable) else archive.agg(F.max(column)).first()[0])
+    if isinstance(archive, ArchiveTable):
+        return archive.latest(column)
+    kind = archive.schema[column].dataType
+    most = archive.agg(micros(F.max(quoted(column)), kind)).first()[0]
+    return None if most is None else Moment(most, isinstance(kind, T.TimestampType))
 
 
-def incremental_read(source: DataFrame, column: str, mark: dt.datetime | None, buffer_hours: int) -> DataFrame:
+def incremental_read(source: DataFrame, column: str, mark: Moment | dt.datetime | None, buffer_hours: int) -> DataFrame:
     """Source rows from ``buffer_hours`` before the mark on, the bound included; all of them without a mark.
 
     The bound is a literal of the column's type when the scan is planned, so the
     filter reaches the files. Rows without a time are never newer than a mark."""
     if mark is None:
         return source
+    mark = mark if isinstance(mark, Moment) else Moment.of(mark)
     kind = source.schema[column].dataType.simpleString()
-    bound = F.lit(str(mark - dt.timedelta(hours=buffer_hours))).cast("timestamp_ntz")
-    c = F.col(column)
-    return source.where((c.cast("timestamp_ntz") if kind == "date" else c) >= (bound if kind in ("date", "timestamp_ntz") else bound.cast(kind)))
+    c = F.col(quoted(column))
+    return source.where((c.cast("timestamp_ntz") if kind == "date" else c) >= mark.plus(-buffer_hours).column(kind))
 
 
 def missing_rows(source: DataFrame, archive: DataFrame, keys: list[str], most_sent: int = 32 << 20) -> DataFrame:
@@ -38,10 +43,11 @@ def missing_rows(source: DataFrame, archive: DataFrame, keys: list[str], most_se
     take up to ``most_sent`` bytes they are broadcast, the archive's rows are
     looked at where they are read, and the few keys found there (no more than were
     sent) come back. Larger batches meet the archive's keys in a shuffle."""
-    wanted = source.select(*keys).distinct()
+    names = [quoted(k) for k in keys]
+    wanted = source.select(*names).distinct()
     if bytes_taken(wanted) > most_sent:
-        return source.alias("s").join(archive.select(*keys).alias("a"), same_key("s", "a", keys), "left_anti")
-    held = archive.select(*keys).alias("a").join(F.broadcast(wanted.alias("w")), same_key("a", "w", keys), "left_semi").distinct()
+        return source.alias("s").join(archive.select(*names).alias("a"), same_key("s", "a", keys), "left_anti")
+    held = archive.select(*names).alias("a").join(F.broadcast(wanted.alias("w")), same_key("a", "w", keys), "left_semi").distinct()
     return source.alias("s").join(F.broadcast(held.alias("h")), same_key("s", "h", keys), "left_anti")
 
 

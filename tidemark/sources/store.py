@@ -1,13 +1,17 @@
-"""Versioned parquet tables: atomic commits, stable row ids, history, and a feed of changes.
+"""Versioned parquet tables: atomic commits, stable row ids, deleted rows, history, and a feed of changes.
 
 A table is a folder. ``_log`` has a JSON file per commit, created exclusively, so
-of two writers from one version one fails; ``data`` has immutable parquet files.
-Files are never deleted: what a commit removes stays readable for history and changes.
+of two writers from one version one fails; ``data`` has immutable parquet files as
+Spark has written them, ``deletes`` parquet files that name rows of these by file
+and place. What a commit removes stays readable for history and changes.
 
-A row's id is the first id of its file, which is in the file's name, plus its
-place in the file; or the value of a hidden column in files that an update has
+A row's id is the first id of its file, which the log has, plus its place in the
+file; or the value of a hidden column in files that an update or a compaction has
 rewritten. So ids cost no column, no join and no rewrite, and telling them to
 readers (row tracking) is a matter of a property.
+
+The log has the least and greatest values of each file's leading columns, so a
+read between bounds leaves out files that can't have such rows.
 """
 
 from __future__ import annotations
@@ -15,20 +19,33 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from dataclasses import asdict, dataclass, field, replace
+from collections.abc import Callable, Iterable
+from dataclasses import asdict, dataclass, field, fields, replace
+from decimal import Decimal
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.keys import comparable, has_map
-from tidemark.functions.schema import evolve, nullable
+from tidemark.functions.keys import TIMES, Moment, comparable, has_map, micros, quoted
+from tidemark.functions.schema import by_name, checked, evolve, nullable
 from tidemark.sources.files import Files
 
 ROW_ID = "_row_id"
 _STORED_ID = "__stored_row_id"
+#: Names of a row's file and of its place in it, in scans that are asked for them.
+FILE, PLACE = "__file", "__place"
+_OF, _FIRST, _IN, _AT, _BIN = "__of", "__first", "__in", "__at", "__bin"
+RESERVED = {ROW_ID, _STORED_ID, FILE, PLACE, _OF, _FIRST, _IN, _AT, _BIN}
+#: Commits that put the same rows into other files.
+SAME_ROWS = ("compact", "cluster")
 #: Log versions between two summaries that spare readers the older log.
 SUMMARY_EVERY = 20
+#: So many columns have their bounds in the log, from the first on, and all with times besides; of texts so many characters.
+BOUNDED, BOUND_CHARS = 8, 32
+#: Deleted rows and files are sent to every task where a scan has no more of them than this; else they meet in a shuffle.
+MOST_SENT = 250_000
 
 
 class ConcurrentCommit(RuntimeError):
@@ -46,11 +63,25 @@ class TableMissing(LookupError):
 @dataclass(frozen=True)
 class DataFile:
     path: str  # below the table's folder
-    rows: int
+    rows: int  # with the deleted ones
     bytes: int
     first_id: int
-    #: The latest value of each day or time column, null if it has none; tables written before this was noted have nothing.
-    latest: dict[str, str | None] = field(default_factory=dict)
+    #: By column: the least and the greatest value (see ``bounds``), null if there is none.
+    bounds: dict[str, list] = field(default_factory=dict)
+    #: Folders that name deleted rows of this file, and how many they are.
+    deletes: tuple[str, ...] = ()
+    deleted: int = 0
+    #: By which columns the file's rows are near each other, see ArchiveTable.cluster.
+    clustered: str = ""
+
+    @classmethod
+    def of(cls, told: dict) -> DataFile:
+        known = {f.name for f in fields(cls)}
+        return cls(**{k: tuple(v) if k == "deletes" else v for k, v in told.items() if k in known})
+
+    @property
+    def name(self) -> str:
+        return self.path.rpartition("/")[2]
 
 
 @dataclass(frozen=True)
@@ -64,33 +95,65 @@ class Snapshot:
 
     @property
     def rows(self) -> int:
-        return sum(f.rows for f in self.files)
-
-
-_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
-
-
-def _told(value: dt.date | dt.datetime | None, kind: T.DataType) -> str | None:
-    """A day or a time as text: of times with a zone the one in UTC, whatever zone this driver is in."""
-    if isinstance(kind, T.TimestampType) and value is not None:
-        value = value.astimezone(dt.timezone.utc)
-    return None if value is None else value.isoformat()
-
-
-def _moment(text: str, kind: T.DataType) -> dt.date | dt.datetime:
-    """The same back, as a query returns it here."""
-    if isinstance(kind, T.DateType):
-        return dt.date.fromisoformat(text)
-    value = dt.datetime.fromisoformat(text)
-    return value.astimezone().replace(tzinfo=None) if isinstance(kind, T.TimestampType) else value
+        return sum(f.rows - f.deleted for f in self.files)
+
+
+def bounded(schema: T.StructType) -> list[T.StructField]:
+    """The columns whose bounds the log has: of whole numbers, decimals, times and texts (compared byte by byte)."""
+    plain = lambda k: isinstance(k, (T.IntegralType, T.DecimalType, *TIMES)) or k == T.StringType()
+    return [f for i, f in enumerate(schema.fields) if plain(f.dataType) and (i < BOUNDED or isinstance(f.dataType, TIMES))]
+
+
+def bounds(f: T.StructField) -> list[Column]:
+    """The least and greatest value of a column, as JSON can have them: times in microseconds, decimals as texts, of texts the start."""
+    ends = [F.min(F.col(quoted(f.name))), F.max(F.col(quoted(f.name)))]
+    if isinstance(f.dataType, TIMES):
+        return [micros(e, f.dataType) for e in ends]
+    if isinstance(f.dataType, T.StringType):
+        return [F.substring(e, 1, BOUND_CHARS) for e in ends]
+    return [e.cast("string") for e in ends] if isinstance(f.dataType, T.DecimalType) else [e.cast("long") for e in ends]
+
+
+def _comparable(value: Any, kind: T.DataType) -> Any:
+    """A value, the caller's or the log's, as bounds are compared; None if it can't be."""
+    if isinstance(kind, TIMES):
+        if isinstance(value, Moment):
+            return value.micros
+        if isinstance(value, dt.datetime):
+            if isinstance(kind, T.TimestampType):
+                value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+            return Moment.of(value).micros
+        return Moment.of(dt.datetime.combine(value, dt.time())).micros if isinstance(value, dt.date) else value
+    if isinstance(kind, T.StringType):
+        return value[:BOUND_CHARS] if isinstance(value, str) else None
+    if isinstance(kind, T.DecimalType):
+        return Decimal(value)
+    return value
+
+
+def may_hold(f: DataFile, kind: T.DataType, column: str, low: Any, high: Any) -> bool:
+    """Whether a file can have rows with low <= column <= high (None: no bound)."""
+    if column not in f.bounds:
+        return True
+    least, most = f.bounds[column]
+    if least is None:
+        return False
+    low, high = (None if v is None else _comparable(v, kind) for v in (low, high))
+    return (low is None or _comparable(most, kind) >= low) and (high is None or _comparable(least, kind) <= high)
 
 
 def _checked(schema: T.StructType) -> T.StructType:
-    if taken := {ROW_ID, _STORED_ID} & set(schema.names):
+    """The schema as a table has it: nullable, and with names that can be told apart."""
+    checked(schema)
+    if taken := RESERVED & set(by_name(schema)):
         raise ReservedName(f"a table has a column of its own called {', '.join(sorted(taken))}")
     return nullable(schema)
 
 
+def _columns(schema: T.StructType) -> list[Column]:
+    return [F.col(quoted(f.name)) for f in schema.fields]
+
+
 class ArchiveTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.disk = spark, path.rstrip("/"), Files(spark)
@@ -123,7 +186,7 @@ class ArchiveTable:
             summaries = [int(n[:20]) for n in self.disk.names(f"{self.path}/_log") if n.endswith(".summary")]
             if usable := [v for v in summaries if v <= last]:
                 s = json.loads(self.disk.read(self._log(max(usable), "summary")))
-                state = Snapshot(s["version"], T.StructType.fromJson(s["schema"]), tuple(DataFile(**f) for f in s["files"]), s["properties"], s["next_id"], s["transactions"])
+                state = Snapshot(s["version"], T.StructType.fromJson(s["schema"]), tuple(DataFile.of(f) for f in s["files"]), s["properties"], s["next_id"], s["transactions"])
         for v in range(state.version + 1 if state else 0, last + 1):
             state = self._apply(state, self.commit_record(v))
         if version is None:
@@ -133,18 +196,23 @@ class ArchiveTable:
     @staticmethod
     def _apply(state: Snapshot | None, record: dict) -> Snapshot:
         gone = set(record["remove"])
-        files = tuple(f for f in (state.files if state else ()) if f.path not in gone) + tuple(DataFile(**f) for f in record["add"])
+        files = tuple(f for f in (state.files if state else ()) if f.path not in gone) + tuple(DataFile.of(f) for f in record["add"])
+        if marked := {d["path"]: d for d in record.get("delete", ())}:
+            files = tuple(replace(f, deletes=(*f.deletes, marked[f.path]["deletes"]), deleted=f.deleted + marked[f.path]["rows"]) if f.path in marked else f for f in files)
         transactions = dict(state.transactions if state else {})
         if record["transaction"]:
             transactions[record["transaction"][0]] = record["transaction"][1]
         return Snapshot(record["version"], T.StructType.fromJson(record["schema"]), files, record["properties"], record["next_id"], transactions)
 
-    def _commit(self, base: Snapshot | None, operation: str, schema: T.StructType, add: list[DataFile] = (), remove: list[str] = (), properties: dict[str, str] | None = None, next_id: int = 0, transaction: tuple[str, int] | None = None) -> int:
+    def _commit(
+        self, base: Snapshot | None, operation: str, schema: T.StructType, add: Iterable[DataFile] = (), remove: Iterable[str] = (), properties: dict[str, str] | None = None,
+        next_id: int = 0, transaction: tuple[str, int] | None = None, delete: Iterable[dict] = (),
+    ) -> int:
         version = base.version + 1 if base else 0
         properties = properties if properties is not None else (base.properties if base else {})
         record = {
             "version": version, "timestamp": dt.datetime.now(dt.timezone.utc).isoformat(), "operation": operation, "schema": schema.jsonValue(), "add": [asdict(f) for f in add],
-            "remove": list(remove), "properties": properties, "next_id": next_id, "transaction": transaction,
+            "remove": list(remove), "delete": list(delete), "properties": properties, "next_id": next_id, "transaction": transaction,
         }
         self.disk.make(f"{self.path}/_log")
         if not self.disk.create_once(self._log(version), json.dumps(record)):
@@ -158,21 +226,69 @@ class ArchiveTable:
 
     # -- reading -----------------------------------------------------------
 
-    def _scan(self, files: tuple[DataFile, ...] | list[DataFile], schema: T.StructType, row_id: bool = False) -> DataFrame:
+    def _sent(self, df: DataFrame, rows: int) -> DataFrame:
+        """Marked for a broadcast if it has few enough rows; else left to the planner."""
+        return F.broadcast(df) if rows <= MOST_SENT else df
+
+    def _scan(self, files: Iterable[DataFile], schema: T.StructType, row_id: bool = False, places: bool = False) -> DataFrame:
+        """The files' rows but for the deleted ones; with their ids, with their files' names and their places in them."""
+        files = list(files)
         wanted = T.StructType([*schema.fields, T.StructField(_STORED_ID, T.LongType())]) if row_id else schema
+        extra = [F.col("_metadata.file_name").alias(FILE), F.col("_metadata.row_index").alias(PLACE)]
+        tail = [F.col(ROW_ID)] * row_id + [F.col(FILE), F.col(PLACE)] * places
         if not files:
-            empty = self.spark.createDataFrame([], wanted)
-            return empty.withColumnRenamed(_STORED_ID, ROW_ID) if row_id else empty
-        rows = self.spark.read.schema(wanted).parquet(*(f"{self.path}/{f.path}" for f in files))
-        if not row_id:
-            return rows
-        first = F.regexp_extract("_metadata.file_name", r"^r(\d+)-", 1).cast("long")
-        return rows.select(*schema.names, F.coalesce(_STORED_ID, first + F.col("_metadata.row_index")).alias(ROW_ID))
-
-    def read(self, version: int | None = None, row_id: bool = False) -> DataFrame:
-        """The rows of a version, the last one by default; with row_id, each row's id in the column _row_id."""
+            more = [T.StructField(ROW_ID, T.LongType())] * row_id + [T.StructField(FILE, T.StringType()), T.StructField(PLACE, T.LongType())] * places
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, *more]))
+
+        def rows(some: list[DataFile], located: bool) -> DataFrame:
+            df = self.spark.read.schema(wanted).parquet(*(f"{self.path}/{f.path}" for f in some))
+            df = df.select(*_columns(wanted), *extra) if located or row_id else df
+            if row_id:
+                firsts = self.spark.createDataFrame([(f.name, f.first_id) for f in some], f"{_OF} string, {_FIRST} long")
+                df = df.join(self._sent(firsts, len(some)), F.col(FILE) == F.col(_OF)).withColumn(ROW_ID, F.coalesce(F.col(_STORED_ID), F.col(_FIRST) + F.col(PLACE)))
+            return df
+
+        clean, dirty = [f for f in files if not f.deletes], [f for f in files if f.deletes]
+        parts = [rows(clean, places)] if clean else []
+        if dirty:
+            gone = self._sent(self._deleted(dirty), sum(f.deleted for f in dirty))
+            parts.append(rows(dirty, True).join(gone, (F.col(FILE) == F.col(_IN)) & (F.col(PLACE) == F.col(_AT)), "left_anti"))
+        parts = [p.select(*_columns(schema), *tail) if p.columns != schema.names else p for p in parts]
+        return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+
+    def _deleted(self, files: list[DataFile]) -> DataFrame:
+        """(file, place) of the deleted rows of these files."""
+        folders = sorted({d for f in files for d in f.deletes})
+        named = self.spark.read.schema("file string, place long").parquet(*(f"{self.path}/{d}" for d in folders)).select(F.col("file").alias(_IN), F.col("place").alias(_AT))
+        names = self.spark.createDataFrame([(f.name,) for f in files], f"{_OF} string")
+        return named.join(self._sent(names, len(files)), F.col(_IN) == F.col(_OF), "left_semi")
+
+    def scan(self, snapshot: Snapshot, row_id: bool = False) -> DataFrame:
+        """A snapshot's rows with the columns FILE and PLACE, which ``delete_rows`` takes."""
+        return self._scan(snapshot.files, snapshot.schema, row_id, places=True)
+
+    def files_between(self, between: dict[str, tuple[Any, Any]], version: int | None = None) -> list[DataFile]:
+        """The files that can have rows within the bounds of every column: {column: (low, high)}, None for no bound, both included."""
+        s = self.snapshot(version)
+        kinds = {f.name: f.dataType for f in s.schema.fields}
+        return [f for f in s.files if all(may_hold(f, kinds[c], c, low, high) for c, (low, high) in between.items())]
+
+    def read(self, version: int | None = None, row_id: bool = False, between: dict[str, tuple[Any, Any]] | None = None) -> DataFrame:
+        """The rows of a version, the last one by default; with row_id, each row's id in the column _row_id.
+
+        ``between`` = {column: (low, high)} leaves rows out (nulls too) that aren't within the bounds, and doesn't open files
+        that the log says have none."""
         s = self.snapshot(version)
-        return self._scan(s.files, s.schema, row_id)
+        if not between:
+            return self._scan(s.files, s.schema, row_id)
+        rows = self._scan(self.files_between(between, s.version), s.schema, row_id)
+        for column, ends in between.items():
+            c, kind = F.col(quoted(column)), s.schema[column].dataType
+            rows = rows.where(c.isNotNull())
+            for end, fits in zip(ends, (lambda x: c >= x, lambda x: c <= x)):  # noqa: B023
+                if end is not None:
+                    rows = rows.where(fits(end.column(kind.simpleString()) if isinstance(end, Moment) else F.lit(end).cast(kind)))
+        return rows
 
     def history(self) -> DataFrame:
         rows = []
@@ -185,14 +301,20 @@ class ArchiveTable:
         s = self.snapshot()
         return {"version": s.version, "num_files": len(s.files), "size_in_bytes": sum(f.bytes for f in s.files), "rows": s.rows}
 
-    def latest(self, column: str):
-        """The greatest value of a column: of days and times from the log, which has it for every file, else from the rows."""
+    def latest(self, column: str) -> Any:
+        """The greatest value of a column: of days and times a Moment from the log, else from the rows; None if there is none.
+
+        Files that don't have it in the log, or have deleted rows, are read for it."""
         s = self.snapshot()
         kind = s.schema[column].dataType
-        if not isinstance(kind, _TIMES) or any(column not in f.latest for f in s.files):
-            return self._scan(s.files, s.schema).agg(F.max(column)).first()[0]
-        values = [_moment(f.latest[column], kind) for f in s.files if f.latest[column] is not None]
-        return max(values, default=None)
+        if not isinstance(kind, TIMES):
+            return self._scan(s.files, s.schema).agg(F.max(quoted(column))).first()[0]
+        told = [f for f in s.files if column in f.bounds and not f.deletes]
+        values = [f.bounds[column][1] for f in told]
+        if rest := [f for f in s.files if f not in told]:
+            values.append(self._scan(rest, s.schema).agg(micros(F.max(quoted(column)), kind)).first()[0])
+        most = max((v for v in values if v is not None), default=None)
+        return None if most is None else Moment(most, isinstance(kind, T.TimestampType))
 
     # -- writing -----------------------------------------------------------
 
@@ -202,31 +324,44 @@ class ArchiveTable:
         files, cores = df.inputFiles(), self.spark.sparkContext.defaultParallelism
         return df.repartition(cores) if 0 < len(files) < cores and least <= sum(map(self.disk.size, files)) <= most else df
 
-    def _write(self, df: DataFrame, next_id: int) -> list[DataFile]:
-        """Writes immutable files named by their first row id."""
+    def _write(self, df: DataFrame, next_id: int, clustered: str = "") -> list[DataFile]:
+        """Writes immutable files, and notes their rows and bounds; the files stay where and as Spark has put them."""
         folder = f"data/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{folder}")
-        parts = {n: size for n, size in sorted(self.disk.names(f"{self.path}/{folder}").items()) if n.endswith(".parquet")}
-        times = [f for f in df.schema.fields if isinstance(f.dataType, _TIMES)]
-        ends = [F.max(F.col(f"`{f.name}`")).alias(f"_latest{i}") for i, f in enumerate(times)]
-        counted = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("count"), *ends)
-        rows, latest = {}, {}
-        for r in counted.collect():  # a row per file of this commit
-            rows[r["name"]], latest[r["name"]] = r["count"], {f.name: _told(r[f"_latest{i}"], f.dataType) for i, f in enumerate(times)}
+        try:
+            df.write.parquet(f"{self.path}/{folder}")
+            listed = bounded(df.schema)
+            ends = [e.alias(f"_{side}{i}") for i, f in enumerate(listed) for side, e in zip(("low", "high"), bounds(f))]
+            own = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}")
+            told = {r["_name"]: r for r in own.groupBy(F.col("_metadata.file_name").alias("_name")).agg(F.count(F.lit(1)).alias("_rows"), *ends).collect()}  # a row per file of this commit
+            sizes = self.disk.names(f"{self.path}/{folder}")
+        except Exception:
+            self.disk.remove(f"{self.path}/{folder}")
+            raise
         files = []
-        for name, size in parts.items():
-            if rows.get(name):
-                new = f"{folder}/r{next_id:020d}-{rows[name]}.parquet"
-                self.disk.rename(f"{self.path}/{folder}/{name}", f"{self.path}/{new}")
-                files.append(DataFile(new, rows[name], size, next_id, latest[name]))
-                next_id += rows[name]
+        for name in sorted(told):
+            r = told[name]
+            ends_of = {f.name: [r[f"_low{i}"], r[f"_high{i}"]] for i, f in enumerate(listed)}
+            files.append(DataFile(f"{folder}/{name}", r["_rows"], sizes[name], next_id, ends_of, clustered=clustered))
+            next_id += r["_rows"]
         return files
 
+    def _unless_it_fails(self, files: list[DataFile], commit: Callable[[], int]) -> int:
+        """commit(); if another writer was first, or a check fails, the files go."""
+        try:
+            return commit()
+        except Exception:
+            mine = {f.path.rpartition("/")[0] for f in files}
+            if self._seen is None or not any(f.path.rpartition("/")[0] in mine for f in self._seen.files):  # not committed
+                for folder in mine:
+                    self.disk.remove(f"{self.path}/{folder}")
+            raise
+
     def create(self, schema: T.StructType, properties: dict[str, str] | None = None) -> int:
         return self._commit(None, "create", _checked(schema), properties=properties or {})
 
     def append(self, df: DataFrame, transaction: tuple[str, int] | None = None) -> int | None:
         """Adds rows; new fields widen the schema, other types raise SchemaConflict. Creates the table if there is none.
+        Names that differ from the table's by case only are the table's.
 
         ``transaction`` (writer, number): nothing happens, and None comes back, if
         the writer has committed this number or a later one already.
@@ -236,11 +371,17 @@ class ArchiveTable:
             return None
         own = _checked(df.schema)
         schema = evolve(base.schema, own) if base else own
-        files = self._write(self._dealt_out(df), base.next_id if base else 0)
+        files = self._write(self._dealt_out(self._spelt(df, schema)), base.next_id if base else 0)
         ends = [f.first_id + f.rows for f in files]
-        return self._commit(base, "append", schema, files, next_id=max([base.next_id if base else 0, *ends]), transaction=transaction)
+        return self._unless_it_fails(files, lambda: self._commit(base, "append", schema, files, next_id=max([base.next_id if base else 0, *ends]), transaction=transaction))
 
-    def overwrite(self, df: DataFrame, schema_mode: str = "replace", check=None, operation: str = "overwrite") -> int:
+    def _spelt(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+        """df with the schema's names; those of nested fields are matched without case by readers."""
+        names = by_name(schema)
+        wrong = any(names[f.name.lower()].name != f.name for f in df.schema.fields)
+        return df.select(*(F.col(quoted(f.name)).alias(names[f.name.lower()].name) for f in df.schema.fields)) if wrong else df
+
+    def overwrite(self, df: DataFrame, schema_mode: str = "replace", check: Callable[[DataFrame], None] | None = None, operation: str = "overwrite") -> int:
         """Replaces all rows in one commit; the old files stay for history. All rows get new ids.
 
         df may read this table. schema_mode "replace" takes df's schema, "merge"
@@ -251,26 +392,74 @@ class ArchiveTable:
         own = _checked(df.schema)
         schema = evolve(base.schema, own) if base and schema_mode == "merge" else own
         start = base.next_id if base else 0
-        files = self._write(df, start)
-        if check:
-            check(self._scan(files, schema))
-        ends = [f.first_id + f.rows for f in files]
-        return self._commit(base, operation, schema, files, [f.path for f in base.files] if base else [], next_id=max([start, *ends]))
+        files = self._write(self._spelt(df, schema), start)
+
+        def commit() -> int:
+            if check:
+                check(self._scan(files, schema))
+            ends = [f.first_id + f.rows for f in files]
+            return self._commit(base, operation, schema, files, [f.path for f in base.files] if base else [], next_id=max([start, *ends]))
+
+        return self._unless_it_fails(files, commit)
+
+    def _rewrite(self, base: Snapshot, operation: str, old: list[DataFile], rows: DataFrame, clustered: str = "") -> int:
+        """Puts ``rows``, which have their ids in _row_id, in the place of the old files."""
+        files = [replace(f, first_id=-1) for f in self._write(rows.withColumnRenamed(ROW_ID, _STORED_ID), base.next_id, clustered)]
+        return self._unless_it_fails(files, lambda: self._commit(base, operation, base.schema, files, [f.path for f in old], next_id=base.next_id + sum(f.rows for f in files)))
 
     def update(self, condition: Column, values: dict[str, Column]) -> int | None:
         """Sets columns where the condition holds, by rewriting the files with such rows; ids stay. None if no row matches."""
         base = self.snapshot()
-        rows = self._scan(base.files, base.schema)
-        hit = {r["name"] for r in rows.where(condition).select(F.col("_metadata.file_name").alias("name")).distinct().collect()}
-        old = [f for f in base.files if f.path.rpartition("/")[2] in hit]
+        hit = {r["name"] for r in self._scan(base.files, base.schema, places=True).where(condition).select(F.col(FILE).alias("name")).distinct().collect()}
+        old = [f for f in base.files if f.name in hit]
         if not old:
             return None
         kept = self._scan(old, base.schema, row_id=True)
         for name, value in values.items():
-            kept = kept.withColumn(name, F.when(condition, value).otherwise(F.col(name)).cast(base.schema[name].dataType))
-        files = self._write(kept.withColumnRenamed(ROW_ID, _STORED_ID), base.next_id)
-        files = [replace(f, first_id=-1) for f in files]
-        return self._commit(base, "update", base.schema, files, [f.path for f in old], next_id=base.next_id + sum(f.rows for f in files))
+            kept = kept.withColumn(name, F.when(condition, value).otherwise(F.col(quoted(name))).cast(base.schema[name].dataType))
+        return self._rewrite(base, "update", old, kept)
+
+    def delete_rows(self, places: DataFrame, operation: str = "delete", base: Snapshot | None = None, check: Callable[[DataFrame], None] | None = None) -> int | None:
+        """Deletes rows by file and place (of a scan of ``base``), without rewriting a file: a commit names the rows, scans leave
+        them out. None if there are none. ``check`` is called with what is left, before the commit."""
+        base = base or self.snapshot()
+        folder = f"deletes/{uuid.uuid4().hex}"
+        try:
+            places.select(F.col(FILE).alias("file"), F.col(PLACE).alias("place")).repartitionByRange("file").sortWithinPartitions("file", "place").write.parquet(f"{self.path}/{folder}")
+            named = self.spark.read.schema("file string, place long").parquet(f"{self.path}/{folder}")
+            told = {r["file"]: r["count"] for r in named.groupBy("file").count().collect()}  # a row per file with deleted rows
+            delete = [{"path": f.path, "deletes": folder, "rows": told[f.name]} for f in base.files if f.name in told]
+            if check and delete:
+                left = self._apply(base, {"version": base.version + 1, "schema": base.schema.jsonValue(), "add": [], "remove": [], "delete": delete, "properties": {}, "next_id": 0, "transaction": None})
+                check(self._scan(left.files, left.schema))
+            version = self._commit(base, operation, base.schema, next_id=base.next_id, delete=delete) if delete else None
+        except Exception:
+            self.disk.remove(f"{self.path}/{folder}")
+            raise
+        if version is None:
+            self.disk.remove(f"{self.path}/{folder}")
+        return version
+
+    def compact(self, target: int = 128 << 20) -> int | None:
+        """Puts small files (of less than half of ``target`` bytes), and those with deleted rows, together into files of about
+        ``target``: rows and ids stay, and it is no change in the feed. None if there is nothing to gain.
+
+        Files that follow one another by their first rows are packed together, in one job with a task for each new file."""
+        base = self.snapshot()
+        small = sorted((f for f in base.files if f.deletes or f.bytes < target // 2), key=lambda f: (f.first_id, f.path))
+        bins: list[list[DataFile]] = []
+        for f in small:
+            if not bins or sum(x.bytes for x in bins[-1]) + f.bytes > target:
+                bins.append([])
+            bins[-1].append(f)
+        bins = [b for b in bins if len(b) > 1 or b[0].deletes]
+        old = [f for b in bins for f in b]
+        if not old:
+            return None
+        listed = self.spark.createDataFrame([(f.name, i) for i, b in enumerate(bins) for f in b], f"{_OF} string, {_BIN} int")
+        rows = self._scan(old, base.schema, row_id=True, places=True).join(self._sent(listed, len(old)), F.col(FILE) == F.col(_OF))
+        packed = rows.repartitionById(len(bins), F.col(_BIN)).sortWithinPartitions(ROW_ID).select(*_columns(base.schema), ROW_ID)
+        return self._rewrite(base, "compact", old, packed)
 
     def set_properties(self, properties: dict[str, str]) -> int:
         """A commit of the log alone."""
@@ -289,12 +478,16 @@ class ArchiveTable:
         schema = self.snapshot(last).schema
         state = self.snapshot(first - 1) if first else None
         moved: dict[str, list[tuple[DataFile, int, str]]] = {"delete": [], "insert": []}
+        marked: list[tuple[DataFile, dict, int, str]] = []  # a file, and what the log says of its deleted rows
         parts: list[DataFrame] = []
         for v in range(first, last + 1):
             record = self.commit_record(v)
             known = {f.path: f for f in (state.files if state else ())}
-            added, removed = [DataFile(**f) for f in record["add"]], [known[p] for p in record["remove"]]
+            added, removed = [DataFile.of(f) for f in record["add"]], [known[p] for p in record["remove"]]
             state = self._apply(state, record)
+            marked += [(known[d["path"]], d, v, record["timestamp"]) for d in record.get("delete", ())]
+            if record["operation"] in SAME_ROWS:
+                continue
             if record["operation"] == "update":
                 stamp = [F.lit(v).cast("long").alias("_commit_version"), F.lit(record["timestamp"]).cast("timestamp").alias("_commit_timestamp")]
                 parts.append(self._updated(removed, added, schema).select("*", *stamp))
@@ -303,10 +496,20 @@ class ArchiveTable:
                 moved["insert"] += [(f, v, record["timestamp"]) for f in added]
         for kind, files in moved.items():  # one scan for all commits: a file's name says which one it belongs to
             if files:
-                commits = self.spark.createDataFrame([(f.path.rpartition("/")[2], v, t) for f, v, t in files], "_file string, _commit_version long, _commit_timestamp string")
-                rows = self._scan([f for f, _, _ in files], schema).withColumn("_file", F.col("_metadata.file_name"))
-                stamped = rows.join(F.broadcast(commits), "_file")  # a row per file of these commits
-                parts.append(stamped.select(*schema.names, F.lit(kind).alias("_change_type"), "_commit_version", F.col("_commit_timestamp").cast("timestamp").alias("_commit_timestamp")))
+                commits = self.spark.createDataFrame([(f.name, v, t) for f, v, t in files], f"{_OF} string, _commit_version long, _commit_timestamp string")
+                rows = self._scan([f for f, _, _ in files], schema, places=True)
+                stamped = rows.join(self._sent(commits, len(files)), F.col(FILE) == F.col(_OF))  # a row per file of these commits
+                parts.append(stamped.select(*_columns(schema), F.lit(kind).alias("_change_type"), "_commit_version", F.col("_commit_timestamp").cast("timestamp").alias("_commit_timestamp")))
+        if marked:
+            commits = self.spark.createDataFrame([(f.name, d["deletes"], v, t) for f, d, v, t in marked], f"{_OF} string, {_BIN} string, _commit_version long, _commit_timestamp string")
+            folders = sorted({d["deletes"] for _, d, _, _ in marked})
+            named = self.spark.read.schema("file string, place long").parquet(*(f"{self.path}/{d}" for d in folders))
+            named = named.select(F.col("file").alias(_IN), F.col("place").alias(_AT), F.concat(F.lit("deletes/"), F.element_at(F.split("_metadata.file_path", "/"), -2)).alias("folder"))
+            named = named.join(self._sent(commits, len(marked)), (F.col(_IN) == F.col(_OF)) & (F.col("folder") == F.col(_BIN))).drop("folder")
+            whole = {f.path: replace(f, deletes=(), deleted=0) for f, _, _, _ in marked}
+            rows = self._scan(whole.values(), schema, places=True)
+            stamped = rows.join(self._sent(named, sum(d["rows"] for _, d, _, _ in marked)), (F.col(FILE) == F.col(_IN)) & (F.col(PLACE) == F.col(_AT)))
+            parts.append(stamped.select(*_columns(schema), F.lit("delete").alias("_change_type"), "_commit_version", F.col("_commit_timestamp").cast("timestamp").alias("_commit_timestamp")))
         if not parts:
             tail = "_change_type string, _commit_version long, _commit_timestamp timestamp"
             return self.spark.createDataFrame([], T.StructType([*schema.fields, *T.StructType.fromDDL(tail).fields]))
@@ -317,7 +520,7 @@ class ArchiveTable:
 
     def _updated(self, removed: list[DataFile], added: list[DataFile], schema: T.StructType) -> DataFrame:
         """Both images of the rows that differ between the files that an update has replaced and its own."""
-        content = F.struct(*schema.names)
+        content = F.struct(*_columns(schema))
         a = self._scan(removed, schema, row_id=True).select(ROW_ID, content.alias("old"))
         b = self._scan(added, schema, row_id=True).select(ROW_ID, content.alias("new"))
         as_one = lambda c: comparable(F.col(c), schema) if has_map(schema) else F.col(c)
