@@ -1,0 +1,254 @@
+"""Deleted rows, bounds and skipping, compaction, clustering: what the log says, and what scans make of it."""
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.keys import Moment
+from tidemark.functions.schema import SchemaConflict
+from tidemark.operators import dedup, features, merge
+from tidemark.sources import store as S
+from tidemark.sources.store import ROW_ID, ArchiveTable, ConcurrentCommit
+
+
+def told(df):
+    return sorted(map(repr, df.collect()))
+
+
+def paths(t):
+    return [f.path for f in t.snapshot().files]
+
+
+def copies(spark, store, rows=2000, every=200):
+    """A table of which every 200th row has come again, changed."""
+    t = store.table("s", "t")
+    df = spark.range(rows, numPartitions=3).select(F.col("id").alias("k"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id)").alias("t"), F.lit("first").alias("v"))
+    t.append(df)
+    features.ensure_features(t, "s.t")
+    t.append(df.where(F.col("k") % every == 0).withColumn("v", F.lit("again")))
+    return t, df
+
+
+@pytest.mark.parametrize("sent", [S.MOST_SENT, 0])
+def test_few_copies_are_marked(spark, store, monkeypatch, sent):
+    t, df = copies(spark, store)
+    before, ids = paths(t), {(r.k, r.v): r[ROW_ID] for r in t.read(row_id=True).collect()}
+    report = dedup.dedup_table(t, "s.t", ["k"], "t")
+    assert (report["status"], report["method"], report["duplicates_removed"], report["count_after"]) == ("deduped", "marked", 10, 2000)
+    monkeypatch.setattr(S, "MOST_SENT", sent)  # also where deleted rows meet the others in a shuffle
+    assert paths(t) == before and t.snapshot().rows == 2000 and t.detail()["rows"] == 2000
+    assert told(t.read()) == told(df)
+    assert {(r.k, r.v): r[ROW_ID] for r in t.read(row_id=True).collect()} == {x: i for x, i in ids.items() if x[1] == "first"}
+    assert t.read(version=2).count() == 2010  # history has them
+    changes = t.changes(t.version())
+    assert sorted((r._change_type, r.k, r.v) for r in changes.collect()) == [("delete", k, "again") for k in range(0, 2000, 200)]
+    assert t.changes(0).groupBy("_change_type").count().collect() and t.changes(0).where("_change_type = 'insert'").count() == 2010
+    assert dedup.dedup_table(t, "s.t", ["k"], "t")["status"] == "clean"
+
+
+def test_marks_on_marks_updates_and_rewrites(spark, store):
+    t, df = copies(spark, store)
+    dedup.dedup_table(t, "s.t", ["k"], "t")
+    t.append(df.where("k % 300 = 0").withColumn("v", F.lit("third")))
+    dedup.dedup_table(t, "s.t", ["k"], "t")
+    t.delete_rows(t.scan(t.snapshot()).where("k IN (1, 200)").select(S.FILE, S.PLACE))
+    left = df.where("k NOT IN (1, 200)")
+    assert told(t.read()) == told(left) and max(len(f.deletes) for f in t.snapshot().files) >= 1
+    assert ArchiveTable(spark, t.path).snapshot().files == t.snapshot().files  # from the log alone
+    t.update(F.col("k") < 5, {"v": F.lit("edited")})  # rewrites a file that has deleted rows
+    edited = left.withColumn("v", F.when(F.col("k") < 5, F.lit("edited")).otherwise(F.col("v")))
+    assert told(t.read()) == told(edited)
+    assert sorted((r._change_type, r.k) for r in t.changes(t.version()).collect()) == sorted((c, k) for c in ("update_postimage", "update_preimage") for k in (0, 2, 3, 4))
+    many = df.where("k NOT IN (1, 200)").withColumn("v", F.lit("many"))
+    t.append(many)
+    assert dedup.dedup_table(t, "s.t", ["k"], "t")["method"] == "rewritten"
+    assert told(t.read()) == told(edited)
+    gone = t.changes(t.version()).where("_change_type = 'delete'")
+    assert gone.count() == 2 * edited.count()  # what had been deleted before is not deleted again
+
+
+def test_nothing_to_delete_is_no_commit_and_a_failed_check_leaves_no_trace(spark, store):
+    t, _ = copies(spark, store)
+    version = t.version()
+    assert t.delete_rows(t.scan(t.snapshot()).where("k < 0").select(S.FILE, S.PLACE)) is None
+
+    def refuse(left):
+        raise ValueError(left.count())
+
+    with pytest.raises(ValueError, match="2009"):
+        t.delete_rows(t.scan(t.snapshot()).where("k = 1").select(S.FILE, S.PLACE), check=refuse)
+    assert t.version() == version and t.disk.names(f"{t.path}/deletes") == {}
+
+
+def test_a_failed_append_leaves_no_files(spark, store, monkeypatch):
+    t, df = copies(spark, store)
+    folders = set(t.disk.names(f"{t.path}/data"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        t.append(df.withColumn("k", F.expr("CAST(k div (k - 7) AS long)")))
+    late = ArchiveTable(spark, t.path)
+    base = late.snapshot()
+    t.set_properties({"p": "1"})
+    monkeypatch.setattr(late, "snapshot", lambda version=None: base)  # what it has read before
+    with pytest.raises(ConcurrentCommit):
+        late.append(df)
+    assert set(t.disk.names(f"{t.path}/data")) == folders and t.read().count() == 2010
+
+
+BOUNDED_ROWS = "i byte, n int, b long, m decimal(20,3), d date, ts timestamp, ntz timestamp_ntz, s string, x double, late date"
+
+
+def test_reads_between_bounds_against_a_plain_filter(spark, store):
+    rnd = random.Random(7)
+    t, rows = store.table("s", "t"), []
+    for part in range(6):
+        batch = []
+        for _ in range(40):
+            at = dt.datetime(2024, 1 + part, 1) + dt.timedelta(minutes=rnd.randrange(40_000), microseconds=rnd.randrange(10**6))
+            row = (part * 10 + rnd.randrange(10), part * 1000 + rnd.randrange(900), rnd.randrange(10**12), Decimal(part * 100 + rnd.randrange(100)) / 8, at.date(), at, at, f"{'é' * part}{'long' * 10}{rnd.randrange(100)}", rnd.random(), at.date())
+            batch.append(tuple(None if rnd.random() < 0.05 else v for v in row))
+        batch.append((None,) * 10)
+        rows += batch
+        t.append(spark.createDataFrame(batch, BOUNDED_ROWS).coalesce(1))
+    t.append(spark.createDataFrame([(None,) * 10], BOUNDED_ROWS))
+    skipped = 0
+    for column in t.read().columns:
+        values = sorted(r for r in {x for row in t.read().select(column).collect() for x in row} if r is not None)
+        for _ in range(4):
+            low, high = sorted(rnd.sample(values, 2))
+            low, high = rnd.choice([(low, high), (None, low), (high, None), (low, low)])
+            got = t.read(between={column: (low, high)})
+            plain = [r for r in t.read().collect() if r[column] is not None and (low is None or r[column] >= low) and (high is None or r[column] <= high)]
+            assert told(got) == sorted(map(repr, plain)), (column, low, high)
+            skipped += len(t.snapshot().files) - len(t.files_between({column: (low, high)}))
+    assert skipped > 40
+    both = {"n": (1000, 2999), "d": (dt.date(2024, 3, 1), None)}
+    assert told(t.read(between=both)) == told(t.read().where("n BETWEEN 1000 AND 2999 AND d >= DATE'2024-03-01'"))
+    assert len(t.files_between(both)) == 1 and t.files_between({"x": (0.0, 1.0)}) == list(t.snapshot().files)  # doubles have no bounds
+
+
+def test_a_filter_on_the_key_opens_few_files_after_a_rewrite(spark, store, sf_dir):
+    lines, key = spark.read.parquet(f"{sf_dir}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]
+    t = store.table("s", "t")
+    t.append(lines)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert dedup.dedup_table(t, "s.t", key, "l_shipdate")["method"] == "rewritten"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    files = t.snapshot().files
+    middle = t.latest("l_orderkey") // 2
+    between = {"l_orderkey": (middle, middle + 10)}
+    assert len(t.files_between(between)) * 10 < len(files) and len(files) > 20
+    got = t.read(between=between)
+    assert len(got.inputFiles()) * 10 < len(files)  # what Spark opens
+    assert told(got) == told(t.read().where(f"l_orderkey BETWEEN {middle} AND {middle + 10}"))
+
+
+def test_compaction_keeps_rows_ids_and_the_feed(spark, store):
+    t, df = copies(spark, store)
+    for i in range(5):
+        t.append(spark.range(10_000 + 10 * i, 10_010 + 10 * i, numPartitions=2).select(F.col("id").alias("k"), F.lit(None).cast("timestamp_ntz").alias("t"), F.lit("x").alias("v")))
+    dedup.dedup_table(t, "s.t", ["k"], "t")
+    t.update(F.col("k") == 3, {"v": F.lit("edited")})
+    before, ids, files = told(t.read()), told(t.read(row_id=True)), len(t.snapshot().files)
+    version = t.compact()
+    assert told(t.read()) == before and told(t.read(row_id=True)) == ids and len(t.snapshot().files) == 1 < files
+    assert not any(f.deletes for f in t.snapshot().files) and t.snapshot().rows == len(before)
+    assert t.changes(version).count() == 0 and t.changes(0).where("_change_type = 'insert'").count() == 2010 + 50
+    assert t.compact() is None  # nothing to gain
+    t.append(df.limit(1))
+    assert t.read(row_id=True).select(ROW_ID).distinct().count() == len(before) + 1
+    assert t.compact(target=1) is None  # no file is small against that
+
+
+def test_compaction_packs_to_a_size(spark, store):
+    t = store.table("s", "t")
+    t.append(spark.range(40_000, numPartitions=16).toDF("k"))
+    size = t.detail()["size_in_bytes"]
+    t.compact(target=size // 3)
+    assert 3 <= len(t.snapshot().files) <= 4
+    ranges = sorted((f.bounds["k"][0], f.bounds["k"][1]) for f in t.snapshot().files)
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))  # what stood together still does
+
+
+def test_rows_are_dealt_out_on_a_curve(spark, store):
+    rnd = random.Random(2)
+    t = store.table("s", "t")
+    rows = [(rnd.choice([None, rnd.randrange(1000)]) if i % 20 == 0 else rnd.randrange(1000), rnd.random() ** 3, dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(5000)), str(i)) for i in range(4000)]
+    t.append(spark.createDataFrame(rows, "a int, x double, t timestamp_ntz, v string"))
+    features.ensure_features(t, "s.t")
+    before, ids = told(t.read()), told(t.read(row_id=True))
+    version = t.cluster(["a", "t"], target=t.detail()["size_in_bytes"] // 20)
+    assert told(t.read()) == before and told(t.read(row_id=True)) == ids and t.changes(version).count() == 0
+    files = len(t.snapshot().files)
+    assert files > 10
+    for between in ({"a": (100, 160)}, {"t": (dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 10))}):
+        assert len(t.files_between(between)) <= files // 2
+    assert t.cluster(["A".lower(), "t"]) is None  # all files are
+    t.append(spark.createDataFrame(rows[:100], "a int, x double, t timestamp_ntz, v string"))
+    old = set(paths(t)[:-1])
+    assert t.cluster(["a", "t"]) and old & set(paths(t)) == {p for p in old if p in paths(t)} and len(set(paths(t)) & old) == files  # only the new one is rewritten
+    with pytest.raises(ValueError, match="v: "):
+        t.cluster(["v"])
+
+
+def test_names_go_without_case(spark, store):
+    t = store.table("s", "t")
+    t.append(spark.sql("SELECT 1 AS Id, 'a' AS Name, named_struct('In', 1) AS S"))
+    t.append(spark.sql("SELECT 2 AS ID, 'b' AS name, named_struct('in', 2, 'More', 'x') AS s, true AS New"))
+    assert t.read().columns == ["Id", "Name", "S", "New"]
+    assert sorted((r.Id, r.Name, r.S.In, r.S.More, r.New) for r in t.read().collect()) == [(1, "a", 1, None, None), (2, "b", 2, "x", True)]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        two = spark.createDataFrame([(1, 2)], "a int, A int")
+        with pytest.raises(SchemaConflict, match="case"):
+            store.table("s", "two").append(two)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    features.ensure_features(t, "s.t")
+    t.append(merge.missing_rows(spark.sql("SELECT 3 AS iD, 'c' AS NAME, named_struct('in', 2, 'more', 'x') AS s, true AS nEw"), t.read(), ["Id"]))
+    t.append(spark.sql("SELECT 3 AS id, 'd' AS name"))
+    t.update(F.col("id") == 1, {"name": F.lit("A")})
+    assert dedup.dedup_table(t, "s.t", ["ID"], "NAME")["count_after"] == 3
+    assert sorted((r.Id, r.Name) for r in t.read().collect()) == [(1, "A"), (2, "b"), (3, "c")] and t.read(version=0).columns == ["Id", "Name", "S"]
+
+
+def test_names_with_dots_and_backticks(spark, store):
+    t = store.table("s", "t")
+    rows = [(1, "x", dt.date(2024, 1, 1)), (2, "y", dt.date(2024, 1, 2))]
+    t.append(spark.createDataFrame(rows, "`a.b` int, `c``d` string, `t.t` date"))
+    features.ensure_features(t, "s.t")
+    t.append(spark.createDataFrame(rows[:1] * 3, "`a.b` int, `c``d` string, `t.t` date"))
+    assert t.read(row_id=True).count() == 5
+    assert dedup.dedup_table(t, "s.t", ["a.b", "c`d"], "t.t")["count_after"] == 2
+    t.update(F.col("`a.b`") == 1, {"c`d": F.lit("z")})
+    assert t.read(between={"a.b": (1, 1)}).collect()[0]["c`d"] == "z" and t.changes(0).count() > 0
+    assert merge.process_watermark_table(t.read(), t, "s.t", ["a.b"], "t.t")["count_after"] == 2
+    t.append(spark.createDataFrame([(3, "w", None)], "`a.b` int, `c``d` string, `t.t` date"))
+    assert t.compact() is not None and t.read(row_id=True).count() == 3
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_of_any_year_in_any_zone(spark, store, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for kind in ("date", "timestamp", "timestamp_ntz"):
+            t = store.table("s", f"{kind}{zone[:3]}")
+            texts = ["0001-01-01 00:00:00", "1969-12-31 23:59:59.000001", "2024-03-10 02:30:00", "9999-12-31 23:59:59", "+12000-01-01 01:47:36"]
+            rows = [spark.sql(f"SELECT {i} AS k, CAST('{x[:-9] if kind == 'date' and i != 1 else x[:10] if kind == 'date' else x}' AS {kind}) AS t") for i, x in enumerate(texts)]
+            for i, r in enumerate(rows):
+                assert t.append(r) == i
+                mark = merge.high_water_mark(t, "t")
+                assert mark == merge.high_water_mark(t.read(), "t") and mark.zoned == (kind == "timestamp")
+                assert [x.k for x in merge.incremental_read(t.read(), "t", mark, 0).select("k").collect()] == [i]
+                assert {x.k for x in t.read(between={"t": (mark, None)}).select("k").collect()} == {i}
+            assert len(t.files_between({"t": (Moment.of(dt.datetime(9999, 12, 31)).plus(24 * 365), None)})) == 1
+            report = merge.process_watermark_table(rows[-1].unionByName(rows[-1].withColumn("k", F.lit(9))), t, "s.t", ["k"], "t")
+            assert report["count_after"] == 6
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -54,7 +54,7 @@ def micros(c: Column, kind: T.DataType) -> Column:
     days = F.unix_date(c if isinstance(kind, T.DateType) else c.cast("date")).cast("long") * 86_400_000_000
     if isinstance(kind, T.DateType):
         return days
-    return days + F.hour(c) * F.lit(3_600_000_000) + F.minute(c) * F.lit(60_000_000) + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return days + F.hour(c).cast("long") * 3_600_000_000 + F.minute(c).cast("long") * 60_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
 
 
 @dataclass(frozen=True)

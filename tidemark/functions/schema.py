@@ -37,6 +37,11 @@ def by_name(kind: T.StructType, path: str = "") -> dict[str, T.StructField]:
     return out
 
 
+def field_of(kind: T.StructType, name: str) -> T.StructField:
+    """The field of that name, whatever its case."""
+    return by_name(kind)[name.lower()]
+
+
 def checked(kind: T.DataType, path: str = "") -> None:
     """Raises SchemaConflict if names at any depth differ by case only."""
     if isinstance(kind, T.StructType):

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import Moment, quoted
+from tidemark.functions.schema import field_of
 from tidemark.operators.merge import high_water_mark
 from tidemark.sources.store import ArchiveTable, TableMissing
 
@@ -42,7 +43,7 @@ def check_table(name: str, column: str, source, table: ArchiveTable, threshold_h
             what = "archive is empty" if table.exists() else "no archive"
             return says(OK, f"{what}, source too") if rows.isEmpty() else says(STALE, f"{what}, source has rows")
         after = last.plus(threshold_hours)
-        newer = rows.where(_beyond(column, rows.schema[column].dataType.simpleString(), after))
+        newer = rows.where(_beyond(column, field_of(rows.schema, column).dataType.simpleString(), after))
         return says(OK, f"archive reaches {last}") if newer.isEmpty() else says(STALE, f"archive reaches {last}, source goes beyond {after}")
     except TableMissing as e:
         return says(SKIPPED, f"no source: {e}"[:200])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import Moment, bytes_taken, micros, quoted, same_key
+from tidemark.functions.schema import field_of
 from tidemark.sources.store import ArchiveTable
 
 
@@ -17,7 +18,7 @@ def high_water_mark(archive: DataFrame | ArchiveTable, column: str) -> Moment |
     """The latest time in the archive; null for an empty one. A table's log knows it, rows have to be read."""
     if isinstance(archive, ArchiveTable):
         return archive.latest(column)
-    kind = archive.schema[column].dataType
+    kind = field_of(archive.schema, column).dataType
     most = archive.agg(micros(F.max(quoted(column)), kind)).first()[0]
     return None if most is None else Moment(most, isinstance(kind, T.TimestampType))
 
@@ -30,7 +31,7 @@ def incremental_read(source: DataFrame, column: str, mark: Moment | dt.datetime
     if mark is None:
         return source
     mark = mark if isinstance(mark, Moment) else Moment.of(mark)
-    kind = source.schema[column].dataType.simpleString()
+    kind = field_of(source.schema, column).dataType.simpleString()
     c = F.col(quoted(column))
     return source.where((c.cast("timestamp_ntz") if kind == "date" else c) >= mark.plus(-buffer_hours).column(kind))
 

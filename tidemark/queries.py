@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import survivor_order
+from tidemark.functions.keys import micros, survivor_order
 from tidemark.operators import dedup, features, freshness, merge
 from tidemark.plans.config import EngineConfig
 from tidemark.plans.registry import OVERWRITE, STREAM, WATERMARK, TableSpec, builtin
@@ -276,6 +277,104 @@ def change_feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read().groupBy(F.col("_commit_version").alias("commit_version"), F.col("_change_type").alias("change_type")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("n_nationkey").cast("long")).alias("keys"))
 
 
+@query("SELECT * FROM orders")
+def dedup_few_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row in a thousand comes again, changed: the copies are marked as deleted, and no file is rewritten."""
+    table = new_table(spark, "orders")
+    orders = read(spark, sf_dir, "orders")
+    table.append(orders)
+    features.ensure_features(table, "main.orders")
+    table.append(orders.where("o_orderkey % 1000 = 1").withColumn("o_orderstatus", F.lit("again")))
+    files = table.snapshot().files
+    report = dedup.dedup_table(table, "main.orders", ["o_orderkey"], "o_orderdate")
+    if report["method"] != "marked" or [f.path for f in table.snapshot().files] != [f.path for f in files]:
+        raise RuntimeError(report)
+    return table.read()
+
+
+@query(
+    "SELECT 'insert' AS change_type, 0::BIGINT AS commit_version, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders UNION ALL "
+    "SELECT t, v, count(*), sum(o_orderkey)::BIGINT FROM orders, (VALUES ('insert', 1::BIGINT), ('delete', 2)) c(t, v) WHERE o_orderkey % 1000 = 1 GROUP BY t, v"
+)
+def change_feed_of_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the feed has of such a dedup: each copy's deletion, and nothing of the other rows; a compaction adds nothing."""
+    table = new_table(spark, "orders")
+    orders = read(spark, sf_dir, "orders")
+    table.append(orders)
+    table.append(orders.where("o_orderkey % 1000 = 1"))
+    dedup.dedup_table(table, "main.orders", ["o_orderkey"], "o_orderdate")
+    table.compact()
+    return table.changes(0).groupBy(F.col("_change_type").alias("change_type"), F.col("_commit_version").alias("commit_version")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+BETWEEN = "l_orderkey BETWEEN (SELECT max(l_orderkey) // 2 FROM lineitem) AND (SELECT max(l_orderkey) // 2 + max(l_orderkey) // 50 FROM lineitem)"
+
+
+@query(f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) AS rn FROM lineitem WHERE {BETWEEN}) WHERE rn = 1")
+def clustered_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dedup's rewrite deals rows out by their key; a filter on it opens few of the files."""
+    table = new_table(spark, "lineitem")
+    lines = dedup_tiebreaker(spark, sf_dir)  # one row a key, so that which one stays is no matter of chance
+    table.append(lines.repartitionByRange(32, "l_orderkey", "l_linenumber").sortWithinPartitions("l_orderkey"))
+    middle, step = (table.latest("l_orderkey") // n for n in (2, 50))
+    opened = table.files_between({"l_orderkey": (middle, middle + step)})
+    if len(opened) * 10 > len(table.snapshot().files):
+        raise RuntimeError(f"{len(opened)} files")
+    return table.read(between={"l_orderkey": (middle, middle + step)})
+
+
+@query(
+    "SELECT 'orders' AS of, count(*) AS n FROM orders WHERE o_totalprice BETWEEN 100000 AND 120000 UNION ALL SELECT 'dates', count(*) FROM orders WHERE o_orderdate BETWEEN (SELECT min(o_orderdate) FROM orders) AND (SELECT min(o_orderdate) + INTERVAL 90 DAYS FROM orders) "
+    "UNION ALL SELECT 'customers', count(*) FROM orders WHERE o_custkey <= (SELECT max(o_custkey) // 20 FROM orders)"
+)
+def clustered_on_a_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt out by customer and date: a filter on either leaves out half of the files or more."""
+    table = new_table(spark, "orders")
+    table.append(read(spark, sf_dir, "orders"))
+    table.cluster(["o_custkey", "o_orderdate"], target=max(1, table.detail()["size_in_bytes"] // 32))
+    files = len(table.snapshot().files)
+    customers = {"o_custkey": (None, table.latest("o_custkey") // 20)}
+    first = table.read().agg(F.min("o_orderdate")).first()[0]
+    dates = {"o_orderdate": (first, first + dt.timedelta(days=90))}
+    for between in (customers, dates):
+        if 2 * len(table.files_between(between)) > files:
+            raise RuntimeError(f"{len(table.files_between(between))} of {files} files")
+    counted = lambda name, between: table.read(between=between).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("of"), "n")
+    return counted("orders", {"o_totalprice": (100_000, 120_000)}).unionByName(counted("dates", dates)).unionByName(counted("customers", customers))
+
+
+@query("SELECT * EXCLUDE (rn), rn - 1 AS row_id FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders)")
+def compaction_keeps_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small files become few; every row keeps its id, and the feed has no change."""
+    table = new_table(spark, "orders")
+    table.append(read(spark, sf_dir, "orders").repartitionByRange(24, "o_orderkey").sortWithinPartitions("o_orderkey"))
+    features.ensure_features(table, "main.orders")
+    many = len(table.snapshot().files)
+    version = table.compact()
+    if not len(table.snapshot().files) * 4 < many or not table.changes(version).isEmpty():
+        raise RuntimeError(table.detail())
+    return table.read(row_id=True).withColumnRenamed(ROW_ID, "row_id")
+
+
+@query(
+    "SELECT event_id, epoch_us(CASE WHEN event_id % 2 = 0 THEN ts ELSE ts + INTERVAL 9000 YEARS END) AS micros, props, CASE WHEN event_id % 2 = 0 THEN NULL ELSE user_id END AS added FROM events "
+    "WHERE event_id % 2 = 0 OR event_id % 3 > 0"
+)
+def append_odd_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with dots, backticks and other case, and times beyond the year 9999: append, mark, merge, dedup, read with ids."""
+    table = new_table(spark, "events")
+    events = read(spark, sf_dir, "events")
+    even = events.where("event_id % 2 = 0").select("event_id", F.col("ts").alias("the.time"), F.col("props").alias("Props"))
+    table.append(even)
+    features.ensure_features(table, "main.events")
+    later = events.where("event_id % 2 = 1 AND event_id % 3 > 0").select("event_id", F.expr("ts + INTERVAL 9000 YEARS").alias("THE.TIME"), F.col("props").alias("props"), F.col("user_id").alias("a`b"))
+    merge.process_watermark_table(later, table, "main.events", ["event_id"], "the.time")
+    table.append(even.where("event_id % 100 = 0"))
+    dedup.dedup_table(table, "main.events", ["event_id"], "the.time")
+    rows = table.read(row_id=True)
+    return rows.select("event_id", micros(F.col("`the.time`"), rows.schema["the.time"].dataType).alias("micros"), F.col("Props").alias("props"), F.col("`a``b`").alias("added"))
+
+
 @query("SELECT count(*) AS total_rows, count(*) AS row_ids, 0::BIGINT AS files_changed FROM lineitem")
 def row_id_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row tracking turned on later: every row has an id of its own and no file has changed."""

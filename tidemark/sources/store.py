@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import TIMES, Moment, comparable, has_map, micros, quoted
-from tidemark.functions.schema import by_name, checked, evolve, nullable
+from tidemark.functions.schema import by_name, checked, evolve, field_of, nullable
 from tidemark.sources.files import Files
 
 ROW_ID = "_row_id"
@@ -142,6 +142,18 @@ def may_hold(f: DataFile, kind: T.DataType, column: str, low: Any, high: Any) ->
     return (low is None or _comparable(most, kind) >= low) and (high is None or _comparable(least, kind) <= high)
 
 
+def _range_of(value: Column, ends: list[float]) -> Column:
+    """How many of the ascending ``ends`` are at most the value, by halving; null for null."""
+
+    def place(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(value >= ends[mid], place(mid + 1, high)).otherwise(place(low, mid))
+
+    return F.when(value.isNotNull(), place(0, len(ends)))
+
+
 def _checked(schema: T.StructType) -> T.StructType:
     """The schema as a table has it: nullable, and with names that can be told apart."""
     checked(schema)
@@ -270,8 +282,8 @@ class ArchiveTable:
     def files_between(self, between: dict[str, tuple[Any, Any]], version: int | None = None) -> list[DataFile]:
         """The files that can have rows within the bounds of every column: {column: (low, high)}, None for no bound, both included."""
         s = self.snapshot(version)
-        kinds = {f.name: f.dataType for f in s.schema.fields}
-        return [f for f in s.files if all(may_hold(f, kinds[c], c, low, high) for c, (low, high) in between.items())]
+        asked = [(field_of(s.schema, c), low, high) for c, (low, high) in between.items()]
+        return [f for f in s.files if all(may_hold(f, c.dataType, c.name, low, high) for c, low, high in asked)]
 
     def read(self, version: int | None = None, row_id: bool = False, between: dict[str, tuple[Any, Any]] | None = None) -> DataFrame:
         """The rows of a version, the last one by default; with row_id, each row's id in the column _row_id.
@@ -283,7 +295,7 @@ class ArchiveTable:
             return self._scan(s.files, s.schema, row_id)
         rows = self._scan(self.files_between(between, s.version), s.schema, row_id)
         for column, ends in between.items():
-            c, kind = F.col(quoted(column)), s.schema[column].dataType
+            c, kind = F.col(quoted(column)), field_of(s.schema, column).dataType
             rows = rows.where(c.isNotNull())
             for end, fits in zip(ends, (lambda x: c >= x, lambda x: c <= x)):  # noqa: B023
                 if end is not None:
@@ -306,7 +318,7 @@ class ArchiveTable:
 
         Files that don't have it in the log, or have deleted rows, are read for it."""
         s = self.snapshot()
-        kind = s.schema[column].dataType
+        column, kind = field_of(s.schema, column).name, field_of(s.schema, column).dataType
         if not isinstance(kind, TIMES):
             return self._scan(s.files, s.schema).agg(F.max(quoted(column))).first()[0]
         told = [f for f in s.files if column in f.bounds and not f.deletes]
@@ -416,7 +428,8 @@ class ArchiveTable:
             return None
         kept = self._scan(old, base.schema, row_id=True)
         for name, value in values.items():
-            kept = kept.withColumn(name, F.when(condition, value).otherwise(F.col(quoted(name))).cast(base.schema[name].dataType))
+            own = field_of(base.schema, name)
+            kept = kept.withColumn(own.name, F.when(condition, value).otherwise(F.col(quoted(own.name))).cast(own.dataType))
         return self._rewrite(base, "update", old, kept)
 
     def delete_rows(self, places: DataFrame, operation: str = "delete", base: Snapshot | None = None, check: Callable[[DataFrame], None] | None = None) -> int | None:
@@ -461,6 +474,34 @@ class ArchiveTable:
         packed = rows.repartitionById(len(bins), F.col(_BIN)).sortWithinPartitions(ROW_ID).select(*_columns(base.schema), ROW_ID)
         return self._rewrite(base, "compact", old, packed)
 
+    def cluster(self, columns: list[str], target: int = 128 << 20, bits: int = 6) -> int | None:
+        """Deals rows out so that those which are near each other in all of some columns (numbers, days, times) share files of
+        about ``target`` bytes: a filter on any one of them skips files then. Rows and ids stay, and it is no change in the feed.
+
+        Only files that haven't been dealt out by these columns yet are rewritten; None if there are none. Rows go by ranges of a
+        Z-order curve over the columns' quantiles, 2 ** bits of each (which is what the driver gets); nulls come first."""
+        base = self.snapshot()
+        tag = ",".join(columns)
+        old = [f for f in base.files if f.clustered != tag or f.deletes]
+        if not old:
+            return None
+        rows = self._scan(old, base.schema, row_id=True)
+        places = []
+        for name in columns:
+            kind, c = field_of(base.schema, name).dataType, F.col(quoted(name))
+            if not isinstance(kind, (T.NumericType, *TIMES)):
+                raise ValueError(f"{name}: rows can't be dealt out by a {kind.simpleString()}")
+            value = (micros(c, kind) if isinstance(kind, TIMES) else c).cast("double")
+            ends = rows.select(value.alias("v")).approxQuantile("v", [i / 2**bits for i in range(1, 2**bits)], 0.5 / 2**bits)
+            places.append(F.coalesce(_range_of(value, sorted(set(ends))), F.lit(0)))
+        curve = F.lit(0).cast("long")
+        for b in range(bits):
+            for i, p in enumerate(places):
+                curve = curve.bitwiseOR(F.shiftleft(F.shiftright(p, b).bitwiseAND(F.lit(1)).cast("long"), b * len(places) + i))
+        files = max(1, -(-sum(f.bytes for f in old) // target))
+        dealt = rows.withColumn(_BIN, curve).repartitionByRange(files, _BIN, ROW_ID).sortWithinPartitions(_BIN, *map(quoted, columns)).drop(_BIN)
+        return self._rewrite(base, "cluster", old, dealt, tag)
+
     def set_properties(self, properties: dict[str, str]) -> int:
         """A commit of the log alone."""
         base = self.snapshot()
