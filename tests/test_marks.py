@@ -90,13 +90,73 @@ def test_a_failed_append_leaves_no_files(spark, store, monkeypatch):
         t.append(df.withColumn("k", F.expr("CAST(k div (k - 7) AS long)")))
     late = ArchiveTable(spark, t.path)
     base = late.snapshot()
-    t.set_properties({"p": "1"})
-    monkeypatch.setattr(late, "snapshot", lambda version=None: base)  # what it has read before
+    t.update(F.col("k") >= 0, {"v": F.lit("edited")})
+    folders = set(t.disk.names(f"{t.path}/data"))
+    late.snapshot = lambda version=None, now=iter([base, t.snapshot()]): next(now)  # what it has read before, then what there is
     with pytest.raises(ConcurrentCommit):
-        late.append(df)
+        late.compact()
     assert set(t.disk.names(f"{t.path}/data")) == folders and t.read().count() == 2010
 
 
+def behind(t, calls=1):
+    """Another writer's table that still has the version of now when it reads it for the first time."""
+    late = ArchiveTable(t.spark, t.path)
+    held, real = [late.snapshot()] * calls, late.snapshot
+    late.snapshot = lambda version=None: held.pop() if held and version is None else real(version)
+    return late
+
+
+def test_writers_that_do_not_meet_commit_over_each_other(spark, store):
+    t, df = copies(spark, store)
+    one = behind(t)
+    t.append(df.limit(0).withColumn("new", F.lit(1)))
+    one.append(spark.range(5000, 5010).select(F.col("id").alias("k"), F.lit(True).alias("other")))
+    assert t.read().columns == ["k", "t", "v", "new", "other"] and t.read().count() == 2020
+    ids = t.read(row_id=True)
+    assert ids.select(ROW_ID).distinct().count() == 2020
+    assert dedup.dedup_table(behind(t), "s.t", ["k"], "t")["method"] == "marked"
+    assert t.read().count() == 2010
+    late = ArchiveTable(spark, t.path)
+    base = late.snapshot()
+    t.append(df.limit(3))
+    late.delete_rows(late.scan(base).where("k = 7").select(S.FILE, S.PLACE), base=base)  # marks over an append
+    assert t.read().where("k = 7").count() == 0 and t.read().count() == 2012
+    late = behind(t)
+    t.append(spark.range(6000, 6001).toDF("k"))
+    before = told(t.read(row_id=True))
+    late.compact()
+    assert told(t.read(row_id=True)) == before
+    late = behind(t)
+    t.append(spark.range(7000, 7001).toDF("k"))  # comes while a table of many copies is rewritten
+    late.overwrite(late.read(late.version() - 1).dropDuplicates(["k"]), schema_mode="merge", operation="dedup")
+    ids = t.read(row_id=True)
+    assert ids.count() == ids.select("k").distinct().count() == ids.select(ROW_ID).distinct().count() == 2011
+
+
+def test_a_transaction_that_another_writer_has_committed_leaves_nothing(spark, store):
+    t = store.table("s", "t")
+    t.append(spark.range(3), transaction=("flow", 1))
+    late = behind(t)
+    t.append(spark.range(2), transaction=("flow", 2))
+    folders = set(t.disk.names(f"{t.path}/data"))
+    assert late.append(spark.range(2), transaction=("flow", 2)) is None
+    assert t.read().count() == 5 and set(t.disk.names(f"{t.path}/data")) == folders
+
+
+def test_writers_that_meet_do_not(spark, store):
+    t, df = copies(spark, store)
+    for work in (lambda x: x.compact(), lambda x: x.update(F.col("k") == 1, {"v": F.lit("late")}), lambda x: x.overwrite(df), lambda x: x.cluster(["k"])):
+        late = behind(t)
+        t.update(F.col("k") >= 0, {"v": F.concat("v", F.lit("!"))})
+        with pytest.raises(ConcurrentCommit):
+            work(late)
+    late = behind(t)
+    t.append(df.limit(1))
+    with pytest.raises(ConcurrentCommit):  # an overwrite means all rows there are
+        late.overwrite(df)
+    assert t.read().count() == 2011
+
+
 BOUNDED_ROWS = "i byte, n int, b long, m decimal(20,3), d date, ts timestamp, ntz timestamp_ntz, s string, x double, late date"
 
 
@@ -252,3 +312,39 @@ def test_times_of_any_year_in_any_zone(spark, store, zone):
             assert report["count_after"] == 6
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_check_reads_what_has_come_since_the_last(spark, store):
+    t = store.table("s", "t")
+    t.append(spark.range(100_000, numPartitions=20).select(F.col("id").alias("k"), F.lit("x").alias("l"), F.lit(0).alias("t")))
+    first = dedup.dedup_table(t, "s.t", ["k", "l"], "t")
+    again = dedup.dedup_table(t, "s.t", ["k", "l"], "t")
+    assert (first["status"], first["files_checked"], again["status"], again["files_checked"]) == ("clean", 20, "clean", 0)
+    t.append(spark.range(99_000, 100_500, numPartitions=1).select(F.col("id").alias("k"), F.lit("x").alias("l"), F.lit(1).alias("t")))
+    report = dedup.dedup_table(t, "s.t", ["k", "l"], "t")  # the new file, and the one that has keys like its own
+    assert (report["method"], report["duplicates_removed"], report["files_checked"]) == ("marked", 1000, 2)
+    assert t.read().count() == 100_500 and t.read().where("t = 1").count() == 1500  # the latest stay
+    t.compact()
+    assert dedup.dedup_table(t, "s.t", ["k", "l"], "t")["status"] == "clean"  # all files are new
+    t.append(spark.createDataFrame([(None, "x", 0), (None, "x", 1), (5, None, 1), (5, None, 2)], "k long, l string, t int").coalesce(1))
+    report = dedup.dedup_table(t, "s.t", ["k", "l"], "t")
+    assert report["duplicates_removed"] == 2 and t.read().where("k IS NULL OR l IS NULL").count() == 2
+    t.append(spark.createDataFrame([(None, "x", 3), (7, "x", 3)], "k long, l string, t int").coalesce(1))
+    assert dedup.dedup_table(t, "s.t", ["k", "l"], "t")["duplicates_removed"] == 2 and t.read().count() == 100_502
+    t.update(F.col("k") == 8, {"k": F.lit(9).cast("long")})
+    assert dedup.dedup_table(t, "s.t", ["k", "l"], "t")["duplicates_removed"] == 1
+    assert dedup.dedup_table(t, "s.t", ["k"], "t")["duplicates_removed"] == 1  # another key is another check: 5 has two rows
+
+
+def test_orphans_go_and_all_versions_stay(spark, store):
+    t, df = copies(spark, store)
+    dedup.dedup_table(t, "s.t", ["k"], "t")
+    t.compact()
+    t.delete_rows(t.scan(t.snapshot()).where("k = 1").select(S.FILE, S.PLACE))
+    versions = [told(t.read(version=v)) for v in range(t.version() + 1)]
+    df.coalesce(1).write.parquet(f"{t.path}/data/0123")  # what a writer that was killed has left
+    df.limit(1).write.parquet(f"{t.path}/deletes/0123")
+    assert t.sweep() == 0  # not yet
+    assert t.sweep(retention_hours=0) == 2 and t.sweep(retention_hours=0) == 0
+    assert [told(t.read(version=v)) for v in range(t.version() + 1)] == versions
+    assert store.table("s", "none").sweep(0) == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 import uuid
 
@@ -59,6 +61,7 @@ def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str
     nothing is written. deduped: in one commit, after the outcome
     has been verified; if that fails the table stays as it was and the error is raised.
 
+    A version that was found or made unique is noted beside the log; the next check compares what has come since.
     Few duplicates (one row in FEW or fewer, and no more than scans can leave out without a shuffle) are ``marked``: only the
     rows of their keys are compared, and the commit names those that go. With more of them the table is ``rewritten``.
     """
@@ -67,10 +70,13 @@ def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str
         return {"table": name, "status": "skipped", "reason": "no table"}
     snapshot = table.snapshot()
     tracked = row_tracking_enabled(snapshot.properties)
-    report = {"table": name, "ordering": "row_id" if tracked else "tiebreaker", "count_before": snapshot.rows}
-    groups = duplicate_groups(table.read(snapshot.version), keys)
-    found = groups.agg(F.max("copies").alias("most"), F.sum(F.col("copies") - 1).alias("gone"), F.count(F.lit(1)).alias("keys")).first()
+    note = "unique-" + hashlib.sha256(json.dumps(keys).encode()).hexdigest()[:16]
+    rows, checked = _to_check(table, snapshot, keys, (table.noted(note) or {}).get("version"))
+    report = {"table": name, "ordering": "row_id" if tracked else "tiebreaker", "count_before": snapshot.rows, "files_checked": checked}
+    groups = duplicate_groups(rows, keys)
+    found = groups.agg(F.max("copies").alias("most"), F.sum(F.col("copies") - 1).alias("gone")).first()
     if found.most is None:
+        table.note(note, {"keys": keys, "version": snapshot.version})
         return report | {"status": "clean", "count_after": snapshot.rows, "duplicates_removed": 0, "elapsed_s": time.monotonic() - began}
     order = survivor_order(tiebreaker, ROW_ID if tracked else None, newest_version_wins)
     few = found.gone * FEW <= snapshot.rows and sum(f.deleted for f in snapshot.files) + found.gone <= MOST_SENT
@@ -79,10 +85,32 @@ def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str
         after = snapshot.rows - found.gone
     else:
         after = _rewritten(table, snapshot, name, keys, order, tracked, found.most)
+    if table.version() == snapshot.version + 1:  # nobody else has committed meanwhile
+        table.note(note, {"keys": keys, "version": snapshot.version + 1})
     done = {"status": "deduped", "method": "marked" if few else "rewritten", "count_after": after, "duplicates_removed": snapshot.rows - after}
     return report | done | {"elapsed_s": time.monotonic() - began}
 
 
+def _to_check(table: ArchiveTable, snapshot: Snapshot, keys: list[str], unique: int | None) -> tuple[DataFrame, int]:
+    """(rows among which all duplicates are, of how many files): all rows, or, where a version is known to be ``unique``, those of
+    files that have come since, and of the others the rows whose key is among theirs.
+
+    The new rows' keys (up to 32 MB, as a checked size) go to the others where these are, so nothing of the archive is shuffled,
+    and files whose bounds are away from the new files' aren't opened."""
+    before = {f.path for f in table.snapshot(unique).files} if unique is not None and unique <= snapshot.version else set()
+    new = [f for f in snapshot.files if f.path not in before]
+    if 4 * sum(f.rows for f in new) > snapshot.rows:
+        return table.read(snapshot.version), len(snapshot.files)
+    names = [quoted(k) for k in keys]
+    rows = table.rows_of(new, snapshot.version).select(*names)
+    wanted = rows.distinct()
+    if bytes_taken(wanted) > 32 << 20:
+        return table.read(snapshot.version), len(snapshot.files)
+    old = table.files_near([f for f in snapshot.files if f.path in before], new, keys, snapshot.version) if new else []
+    held = table.rows_of(old, snapshot.version).select(*names).alias("r").join(F.broadcast(wanted.alias("g")), same_key("r", "g", keys), "left_semi")
+    return rows.unionAll(held), len(new) + len(old)
+
+
 def _of_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of some keys, looked at where they are: the keys go to them if they take no more than 32 MB, as a checked size."""
     listed = groups.select(*map(quoted, keys))

@@ -343,6 +343,69 @@ def clustered_on_a_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted("orders", {"o_totalprice": (100_000, 120_000)}).unionByName(counted("dates", dates)).unionByName(counted("customers", customers))
 
 
+@query(
+    "SELECT * FROM (VALUES ('first', 'clean', 0::BIGINT, true), ('again', 'clean', 0, false), ('more', 'deduped', (SELECT count(*) FROM events WHERE event_id % 100 = 0 AND event_id > (SELECT max(event_id) * 9 // 10 FROM events)), true)) "
+    "c(run, status, duplicates_removed, reads) UNION ALL SELECT 'left', 'rows', count(*), true FROM events"
+)
+def dedup_incremental_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A check after a check reads nothing, one after an append the new rows and the files that can have their keys."""
+    table = new_table(spark, "events")
+    events = read(spark, sf_dir, "events")
+    table.append(events.repartitionByRange(20, "event_id"))
+    reports = [dedup.dedup_table(table, "main.events", ["event_id"], "ts") for _ in range(2)]
+    late = events.agg(F.max("event_id")).first()[0] * 9 // 10
+    table.append(events.where(f"event_id % 100 = 0 AND event_id > {late}").coalesce(1))
+    reports.append(dedup.dedup_table(table, "main.events", ["event_id"], "ts"))
+    if reports[2]["files_checked"] * 4 > len(table.snapshot().files):
+        raise RuntimeError(reports[2])
+    rows = [(run, r["status"], r["duplicates_removed"], r["files_checked"] > 0) for run, r in zip(("first", "again", "more"), reports)]
+    told = spark.createDataFrame(rows, "run string, status string, duplicates_removed long, reads boolean")
+    return told.unionByName(table.read().select(F.lit("left").alias("run"), F.lit("rows").alias("status"), F.lit(1).alias("n")).groupBy("run", "status").agg(F.count("n").alias("duplicates_removed")).withColumn("reads", F.lit(True)))
+
+
+@query("SELECT *, 'committed' AS late_append, 'rejected' AS late_compaction FROM lineitem")
+def interleaved_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends to the same version both stand, with ids of their own; a compaction of files that an update has replaced fails."""
+    first = new_table(spark, "lineitem")
+    lines = read(spark, sf_dir, "lineitem")
+    first.append(lines.where("l_linenumber = 1"))
+
+    def behind() -> ArchiveTable:
+        """A writer that has read the version of now, whatever comes until it commits."""
+        late = ArchiveTable(spark, first.path)
+        held, newest = [late.snapshot()], late.snapshot
+        late.snapshot = lambda version=None: held.pop() if held and version is None else newest(version)
+        return late
+
+    late = behind()
+    first.append(lines.where("l_linenumber = 2"))
+    late.append(lines.where("l_linenumber > 2"))
+    late = behind()
+    first.update(F.col("l_linenumber") == 1, {"l_quantity": F.col("l_quantity")})
+    try:
+        late.compact()
+        outcome = "committed"
+    except ConcurrentCommit:
+        outcome = "rejected"
+    rows = first.read(row_id=True)
+    if rows.select(ROW_ID).distinct().count() != rows.count():
+        raise RuntimeError("ids")
+    return rows.drop(ROW_ID).select("*", F.lit("committed").alias("late_append"), F.lit(outcome).alias("late_compaction"))
+
+
+@query("SELECT version, rows, swept FROM (VALUES (0::BIGINT, (SELECT count(*) FROM supplier), 1::BIGINT), (1, (SELECT count(*) FROM supplier WHERE s_suppkey > 5), 1)) v(version, rows, swept)")
+def orphan_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a killed writer has left goes; every version of the table can still be read."""
+    table = new_table(spark, "supplier")
+    supplier = read(spark, sf_dir, "supplier")
+    table.append(supplier)
+    table.overwrite(supplier.where("s_suppkey > 5"))
+    supplier.coalesce(1).write.parquet(f"{table.path}/data/left")
+    swept = table.sweep(retention_hours=0)
+    counted = [table.read(version=v).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(v).cast("long").alias("version"), "rows", F.lit(swept).cast("long").alias("swept")) for v in (0, 1)]
+    return counted[0].unionByName(counted[1])
+
+
 @query("SELECT * EXCLUDE (rn), rn - 1 AS row_id FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders)")
 def compaction_keeps_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files become few; every row keeps its id, and the feed has no change."""

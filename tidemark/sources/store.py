@@ -66,7 +66,7 @@ class DataFile:
     rows: int  # with the deleted ones
     bytes: int
     first_id: int
-    #: By column: the least and the greatest value (see ``bounds``), null if there is none.
+    #: By column: the least and the greatest value (see ``bounds``), null if there is none, and the number of nulls.
     bounds: dict[str, list] = field(default_factory=dict)
     #: Folders that name deleted rows of this file, and how many they are.
     deletes: tuple[str, ...] = ()
@@ -135,7 +135,7 @@ def may_hold(f: DataFile, kind: T.DataType, column: str, low: Any, high: Any) ->
     """Whether a file can have rows with low <= column <= high (None: no bound)."""
     if column not in f.bounds:
         return True
-    least, most = f.bounds[column]
+    least, most, _ = f.bounds[column]
     if least is None:
         return False
     low, high = (None if v is None else _comparable(v, kind) for v in (low, high))
@@ -275,6 +275,21 @@ class ArchiveTable:
         names = self.spark.createDataFrame([(f.name,) for f in files], f"{_OF} string")
         return named.join(self._sent(names, len(files)), F.col(_IN) == F.col(_OF), "left_semi")
 
+    def rows_of(self, files: Iterable[DataFile], version: int | None = None) -> DataFrame:
+        """The rows of some files of a version."""
+        return self._scan(files, self.snapshot(version).schema)
+
+    def files_near(self, files: Iterable[DataFile], others: Iterable[DataFile], columns: list[str], version: int | None = None) -> list[DataFile]:
+        """Those of ``files`` that can have a row whose columns all equal those of a row of the others, by the log's bounds."""
+        schema, files, others = self.snapshot(version).schema, list(files), list(others)
+        for f in (field_of(schema, c) for c in columns):
+            told = [o.bounds.get(f.name) for o in others]
+            if all(t is not None and t[0] is not None and not t[2] for t in told) and told:  # a null equals nulls, which have no bounds
+                as_key = lambda v: _comparable(v, f.dataType)  # noqa: B023, E731
+                low, high = min((t[0] for t in told), key=as_key), max((t[1] for t in told), key=as_key)
+                files = [x for x in files if may_hold(x, f.dataType, f.name, low, high)]
+        return files
+
     def scan(self, snapshot: Snapshot, row_id: bool = False) -> DataFrame:
         """A snapshot's rows with the columns FILE and PLACE, which ``delete_rows`` takes."""
         return self._scan(snapshot.files, snapshot.schema, row_id, places=True)
@@ -336,13 +351,13 @@ class ArchiveTable:
         files, cores = df.inputFiles(), self.spark.sparkContext.defaultParallelism
         return df.repartition(cores) if 0 < len(files) < cores and least <= sum(map(self.disk.size, files)) <= most else df
 
-    def _write(self, df: DataFrame, next_id: int, clustered: str = "") -> list[DataFile]:
-        """Writes immutable files, and notes their rows and bounds; the files stay where and as Spark has put them."""
+    def _write(self, df: DataFrame, clustered: str = "") -> list[DataFile]:
+        """Writes immutable files, and notes their rows and bounds; the files stay where and as Spark has put them. Their rows have no ids yet."""
         folder = f"data/{uuid.uuid4().hex}"
         try:
             df.write.parquet(f"{self.path}/{folder}")
             listed = bounded(df.schema)
-            ends = [e.alias(f"_{side}{i}") for i, f in enumerate(listed) for side, e in zip(("low", "high"), bounds(f))]
+            ends = [e.alias(f"_{side}{i}") for i, f in enumerate(listed) for side, e in zip(("low", "high", "held"), (*bounds(f), F.count(quoted(f.name))))]
             own = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}")
             told = {r["_name"]: r for r in own.groupBy(F.col("_metadata.file_name").alias("_name")).agg(F.count(F.lit(1)).alias("_rows"), *ends).collect()}  # a row per file of this commit
             sizes = self.disk.names(f"{self.path}/{folder}")
@@ -352,22 +367,45 @@ class ArchiveTable:
         files = []
         for name in sorted(told):
             r = told[name]
-            ends_of = {f.name: [r[f"_low{i}"], r[f"_high{i}"]] for i, f in enumerate(listed)}
-            files.append(DataFile(f"{folder}/{name}", r["_rows"], sizes[name], next_id, ends_of, clustered=clustered))
-            next_id += r["_rows"]
+            ends_of = {f.name: [r[f"_low{i}"], r[f"_high{i}"], r["_rows"] - r[f"_held{i}"]] for i, f in enumerate(listed)}
+            files.append(DataFile(f"{folder}/{name}", r["_rows"], sizes[name], -1, ends_of, clustered=clustered))
         return files
 
-    def _unless_it_fails(self, files: list[DataFile], commit: Callable[[], int]) -> int:
-        """commit(); if another writer was first, or a check fails, the files go."""
+    def _settle(self, base: Snapshot | None, commit: Callable[[Snapshot | None], int | None], touched: Iterable[DataFile] = (), folders: Iterable[str] = (), alone: bool = False) -> int | None:
+        """commit(base); where others have committed meanwhile, commit(their last version), if what they did doesn't meet this.
+
+        It doesn't if the files that this commit removes, or names deleted rows of, are as they were (and no ``alone`` says that
+        any commit matters): what was appended or deleted elsewhere stays. Else, and if anything fails, ConcurrentCommit or
+        what has failed is raised, and this writer's own folders go."""
+        touched = list(touched)
         try:
-            return commit()
+            while True:
+                try:
+                    return commit(base)
+                except ConcurrentCommit:
+                    now = self.snapshot()
+                    held = {f.path: f for f in now.files}
+                    if alone or now.version <= (base.version if base else -1) or any(held.get(f.path) != f for f in touched):
+                        raise
+                    base = now
         except Exception:
-            mine = {f.path.rpartition("/")[0] for f in files}
-            if self._seen is None or not any(f.path.rpartition("/")[0] in mine for f in self._seen.files):  # not committed
-                for folder in mine:
-                    self.disk.remove(f"{self.path}/{folder}")
+            for folder in folders:
+                self.disk.remove(f"{self.path}/{folder}")
             raise
 
+    @staticmethod
+    def _folders(files: Iterable[DataFile]) -> set[str]:
+        return {f.path.rpartition("/")[0] for f in files}
+
+    @staticmethod
+    def _numbered(files: list[DataFile], first: int) -> tuple[list[DataFile], int]:
+        """The files with their rows' ids from ``first`` on, and the next id."""
+        out = []
+        for f in files:
+            out.append(replace(f, first_id=first))
+            first += f.rows
+        return out, first
+
     def create(self, schema: T.StructType, properties: dict[str, str] | None = None) -> int:
         return self._commit(None, "create", _checked(schema), properties=properties or {})
 
@@ -382,10 +420,18 @@ class ArchiveTable:
         if base and transaction and base.transactions.get(transaction[0], -1) >= transaction[1]:
             return None
         own = _checked(df.schema)
-        schema = evolve(base.schema, own) if base else own
-        files = self._write(self._dealt_out(self._spelt(df, schema)), base.next_id if base else 0)
-        ends = [f.first_id + f.rows for f in files]
-        return self._unless_it_fails(files, lambda: self._commit(base, "append", schema, files, next_id=max([base.next_id if base else 0, *ends]), transaction=transaction))
+        written = self._write(self._dealt_out(self._spelt(df, evolve(base.schema, own) if base else own)))
+        folders = self._folders(written)
+
+        def commit(base: Snapshot | None) -> int | None:
+            if base and transaction and base.transactions.get(transaction[0], -1) >= transaction[1]:
+                for folder in folders:  # the same rows have come by another way meanwhile
+                    self.disk.remove(f"{self.path}/{folder}")
+                return None
+            files, next_id = self._numbered(written, base.next_id if base else 0)
+            return self._commit(base, "append", evolve(base.schema, own) if base else own, files, next_id=next_id, transaction=transaction)
+
+        return self._settle(base, commit, folders=folders)
 
     def _spelt(self, df: DataFrame, schema: T.StructType) -> DataFrame:
         """df with the schema's names; those of nested fields are matched without case by readers."""
@@ -403,21 +449,27 @@ class ArchiveTable:
         base = self.snapshot() if self.exists() else None
         own = _checked(df.schema)
         schema = evolve(base.schema, own) if base and schema_mode == "merge" else own
-        start = base.next_id if base else 0
-        files = self._write(self._spelt(df, schema), start)
+        written = self._write(self._spelt(df, schema))
+        old = base.files if base else ()
+
+        def commit(base: Snapshot | None) -> int:
+            now = evolve(base.schema, own) if base and schema_mode == "merge" else own
+            files, next_id = self._numbered(written, base.next_id if base else 0)
+            return self._commit(base, operation, now, files, [f.path for f in old], next_id=next_id)
 
-        def commit() -> int:
+        def checked_commit(base: Snapshot | None) -> int:
+            nonlocal check
             if check:
-                check(self._scan(files, schema))
-            ends = [f.first_id + f.rows for f in files]
-            return self._commit(base, operation, schema, files, [f.path for f in base.files] if base else [], next_id=max([start, *ends]))
+                check(self._scan(written, schema))
+                check = None
+            return commit(base)
 
-        return self._unless_it_fails(files, commit)
+        return self._settle(base, checked_commit, old, self._folders(written), alone=operation == "overwrite")
 
     def _rewrite(self, base: Snapshot, operation: str, old: list[DataFile], rows: DataFrame, clustered: str = "") -> int:
         """Puts ``rows``, which have their ids in _row_id, in the place of the old files."""
-        files = [replace(f, first_id=-1) for f in self._write(rows.withColumnRenamed(ROW_ID, _STORED_ID), base.next_id, clustered)]
-        return self._unless_it_fails(files, lambda: self._commit(base, operation, base.schema, files, [f.path for f in old], next_id=base.next_id + sum(f.rows for f in files)))
+        files = [replace(f, first_id=-1) for f in self._write(rows.withColumnRenamed(ROW_ID, _STORED_ID), clustered)]
+        return self._settle(base, lambda now: self._commit(now, operation, now.schema, files, [f.path for f in old], next_id=now.next_id), old, self._folders(files))
 
     def update(self, condition: Column, values: dict[str, Column]) -> int | None:
         """Sets columns where the condition holds, by rewriting the files with such rows; ids stay. None if no row matches."""
@@ -441,17 +493,18 @@ class ArchiveTable:
             places.select(F.col(FILE).alias("file"), F.col(PLACE).alias("place")).repartitionByRange("file").sortWithinPartitions("file", "place").write.parquet(f"{self.path}/{folder}")
             named = self.spark.read.schema("file string, place long").parquet(f"{self.path}/{folder}")
             told = {r["file"]: r["count"] for r in named.groupBy("file").count().collect()}  # a row per file with deleted rows
-            delete = [{"path": f.path, "deletes": folder, "rows": told[f.name]} for f in base.files if f.name in told]
+            hit = [f for f in base.files if f.name in told]
+            delete = [{"path": f.path, "deletes": folder, "rows": told[f.name]} for f in hit]
             if check and delete:
                 left = self._apply(base, {"version": base.version + 1, "schema": base.schema.jsonValue(), "add": [], "remove": [], "delete": delete, "properties": {}, "next_id": 0, "transaction": None})
                 check(self._scan(left.files, left.schema))
-            version = self._commit(base, operation, base.schema, next_id=base.next_id, delete=delete) if delete else None
         except Exception:
             self.disk.remove(f"{self.path}/{folder}")
             raise
-        if version is None:
+        if not delete:
             self.disk.remove(f"{self.path}/{folder}")
-        return version
+            return None
+        return self._settle(base, lambda now: self._commit(now, operation, now.schema, next_id=now.next_id, delete=delete), hit, [folder])
 
     def compact(self, target: int = 128 << 20) -> int | None:
         """Puts small files (of less than half of ``target`` bytes), and those with deleted rows, together into files of about
@@ -502,6 +555,34 @@ class ArchiveTable:
         dealt = rows.withColumn(_BIN, curve).repartitionByRange(files, _BIN, ROW_ID).sortWithinPartitions(_BIN, *map(quoted, columns)).drop(_BIN)
         return self._rewrite(base, "cluster", old, dealt, tag)
 
+    def note(self, name: str, value: dict) -> None:
+        """Keeps something small beside the log, in place of what was there by that name."""
+        self.disk.make(f"{self.path}/_notes")
+        self.disk.write(f"{self.path}/_notes/{name}.json", json.dumps(value))
+
+    def noted(self, name: str) -> dict | None:
+        path = f"{self.path}/_notes/{name}.json"
+        return json.loads(self.disk.read(path)) if self.disk.exists(path) else None
+
+    def sweep(self, retention_hours: int = 168) -> int:
+        """Deletes files that no commit names, which failed writers have left, if they are older than the retention (running
+        writers' aren't); returns how many. What any version has stays. The folder's listing and the log are read and compared
+        by Spark; the names of what goes come to the driver one after the other."""
+        folders = [f"{self.path}/{d}" for d in ("data", "deletes") if self.disk.exists(f"{self.path}/{d}")]
+        if not folders:
+            return 0
+        there = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folders)
+        parts = F.split("path", "/")
+        there = there.where(F.unix_micros("modificationTime") < F.unix_micros(F.current_timestamp()) - F.lit(retention_hours * 3_600_000_000))
+        there = there.select(F.array_join(F.slice(parts, -3, 3), "/").alias("file"), F.array_join(F.slice(parts, -3, 2), "/").alias("folder"))
+        log = self.spark.read.schema("add array<struct<path:string>>, delete array<struct<deletes:string>>").json(f"{self.path}/_log/*.json")
+        files, deletes = log.select(F.explode("add.path").alias("file")), log.select(F.explode("delete.deletes").alias("folder")).distinct()
+        gone = 0
+        for r in there.join(files, "file", "left_anti").join(deletes, "folder", "left_anti").toLocalIterator():
+            self.disk.remove(f"{self.path}/{r.file}")
+            gone += 1
+        return gone
+
     def set_properties(self, properties: dict[str, str]) -> int:
         """A commit of the log alone."""
         base = self.snapshot()
