@@ -20,13 +20,15 @@ def parse_excludes(text: str | None) -> frozenset[str]:
 
 @dataclass(frozen=True)
 class EngineConfig:
-    """root: where archive tables stand. tables_to_process: "all", or full names with prefix, comma-separated."""
+    """root: where archive tables stand. tables_to_process: "all", or full names with prefix, comma-separated. request_key: the
+    column that tells the requests of serving.endpoint_usage apart; without it that table fails."""
 
     root: str
     tables_to_process: str = ALL
     exclude_tables: str = ""
     watermark_buffer_hours: int = 4
     stale_threshold_hours: int = 48
+    request_key: str | None = None
     excludes: frozenset[str] = field(init=False)
 
     def __post_init__(self):

@@ -31,28 +31,21 @@ class TableSpec:
         return self.tiebreaker
 
 
-#: Stands for the one column that ends in this, the caller's own (CLIENT) aside: the platform's name comes before it.
-REQUEST_KEY, CLIENT = "*_request_id", "client_request_id"
+#: Stands for a key that the run's parameter request_key names.
+REQUEST_KEY = "<request_key>"
 #: The read option of tables that come in the other wire format.
 WIRE = {"responseFormat": "delta"}
 
 
-def keys_in(spec: TableSpec, columns: list[str]) -> list[str]:
-    """The spec's natural keys as columns of a table; raises KeyError if REQUEST_KEY has no or no single column."""
-    out = []
-    for key in spec.natural_keys:
-        if key == REQUEST_KEY:
-            fits = [c for c in columns if c.endswith(REQUEST_KEY[1:]) and c != CLIENT]
-            if len(fits) != 1:
-                raise KeyError(f"{spec.name}: {len(fits)} columns fit {REQUEST_KEY}")
-            key = fits[0]
-        out.append(key)
-    return out
+def keys_of(spec: TableSpec, request_key: str | None = None) -> list[str]:
+    """The spec's natural keys as columns; raises KeyError if one is left to the run and the run doesn't name it."""
+    if REQUEST_KEY in spec.natural_keys and not request_key:
+        raise KeyError(f"{spec.name}: the run's parameter request_key has to name its key")
+    return [request_key if k == REQUEST_KEY else k for k in spec.natural_keys]
 
 
-# Natural keys and tiebreakers of the streamed tables, by kind; which of them keep the newest version; wire formats.
+# Natural keys and tiebreakers of the streamed tables; which of them keep the newest version; wire formats.
 STREAMED = [
-    # events with an id of their own
     TableSpec("access", "audit", STREAM, ("event_id",), "event_time"),
     TableSpec("access", "column_lineage", STREAM, ("record_id",), "event_time"),
     TableSpec("access", "table_lineage", STREAM, ("record_id",), "event_time"),
@@ -63,27 +56,21 @@ STREAMED = [
     TableSpec("serving", "endpoint_usage", STREAM, (REQUEST_KEY,), "request_time"),
     TableSpec("sharing", "materialization_history", STREAM, ("sharing_materialization_id",), "created_at"),
     TableSpec("mlflow", "run_metrics_history", STREAM, ("record_id",), "insert_time"),
-    # latest states
     TableSpec("mlflow", "experiments_latest", STREAM, ("workspace_id", "experiment_id"), "update_time", newest_version_wins=True),
     TableSpec("mlflow", "runs_latest", STREAM, ("workspace_id", "run_id"), "update_time", newest_version_wins=True),
-    # slowly changing dimensions
     TableSpec("compute", "clusters", STREAM, ("workspace_id", "cluster_id", "change_time"), "change_time"),
     TableSpec("compute", "warehouses", STREAM, ("workspace_id", "warehouse_id", "change_time"), "change_time"),
     TableSpec("lakeflow", "jobs", STREAM, ("workspace_id", "job_id", "change_time"), "change_time"),
     TableSpec("lakeflow", "job_tasks", STREAM, ("workspace_id", "job_id", "task_key", "change_time"), "change_time"),
     TableSpec("lakeflow", "pipelines", STREAM, ("workspace_id", "pipeline_id", "change_time"), "change_time"),
     TableSpec("serving", "served_entities", STREAM, ("served_entity_id", "change_time"), "change_time"),
-    # timelines
     TableSpec("lakeflow", "job_run_timeline", STREAM, ("workspace_id", "run_id", "period_start_time"), "period_start_time"),
     TableSpec("lakeflow", "job_task_run_timeline", STREAM, ("workspace_id", "run_id", "period_start_time"), "period_start_time"),
     TableSpec("lakeflow", "pipeline_update_timeline", STREAM, ("workspace_id", "update_id", "period_start_time"), "period_start_time", read_options=WIRE),
-    # events without an id
     TableSpec("compute", "warehouse_events", STREAM, ("workspace_id", "warehouse_id", "event_type", "event_time"), "event_time"),
     TableSpec("marketplace", "listing_funnel_events", STREAM, ("listing_id", "event_type", "event_time", "consumer_cloud", "consumer_region"), "event_time"),
     TableSpec("marketplace", "listing_access_events", STREAM, ("listing_id", "event_type", "event_time", "consumer_email"), "event_time"),
-    # metric snapshots
     TableSpec("compute", "node_timeline", STREAM, ("cluster_id", "instance_id", "start_time"), "start_time"),
-    # internal tables
     TableSpec("lakeflow", "zerobus_stream", STREAM, ("stream_id",), "event_time", newest_version_wins=True, read_options=WIRE),
     TableSpec("lakeflow", "zerobus_ingest", STREAM, ("stream_id", "commit_version"), "commit_time", read_options=WIRE),
 ]

@@ -17,7 +17,7 @@ from tidemark.operators.features import ensure_features
 from tidemark.operators.freshness import check_table
 from tidemark.operators.merge import process_overwrite_table, process_watermark_table
 from tidemark.plans.config import EngineConfig
-from tidemark.plans.registry import OVERWRITE, STREAM, WATERMARK, TableSpec, keys_in
+from tidemark.plans.registry import OVERWRITE, STREAM, WATERMARK, TableSpec, keys_of
 from tidemark.sources.store import ArchiveStore
 
 #: One schema for the reports of all kinds of tasks.
@@ -112,7 +112,7 @@ class Engine:
 
         def one(s: TableSpec) -> dict:
             table = self.store.table(s.schema, s.table)
-            keys = keys_in(s, table.snapshot().schema.names) if table.exists() else list(s.natural_keys)
+            keys = keys_of(s, self.config.request_key) if table.exists() else []
             return {"strategy": "dedup"} | dedup_table(table, s.name, keys, s.tiebreaker, s.newest_version_wins)
 
         report = RunReport.of(streamed, one, at_once)
@@ -126,7 +126,7 @@ class Engine:
         def merge(s: TableSpec) -> dict:
             self.store.create_schema(s.schema)
             source = self.source(s)
-            return process_watermark_table(source, self.store.table(s.schema, s.table), s.name, keys_in(s, source.columns), s.time_column, self.config.watermark_buffer_hours)
+            return process_watermark_table(source, self.store.table(s.schema, s.table), s.name, keys_of(s, self.config.request_key), s.time_column, self.config.watermark_buffer_hours)
 
         def replace(s: TableSpec) -> dict:
             self.store.create_schema(s.schema)
@@ -147,41 +147,13 @@ class Engine:
         return out
 
 
-# -- tasks ------------------------------------------------------------------
-
-ALL_SUCCESS, ALL_DONE = "ALL_SUCCESS", "ALL_DONE"
-
-
-@dataclass(frozen=True)
-class Task:
-    name: str
-    run: Callable[[], object]
-    after: tuple[str, ...] = ()
-    run_if: str = ALL_SUCCESS
-
-
-def run_dag(tasks: list[Task]) -> dict[str, dict]:
-    """Runs tasks after those they name. ALL_DONE runs whatever became of them, ALL_SUCCESS only if all succeeded.
-
-    Returns each task's state (success, failed, skipped) with its value or error. The last tasks decide the run's state."""
+def daily(steps: dict[str, Callable[[], object]]) -> dict[str, dict]:
+    """The daily run's steps (ingest, dedup, batch) in their order, each whatever became of the one before, as sources don't
+    keep their rows for ever. Returns each step's state (success, failed) with its value or error."""
     done: dict[str, dict] = {}
-    left = list(tasks)
-    while left:
-        ready = [t for t in left if all(a in done for a in t.after)]
-        if not ready:
-            raise ValueError(f"tasks wait for one another: {[t.name for t in left]}")
-        for t in ready:
-            left.remove(t)
-            if t.run_if == ALL_SUCCESS and any(done[a]["state"] != "success" for a in t.after):
-                done[t.name] = {"state": "skipped"}
-                continue
-            try:
-                done[t.name] = {"state": "success", "value": t.run()}
-            except Exception as e:
-                done[t.name] = {"state": "failed", "error": str(e)}
+    for name, step in steps.items():
+        try:
+            done[name] = {"state": "success", "value": step()}
+        except Exception as e:
+            done[name] = {"state": FAILED, "error": str(e)}
     return done
-
-
-def daily(stream: Callable[[], object], dedup: Callable[[], object], batch: Callable[[], object]) -> list[Task]:
-    """The daily run: ingest, dedup, batch; each starts whatever became of the one before."""
-    return [Task("stream", stream), Task("dedup", dedup, ("stream",), ALL_DONE), Task("batch", batch, ("dedup",), ALL_DONE)]

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import micros, survivor_order
 from tidemark.operators import dedup, features, freshness, merge
 from tidemark.plans.config import EngineConfig
-from tidemark.plans.registry import OVERWRITE, STREAM, WATERMARK, TableSpec, builtin
-from tidemark.plans.runner import Engine, RunReport, TablesFailed, Task, daily, run_dag, summary
+from tidemark.plans.registry import OVERWRITE, STREAM, WATERMARK, WIRE, TableSpec, builtin
+from tidemark.plans.runner import Engine, RunReport, TablesFailed, daily, summary
 from tidemark.sources.change_feed import follow
 from tidemark.sources.files import Files, shared_root
 from tidemark.sources.store import ROW_ID, ArchiveStore, ArchiveTable, ConcurrentCommit
@@ -530,17 +530,33 @@ def freshness_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT * FROM (VALUES ('system.access.audit', false, true, false), ('system.billing.usage', true, true, true), ('system.query.history', false, true, false), ('system.compute.clusters', true, false, false)) "
-    "f(source, not_excluded, allowed, processed)"
+    "SELECT * FROM (VALUES ('excluding', 'nation', false, 0::BIGINT), ('excluding', 'supplier', true, (SELECT count(*) FROM supplier)), ('excluding', 'part', false, 0), ('excluding', 'customer', true, (SELECT count(*) FROM customer)), "
+    "('listing', 'nation', true, (SELECT count(*) FROM nation)), ('listing', 'supplier', true, (SELECT count(*) FROM supplier)), ('listing', 'part', true, (SELECT count(*) FROM part)), ('listing', 'customer', false, 0), "
+    "('both', 'nation', false, 0), ('both', 'supplier', true, (SELECT count(*) FROM supplier)), ('both', 'part', false, 0), ('both', 'customer', false, 0)) f(run, tab, archived, rows)"
 )
 def exclude_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An exclusion wins over the list; its names may lack the prefix, blanks don't count."""
-    names = ["system.access.audit", "system.billing.usage", "system.query.history", "system.compute.clusters"]
-    excludes = " access.audit, ,system.query.history,"
-    a = EngineConfig("x", exclude_tables=excludes)
-    b = EngineConfig("x", tables_to_process="system.access.audit, system.billing.usage,system.query.history")
-    c = EngineConfig("x", tables_to_process="system.access.audit, system.billing.usage,system.query.history", exclude_tables=excludes)
-    return spark.createDataFrame([(n, a.should_process(n), b.should_process(n), c.should_process(n)) for n in names], "source string, not_excluded boolean, allowed boolean, processed boolean")
+    """Batch runs over given tables: an exclusion wins over the list; its names may lack the prefix, blanks don't count."""
+    specs = [TableSpec("main", name, OVERWRITE) for name in ("nation", "supplier", "part", "customer")]
+    excludes, listed = " main.nation, ,system.main.part,", "system.main.nation, system.main.supplier,system.main.part"
+    rows = []
+    for run, options in {"excluding": {"exclude_tables": excludes}, "listing": {"tables_to_process": listed}, "both": {"tables_to_process": listed, "exclude_tables": excludes}}.items():
+        engine = Engine(spark, specs, EngineConfig(new_store(spark).root, **options), lambda s: read(spark, sf_dir, s.table))
+        done = {r["table"]: r["count_after"] for r in engine.batch()}
+        rows += [(run, s.table, s.name in done, done.get(s.name, 0)) for s in specs]
+    return spark.createDataFrame(rows, "run string, tab string, archived boolean, rows long")
+
+
+@query("SELECT * FROM events")
+def read_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's read options reach the reader of its stream: by one of them it leaves out what else is in the folder."""
+    store = new_store(spark)
+    events = read(spark, sf_dir, "events")
+    events.write.parquet(f"{store.root}/source")
+    events.withColumn("props", F.lit("other")).write.option("compression", "zstd").mode("append").parquet(f"{store.root}/source")
+    spec = TableSpec("main", "events", natural_keys=("event_id",), tiebreaker="ts", read_options=WIRE | {"pathGlobFilter": "*.snappy.parquet"})
+    flow = Flow(spark, spec, f"{store.root}/source", store.table("main", "events"), f"{store.root}/state")
+    flow.run()
+    return flow.table.read()
 
 
 @query("SELECT * FROM (VALUES ('stream', 27::BIGINT, 3::BIGINT, 4::BIGINT), ('watermark', 4, 0, 0), ('overwrite', 6, 0, 0)) r(strategy, tables, newest_version_wins, with_options)")
@@ -678,15 +694,17 @@ def drop_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(n, before[n], store.table(n, "region").exists()) for n in "ab"], "name string, there_before boolean, there_after boolean")
 
 
-@query("SELECT * FROM (VALUES ('plain', false, 2::BIGINT), ('tracked', true, 1), ('both', true, 0)) p(tab, row_tracking, missing)")
+@query("SELECT p.*, n AS rows FROM (VALUES ('plain', false, 2::BIGINT), ('tracked', true, 1), ('both', true, 0)) p(tab, row_tracking, missing), (SELECT count(*) AS n FROM orders)")
 def read_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, rows = new_store(spark), []
     for name, properties in {"plain": {}, "tracked": {features.ROW_TRACKING: " TRUE "}, "both": dict.fromkeys(features.FEATURES, "true")}.items():
         table = store.table("main", name)
-        table.create(read(spark, sf_dir, "region").schema, properties)
+        orders = read(spark, sf_dir, "orders")
+        table.create(orders.schema, properties)
+        table.append(orders)
         found = table.snapshot().properties
-        rows.append((name, features.row_tracking_enabled(found), len(features.missing_features(found))))
-    return spark.createDataFrame(rows, "tab string, row_tracking boolean, missing long")
+        rows.append((name, features.row_tracking_enabled(found), len(features.missing_features(found)), table.read().count()))
+    return spark.createDataFrame(rows, "tab string, row_tracking boolean, missing long, rows long")
 
 
 @query("SELECT 'rejected' AS second_writer, count(*) AS rows, 1::BIGINT AS version FROM lineitem")
@@ -744,15 +762,18 @@ def feature_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(w["table"], w["warning"], r["status"]) for w, r in zip(engine.warnings, results)], "tab string, warning string, status string")
 
 
-@query("SELECT * FROM (VALUES ('stream', 'failed'), ('dedup', 'success'), ('batch', 'success'), ('report', 'skipped')) t(task, state)")
+@query("SELECT * FROM (VALUES ('stream', 'failed', 0::BIGINT), ('dedup', 'success', (SELECT count(*) FROM events)), ('batch', 'success', (SELECT count(*) FROM supplier))) t(task, state, rows)")
 def task_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tasks of the daily run start whatever became of the one before; one that asks for success is skipped."""
-
-    def broken():
-        raise OSError("no source")
-
-    tasks = [*daily(broken, lambda: None, lambda: None), Task("report", lambda: None, ("stream",))]
-    return spark.createDataFrame([(name, d["state"]) for name, d in run_dag(tasks).items()], "task string, state string")
+    """The daily run over given tables: its stream has no source, dedup and batch do their work all the same."""
+    store = new_store(spark)
+    specs = [EVENTS, TableSpec("main", "supplier", WATERMARK, ("s_suppkey",), "s_suppkey")]
+    engine = Engine(spark, specs, EngineConfig(store.root), lambda s: read(spark, sf_dir, s.table))
+    for _ in range(2):
+        store.table("main", "events").append(read(spark, sf_dir, "events"))
+    nowhere = Flow(spark, EVENTS, f"{store.root}/nowhere", store.table("main", "events"), f"{store.root}/state")
+    done = daily({"stream": nowhere.run, "dedup": engine.dedup, "batch": engine.batch})
+    rows = {"stream": 0, "dedup": store.table("main", "events").read().count(), "batch": store.table("main", "supplier").read().count()}
+    return spark.createDataFrame([(name, d["state"], rows[name]) for name, d in done.items()], "task string, state string, rows long")
 
 
 @query(
@@ -784,11 +805,11 @@ def freshness_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(r["table"], r["status"], outcome) for r in results], "tab string, status string, outcome string")
 
 
-@query("SELECT range AS id FROM range(1000)")
+@query("SELECT range AS id FROM range((SELECT count(*) FROM lineitem))")
 def row_generator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generated rows through the store, their row ids being what was generated."""
+    """As many generated rows as there are order lines, through the store, their row ids being what was generated."""
     table = new_table(spark, "generated")
-    table.append(spark.range(1000).repartitionByRange(3, "id").sortWithinPartitions("id"))
+    table.append(spark.range(read(spark, sf_dir, "lineitem").count()).repartitionByRange(3, "id").sortWithinPartitions("id"))
     return table.read(row_id=True).where(F.col(ROW_ID) == F.col("id")).select("id")
 
 
