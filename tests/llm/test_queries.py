@@ -119,6 +119,21 @@ def test_each_stage_against_a_plain_version(spark, tmp_path, odd_docs):
     assert {r.doc_id: r.n for r in packed} == dict(tokens)
 
 
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_and_columns_of_any_name(spark, tmp_path, odd_docs, stage):
+    """Extra columns come through, though they are called like what the stages use inside; an empty table stays empty."""
+    name, work = corpus_pipeline.STAGES[stage]
+    docs = spark.createDataFrame([r for r in odd_docs if len(r[1] or "") < 5000], SCHEMA)
+    for c in ("_place", "place", "_out", "_at", "_copies", "_copy", "copy", "copies", "row", "of", "a.b", "label"):
+        docs = docs.withColumn(c, F.lit("extra"))
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"file://{tmp_path}/documents.parquet")
+    out = work(spark, docs, f"file://{tmp_path}")
+    assert out.columns == docs.columns and out.count() > 0 and out.where("_place <> 'extra' OR `a.b` <> 'extra' OR copies <> 'extra'").count() == 0
+    none = work(spark, docs.where("1 = 0"), f"file://{tmp_path}")
+    assert none.columns == docs.columns and none.count() == 0
+
+
 def test_the_pipeline_does_not_hide_missing_parts():
     source = open(os.path.join(os.path.dirname(corpus_pipeline.__file__), "corpus_pipeline.py")).read()
     assert "except" not in source and importlib.import_module("tidemark.llm.queries")

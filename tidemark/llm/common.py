@@ -83,6 +83,11 @@ class Scratch:
             self._remove(f"{self.path}/{name}")
 
 
+def whole_row(docs: DataFrame, but: str | None = None) -> Column:
+    """All columns of docs, whatever they are called, in one struct."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`").alias(c) for c in docs.columns if c != but))
+
+
 def place() -> Column:
     """A row's place: the hash of its file's path, and the row in it."""
     return F.concat_ws("#", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index").cast("string"))
@@ -102,6 +107,13 @@ def placed(docs: DataFrame, name: str = "_place") -> DataFrame:
     return from_files(docs).select("*", place().alias(name))
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of docs (which are read from files) but for those at the places in ``gone``, a table of one column. No column
+    of docs, whatever it is called, meets a name of this function's."""
+    here, there = f"here_{uuid.uuid4().hex}", f"there_{uuid.uuid4().hex}"
+    return placed(docs, here).join(gone.toDF(there), F.col(here) == F.col(there), "left_anti").drop(here)
+
+
 def dealt_out(docs: DataFrame, most: int = 1 << 30) -> DataFrame:
     """docs, dealt out to all cores if they are read from fewer files than there are cores, of ``most`` bytes together: a small
     table's one file would be one task. Rows are unchanged; larger tables are read as they are, without a shuffle."""

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, BlockedBloom, Scratch, from_files, placed, spread_join
+from tidemark.llm.common import SPACE, BlockedBloom, Scratch, from_files, spread_join, without
 
 
 def normalised(text: Column) -> Column:
@@ -186,4 +186,4 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     out = exact_dedup(docs, id_col, text_col).where("not kept")
     out = out.select(F.concat_ws("#", F.hex(F.xxhash64("locator.file")), F.col("locator.row").cast("string")).alias("_out"))
     out = scratch.sent(scratch.write(out, "out"), "out")
-    return placed(docs).join(out, F.col("_place") == F.col("_out"), "left_anti").drop("_place")
+    return without(docs, out)

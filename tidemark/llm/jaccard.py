@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ODD, BlockedBloom, Scratch, give_back, mix, placed, spread_join, words_of_worker
+from tidemark.llm.common import ODD, BlockedBloom, Scratch, from_files, give_back, mix, placed, spread_join, without, words_of_worker
 from tidemark.llm.components import components
 
 #: The subsets' size.
@@ -567,11 +567,11 @@ class JaccardJoin:
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs of which each component keeps one: that of the smallest id (null ids last), then of the first place."""
-    docs = placed(docs)
-    join = JaccardJoin(docs.drop("_place"), id_col, text_col)
+    docs = from_files(docs)
+    join = JaccardJoin(docs, id_col, text_col)
     rows = join.scratch.write(join._grouped(counted=False).where("n_shingles > 0"), "grouped")
     order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col), F.col("place"))
     stays = rows.groupBy("root").agg(F.min(order).alias("best")).select("best.place")
     out = rows.select("place").join(stays, "place", "left_anti").withColumnRenamed("place", "_out")
     out = join.scratch.sent(join.scratch.write(out, "out"), "out")
-    return docs.join(out, F.col("_place") == F.col("_out"), "left_anti").drop("_place")
+    return without(docs, out)

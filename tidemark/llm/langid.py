@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, let_go, own_worker
+from tidemark.llm.common import Scratch, let_go, own_worker, whole_row
 from tidemark.llm.packing import vocabulary
 
 UNDETERMINED = "und"
@@ -416,5 +416,5 @@ def identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", le
     """The rows whose language is determined with a posterior of at least ``least``; their columns as they are.
 
     Null texts and texts without letters go. Null and repeated ids are judged row by row; an empty table stays empty."""
-    judged = docs.select(F.struct(*docs.columns).alias("row"), predict(docs, model, F.col(text_col)).alias("of"))
+    judged = docs.select(whole_row(docs).alias("row"), predict(docs, model, F.col(text_col)).alias("of"))
     return judged.where((F.col("of.lang") != UNDETERMINED) & (F.col("of.score") >= least)).select("row.*")

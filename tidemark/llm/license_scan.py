@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import ascii_lower, dealt_out, placed
+from tidemark.llm.common import ascii_lower, dealt_out, placed, whole_row
 from tidemark.llm.notices import NOTICES
 
 #: What separates words, and the phrases of the base labels.
@@ -74,7 +74,7 @@ def scan(
     k-grams; repeated rows and null ids are judged row by row (the key is the
     row's place in its file); an empty table gives empty results.
     """
-    told = placed(docs.select(F.struct(*[c for c in docs.columns if c != text_col]).alias("row"), F.col(text_col).alias("text")), "place")
+    told = placed(docs.select(whole_row(docs, but=text_col).alias("row"), F.col(text_col).alias("text")), "place")
     told = dealt_out(told)
     words = words_of(F.col("text"))
     has_phrase_word = F.lit(False)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, placed, word_count
+from tidemark.llm.common import Scratch, from_files, place, placed, whole_row, word_count
 
 LEVELS = ("domain", "lang", "source")
 #: Production weights among siblings; who isn't listed has weight 1.
@@ -111,9 +111,9 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that the mixture holds, once for each copy, with all their columns. Nulls, repeated rows
-    and empty tables as in ``mix``; columns of any name pass through, but for _place, _at, _copies and _copy."""
-    docs = placed(docs)
-    decided = mix(docs.drop("_place"), **options).where("copies > 0").select(F.col("place").alias("_at"), F.col("copies").alias("_copies"))
-    held = docs.join(decided, F.col("_place") == F.col("_at"))
-    return held.select(*[c for c in docs.columns if c != "_place"], F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")
+    """The rows of docs that the mixture holds, once for each copy, with all their columns, whatever these are called. Nulls,
+    repeated rows and empty tables as in ``mix``."""
+    docs = from_files(docs)
+    decided = mix(docs, **options).where("copies > 0").select("place", "copies")
+    rows = docs.select(whole_row(docs).alias("row"), place().alias("place"))
+    return rows.join(decided, "place").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).select("row.*")
