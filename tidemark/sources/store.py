@@ -318,11 +318,13 @@ class ArchiveTable:
         return rows
 
     def history(self) -> DataFrame:
-        rows = []
-        for v in self._versions():
-            r = self.commit_record(v)
-            rows.append((v, r["timestamp"], r["operation"], len(r["add"]), len(r["remove"]), sum(f["rows"] for f in r["add"])))
-        return self.spark.createDataFrame(rows, "version long, timestamp string, operation string, files_added int, files_removed int, rows_added long")
+        """A row per commit, read from the log by Spark."""
+        told = "version long, timestamp string, operation string, add array<struct<rows:long>>, remove array<string>, delete array<struct<rows:long>>"
+        if not self.exists():
+            raise TableMissing(self.path)
+        rows = lambda c: F.aggregate(F.coalesce(c, F.array().cast("array<struct<rows:long>>")), F.lit(0).cast("long"), lambda a, x: a + x["rows"])
+        log = self.spark.read.schema(told).json(f"{self.path}/_log/*.json")
+        return log.select("version", "timestamp", "operation", F.size("add").alias("files_added"), F.size("remove").alias("files_removed"), rows(F.col("add")).alias("rows_added"), rows(F.col("delete")).alias("rows_deleted")).orderBy("version")
 
     def detail(self) -> dict[str, int]:
         s = self.snapshot()
