@@ -257,6 +257,18 @@ def test_rows_are_dealt_out_on_a_curve(spark, store):
         t.cluster(["v"])
 
 
+def test_rows_that_are_dealt_out_stay_so(spark, store, monkeypatch):
+    """A small table's one file is dealt out to all cores, but not what the caller has dealt out."""
+    source = f"{store.root}/one"
+    spark.range(2_000_000).coalesce(1).write.parquet(source)
+    one = spark.read.parquet(source)
+    monkeypatch.setattr(ArchiveTable._dealt_out, "__defaults__", (1, 1 << 30))
+    for name, df, files in (("plain", one, 4), ("ranges", one.repartitionByRange(7, "id"), 7), ("hashed", one.repartition(3, "id"), 3)):
+        t = store.table("s", name)
+        t.append(df)
+        assert len(t.snapshot().files) == files and t.read().count() == 2_000_000
+
+
 def test_names_go_without_case(spark, store):
     t = store.table("s", "t")
     t.append(spark.sql("SELECT 1 AS Id, 'a' AS Name, named_struct('In', 1) AS S"))

@@ -349,9 +349,10 @@ class ArchiveTable:
 
     def _dealt_out(self, df: DataFrame, least: int = 4 << 20, most: int = 1 << 30) -> DataFrame:
         """Rows read from fewer files than there are cores, of ``least`` to ``most`` bytes: dealt out, as one file would be one task
-        now and whenever the table is read."""
+        now and whenever the table is read. Rows that a shuffle has dealt out already stay as they are."""
         files, cores = df.inputFiles(), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if 0 < len(files) < cores and least <= sum(map(self.disk.size, files)) <= most else df
+        few = 0 < len(files) < cores and least <= sum(map(self.disk.size, files)) <= most
+        return df.repartition(cores) if few and "Exchange" not in df._jdf.queryExecution().executedPlan().toString() else df
 
     def _write(self, df: DataFrame, clustered: str = "") -> list[DataFile]:
         """Writes immutable files, and notes their rows and bounds; the files stay where and as Spark has put them. Their rows have no ids yet."""
