@@ -53,6 +53,20 @@ def test_no_source_rows_create_nothing_and_an_empty_archive_is_merged(spark, sto
     assert t.read().count() == 1 and [r.operation for r in t.history().collect()] == ["append", "append"]
 
 
+def test_a_merge_opens_files_that_can_have_the_keys(spark, store):
+    t = store.table("s", "t")
+    rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("k"), F.concat(F.lit("n"), F.col("id")).alias("name"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("t"))
+    t.append(rows(0, 10_000).repartitionByRange(10, "k"))
+    report = merge.process_watermark_table(rows(9_500, 10_200), t, "s.t", ["k", "name"], "t", 0)
+    assert (report["rows_read"], report["files_compared"], report["count_after"]) == (201, 1, 10_200)
+    with_null = rows(9_900, 10_300).withColumn("k", F.when(F.col("k") != 10_250, F.col("k")))
+    files = len(t.snapshot().files)
+    report = merge.process_watermark_table(with_null, t, "s.t", ["k"], "t", 24)
+    assert report["count_after"] == 10_300 and report["files_compared"] == files  # a null may be anywhere
+    report = merge.process_watermark_table(with_null, t, "s.t", ["k"], "t", 24)
+    assert report["count_after"] == 10_300 and t.read().where("k IS NULL").count() == 1
+
+
 def test_a_small_batch_moves_nothing_of_the_archive(spark, sf_dir, store):
     t = store.table("s", "t")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")

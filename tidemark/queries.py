@@ -747,6 +747,18 @@ def maintenance_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "tab string, status string, features boolean, warnings long")
 
 
+@query("SELECT * FROM (VALUES ('events', true, (SELECT count(*) FROM events)), ('orders', true, (SELECT count(*) FROM orders)), ('nation', false, (SELECT count(*) FROM nation))) f(tab, features, rows)")
+def feature_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed and merged tables get row tracking and the change feed, those that are replaced outright don't."""
+    specs = [EVENTS, TableSpec("main", "orders", WATERMARK, ("o_orderkey",), "o_orderdate"), TableSpec("main", "nation", OVERWRITE)]
+    engine = Engine(spark, specs, EngineConfig(new_store(spark).root), lambda s: read(spark, sf_dir, s.table))
+    engine.store.table("main", "events").append(read(spark, sf_dir, "events"))
+    engine.dedup()
+    engine.batch()
+    tables = {s.table: engine.store.table("main", s.table) for s in specs}
+    return spark.createDataFrame([(n, not features.missing_features(t.snapshot().properties), t.read().count()) for n, t in tables.items()], "tab string, features boolean, rows long")
+
+
 @query("SELECT * FROM (VALUES ('main.nation', 'a warning', 'success')) w(tab, warning, status)")
 def feature_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features that can't be turned on are a warning, not a failure of the table."""
