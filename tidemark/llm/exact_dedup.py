@@ -95,11 +95,15 @@ class ExactDedup:
             seen = self._digested(docs, F.col(self.id_col).alias("id"), F.coalesce(F.length(text), F.lit(0)).alias("points"), locator.alias("locator"))
             seen.write.mode("overwrite").option("compression", "zstd").parquet(arrivals)
         before = self.state() if self._listed("state") else None
-        self._stream(self.spark.read.parquet(arrivals).schema)
-        self._check(docs, self.spark.read.parquet(arrivals), before, number)
+        ran = self._stream(self.spark.read.parquet(arrivals).schema)
+        # what has come with this call alone has left its digests' newest state in the batches that ran; else all of them are looked through
+        after = self.state(ran if number not in done else None)
+        self._check(docs, self.spark.read.parquet(arrivals), before, after, number)
         return number
 
-    def _stream(self, schema) -> None:
+    def _stream(self, schema) -> list[int]:
+        """Brings the state up to date with all arrivals; returns the numbers of the batches that ran."""
+        ran: list[int] = []
         session = self.spark.newSession()  # the stream's settings stay out of the caller's session
         for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
             session.conf.set(key, self.spark.conf.get(key))
@@ -114,6 +118,7 @@ class ExactDedup:
 
         def keep(batch: DataFrame, number: int) -> None:
             batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{sink}/batch={number}")
+            ran.append(number)
 
         query = (
             state.writeStream.outputMode("update").foreachBatch(keep)
@@ -122,10 +127,12 @@ class ExactDedup:
         query.awaitTermination()
         if query.exception():
             raise query.exception()
+        return ran
 
-    def state(self) -> DataFrame:
-        """The newest state of every digest: n, best."""
-        rows = self.spark.read.parquet(f"{self.path}/state")
+    def state(self, batches: list[int] | None = None) -> DataFrame:
+        """The newest state of every digest, or of those that some batches have: n, best."""
+        folders = [f"{self.path}/state/batch={b}" for b in batches] if batches else [f"{self.path}/state"]
+        rows = self.spark.read.option("basePath", f"{self.path}/state").parquet(*folders)
         newest = F.max_by(F.struct("n", "best"), "batch").alias("s")
         return rows.groupBy("digest").agg(newest).select("digest", "s.n", "s.best")
 
@@ -137,9 +144,8 @@ class ExactDedup:
         there = self.spark.read.parquet(*files).select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"), normalised(F.col(self.text_col)).alias("norm"))
         return rows.join(there, (F.col("locator.file") == F.col("_file")) & (F.col("locator.row") == F.col("_row"))).drop("_file", "_row")
 
-    def _check(self, docs: DataFrame, arrivals: DataFrame, before: DataFrame | None, number: int) -> None:
+    def _check(self, docs: DataFrame, arrivals: DataFrame, before: DataFrame | None, state: DataFrame, number: int) -> None:
         """Writes the load's collisions: digests of more than one text."""
-        state = self.state()
         if before is not None:  # what else the state holds was checked when it came
             state = state.join(arrivals.select("digest").distinct(), "digest", "left_semi")
         hits = self.scratch.write(state.where("n > 1").select("digest"), f"hits{number}")
