@@ -74,14 +74,15 @@ def dedup_table(table: ArchiveTable, name: str, keys: list[str], tiebreaker: str
     rows, checked = _to_check(table, snapshot, keys, (table.noted(note) or {}).get("version"))
     report = {"table": name, "ordering": "row_id" if tracked else "tiebreaker", "count_before": snapshot.rows, "files_checked": checked}
     groups = duplicate_groups(rows, keys)
-    found = groups.agg(F.max("copies").alias("most"), F.sum(F.col("copies") - 1).alias("gone")).first()
-    if found.most is None:
+    found = groups.agg(F.max("copies").alias("most"), F.sum(F.col("copies") - 1).alias("gone"), F.count(F.lit(1)).alias("keys")).first() if checked else None
+    if found is None or found.most is None:
         table.note(note, {"keys": keys, "version": snapshot.version})
         return report | {"status": "clean", "count_after": snapshot.rows, "duplicates_removed": 0, "elapsed_s": time.monotonic() - began}
     order = survivor_order(tiebreaker, ROW_ID if tracked else None, newest_version_wins)
     few = found.gone * FEW <= snapshot.rows and sum(f.deleted for f in snapshot.files) + found.gone <= MOST_SENT
     if few:
-        _mark(table, snapshot, name, keys, order, tracked, groups, found.gone)
+        with table.working(groups) as held:  # as many rows as scans can leave out at most; found once, used three times
+            _mark(table, snapshot, name, keys, order, tracked, held, found.gone, found["keys"])
         after = snapshot.rows - found.gone
     else:
         after = _rewritten(table, snapshot, name, keys, order, tracked, found.most)
@@ -118,18 +119,17 @@ def _of_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame
     return rows.alias("r").join(listed.alias("g"), same_key("r", "g", keys), "left_semi")
 
 
-def _mark(table: ArchiveTable, snapshot: Snapshot, name: str, keys: list[str], order: list[Column], tracked: bool, groups: DataFrame, gone: int) -> None:
+def _mark(table: ArchiveTable, snapshot: Snapshot, name: str, keys: list[str], order: list[Column], tracked: bool, groups: DataFrame, gone: int, n: int) -> None:
     rows = table.scan(snapshot, row_id=tracked)
     rank = f"rank_{uuid.uuid4().hex}"
     ranked = _of_groups(rows, groups, keys).withColumn(rank, F.row_number().over(W.partitionBy(*map(quoted, keys)).orderBy(*order, FILE, PLACE)))
 
     def verify(left: DataFrame) -> None:
         rows, distinct = count_keys(_of_groups(left, groups, keys), keys)
-        total = left.count()
-        if rows != distinct or total != snapshot.rows - gone:
-            raise DuplicateKeys(f"{name}: {rows} rows of {distinct} keys that had copies, {total} rows in all after dedup of {snapshot.rows - gone}")
+        if not rows == distinct == n:
+            raise DuplicateKeys(f"{name}: {rows} rows of {distinct} keys after dedup, of {n} that had copies")
 
-    table.delete_rows(ranked.where(F.col(rank) > 1).select(FILE, PLACE), "dedup", snapshot, verify)
+    table.delete_rows(ranked.where(F.col(rank) > 1).select(FILE, PLACE), "dedup", snapshot, verify, gone)
 
 
 def _rewritten(table: ArchiveTable, snapshot: Snapshot, name: str, keys: list[str], order: list[Column], tracked: bool, most: int) -> int:

@@ -19,7 +19,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, fields, replace
 from decimal import Decimal
 from typing import Any
@@ -487,9 +488,10 @@ class ArchiveTable:
             kept = kept.withColumn(own.name, F.when(condition, value).otherwise(F.col(quoted(own.name))).cast(own.dataType))
         return self._rewrite(base, "update", old, kept)
 
-    def delete_rows(self, places: DataFrame, operation: str = "delete", base: Snapshot | None = None, check: Callable[[DataFrame], None] | None = None) -> int | None:
+    def delete_rows(self, places: DataFrame, operation: str = "delete", base: Snapshot | None = None, check: Callable[[DataFrame], None] | None = None, expect: int | None = None) -> int | None:
         """Deletes rows by file and place (of a scan of ``base``), without rewriting a file: a commit names the rows, scans leave
-        them out. None if there are none. ``check`` is called with what is left, before the commit."""
+        them out. None if there are none. ``check`` is called with what is left, before the commit; ``expect`` is how many rows
+        there have to be."""
         base = base or self.snapshot()
         folder = f"deletes/{uuid.uuid4().hex}"
         try:
@@ -497,6 +499,8 @@ class ArchiveTable:
             named = self.spark.read.schema("file string, place long").parquet(f"{self.path}/{folder}")
             told = {r["file"]: r["count"] for r in named.groupBy("file").count().collect()}  # a row per file with deleted rows
             hit = [f for f in base.files if f.name in told]
+            if expect is not None and sum(told.values()) != expect:
+                raise ValueError(f"{self.path}: {sum(told.values())} rows to delete, not {expect}")
             delete = [{"path": f.path, "deletes": folder, "rows": told[f.name]} for f in hit]
             if check and delete:
                 left = self._apply(base, {"version": base.version + 1, "schema": base.schema.jsonValue(), "add": [], "remove": [], "delete": delete, "properties": {}, "next_id": 0, "transaction": None})
@@ -558,6 +562,16 @@ class ArchiveTable:
         dealt = rows.withColumn(_BIN, curve).repartitionByRange(files, _BIN, ROW_ID).sortWithinPartitions(_BIN, *map(quoted, columns)).drop(_BIN)
         return self._rewrite(base, "cluster", old, dealt, tag)
 
+    @contextmanager
+    def working(self, df: DataFrame) -> Iterator[DataFrame]:
+        """df, written beside the table while it is worked with."""
+        path = f"{self.path}/_work/{uuid.uuid4().hex}"
+        try:
+            df.write.parquet(path)
+            yield self.spark.read.schema(df.schema).parquet(path)
+        finally:
+            self.disk.remove(path)
+
     def note(self, name: str, value: dict) -> None:
         """Keeps something small beside the log, in place of what was there by that name."""
         self.disk.make(f"{self.path}/_notes")
