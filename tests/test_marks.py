@@ -3,10 +3,12 @@
 import datetime as dt
 import random
 from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import queries
 from tidemark.functions.keys import Moment
 from tidemark.functions.schema import SchemaConflict
 from tidemark.operators import dedup, features, merge
@@ -269,6 +271,31 @@ def test_rows_that_are_dealt_out_stay_so(spark, store, monkeypatch):
         assert len(t.snapshot().files) == files and t.read().count() == 2_000_000
 
 
+def test_rows_that_are_put_together_stay_so(spark, store, monkeypatch):
+    """One file of a few rows stays one, so that a check opens it and what is near it; names in a plan say nothing."""
+    source = f"{store.root}/Exchange/Coalesce 1"
+    spark.range(100_000).coalesce(1).write.parquet(source)
+    one = spark.read.parquet(source)
+    monkeypatch.setattr(ArchiveTable._dealt_out, "__defaults__", (1, 1 << 30))
+    for name, df, files in (("one", one.where("id % 100 = 0").coalesce(1), 1), ("widened", one.coalesce(1).withColumn("more", F.lit("x")), 1), ("plain", one, 4)):
+        t = store.table("s", name)
+        t.append(df)
+        assert len(t.snapshot().files) == files
+
+
+@pytest.mark.parametrize("apart", [1, 10**12])
+def test_the_incremental_check_on_a_source_of_some_megabytes(spark, sf_dir, tmp_path, monkeypatch, apart):
+    """A source so large that appends are dealt out to the cores, its ids in one range or in six that lie far apart."""
+    monkeypatch.setattr(ArchiveTable._dealt_out, "__defaults__", (1, 1 << 30))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    n = events.count()
+    copies = [events.withColumn("event_id", F.col("event_id") + i * n * apart) for i in range(6)]
+    reduce(lambda a, b: a.union(b), copies).coalesce(1).write.parquet(f"file://{tmp_path}/events.parquet")
+    rows = {r.run: r for r in queries.dedup_incremental_check(spark, f"file://{tmp_path}").collect()}
+    assert {k: r.status for k, r in rows.items()} == {"first": "clean", "again": "clean", "more": "deduped", "left": "rows"}
+    assert rows["left"].duplicates_removed == 6 * n
+
+
 def test_names_go_without_case(spark, store):
     t = store.table("s", "t")
     t.append(spark.sql("SELECT 1 AS Id, 'a' AS Name, named_struct('In', 1) AS S"))

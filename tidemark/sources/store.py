@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -45,6 +46,8 @@ SAME_ROWS = ("compact", "cluster")
 SUMMARY_EVERY = 20
 #: So many columns have their bounds in the log, from the first on, and all with times besides; of texts so many characters.
 BOUNDED, BOUND_CHARS = 8, 32
+#: A line of a plan that says that rows have been dealt out, or put together.
+_DEALT = re.compile(r"^[\s:+\-*()\d]*(\w*Exchange\b|Coalesce \d)", re.MULTILINE)
 #: Deleted rows and files are sent to every task where a scan has no more of them than this; else they meet in a shuffle.
 MOST_SENT = 250_000
 
@@ -350,10 +353,11 @@ class ArchiveTable:
 
     def _dealt_out(self, df: DataFrame, least: int = 4 << 20, most: int = 1 << 30) -> DataFrame:
         """Rows read from fewer files than there are cores, of ``least`` to ``most`` bytes: dealt out, as one file would be one task
-        now and whenever the table is read. Rows that a shuffle has dealt out already stay as they are."""
+        now and whenever the table is read. Rows that a shuffle has dealt out already, or that the caller has put together
+        (``coalesce``), stay as they are."""
         files, cores = df.inputFiles(), self.spark.sparkContext.defaultParallelism
         few = 0 < len(files) < cores and least <= sum(map(self.disk.size, files)) <= most
-        return df.repartition(cores) if few and "Exchange" not in df._jdf.queryExecution().executedPlan().toString() else df
+        return df.repartition(cores) if few and not _DEALT.search(df._jdf.queryExecution().executedPlan().toString()) else df
 
     def _write(self, df: DataFrame, clustered: str = "") -> list[DataFile]:
         """Writes immutable files, and notes their rows and bounds; the files stay where and as Spark has put them. Their rows have no ids yet."""
