@@ -238,6 +238,41 @@ def test_compaction_packs_to_a_size(spark, store):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))  # what stood together still does
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounds_of_texts_need_no_sort(spark, store):
+    """What the log has of a file is kept in a hash table, a row a file, not found by sorting all rows by their file."""
+    t = store.table("s", "t")
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice([None, "", "é" * 40, f"a{i:03}", "z" * 50]), rnd.choice([None, dt.datetime(2024, 1, 1 + i % 28)])) for i in range(300)] + [(1000 + i, None, None) for i in range(50)]
+    t.append(spark.createDataFrame(rows, "k int, v string, t timestamp_ntz").repartition(5, "k").union(spark.createDataFrame(rows[-50:], "k int, v string, t timestamp_ntz").coalesce(1)))
+    files = t.snapshot().files
+    folder = files[0].path.rpartition("/")[0]
+    told = plan(t._ends(folder, t.snapshot().schema, S.bounded(t.snapshot().schema)))
+    assert "ObjectHashAggregate" in told and "Sort" not in told
+    for f in files:
+        own = [(r.k, r.v, r.t) for r in t.rows_of([f]).collect()]
+        texts = [v for _, v, _ in own if v is not None]
+        least, most = (min(texts, key=str.encode)[:32], max(texts, key=str.encode)[:32]) if texts else (None, None)
+        assert f.bounds["v"] == [least, most, len(own) - len(texts)] and f.rows == len(own)
+        assert f.bounds["k"] == [min(k for k, _, _ in own), max(k for k, _, _ in own), 0]
+    assert any(f.bounds["v"][0] is None for f in files)
+
+
+def test_compaction_is_of_many_files_at_any_size(spark, sf_dir, tmp_path, monkeypatch):
+    """The query's files are small against a compacted one, so it packs them however large the source is."""
+    source = f"file://{tmp_path}/orders.parquet"
+    spark.read.parquet(f"{sf_dir}/orders.parquet").coalesce(1).write.parquet(source)
+    size = ArchiveTable.__dict__["compact"].__defaults__[0]
+    monkeypatch.setattr(queries.Files, "size", lambda self, path: 8 * size)
+    made = []
+    monkeypatch.setattr(ArchiveTable, "_ends", lambda self, *a, ends=ArchiveTable._ends: made.append(ends(self, *a).count()) or ends(self, *a))
+    queries.compaction_keeps_ids(spark, f"file://{tmp_path}")
+    assert made[0] == 8 * size >> 22 and made[1] == 1
+
+
 def test_rows_are_dealt_out_on_a_curve(spark, store):
     rnd = random.Random(2)
     t = store.table("s", "t")

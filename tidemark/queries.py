@@ -412,7 +412,9 @@ def orphan_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compaction_keeps_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files become few; every row keeps its id, and the feed has no change."""
     table = new_table(spark, "orders")
-    table.append(read(spark, sf_dir, "orders").repartitionByRange(24, "o_orderkey").sortWithinPartitions("o_orderkey"))
+    orders = read(spark, sf_dir, "orders")
+    parts = max(24, sum(map(table.disk.size, orders.inputFiles())) >> 22)  # about 4 MB each, however large the source is
+    table.append(orders.repartitionByRange(parts, "o_orderkey").sortWithinPartitions("o_orderkey"))
     features.ensure_features(table, "main.orders")
     many = len(table.snapshot().files)
     version = table.compact()

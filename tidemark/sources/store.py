@@ -359,15 +359,24 @@ class ArchiveTable:
         few = 0 < len(files) < cores and least <= sum(map(self.disk.size, files)) <= most
         return df.repartition(cores) if few and not _DEALT.search(df._jdf.queryExecution().executedPlan().toString()) else df
 
+    def _ends(self, folder: str, schema: T.StructType, listed: list[T.StructField]) -> DataFrame:
+        """The number of rows of each file in a folder, and the bounds and held values of its columns.
+
+        For the ends of texts alone Spark would sort all rows of a task by their file; beside an aggregate whose state is an
+        object (the set here) it keeps them in a hash table, a row a file."""
+        ends = [e.alias(f"_{side}{i}") for i, f in enumerate(listed) for side, e in zip(("low", "high", "held"), (*bounds(f), F.count(quoted(f.name))))]
+        if any(isinstance(f.dataType, T.StringType) for f in listed):
+            ends.append(F.collect_set(F.lit(1)).alias("_hashed"))
+        own = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+        return own.groupBy(F.col("_metadata.file_name").alias("_name")).agg(F.count(F.lit(1)).alias("_rows"), *ends)
+
     def _write(self, df: DataFrame, clustered: str = "") -> list[DataFile]:
         """Writes immutable files, and notes their rows and bounds; the files stay where and as Spark has put them. Their rows have no ids yet."""
         folder = f"data/{uuid.uuid4().hex}"
         try:
             df.write.parquet(f"{self.path}/{folder}")
             listed = bounded(df.schema)
-            ends = [e.alias(f"_{side}{i}") for i, f in enumerate(listed) for side, e in zip(("low", "high", "held"), (*bounds(f), F.count(quoted(f.name))))]
-            own = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}")
-            told = {r["_name"]: r for r in own.groupBy(F.col("_metadata.file_name").alias("_name")).agg(F.count(F.lit(1)).alias("_rows"), *ends).collect()}  # a row per file of this commit
+            told = {r["_name"]: r for r in self._ends(folder, df.schema, listed).collect()}  # a row per file of this commit
             sizes = self.disk.names(f"{self.path}/{folder}")
         except Exception:
             self.disk.remove(f"{self.path}/{folder}")
