@@ -242,6 +242,19 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_compaction_sorts_nothing_and_the_feed_has_few(spark, store, monkeypatch):
+    """A new file's rows are written as they come; what a dedup has marked goes, and the feed has a deletion for each copy."""
+    t, df = copies(spark, store)
+    dedup.dedup_table(t, "s.t", ["k"], "t")
+    before, feed = told(t.read(row_id=True)), told(t.changes(0))
+    written = []
+    monkeypatch.setattr(ArchiveTable, "_write", lambda self, df, *a, write=ArchiveTable._write: written.append(plan(df)) or write(self, df, *a))
+    t.compact(target=t.detail()["size_in_bytes"] // 2)
+    assert len(written) == 1 and "Sort" not in written[0]
+    assert told(t.read(row_id=True)) == before and told(t.changes(0)) == feed
+    assert t.changes(3).count() == 10 and not any(f.deletes for f in t.snapshot().files)
+
+
 def test_bounds_of_texts_need_no_sort(spark, store):
     """What the log has of a file is kept in a hash table, a row a file, not found by sorting all rows by their file."""
     t = store.table("s", "t")

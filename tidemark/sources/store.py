@@ -530,7 +530,8 @@ class ArchiveTable:
         """Puts small files (of less than half of ``target`` bytes), and those with deleted rows, together into files of about
         ``target``: rows and ids stay, and it is no change in the feed. None if there is nothing to gain.
 
-        Files that follow one another by their first rows are packed together, in one job with a task for each new file."""
+        Files that follow one another by their first rows are packed together, in one job with a task for each new file. It writes
+        rows as they come, what was read together in its order: ids are stored, so a file's worth of rows needn't be sorted in memory."""
         base = self.snapshot()
         small = sorted((f for f in base.files if f.deletes or f.bytes < target // 2), key=lambda f: (f.first_id, f.path))
         bins: list[list[DataFile]] = []
@@ -544,7 +545,7 @@ class ArchiveTable:
             return None
         listed = self.spark.createDataFrame([(f.name, i) for i, b in enumerate(bins) for f in b], f"{_OF} string, {_BIN} int")
         rows = self._scan(old, base.schema, row_id=True, places=True).join(self._sent(listed, len(old)), F.col(FILE) == F.col(_OF))
-        packed = rows.repartitionById(len(bins), F.col(_BIN)).sortWithinPartitions(ROW_ID).select(*_columns(base.schema), ROW_ID)
+        packed = rows.repartitionById(len(bins), F.col(_BIN)).select(*_columns(base.schema), ROW_ID)
         return self._rewrite(base, "compact", old, packed)
 
     def cluster(self, columns: list[str], target: int = 128 << 20, bits: int = 6) -> int | None:
