@@ -286,6 +286,15 @@ def test_compaction_is_of_many_files_at_any_size(spark, sf_dir, tmp_path, monkey
     assert made[0] == 8 * size >> 22 and made[1] == 1
 
 
+def test_generated_rows_are_written_where_they_are_made(spark, sf_dir, monkeypatch):
+    """No shuffle and no sort, whose tasks would hold a third of all rows each; several files, whose ids are what was generated."""
+    written = []
+    monkeypatch.setattr(ArchiveTable, "_write", lambda self, df, *a, write=ArchiveTable._write: written.append(df) or write(self, df, *a))
+    got = sorted(r.id for r in queries.row_generator(spark, sf_dir).collect())
+    assert got == list(range(spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()))
+    assert "Exchange" not in plan(written[0]) and "Sort" not in plan(written[0]) and written[0].rdd.getNumPartitions() == 3
+
+
 def test_rows_are_dealt_out_on_a_curve(spark, store):
     rnd = random.Random(2)
     t = store.table("s", "t")

@@ -825,7 +825,8 @@ def freshness_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_generator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many generated rows as there are order lines, through the store, their row ids being what was generated."""
     table = new_table(spark, "generated")
-    table.append(spark.range(read(spark, sf_dir, "lineitem").count()).repartitionByRange(3, "id").sortWithinPartitions("id"))
+    rows = read(spark, sf_dir, "lineitem").count()
+    table.append(spark.range(0, rows, numPartitions=max(3, -(-rows // 4_000_000))))  # each partition is a range of its own, in order: no shuffle, no sort
     return table.read(row_id=True).where(F.col(ROW_ID) == F.col("id")).select("id")
 
 
